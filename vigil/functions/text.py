@@ -37,8 +37,11 @@ def clean_text(col, remove_censored: bool = False) -> Column:
     toks = F.split(t, " ", -1)
     stop = [F.lit(s) for s in FILLER_TOKENS]
     kept = F.filter(toks, lambda x: ~x.isin(*stop))
-    refined = F.filter(kept, lambda x, i: x != F.coalesce(F.get(kept, i + 1), F.lit("")))
-    return F.array_join(refined, " ")
+    # pair every kept token with its right neighbour (zip_with evaluates both
+    # arrays once; a lambda that indexes ``kept`` would rebuild it per token)
+    nxt = F.slice(kept, 2, F.greatest(F.size(kept), F.lit(1)))
+    pairs = F.zip_with(kept, nxt, lambda x, y: F.when(x != F.coalesce(y, F.lit("")), x))
+    return F.array_join(F.filter(pairs, lambda x: x.isNotNull()), " ")
 
 
 def html_unescape_basic(col) -> Column:

@@ -44,13 +44,14 @@ def extract_entities(docs: DataFrame, key: str = "video_id", text: str = "text",
     nums = (docs.select(F.col(key).alias("source_id"),
                         F.posexplode(F.regexp_extract_all(F.col(text), F.lit(NUMBER_SPAN), 0))
                          .alias("pos", "value"))
+                .withColumn("pos", F.col("pos").cast("long"))
                 .withColumn("entity_type", number_type(F.col("value"))))
     out = nums.select("source_id", "entity_type", "value", "pos")
     if gazetteer is not None or proper_noun_type:
         runs = docs.select(F.col(key).alias("source_id"),
                            F.posexplode(F.regexp_extract_all(F.col(text), F.lit(PROPER_SPAN), 0))
                             .alias("pos", "value"))
-        runs = runs.withColumn("pos", F.col("pos") + F.lit(1_000_000_000))
+        runs = runs.withColumn("pos", F.col("pos").cast("long") + F.lit(1_000_000_000))
         if gazetteer is not None:
             g = gazetteer.select(F.lower("term").alias("_t"), F.col("entity_type").alias("_gt"))
             runs = (runs.withColumn("_t", F.lower("value"))

@@ -25,6 +25,13 @@ NULL_TEXTS = ["None", ""]
 
 # --- CSV dimensions --------------------------------------------------------
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of ``schema`` in order, cast to its types (missing -> null)."""
+    cols = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in cols else F.lit(None)).cast(f.dataType)
+                       .alias(f.name) for f in schema.fields])
+
+
 def read_channels(spark: SparkSession, path: str) -> DataFrame:
     """Channel dimension CSV (UTF-8, header)."""
     return spark.read.schema(S.CHANNELS).option("header", True).option("encoding", "UTF-8").csv(path)
@@ -204,3 +211,65 @@ def append_skip_list(spark: SparkSession, ids: DataFrame, root: str) -> None:
     """Append ids that could not be fetched."""
     write_table(ids.select(F.col("video_id").cast("string")), f"{root}/transcript_skip",
                 mode="append")
+
+
+# --- legacy per-document writer -------------------------------------------------
+
+def _arrow_fs(folder: str):
+    from pyarrow import fs as pafs
+    if folder.startswith("file:"):
+        path = "/" + folder[len("file:"):].lstrip("/")
+        return pafs.LocalFileSystem(), path
+    if folder.startswith("/"):
+        return pafs.LocalFileSystem(), folder
+    return pafs.FileSystem.from_uri(folder)
+
+
+def write_per_document(df: DataFrame, key: str, folder: str, suffix: str) -> int:
+    """Write the legacy layout: one gzip Parquet file ``<key><suffix>`` per
+    key value, without the key column. Rows are hash-partitioned and sorted
+    by key; each task streams its keys in order into one open writer at a
+    time, so no document's rows are gathered in memory. Returns rows written."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    cols = [c for c in df.columns if c != key]
+    arrow_schema = to_arrow_schema(df.select(*cols).schema)
+
+    def writer(batches):
+        import pandas as pd
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        filesystem, root = _arrow_fs(folder)
+        filesystem.create_dir(root, recursive=True)
+        cur, w, n = None, None, 0
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            for k, g in pdf.groupby(key, sort=False):
+                k = str(k)
+                if k != cur:
+                    if w is not None:
+                        w.close()
+                        yield pd.DataFrame({"key": [cur], "rows": [n]})
+                    cur, n = k, 0
+                    w = pq.ParquetWriter(f"{root}/{k}{suffix}", arrow_schema,
+                                         filesystem=filesystem, compression="gzip")
+                w.write_table(pa.Table.from_pandas(g[cols], schema=arrow_schema,
+                                                   preserve_index=False))
+                n += len(g)
+        if w is not None:
+            w.close()
+            yield pd.DataFrame({"key": [cur], "rows": [n]})
+
+    out = (df.repartition(key).sortWithinPartitions(key)
+             .mapInPandas(writer, "key string, rows long"))
+    return out.agg(F.sum("rows")).first()[0] or 0
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the reliable checkpoint directory (shared
+    storage on a cluster) for intermediate tables."""
+    import uuid
+
+    from vigil.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark)}/vigil-scratch/{name}-{uuid.uuid4().hex}"
