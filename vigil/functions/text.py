@@ -20,6 +20,13 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+    Higher-order functions run interpreted, so an expression that appears
+    several times in a lambda body would be recomputed per element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def clean_text(col, remove_censored: bool = False) -> Column:
     """Remove filler tokens and immediate repeats from a transcript.
 
@@ -37,11 +44,13 @@ def clean_text(col, remove_censored: bool = False) -> Column:
     toks = F.split(t, " ", -1)
     stop = [F.lit(s) for s in FILLER_TOKENS]
     kept = F.filter(toks, lambda x: ~x.isin(*stop))
-    # pair every kept token with its right neighbour (zip_with evaluates both
-    # arrays once; a lambda that indexes ``kept`` would rebuild it per token)
-    nxt = F.slice(kept, 2, F.greatest(F.size(kept), F.lit(1)))
-    pairs = F.zip_with(kept, nxt, lambda x, y: F.when(x != F.coalesce(y, F.lit("")), x))
-    return F.array_join(F.filter(pairs, lambda x: x.isNotNull()), " ")
+
+    def dedupe(k):
+        # pair every kept token with its right neighbour ('' after the last)
+        nxt = F.slice(k, 2, F.greatest(F.size(k), F.lit(1)))
+        pairs = F.zip_with(k, nxt, lambda x, y: F.when(x != F.coalesce(y, F.lit("")), x))
+        return F.array_join(F.filter(pairs, lambda x: x.isNotNull()), " ")
+    return _let(kept, dedupe)
 
 
 def html_unescape_basic(col) -> Column:
@@ -67,18 +76,21 @@ def words(col) -> Column:
 def chunk_text(col, limit: int = CHUNK_TOKEN_LIMIT) -> Column:
     """Array of chunks: the text itself below ``limit`` tokens, else
     ``k = ceil(n / limit)`` even parts of the token list re-joined by a space.
-    Part i holds tokens floor(i*n/k) .. floor((i+1)*n/k)-1 (integer bounds)."""
-    tok = tokens(col)
-    n = F.size(tok)
-    k = F.greatest(F.lit(1), F.ceil(n / F.lit(limit)).cast("int"))
-
-    def part(i):
-        lo = F.floor(i * n / k).cast("int")
-        hi = F.floor((i + 1) * n / k).cast("int")
-        return F.array_join(F.slice(tok, lo + 1, hi - lo), " ")
-
-    chunks = F.transform(F.sequence(F.lit(0), k - 1), part)
-    return F.when(n < F.lit(limit), F.array(_c(col))).otherwise(chunks)
+    Part i holds tokens floor(i*n/k) .. floor((i+1)*n/k)-1 (integer bounds).
+    The token list is built once per text."""
+    text = _c(col)
+
+    def split(tok):
+        n = F.size(tok)
+        k = F.greatest(F.lit(1), F.ceil(n / F.lit(limit)).cast("int"))
+
+        def part(i):
+            lo = F.floor(i * n / k).cast("int")
+            hi = F.floor((i + 1) * n / k).cast("int")
+            return F.array_join(F.slice(tok, lo + 1, hi - lo), " ")
+        return F.when(n < F.lit(limit), F.array(text)).otherwise(
+            F.transform(F.sequence(F.lit(0), k - 1), part))
+    return _let(tokens(text), split)
 
 
 def split_topics(col, trim: bool = False, drop_empty: bool = False) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.text import chunk_text, sentences, words
-from vigil.operators.joins import bounded_broadcast, salted_join, top_k
+from vigil.operators.joins import bounded_broadcast, salted_join, spread, top_k
 from vigil.schemas import CHUNK_TOKEN_LIMIT, DIM_EMOTION_ROWS
 
 SCORE_DIGITS = 6
@@ -30,27 +30,37 @@ def _keys(key) -> list[str]:
 def term_frequencies(docs: DataFrame, key="video_id", text: str = "text") -> DataFrame:
     """(keys.., term, tf) over the whole text; aggregated map-side first."""
     ks = _keys(key)
-    return (docs.select(*ks, F.explode(words(F.col(text))).alias("term"))
+    return (spread(docs.select(*ks, text), ks)
+                .select(*ks, F.explode(words(F.col(text))).alias("term"))
                 .groupBy(*ks, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def tfidf(docs: DataFrame, key="video_id", text: str = "text",
-          salt_buckets: int = 16) -> DataFrame:
-    """(keys.., term, tf, df, score) with score = round(tf * ln(N / df), 6).
+def salt_buckets(spark) -> int:
+    """Salt fan-out for hot keys: grows with the cluster, capped."""
+    return min(64, max(2, spark.sparkContext.defaultParallelism))
 
-    The document-frequency side has one row per term but a common term sits
-    in every document, so the join back is salted on the document key (and
-    AQE may still turn it into a broadcast at run time)."""
-    ks = _keys(key)
-    tf = term_frequencies(docs, ks, text)
-    n_docs = docs.select(*ks).distinct().count()
+
+def tfidf_from_tf(tf: DataFrame, n_docs: int, ks: list[str]) -> DataFrame:
+    """Add df and score = round(tf * ln(N / df), 6) to (keys.., term, tf).
+
+    The document-frequency side has one row per term, but a common term
+    occurs in every document, so the join back is salted on the document
+    key: hot terms spread over ``salt_buckets`` tasks (AQE may still turn
+    the join into a broadcast at run time when the vocabulary is small)."""
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    joined = salted_join(tf, dfreq, ["term"], salt_from=ks, buckets=salt_buckets,
-                         max_broadcast_rows=0)
+    joined = salted_join(tf, dfreq, ["term"], salt_from=ks,
+                         buckets=salt_buckets(tf.sparkSession), max_broadcast_rows=0)
     score = F.round(F.col("tf") * F.log(F.lit(float(n_docs)) / F.col("df")), SCORE_DIGITS)
     return joined.withColumn("score", score)
 
 
+def tfidf(docs: DataFrame, key="video_id", text: str = "text") -> DataFrame:
+    """(keys.., term, tf, df, score) over whole texts; N = number of documents."""
+    ks = _keys(key)
+    n_docs = docs.select(*ks).distinct().count()
+    return tfidf_from_tf(term_frequencies(docs, ks, text), n_docs, ks)
+
+
 def topic_list(docs: DataFrame, key="video_id", text: str = "text", k: int = 3) -> DataFrame:
     """Top-k TF-IDF terms per document as (keys.., topic, rank); ties by term."""
     scored = tfidf(docs, key, text)
@@ -98,14 +108,22 @@ def classify_sentiment(docs: DataFrame, lexicon: DataFrame, key="video_id", text
 
 
 def summarize(docs: DataFrame, key="video_id", text: str = "text", n: int = 2) -> DataFrame:
-    """Extractive summary: sentences scored by the mean TF-IDF of their words
-    (rounded), the top ``n`` (ties: earlier first) joined in reading order."""
+    """Extractive summary: sentences scored by the mean TF-IDF of their word
+    occurrences (rounded), the top ``n`` (ties: earlier first) joined in
+    reading order. Words never cross a sentence boundary, so the document
+    term counts are the sums of the sentence term counts: the text is
+    tokenised once."""
     ks = _keys(key)
-    sents = docs.select(*ks, F.posexplode(sentences(F.col(text))).alias("spos", "sentence"))
-    sw = sents.select(*ks, "spos", F.explode(words(F.col("sentence"))).alias("term"))
-    scores = tfidf(docs, ks, text).select(*ks, "term", "score")
+    n_docs = docs.select(*ks).distinct().count()
+    sents = spread(docs.select(*ks, text), ks).select(
+        *ks, F.posexplode(sentences(F.col(text))).alias("spos", "sentence"))
+    sw = (sents.select(*ks, "spos", F.explode(words(F.col("sentence"))).alias("term"))
+               .groupBy(*ks, "spos", "term").agg(F.count(F.lit(1)).alias("c")))
+    tf = sw.groupBy(*ks, "term").agg(F.sum("c").alias("tf"))
+    scores = tfidf_from_tf(tf, n_docs, ks).select(*ks, "term", "score")
     ss = (sw.join(scores, ks + ["term"], "inner").groupBy(*ks, "spos")
-            .agg(F.round(F.avg("score"), SCORE_DIGITS).alias("sscore")))
+            .agg(F.round(F.sum(F.col("c") * F.col("score")) / F.sum("c"), SCORE_DIGITS)
+                 .alias("sscore")))
     best = top_k(ss, ks, [F.col("sscore").desc(), F.col("spos")], n).select(*ks, "spos")
     chosen = sents.join(best, ks + ["spos"], "inner")
     parts = F.array_sort(F.collect_list(F.struct("spos", "sentence")))
@@ -160,7 +178,8 @@ def merge_chunk_labels(chunks: DataFrame, key: str = "video_id",
 def chunks_of(docs: DataFrame, key: str = "video_id", text: str = "text",
               limit: int = CHUNK_TOKEN_LIMIT) -> DataFrame:
     """(key, chunk_id, text) rows; long texts spread over tasks."""
-    return docs.select(key, F.posexplode(chunk_text(F.col(text), limit)).alias("chunk_id", text))
+    return spread(docs.select(key, text), key).select(
+        key, F.posexplode(chunk_text(F.col(text), limit)).alias("chunk_id", text))
 
 
 def overall_classification(docs: DataFrame, emotion_lexicon: DataFrame,

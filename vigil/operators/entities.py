@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators.catalog import fetch_channel_info
-from vigil.operators.joins import bounded_broadcast
+from vigil.operators.joins import bounded_broadcast, spread
 from vigil.schemas import ENTITY_TYPES
 
 # FIXED VALUES of the deterministic extractor (our own rules, not a model):
@@ -41,6 +41,7 @@ def extract_entities(docs: DataFrame, key: str = "video_id", text: str = "text",
     position: number-like spans typed by shape; capitalised runs typed by a
     gazetteer ``(term, entity_type)`` (case-insensitive, broadcast only when
     proven small) or by ``proper_noun_type``; untyped runs are dropped."""
+    docs = spread(docs.select(key, text), key)
     nums = (docs.select(F.col(key).alias("source_id"),
                         F.posexplode(F.regexp_extract_all(F.col(text), F.lit(NUMBER_SPAN), 0))
                          .alias("pos", "value"))
@@ -169,16 +170,19 @@ def collect_data_containing_entity(entity_index: DataFrame, library_index: DataF
 PATTERNS_PER_PASS = 256
 
 
-def match_patterns(values: DataFrame, patterns: list[str], mode: str = "regex") -> DataFrame:
-    """(value, pattern_pos) for every pattern of the list that matches a
-    value. Each pattern is a literal (compiled once per task, codegen'd);
-    one pass tests a block of patterns, no nested-loop join is planned."""
+def match_patterns(rows: DataFrame, patterns: list[str], mode: str = "regex",
+                   keep: list[str] | None = None) -> DataFrame:
+    """(keep.., pattern_pos) for every pattern of the list that matches a
+    row's ``value``. Each pattern is a literal (compiled once per task);
+    one pass tests a block of patterns, so no nested-loop join is planned
+    and the scan is not repeated per pattern."""
+    keep = keep or ["value"]
     out = None
     for start in range(0, len(patterns), PATTERNS_PER_PASS):
         block = patterns[start:start + PATTERNS_PER_PASS]
         hits = F.array(*[F.when(_matcher(p, mode), F.lit(start + i)) for i, p in enumerate(block)])
-        part = (values.select("value", F.explode(F.filter(hits, lambda x: x.isNotNull()))
-                                       .alias("pattern_pos")))
+        part = rows.select(*keep, F.explode(F.filter(hits, lambda x: x.isNotNull()))
+                                   .alias("pattern_pos"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -196,11 +200,8 @@ def collect_multi_entity_data(entity_index: DataFrame, library_index: DataFrame,
         vals = entity_index.select("value", "source_id").limit(0)
         hits = vals.select("source_id", F.lit(None).cast("int").alias("pattern_pos"))
     else:
-        distinct_vals = entity_index.select("value").distinct()
-        matched = match_patterns(distinct_vals, entities_list, mode)
-        hits = (entity_index.select("value", "source_id")
-                            .join(matched, "value", "inner")
-                            .select("source_id", "pattern_pos").distinct())
+        hits = match_patterns(entity_index.select("value", "source_id"), entities_list, mode,
+                              keep=["source_id"]).distinct()
     rows = library_index.join(hits, "source_id", "inner")
     docs = hits.select(F.col("source_id").alias("video_id")).distinct()
     info = fetch_channel_info(docs, listing, channels).withColumnRenamed("video_id", "source_id")

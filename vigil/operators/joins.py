@@ -45,6 +45,18 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
     return b.join(s, on + ["_salt"], how).drop("_salt")
 
 
+def spread(df: DataFrame, key: str | list[str]) -> DataFrame:
+    """Hash-distribute rows by ``key`` when the scan yields fewer partitions
+    than the cluster can run at once (e.g. one large row group holding many
+    documents). On a large input with many splits this is a no-op, so no
+    shuffle is added where the scan is already parallel."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.repartition(target, *keys)
+
+
 def top_k(df: DataFrame, group_cols: list[str], order: list[Column], k: int,
           rank_col: str = "rank") -> DataFrame:
     """First ``k`` rows per group by ``order`` (which must be a total order
