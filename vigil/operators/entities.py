@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.catalog import fetch_channel_info
+from vigil.operators.catalog import video_channel
 from vigil.operators.joins import bounded_broadcast, spread
 from vigil.schemas import ENTITY_TYPES
 
@@ -155,6 +155,18 @@ def _matcher(pattern: str, mode: str):
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def with_channel_info(rows: DataFrame, listing: DataFrame, channels: DataFrame,
+                      key: str = "source_id") -> DataFrame:
+    """Attach channel_id ('' when the document is in no listing) and the
+    channel columns (null for an unknown channel) to index rows."""
+    vc = video_channel(listing).select(F.col("video_id").alias(key),
+                                       F.col("channel_id").alias("_ch"))
+    out = (rows.join(vc, key, "left")
+               .withColumn("channel_id", F.coalesce(F.col("_ch").cast("string"), F.lit("")))
+               .drop("_ch"))
+    return out.join(bounded_broadcast(channels), "channel_id", "left")
+
+
 def collect_data_containing_entity(entity_index: DataFrame, library_index: DataFrame,
                                    listing: DataFrame, channels: DataFrame, entity: str,
                                    mode: str = "regex") -> DataFrame:
@@ -162,9 +174,8 @@ def collect_data_containing_entity(entity_index: DataFrame, library_index: DataF
     their channel columns and an ``entity`` column (lower-cased)."""
     ids = (entity_index.filter(_matcher(entity, mode)).select("source_id").distinct())
     rows = library_index.join(ids, "source_id", "left_semi")
-    info = fetch_channel_info(rows.select(F.col("source_id").alias("video_id")).distinct(),
-                              listing, channels).withColumnRenamed("video_id", "source_id")
-    return rows.join(info, "source_id", "left").withColumn("entity", F.lit(entity.lower()))
+    return (with_channel_info(rows, listing, channels)
+            .withColumn("entity", F.lit(entity.lower())))
 
 
 PATTERNS_PER_PASS = 256
@@ -203,7 +214,6 @@ def collect_multi_entity_data(entity_index: DataFrame, library_index: DataFrame,
         hits = match_patterns(entity_index.select("value", "source_id"), entities_list, mode,
                               keep=["source_id"]).distinct()
     rows = library_index.join(hits, "source_id", "inner")
-    docs = hits.select(F.col("source_id").alias("video_id")).distinct()
-    info = fetch_channel_info(docs, listing, channels).withColumnRenamed("video_id", "source_id")
-    return (rows.join(info, "source_id", "left")
-                .join(F.broadcast(pats), "pattern_pos", "inner").drop("pattern_pos"))
+    # the pattern list is the caller's in-memory list: its size is known
+    return (with_channel_info(rows, listing, channels)
+            .join(F.broadcast(pats), "pattern_pos", "inner").drop("pattern_pos"))
