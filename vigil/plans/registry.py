@@ -125,6 +125,17 @@ def q_read_classifications(spark, d):
     return FS.read_classifications(spark, folder)
 
 
+@query("read_channel_search", with_ctes("listing") + """
+SELECT CAST(video_id AS VARCHAR) AS video_id, title, published_at, channel_id,
+       CAST(NULL AS BOOLEAN) AS code
+FROM listing""")
+def q_read_channel_search(spark, d):
+    folder = FS.scratch_dir(spark, "channels")
+    lst = SI.listing(spark, d).withColumn("video_id", F.col("video_id").cast("string"))
+    FS.write_per_document(lst, "channel_id", folder, S.SUFFIX_SEARCH)
+    return FS.read_channel_search(spark, folder)
+
+
 ENTITY_FILE_SQL = with_ctes("entity_index") + """
 SELECT entity_type, value, CAST(source_id AS VARCHAR) AS source_id FROM entity_index"""
 
@@ -696,6 +707,25 @@ def q_upsert_index(spark, d):
     return IX.upsert_index(current, incoming)
 
 
+@query("refresh_index")
+def q_refresh_index(spark, d):
+    """A store laid out as the reference keeps it (one listing file per
+    channel, one transcript and classification file per video), derived
+    from the driver's tables, then scanned and upserted into the index.
+    rec_mod_dtm is the files' modification time, so no oracle here."""
+    root = FS.scratch_dir(spark, "store")
+    FS.init_store(spark, root)
+    lst = SI.listing(spark, d).withColumn("video_id", F.col("video_id").cast("string"))
+    FS.write_per_document(lst, "channel_id", f"{root}/channels", S.SUFFIX_SEARCH)
+    seg = SI.segments(spark, d).select(F.col("video_id").cast("string").alias("video_id"),
+                                       F.col("start").cast("double").alias("start"),
+                                       F.lit(None).cast("double").alias("duration"), "text")
+    FS.write_per_document(seg, "video_id", f"{root}/transcripts", S.SUFFIX_TRANSCRIPT)
+    clf = SI.classifications(spark, d).withColumn("video_id", F.col("video_id").cast("string"))
+    FS.write_per_document(clf, "video_id", f"{root}/classifications", S.SUFFIX_CLASSIFICATION)
+    return IX.refresh_index(spark, root)
+
+
 @query("compile_entity_index", ENTITY_FILE_SQL)
 def q_compile_entity_index(spark, d):
     folder = FS.scratch_dir(spark, "entities")
