@@ -45,9 +45,11 @@ def tfidf_from_tf(tf: DataFrame, n_docs: int, ks: list[str]) -> DataFrame:
 
     The document-frequency side has one row per term, but a common term
     occurs in every document, so the join back is salted on the document
-    key: hot terms spread over ``salt_buckets`` tasks (AQE may still turn
-    the join into a broadcast at run time when the vocabulary is small)."""
+    key: a hot term's rows spread over ``salt_buckets`` tasks (AQE may still
+    turn the join into a broadcast when the vocabulary is small)."""
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # replicating the vocabulary ``buckets`` times is small next to the
+    # (document, term) table it joins, at any scale
     joined = salted_join(tf, dfreq, ["term"], salt_from=ks,
                          buckets=salt_buckets(tf.sparkSession), max_broadcast_rows=0)
     score = F.round(F.col("tf") * F.log(F.lit(float(n_docs)) / F.col("df")), SCORE_DIGITS)
@@ -75,25 +77,36 @@ def main_topic(docs: DataFrame, key="video_id", text: str = "text") -> DataFrame
     return docs.select(*ks).join(top, ks, "left")
 
 
-def _lexicon_scores(docs, ks, text, lexicon, label_col, max_rows):
-    tf = term_frequencies(docs, ks, text)
-    lex = bounded_broadcast(lexicon, max_rows)
-    hits = tf.join(lex, "term", "inner")
+def _lexicon_scores(tf, ks, lexicon, label_col, max_rows):
+    """Summed ``tf * weight`` per document (and label) from a tf table."""
+    hits = tf.join(bounded_broadcast(lexicon, max_rows), "term", "inner")
     grp = ks + ([label_col] if label_col else [])
     return hits.groupBy(*grp).agg(
         F.round(F.sum(F.col("tf") * F.col("weight")), SCORE_DIGITS).alias("score"))
 
 
+def emotion_from_tf(doc_keys: DataFrame, tf: DataFrame, lexicon: DataFrame, ks: list[str],
+                    out: str = "emotion", max_lexicon_rows: int = 1_000_000) -> DataFrame:
+    scores = _lexicon_scores(tf, ks, lexicon, "label", max_lexicon_rows)
+    best = scores.groupBy(*ks).agg(F.min(F.struct((-F.col("score")).alias("s"),
+                                                  F.col("label").alias("l"))).alias("_b"))
+    return doc_keys.join(best.select(*ks, F.col("_b.l").alias(out)), ks, "left")
+
+
+def sentiment_from_tf(doc_keys: DataFrame, tf: DataFrame, lexicon: DataFrame, ks: list[str],
+                      max_lexicon_rows: int = 1_000_000) -> DataFrame:
+    scores = _lexicon_scores(tf, ks, lexicon.select("term", "weight"), None, max_lexicon_rows)
+    return doc_keys.join(scores.select(*ks, (F.col("score") > 0).alias("sentiment")), ks, "left")
+
+
 def classify_emotion(docs: DataFrame, lexicon: DataFrame, key="video_id", text: str = "text",
                      out: str = "emotion", max_lexicon_rows: int = 1_000_000) -> DataFrame:
     """Lexicon arg-max: lexicon ``(term, label, weight)``; per document the
     label with the highest summed ``tf * weight`` (ties: smallest label);
     null when no lexicon term occurs."""
     ks = _keys(key)
-    scores = _lexicon_scores(docs, ks, text, lexicon, "label", max_lexicon_rows)
-    best = scores.groupBy(*ks).agg(F.min(F.struct((-F.col("score")).alias("s"),
-                                                  F.col("label").alias("l"))).alias("_b"))
-    return docs.select(*ks).join(best.select(*ks, F.col("_b.l").alias(out)), ks, "left")
+    return emotion_from_tf(docs.select(*ks), term_frequencies(docs, ks, text), lexicon, ks, out,
+                           max_lexicon_rows)
 
 
 def classify_sentiment(docs: DataFrame, lexicon: DataFrame, key="video_id", text: str = "text",
@@ -101,26 +114,26 @@ def classify_sentiment(docs: DataFrame, lexicon: DataFrame, key="video_id", text
     """Signed lexicon ``(term, weight)``: sentiment = summed score > 0;
     null when no lexicon term occurs."""
     ks = _keys(key)
-    scores = _lexicon_scores(docs, ks, text, lexicon.select("term", "weight"), None,
+    return sentiment_from_tf(docs.select(*ks), term_frequencies(docs, ks, text), lexicon, ks,
                              max_lexicon_rows)
-    return docs.select(*ks).join(
-        scores.select(*ks, (F.col("score") > 0).alias("sentiment")), ks, "left")
 
 
-def summarize(docs: DataFrame, key="video_id", text: str = "text", n: int = 2) -> DataFrame:
-    """Extractive summary: sentences scored by the mean TF-IDF of their word
-    occurrences (rounded), the top ``n`` (ties: earlier first) joined in
-    reading order. Words never cross a sentence boundary, so the document
-    term counts are the sums of the sentence term counts: the text is
-    tokenised once."""
-    ks = _keys(key)
-    n_docs = docs.select(*ks).distinct().count()
+def sentence_terms(docs: DataFrame, ks: list[str], text: str):
+    """(sentences, sentence term counts, document term counts) from one
+    tokenisation: words never cross a sentence boundary, so a document's
+    term counts are the sums over its sentences."""
     sents = spread(docs.select(*ks, text), ks).select(
         *ks, F.posexplode(sentences(F.col(text))).alias("spos", "sentence"))
     sw = (sents.select(*ks, "spos", F.explode(words(F.col("sentence"))).alias("term"))
                .groupBy(*ks, "spos", "term").agg(F.count(F.lit(1)).alias("c")))
     tf = sw.groupBy(*ks, "term").agg(F.sum("c").alias("tf"))
-    scores = tfidf_from_tf(tf, n_docs, ks).select(*ks, "term", "score")
+    return sents, sw, tf
+
+
+def summary_from(doc_keys: DataFrame, sents: DataFrame, sw: DataFrame, scored: DataFrame,
+                 ks: list[str], n: int) -> DataFrame:
+    """Top-n sentences by mean TF-IDF of their word occurrences, in order."""
+    scores = scored.select(*ks, "term", "score")
     ss = (sw.join(scores, ks + ["term"], "inner").groupBy(*ks, "spos")
             .agg(F.round(F.sum(F.col("c") * F.col("score")) / F.sum("c"), SCORE_DIGITS)
                  .alias("sscore")))
@@ -129,7 +142,17 @@ def summarize(docs: DataFrame, key="video_id", text: str = "text", n: int = 2) -
     parts = F.array_sort(F.collect_list(F.struct("spos", "sentence")))
     summ = chosen.groupBy(*ks).agg(
         F.array_join(F.transform(parts, lambda x: x["sentence"]), " ").alias("summary"))
-    return docs.select(*ks).join(summ, ks, "left")
+    return doc_keys.join(summ, ks, "left")
+
+
+def summarize(docs: DataFrame, key="video_id", text: str = "text", n: int = 2) -> DataFrame:
+    """Extractive summary: sentences scored by the mean TF-IDF of their word
+    occurrences (rounded), the top ``n`` (ties: earlier first) joined in
+    reading order; the text is tokenised once."""
+    ks = _keys(key)
+    n_docs = docs.select(*ks).distinct().count()
+    sents, sw, tf = sentence_terms(docs, ks, text)
+    return summary_from(docs.select(*ks), sents, sw, tfidf_from_tf(tf, n_docs, ks), ks, n)
 
 
 def dim_emotions(spark) -> DataFrame:
@@ -159,10 +182,13 @@ def merge_chunk_labels(chunks: DataFrame, key: str = "video_id",
                        chunk: str = "chunk_id") -> DataFrame:
     """Combine per-chunk results into one record per document: text labels
     joined with ',' in chunk order; main topics distinct, sorted, joined with
-    ' and '; sentiment by majority (tie -> first chunk's)."""
+    ' and '; sentiment by majority (tie -> first chunk's). Null chunk labels
+    are skipped; a label null in every chunk stays null."""
     def ordered(c):
-        parts = F.array_sort(F.collect_list(F.struct(F.col(chunk).alias("k"), F.col(c).alias("v"))))
-        return F.array_join(F.transform(parts, lambda x: x["v"]), ",").alias(c)
+        pairs = F.collect_list(F.when(F.col(c).isNotNull(),
+                                      F.struct(F.col(chunk).alias("k"), F.col(c).alias("v"))))
+        joined = F.array_join(F.transform(F.array_sort(pairs), lambda x: x["v"]), ",")
+        return F.when(F.size(pairs) > 0, joined).alias(c)
 
     pos = F.sum(F.when(F.col("sentiment"), 1).otherwise(0))
     neg = F.sum(F.when(~F.col("sentiment"), 1).otherwise(0))
@@ -171,7 +197,9 @@ def merge_chunk_labels(chunks: DataFrame, key: str = "video_id",
     return chunks.groupBy(key).agg(
         ordered("summary"), ordered("summary_reasoning"), sentiment.alias("sentiment"),
         ordered("primary_emotion"), ordered("secondary_emotion"),
-        F.array_join(F.array_sort(F.collect_set("main_topic")), " and ").alias("main_topic"),
+        F.when(F.count("main_topic") > 0,
+               F.array_join(F.array_sort(F.collect_set("main_topic")), " and "))
+         .alias("main_topic"),
         F.count(F.lit(1)).alias("chunks"))
 
 
@@ -185,18 +213,29 @@ def chunks_of(docs: DataFrame, key: str = "video_id", text: str = "text",
 def overall_classification(docs: DataFrame, emotion_lexicon: DataFrame,
                            secondary_lexicon: DataFrame, sentiment_lexicon: DataFrame,
                            key: str = "video_id", text: str = "text",
-                           limit: int = CHUNK_TOKEN_LIMIT) -> DataFrame:
+                           limit: int = CHUNK_TOKEN_LIMIT, summary_sentences: int = 2) -> DataFrame:
     """Chunk -> score every chunk (summary, sentiment, two emotions, main
-    topic) -> merge to one record per document."""
-    ch = chunks_of(docs, key, text, limit)
+    topic) -> merge to one record per document.
+
+    The chunk table feeds five scorers, so it is written once with a
+    reliable checkpoint (lineage cut; survives executor loss), and all
+    scorers share one tokenisation (sentence term counts -> term counts)."""
+    from vigil.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(docs.sparkSession)
+    ch = chunks_of(docs, key, text, limit).checkpoint(eager=True)
     ks = [key, "chunk_id"]
-    parts = (ch.select(*ks)
-               .join(summarize(ch, ks, text), ks, "left")
-               .join(classify_sentiment(ch, sentiment_lexicon, ks, text), ks, "left")
-               .join(classify_emotion(ch, emotion_lexicon, ks, text, "primary_emotion"), ks, "left")
-               .join(classify_emotion(ch, secondary_lexicon, ks, text, "secondary_emotion"), ks, "left")
-               .join(main_topic(ch, ks, text), ks, "left")
-               .withColumn("summary_reasoning", F.lit(None).cast("string")))
+    keys = ch.select(*ks)
+    n_chunks = ch.count()
+    sents, sw, tf = sentence_terms(ch, ks, text)
+    scored = tfidf_from_tf(tf, n_chunks, ks)
+    topic = top_k(scored, ks, [F.col("score").desc(), F.col("term")], 1).select(
+        *ks, F.col("term").alias("main_topic"))
+    parts = (summary_from(keys, sents, sw, scored, ks, summary_sentences)
+             .join(sentiment_from_tf(keys, tf, sentiment_lexicon, ks), ks, "left")
+             .join(emotion_from_tf(keys, tf, emotion_lexicon, ks, "primary_emotion"), ks, "left")
+             .join(emotion_from_tf(keys, tf, secondary_lexicon, ks, "secondary_emotion"), ks, "left")
+             .join(topic, ks, "left")
+             .withColumn("summary_reasoning", F.lit(None).cast("string")))
     return merge_chunk_labels(parts, key, "chunk_id")
 
 

@@ -1015,7 +1015,56 @@ def q_validate_labels(spark, d):
     return N.validate_labels(labels, N.dim_emotions(spark))
 
 
-@query("overall_classification")
+OVERALL_SQL = f"""
+WITH chunks AS (SELECT doc_id, 0 AS chunk_id, text FROM documents),
+tfc AS (
+  SELECT doc_id, w AS term, count(*) AS tf
+  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}{{4,}}')) AS w FROM chunks)
+  GROUP BY ALL),
+dfreq AS (SELECT term, count(*) AS df FROM tfc GROUP BY term),
+scored AS (
+  SELECT tfc.doc_id, tfc.term, round(tfc.tf * ln((SELECT count(*) FROM chunks) / d.df), 6) AS score
+  FROM tfc JOIN dfreq d USING (term)),
+topic1 AS (SELECT doc_id, term AS main_topic FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS r FROM scored)
+  WHERE r = 1),
+sents AS (
+  SELECT doc_id, CAST(p - 1 AS INTEGER) AS spos, s AS sentence FROM (
+    SELECT doc_id, unnest(x) AS s, generate_subscripts(x, 1) AS p FROM (
+      SELECT doc_id, list_filter(list_transform(
+               regexp_extract_all(text, '[^.!?\\n]+[.!?]*'), lambda y: trim(y)),
+               lambda y: y <> '') AS x
+      FROM chunks))),
+sw AS (SELECT doc_id, spos, unnest(regexp_extract_all(lower(sentence), '\\p{{L}}{{4,}}')) AS term
+       FROM sents),
+ss AS (SELECT sw.doc_id, sw.spos, round(avg(s.score), 6) AS sscore
+       FROM sw JOIN scored s ON s.doc_id = sw.doc_id AND s.term = sw.term GROUP BY ALL),
+best AS (SELECT doc_id, spos FROM (
+           SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sscore DESC, spos) AS r
+           FROM ss) WHERE r <= {SUMMARY_N}),
+summ AS (SELECT s.doc_id, string_agg(s.sentence, ' ' ORDER BY s.spos) AS summary
+         FROM sents s JOIN best b ON b.doc_id = s.doc_id AND b.spos = s.spos GROUP BY s.doc_id),
+slex AS (SELECT * FROM {_values_sql(SENTIMENT_LEXICON, ["term", "weight"])}),
+sent AS (SELECT doc_id, round(sum(tf * weight), 6) > 0 AS sentiment
+         FROM tfc JOIN slex USING (term) GROUP BY ALL),
+plex AS (SELECT * FROM {_values_sql(EMOTION_LEXICON, ["term", "label", "weight"])}),
+qlex AS (SELECT * FROM {_values_sql(SECONDARY_LEXICON, ["term", "label", "weight"])}),
+pemo AS (SELECT doc_id, label AS primary_emotion FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS r FROM (
+    SELECT doc_id, label, round(sum(tf * weight), 6) AS score FROM tfc JOIN plex USING (term)
+    GROUP BY ALL)) WHERE r = 1),
+qemo AS (SELECT doc_id, label AS secondary_emotion FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, label) AS r FROM (
+    SELECT doc_id, label, round(sum(tf * weight), 6) AS score FROM tfc JOIN qlex USING (term)
+    GROUP BY ALL)) WHERE r = 1)
+SELECT c.doc_id, m.summary, CAST(NULL AS VARCHAR) AS summary_reasoning, s.sentiment,
+       p.primary_emotion, q.secondary_emotion, t.main_topic, CAST(1 AS BIGINT) AS chunks
+FROM chunks c LEFT JOIN summ m USING (doc_id) LEFT JOIN sent s USING (doc_id)
+LEFT JOIN pemo p USING (doc_id) LEFT JOIN qemo q USING (doc_id) LEFT JOIN topic1 t USING (doc_id)
+"""
+
+
+@query("overall_classification", OVERALL_SQL)
 def q_overall_classification(spark, d):
     return N.overall_classification(T(spark, d, "documents"), emotion_lexicon(spark),
                                     secondary_lexicon(spark), sentiment_lexicon(spark),
