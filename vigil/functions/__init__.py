@@ -5,5 +5,5 @@ from vigil.functions.text import (  # noqa: F401
     split_topics, strip_suffix, token_count, tokens, words,
 )
 from vigil.functions.timefn import (  # noqa: F401
-    eastern_date, format_rec_mod_dtm, trailing_window, week_start,
+    eastern_date, format_rec_mod_dtm, trailing_window, utc_instant, week_start,
 )

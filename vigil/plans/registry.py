@@ -824,7 +824,8 @@ def q_html_unescape_basic(spark, d):
 SELECT event_id, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'US/Eastern' AS DATE) AS publish_dt_et
 FROM events""")
 def q_eastern_date(spark, d):
-    return T(spark, d, "events").select("event_id", TM.eastern_date("ts").alias("publish_dt_et"))
+    e = T(spark, d, "events")
+    return e.select("event_id", TM.eastern_date(TM.utc_instant("ts")).alias("publish_dt_et"))
 
 
 @query("week_start", """
@@ -834,7 +835,8 @@ SELECT event_id, d AS published_date_et,
 FROM (SELECT event_id, CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'US/Eastern' AS DATE) AS d
       FROM events)""")
 def q_week_start(spark, d):
-    e = T(spark, d, "events").select("event_id", TM.eastern_date("ts").alias("published_date_et"))
+    e = T(spark, d, "events").select(
+        "event_id", TM.eastern_date(TM.utc_instant("ts")).alias("published_date_et"))
     return e.withColumn("published_week", TM.week_start("published_date_et"))
 
 
