@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.timefn import eastern_date, trailing_window, week_start
-from vigil.operators.joins import bounded_broadcast
+from vigil.operators.catalog import join_channels
+from vigil.operators.joins import salted_join
 
 INDEX_DROPPED = ["lib_key", "doc_type_id", "source_system_id", "path", "summary_reasoning"]
 TOPIC_KEYS = ["topic", "channel", "primary_emotion", "secondary_emotion", "published_date_et"]
@@ -30,16 +31,22 @@ def video_analysis(listing: DataFrame, channels: DataFrame, library_index: DataF
     channels (as the reference reads one listing file per known channel);
     ``'left'`` keeps unknown channels with null channel columns. The index
     join is inner on video_id = source_id, multiplicity kept."""
-    ch = bounded_broadcast(channels)
     li = library_index.drop(*INDEX_DROPPED).withColumnRenamed("source_id", "video_id")
-    df = (listing.join(ch, "channel_id", how).drop("channel_id", "code")
-                 .join(li, "video_id", "inner"))
+    df = (join_channels(listing, channels, how, salt_from=["video_id"])
+          .drop("channel_id", "code").join(li, "video_id", "inner"))
     ts = parse_published_at(F.col("published_at"))
     return df.withColumn("published_at", ts).withColumn("publish_dt_et", eastern_date(ts))
 
 
 def _with_index(index: DataFrame, analysis: DataFrame) -> DataFrame:
-    return index.join(analysis.withColumnRenamed("video_id", "source_id"), "source_id", "inner")
+    """One document may own a third of the entity/topic rows: the join is
+    salted on the index row (the mart side is replicated per bucket; AQE
+    may broadcast it instead when it turns out small)."""
+    from vigil.operators.enrich import salt_buckets
+    keys = [c for c in index.columns if c != "source_id"]
+    return salted_join(index, analysis.withColumnRenamed("video_id", "source_id"), ["source_id"],
+                       "inner", buckets=salt_buckets(index.sparkSession), salt_from=keys,
+                       max_broadcast_rows=0)
 
 
 def entity_analysis(entity_index: DataFrame, video: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.text import html_unescape_basic, lower_equals
-from vigil.operators.joins import bounded_broadcast, top_k
+from vigil.operators.joins import salted_join, top_k
 from vigil.schemas import LISTING_PAGE_SIZE, SEARCH_MAX_RESULTS
 
 VIDEO_KIND = "youtube#video"
@@ -100,6 +100,13 @@ def latest_videos(listing: DataFrame, max_pages: int = 1, per_channel: bool = Tr
 
 # --- video -> channel lookups ---------------------------------------------
 
+def join_channels(rows: DataFrame, channels: DataFrame, how: str = "left",
+                  salt_from: list[str] | None = None) -> DataFrame:
+    """Join the channel dimension on channel_id: broadcast when it is proven
+    small, else salted, since one channel may hold a third of all rows."""
+    return salted_join(rows, channels, ["channel_id"], how, salt_from=salt_from)
+
+
 def video_channel(listing: DataFrame) -> DataFrame:
     """One row per video: its first channel (smallest channel_id; the
     reference's file order is arbitrary, so the tie is fixed here) with that
@@ -120,7 +127,7 @@ def fetch_channel(videos: DataFrame, listing: DataFrame) -> DataFrame:
 def fetch_channel_info(videos: DataFrame, listing: DataFrame, channels: DataFrame) -> DataFrame:
     """video_id -> channel columns; unmatched channels give nulls."""
     vc = fetch_channel(videos, listing)
-    return vc.join(bounded_broadcast(channels), "channel_id", "left").select(
+    return join_channels(vc, channels, "left", salt_from=["video_id"]).select(
         "video_id", "channel_id", "channel_title", "category", "region")
 
 
@@ -128,8 +135,9 @@ def lookup_video_info(videos: DataFrame, listing: DataFrame, channels: DataFrame
     """Per video: channel id/title/category, published_at and title; '' when
     absent (the reference's defaults)."""
     vc = video_channel(listing)
-    ch = bounded_broadcast(channels.select("channel_id", "channel_title", "category"))
-    df = videos.select("video_id").join(vc, "video_id", "left").join(ch, "channel_id", "left")
+    ch = channels.select("channel_id", "channel_title", "category")
+    df = join_channels(videos.select("video_id").join(vc, "video_id", "left"), ch, "left",
+                       salt_from=["video_id"])
     s = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     return df.select("video_id", s("channel_id").alias("channel_id"),
                      s("channel_title").alias("channel_title"),

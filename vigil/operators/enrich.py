@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.text import chunk_text, sentences, words
-from vigil.operators.joins import bounded_broadcast, salted_join, spread, top_k
+from vigil.operators.joins import salted_join, spread, top_k
 from vigil.schemas import CHUNK_TOKEN_LIMIT, DIM_EMOTION_ROWS
 
 SCORE_DIGITS = 6
@@ -79,7 +79,7 @@ def main_topic(docs: DataFrame, key="video_id", text: str = "text") -> DataFrame
 
 def _lexicon_scores(tf, ks, lexicon, label_col, max_rows):
     """Summed ``tf * weight`` per document (and label) from a tf table."""
-    hits = tf.join(bounded_broadcast(lexicon, max_rows), "term", "inner")
+    hits = salted_join(tf, lexicon, ["term"], "inner", salt_from=ks, max_broadcast_rows=max_rows)
     grp = ks + ([label_col] if label_col else [])
     return hits.groupBy(*grp).agg(
         F.round(F.sum(F.col("tf") * F.col("weight")), SCORE_DIGITS).alias("score"))

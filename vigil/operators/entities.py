@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.catalog import video_channel
-from vigil.operators.joins import bounded_broadcast, spread
+from vigil.operators.catalog import join_channels, video_channel
+from vigil.operators.joins import salted_join, spread
 from vigil.schemas import ENTITY_TYPES
 
 # FIXED VALUES of the deterministic extractor (our own rules, not a model):
@@ -56,7 +56,9 @@ def extract_entities(docs: DataFrame, key: str = "video_id", text: str = "text",
         if gazetteer is not None:
             g = gazetteer.select(F.lower("term").alias("_t"), F.col("entity_type").alias("_gt"))
             runs = (runs.withColumn("_t", F.lower("value"))
-                        .join(bounded_broadcast(g, max_gazetteer_rows), "_t", "left")
+                        .transform(lambda r: salted_join(r, g, ["_t"], "left",
+                                                         salt_from=["source_id", "pos"],
+                                                         max_broadcast_rows=max_gazetteer_rows))
                         .withColumn("entity_type", F.coalesce(F.col("_gt"), F.lit(proper_noun_type)))
                         .drop("_t", "_gt"))
         else:
@@ -164,7 +166,7 @@ def with_channel_info(rows: DataFrame, listing: DataFrame, channels: DataFrame,
     out = (rows.join(vc, key, "left")
                .withColumn("channel_id", F.coalesce(F.col("_ch").cast("string"), F.lit("")))
                .drop("_ch"))
-    return out.join(bounded_broadcast(channels), "channel_id", "left")
+    return join_channels(out, channels, "left", salt_from=[key])
 
 
 def collect_data_containing_entity(entity_index: DataFrame, library_index: DataFrame,
