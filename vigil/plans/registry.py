@@ -17,6 +17,7 @@ from vigil import schemas as S
 from vigil.functions import text as X
 from vigil.functions import timefn as TM
 from vigil.operators import analysis as A
+from vigil.operators import batch as BT
 from vigil.operators import catalog as C
 from vigil.operators import enrich as N
 from vigil.operators import entities as E
@@ -1098,3 +1099,76 @@ FROM upserted""")
 def q_stream_index_upsert(spark, d):
     from vigil.streaming import jobs
     return jobs.run_stream_index_upsert(spark, d)
+
+
+# ===========================================================================
+# batch drivers (pick unenriched documents -> score -> new rows)
+# ===========================================================================
+
+# already processed documents of the stand-in stores
+PROCESSED_SQL = "SELECT doc_id FROM labels WHERE quality = 1"
+
+
+def _processed(spark, d, col="source_id"):
+    return T(spark, d, "labels").filter("quality = 1").select(F.col("doc_id").alias(col))
+
+
+@query("identify_topics_for_all", "WITH " + TOPIC_LIST_CTES.replace(
+    "FROM documents)", f"FROM documents WHERE doc_id NOT IN ({PROCESSED_SQL}))").replace(
+    "(SELECT count(*) FROM documents)",
+    f"(SELECT count(*) FROM documents WHERE doc_id NOT IN ({PROCESSED_SQL}))") + f"""
+SELECT term AS topic, doc_id AS source_id FROM ranked WHERE rank <= {TOPICS_K}""")
+def q_identify_topics_for_all(spark, d):
+    return BT.identify_topics_for_all(SI.transcripts(spark, d), _processed(spark, d), TOPICS_K)
+
+
+_TODO_DOCS = f"(SELECT * FROM documents WHERE doc_id NOT IN ({PROCESSED_SQL}))"
+_SUMMARY_SQL = ORACLE["summarize"].replace("FROM documents", f"FROM {_TODO_DOCS} documents")
+_SUMMARY_CTE = _SUMMARY_SQL.strip()[len("WITH "):].rsplit("SELECT d.doc_id, m.summary", 1)[0]
+_SUMMARY_CTE = _SUMMARY_CTE.rstrip().rstrip(",")
+
+
+@query("build_entities_for_all", "WITH " + _SUMMARY_CTE + f""",
+sdocs AS (SELECT d.doc_id, m.summary AS text FROM {_TODO_DOCS} d LEFT JOIN summ m USING (doc_id)),
+""" + SI.SQL["raw_entities"].replace("FROM documents", "FROM sdocs") + ",\n"
+       + SI.SQL["unique_entities"] + ",\n" + SI.SQL["entity_index"] + """
+SELECT entity_type, value, source_id FROM entity_index""")
+def q_build_entities_for_all(spark, d):
+    return BT.build_entities_for_all(SI.transcripts(spark, d), _processed(spark, d),
+                                     summary_sentences=SUMMARY_N)
+
+
+_CLASSIFY_TODO = f"""(SELECT * FROM documents
+  WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+    AND doc_id IN (SELECT e.event_id FROM events e JOIN customer c
+                   ON CAST(c.c_custkey AS VARCHAR) = CAST(e.user_id AS VARCHAR)
+                   WHERE lower(c.c_mktsegment) = lower('{CATEGORY}')))"""
+
+
+@query("classify_transcripts", OVERALL_SQL.replace(
+    "chunks AS (SELECT doc_id, 0 AS chunk_id, text FROM documents)",
+    f"chunks AS (SELECT doc_id AS video_id, doc_id, 0 AS chunk_id, text FROM {_CLASSIFY_TODO})")
+    .replace("SELECT c.doc_id, m.summary", "SELECT c.video_id, m.summary"))
+def q_classify_transcripts(spark, d):
+    return BT.classify_transcripts(
+        SI.transcripts(spark, d), SI.classifications(spark, d), SI.listing(spark, d),
+        SI.channels(spark, d), emotion_lexicon(spark), secondary_lexicon(spark),
+        sentiment_lexicon(spark), category=CATEGORY)
+
+
+_STALE = "(SELECT * FROM classifications WHERE video_id IN (SELECT video_id FROM listing) " \
+         "AND (main_topic IS NULL OR main_topic = ''))"
+
+
+@query("update_new_classifications", with_ctes("classifications", "listing") + ", "
+       + TOPIC_LIST_CTES.replace(
+           "FROM documents)", f"FROM documents WHERE doc_id IN (SELECT video_id FROM {_STALE} s))")
+       .replace("(SELECT count(*) FROM documents)",
+                f"(SELECT count(*) FROM documents WHERE doc_id IN (SELECT video_id FROM {_STALE} s))")
+       + f"""
+SELECT s.video_id, s.summary, s.summary_reasoning, s.sentiment, s.primary_emotion,
+       s.secondary_emotion, r.term AS main_topic
+FROM {_STALE} s LEFT JOIN (SELECT * FROM ranked WHERE rank = 1) r ON r.doc_id = s.video_id""")
+def q_update_new_classifications(spark, d):
+    return BT.update_new_classifications(SI.classifications(spark, d), SI.listing(spark, d),
+                                         SI.transcripts(spark, d))
