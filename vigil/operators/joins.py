@@ -46,10 +46,11 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
 
 
 def spread(df: DataFrame, key: str | list[str]) -> DataFrame:
-    """Hash-distribute rows by ``key`` when the scan yields fewer partitions
+    """Hash-distribute rows by ``key`` when a *scan* yields fewer partitions
     than the cluster can run at once (e.g. one large row group holding many
     documents). On a large input with many splits this is a no-op, so no
-    shuffle is added where the scan is already parallel."""
+    shuffle is added where the scan is already parallel. Apply it to a scan:
+    on a plan with joins, counting partitions would run the plan's stages."""
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df

@@ -23,9 +23,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.operators.joins import spread
+
+
+# Text tables of the driver hold one Parquet row group per file, so a scan
+# is one task; their loader spreads the rows over the cluster (a no-op when
+# the scan already has enough splits).
+TEXT_TABLE_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
+
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    if name in TEXT_TABLE_KEYS:
+        df = spread(df, TEXT_TABLE_KEYS[name])
+    return df
 
 
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
