@@ -154,3 +154,19 @@ def test_enrich_with_map_in_pandas_scorer(spark):
                                 "sentiment": pdf.text.str.contains("good")})
     out = N.enrich(docs, "video_id", scorer, "video_id string, sentiment boolean", store)
     assert sorted(tuple(r) for r in out.collect()) == [("a", True), ("b", False)]
+
+
+def test_compact_legacy_store(spark, tmp):
+    root = f"{tmp}/legacy"
+    for v, texts in {"a": ["x", "y"], "b": ["z"]}.items():
+        _pq(f"{root}/transcripts/{v}_transcript.parquet",
+            pd.DataFrame({"text": texts, "start": [float(i) for i in range(len(texts))],
+                          "duration": [1.0] * len(texts)}))
+    _pq(f"{root}/channels/c1_search.parquet",
+        pd.DataFrame({"video_id": ["a", "b"], "title": ["t", "u"], "published_at": ["p", "q"]}))
+    out = FS.compact_legacy_store(spark, root, f"{tmp}/compact", files_per_table=2)
+    assert set(out) == {"transcripts", "channel_search"}
+    seg = spark.read.parquet(out["transcripts"])
+    assert dict(tuple(r) for r in C.assemble_text(seg).collect()) == {"a": "x y", "b": "z"}
+    lst = spark.read.parquet(out["channel_search"])
+    assert sorted((r.video_id, r.channel_id) for r in lst.collect()) == [("a", "c1"), ("b", "c1")]

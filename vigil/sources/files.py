@@ -273,3 +273,32 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     from vigil.session import ensure_checkpoint_dir
     return f"{ensure_checkpoint_dir(spark)}/vigil-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def compact_legacy_store(spark: SparkSession, root: str, out_root: str,
+                         files_per_table: int | None = None) -> dict[str, str]:
+    """Import a legacy store (one small file per document) into compact
+    tables holding many documents per file: transcripts (segments),
+    classifications, entities and topics, keyed by document; listings
+    partitioned by channel. Each table is written as a new version folder;
+    returns table -> written path. Later jobs read these tables instead of
+    opening thousands of tiny files."""
+    n = files_per_table or spark.sparkContext.defaultParallelism
+    readers = {
+        "transcripts": (lambda: read_transcripts(spark, f"{root}/transcripts"), "video_id"),
+        "classifications": (lambda: read_classifications(spark, f"{root}/classifications"),
+                            "video_id"),
+        "entities": (lambda: read_entities(spark, f"{root}/entities"), "source_id"),
+        "topics": (lambda: read_topics(spark, f"{root}/topics"), "source_id"),
+    }
+    written = {}
+    for name, (read, key) in readers.items():
+        if path_exists(spark, f"{root}/{name}"):
+            written[name] = write_version(read().repartition(n, key), f"{out_root}/{name}")
+    if path_exists(spark, f"{root}/channels"):
+        target = f"{out_root}/channel_search/v={int(time.time() * 1000):015d}"
+        (read_channel_search(spark, f"{root}/channels").repartition("channel_id").write
+            .mode("errorifexists").option("compression", "gzip").partitionBy("channel_id")
+            .parquet(target))
+        written["channel_search"] = target
+    return written
