@@ -125,11 +125,23 @@ def cleaned_entities(ents: DataFrame) -> DataFrame:
     distinct emitted keys are anti-joined on (source_id, entity_type, value).
     No pair of values is ever compared, so a document holding a third of all
     rows costs the same per row as any other, and the join key includes the
-    value, so no task receives a whole document.
+    value, so no task receives a whole document. The distinct values are
+    checkpointed (eager) when the DataFrame is built.
     """
+    from vigil.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(ents.sparkSession)
+    keys = ["source_id", "entity_type", "value"]
+    n = int(ents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # an explicit partition count (not coalesced by AQE) keeps the substring
+    # explosion below spread over the cluster
     e = (ents.filter(F.col("value").isNotNull() & F.col("entity_type").isin(*ENTITY_TYPES))
-             .select("source_id", "entity_type", "value").distinct())
-    return e.join(_contained_keys(e), ["source_id", "entity_type", "value"], "left_anti")
+             .select(*keys).repartition(n, *keys).distinct())
+    # Four consumers read ``e`` with different filters; Catalyst pushes
+    # each filter below the distinct, so their subtrees differ and no
+    # exchange is reused -- the extraction upstream would run four times.
+    # A reliable checkpoint (small next to the texts it came from) runs it once.
+    e = e.checkpoint(eager=True)
+    return e.join(_contained_keys(e), keys, "left_anti")
 
 
 def entity_type_filter(ents: DataFrame, entity_type: str = "any") -> DataFrame:
