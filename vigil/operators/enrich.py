@@ -27,10 +27,23 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _keyed(docs: DataFrame, ks: list[str]) -> DataFrame:
+    """Rows with non-null keys. Stating the non-null conditions that the
+    joins downstream would otherwise infer keeps every consumer's subtree
+    identical, so Spark reuses one exchange instead of re-tokenising the
+    text for each consumer."""
+    cond = None
+    for k in ks:
+        c = F.col(k).isNotNull()
+        cond = c if cond is None else cond & c
+    return docs.filter(cond)
+
+
 def term_frequencies(docs: DataFrame, key="video_id", text: str = "text") -> DataFrame:
     """(keys.., term, tf) over the whole text; aggregated map-side first."""
     ks = _keys(key)
-    return (docs.select(*ks, F.explode(words(F.col(text))).alias("term"))
+    return (_keyed(docs, ks).select(*ks, F.explode(words(F.col(text))).alias("term"))
+                .filter(F.col("term").isNotNull())
                 .groupBy(*ks, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -46,7 +59,11 @@ def tfidf_from_tf(tf: DataFrame, n_docs: int, ks: list[str]) -> DataFrame:
     occurs in every document, so the join back is salted on the document
     key: a hot term's rows spread over ``salt_buckets`` tasks (AQE may still
     turn the join into a broadcast when the vocabulary is small)."""
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # df counts rows with tf > 0 (all of them): reading ``tf`` keeps this
+    # branch's term-count aggregate identical to the join side's (a plain
+    # row count would be pruned to a distinct), so the exchange under it is
+    # reused and the text is tokenised once
+    dfreq = tf.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"))
     # replicating the vocabulary ``buckets`` times is small next to the
     # (document, term) table it joins, at any scale
     joined = salted_join(tf, dfreq, ["term"], salt_from=ks,
@@ -121,8 +138,11 @@ def sentence_terms(docs: DataFrame, ks: list[str], text: str):
     """(sentences, sentence term counts, document term counts) from one
     tokenisation: words never cross a sentence boundary, so a document's
     term counts are the sums over its sentences."""
-    sents = docs.select(*ks, F.posexplode(sentences(F.col(text))).alias("spos", "sentence"))
+    sents = (_keyed(docs, ks)
+             .select(*ks, F.posexplode(sentences(F.col(text))).alias("spos", "sentence"))
+             .filter(F.col("spos").isNotNull()))
     sw = (sents.select(*ks, "spos", F.explode(words(F.col("sentence"))).alias("term"))
+               .filter(F.col("term").isNotNull())
                .groupBy(*ks, "spos", "term").agg(F.count(F.lit(1)).alias("c")))
     tf = sw.groupBy(*ks, "term").agg(F.sum("c").alias("tf"))
     return sents, sw, tf

@@ -40,7 +40,9 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
     if max_broadcast_rows > 0 and is_small(small, max_broadcast_rows):
         return big.join(F.broadcast(small), on, how)
     salt_cols = salt_from or [c for c in big.columns if c not in on]
-    b = big.withColumn("_salt", F.pmod(F.hash(*salt_cols), F.lit(buckets)))
+    # coalesce makes the salt non-nullable: no isnotnull(salt) is inferred and
+    # pushed into this side only, which would stop exchange reuse upstream
+    b = big.withColumn("_salt", F.coalesce(F.pmod(F.hash(*salt_cols), F.lit(buckets)), F.lit(0)))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return b.join(s, on + ["_salt"], how).drop("_salt")
 
