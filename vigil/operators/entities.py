@@ -92,16 +92,28 @@ def _contained_keys(e: DataFrame, gram: int = GRAM) -> DataFrame:
       values, and each candidate is verified with one substring compare.
     """
     n = F.length("value")
+    # Per type, the first characters and the lengths of its values: a
+    # substring can only equal a value if it starts with one of those
+    # characters and has one of those lengths. Both sets are bounded (by the
+    # alphabet and the longest value) and there are at most 18 types, so the
+    # table is broadcast; it prunes most start positions and lengths.
+    shape = (e.groupBy("entity_type")
+              .agg(F.collect_set(F.substring("value", 1, 1)).alias("_f"),
+                   F.collect_set(n).alias("_l")))
     base = e.select("source_id", "entity_type", "value", n.alias("_n")).filter(F.col("_n") > 1)
     starts = base.select("*", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i"))
+    all_starts = starts
+    starts = (starts.join(F.broadcast(shape), "entity_type")
+                    .filter(F.array_contains("_f", F.expr("substring(value, _i, 1)"))))
     top = F.least(F.lit(gram), F.col("_n") - 1, F.col("_n") - F.col("_i") + 1)
     short = (starts.filter(top >= 1)
-                   .select("source_id", "entity_type", "value", "_i",
+                   .select("source_id", "entity_type", "value", "_i", "_l",
                            F.explode(F.sequence(F.lit(1), top)).alias("_m"))
+                   .filter(F.array_contains("_l", F.col("_m")))
                    .select("source_id", "entity_type",
                            F.expr("substring(value, _i, _m)").alias("value")))
     empties = e.filter(n > 0).select("source_id", "entity_type", F.lit("").alias("value"))
-    windows = (starts.filter((F.col("_n") > gram + 1) & (F.col("_i") <= F.col("_n") - gram))
+    windows = (all_starts.filter((F.col("_n") > gram + 1) & (F.col("_i") <= F.col("_n") - gram))
                      .select("source_id", "entity_type", F.col("value").alias("_w"),
                              F.col("_n").alias("_wn"), "_i",
                              F.expr(f"substring(value, _i, {gram})").alias("_g")))
