@@ -7,7 +7,6 @@ import os
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import functions as F
 
 from vigil.operators import catalog as C
 from vigil.operators import index as IX
