@@ -101,3 +101,16 @@ def test_topics_by_channel_drops_null_keys_and_none(spark):
     df = df.withColumn("published_at", A.parse_published_at(F.col("published_at")))
     out = A.topics_by_channel(df, "2024-09-10 00:00:00", 60).collect()
     assert [(r.topic, r.channel, r.videos) for r in out] == [("war", "CBC", 1)]
+
+
+def test_search_filter_orders(spark):
+    rows = [("v1", "Budget vote", "2024-01-02T00:00:00Z", "c1"),
+            ("v2", "budget talk", "2024-01-03T00:00:00Z", "c2"),
+            ("v3", "Weather", "2024-01-04T00:00:00Z", "c1"),
+            ("v4", "A budget", "2023-12-31T00:00:00Z", "c1")]
+    lst = spark.createDataFrame(rows, LISTING)
+    by_date = C.search_filter(lst, "BUDGET", published_after="2024-01-01T00:00:00Z")
+    assert [r.video_id for r in by_date.collect()] == ["v2", "v1"]
+    by_title = C.search_filter(lst, "budget", order="title", max_results=2)
+    assert [r.video_id for r in by_title.collect()] == ["v4", "v1"]
+    assert [r.video_id for r in C.search_filter(lst, channel_id="c2").collect()] == ["v2"]

@@ -68,11 +68,20 @@ def search_item_fields(items: DataFrame) -> DataFrame:
     )
 
 
+SEARCH_ORDERS = {"date": [("published_at", True), ("video_id", False)],
+                 "title": [("title", False), ("video_id", False)]}
+
+
 def search_filter(listing: DataFrame, search_for: str = "", channel_id: str = "",
-                  published_after=None, max_results: int = SEARCH_MAX_RESULTS) -> DataFrame:
+                  published_after=None, max_results: int = SEARCH_MAX_RESULTS,
+                  order: str = "date") -> DataFrame:
     """A search over the landed catalogue: free text in the title
-    (case-insensitive), optional channel, published on/after, newest first
-    (video_id breaks ties), ``max_results`` rows (the search's page size)."""
+    (case-insensitive), optional channel, published on/after, ordered by
+    ``order`` ('date': newest first, or 'title'; video_id breaks ties),
+    ``max_results`` rows (the search's page size). Orders that need data the
+    catalogue does not hold (relevance, ratings, view counts) are not offered."""
+    if order not in SEARCH_ORDERS:
+        raise ValueError(f"order must be one of {sorted(SEARCH_ORDERS)}")
     df = listing
     if search_for:
         df = df.filter(F.lower(F.col("title")).contains(search_for.lower()))
@@ -80,7 +89,8 @@ def search_filter(listing: DataFrame, search_for: str = "", channel_id: str = ""
         df = df.filter(F.col("channel_id") == F.lit(channel_id))
     if published_after is not None:
         df = df.filter(F.col("published_at") >= F.lit(published_after))
-    return df.orderBy(F.col("published_at").desc(), F.col("video_id")).limit(max_results)
+    keys = [F.col(c).desc() if desc else F.col(c) for c, desc in SEARCH_ORDERS[order]]
+    return df.orderBy(*keys).limit(max_results)
 
 
 def code_filter(listing: DataFrame) -> DataFrame:
