@@ -5,19 +5,60 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import packing
+from vigil.llm import chat, chunk_codec, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", both), (-7, 1, "assistant", both)],
+                                "conv_id long, turn long, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_chat(turns.unionByName(own)))
+
+
+OP1_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+o AS (
+  SELECT *, lag(role) OVER w AS before, lead(role) OVER w AS after,
+    length(replace(replace(replace(text, '\', '\b'), '#', '\h'), '<', '\l'))
+    + CASE WHEN role IN ('system', 'user', 'assistant') THEN length(role)
+      ELSE 2 + length(replace(replace(replace(replace(role, '\', '\b'), '#', '\h'), '<', '\l'), ':', '\c')) END
+    + length('### : </turn>') + 1 AS chars
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars,
+  bool_and(CASE WHEN before IS NULL THEN role IN ('system', 'user')
+                WHEN before IN ('system', 'assistant') THEN role = 'user'
+                WHEN before = 'user' THEN role = 'assistant' ELSE false END
+           AND (after IS NOT NULL OR role = 'assistant')) AS valid
+FROM o GROUP BY conv_id
+"""
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_codec.encode_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_chat_formatting": op1_chat_formatting,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_bpe_codec": op5_bpe_codec,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_chat_formatting": OP1_SQL,
+}
