@@ -5,7 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import chat, chunk_codec, packing
+from vigil.llm import chat, chunk_codec, langid, packing, pii
+
+
+#: for the registered queries on invented data only; a caller passes a key of its own
+PII_KEY = b"registered queries, invented data"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,10 +57,21 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_codec.encode_documents(_table(spark, sf_dir, "documents"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, key=PII_KEY)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_bpe_codec": op5_bpe_codec,
+    "op9_pii": op9_pii,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
