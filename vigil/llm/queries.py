@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import chat, chunk_codec, langid, packing, pii
+from vigil.llm import chat, chunk_codec, langid, packing, pii, quality
 
 
 #: for the registered queries on invented data only; a caller passes a key of its own
@@ -53,6 +53,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_codec.encode_documents(_table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_bpe_codec": op5_bpe_codec,
     "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
