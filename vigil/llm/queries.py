@@ -3,9 +3,9 @@ where SQL can express it. Every query reads its tables whole."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import chat, chunk_codec, langid, packing, pii, quality
+from vigil.llm import chat, chunk_codec, langid, lsh, maxscore, packing, pii, quality
 
 
 #: for the registered queries on invented data only; a caller passes a key of its own
@@ -49,6 +49,24 @@ FROM o GROUP BY conv_id
 """
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = maxscore.integer_vectors(_table(spark, sf_dir, "embeddings"))
+    return maxscore.search(vectors, F.col("vec_id") % 50 == 0)
+
+
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS terms FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.terms, c.terms) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -61,6 +79,10 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_codec.encode_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, key=PII_KEY)
@@ -72,13 +94,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_topk_search": op2_topk_search,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_bpe_codec": op5_bpe_codec,
+    "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": OP1_SQL,
+    "op2_topk_search": OP2_SQL,
 }
