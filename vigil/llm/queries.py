@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import chat, chunk_codec, langid, lsh, maxscore, packing, pii, quality
+from vigil.llm import chat, chunk_codec, langid, lsh, maxscore, ngram_join, packing, pii, quality
 
 
 #: for the registered queries on invented data only; a caller passes a key of its own
@@ -79,6 +79,34 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_codec.encode_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components_of(_table(spark, sf_dir, "documents"), ngram_join.Jaccard(words=4, over=85, under=100))
+
+
+def component_sql(source: str, words: int, over: int, under: int) -> str:
+    """DuckDB SQL for doc_id, n_shingles, component_id over ``source`` (a table
+    with distinct doc_ids and text)."""
+    word = ", ".join(f"w[i + {k}]" for k in range(words))
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^ 	-]+') AS w FROM {source}),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string([{word}], ' ') for i in range(1, len(w) - {words - 1} + 1)]) END AS s FROM w),
+k AS (SELECT min(doc_id) AS rep, s, len(s) AS n FROM (SELECT doc_id, list_sort(s) AS s FROM s) WHERE len(s) > 0 GROUP BY s),
+e AS (SELECT rep, n, unnest(s) AS x FROM k),
+p AS (
+  SELECT a.rep AS u, b.rep AS v, count(*) AS common, any_value(a.n) AS m, any_value(b.n) AS n
+  FROM e a JOIN e b ON a.x = b.x AND a.rep < b.rep GROUP BY a.rep, b.rep),
+l AS (SELECT u, v FROM p WHERE {under} * common >= {over} * (m + n - common)),
+t AS (SELECT u, v FROM l UNION ALL SELECT v, u FROM l),
+r(node, seen) AS (SELECT rep, rep FROM k UNION SELECT r.node, t.v FROM r JOIN t ON r.seen = t.u),
+c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
+FROM (SELECT doc_id, list_sort(s) AS s FROM s) d LEFT JOIN k ON d.s = k.s AND len(d.s) > 0 LEFT JOIN c ON c.node = k.rep"""
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -98,6 +126,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_bpe_codec": op5_bpe_codec,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
@@ -106,4 +135,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": OP1_SQL,
     "op2_topk_search": OP2_SQL,
+    "op7_ngram_jaccard": component_sql("documents", 4, 85, 100),
 }
