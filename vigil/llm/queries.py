@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import chat, chunk_codec, langid, lsh, maxscore, ngram_join, packing, pii, quality
+from vigil.llm import chat, chunk_codec, langid, line_dedup, lsh, maxscore, ngram_join, packing, pii, quality
 
 
 #: for the registered queries on invented data only; a caller passes a key of its own
@@ -79,6 +79,44 @@ def op5_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_codec.encode_documents(_table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def line_dedup_sql(source: str, columns: str = "d.doc_id") -> str:
+    """DuckDB SQL of the line dedup over ``source`` (distinct doc_ids)."""
+    return rf"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(p))) AS i, unnest(p) AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM {source} WHERE text IS NOT NULL)),
+w AS (
+  SELECT doc_id, i, line, list_sort(list_distinct([x for x in string_split(
+    translate(line, chr(9) || chr(13) || chr(12) || chr(11), '    '), ' ') if x <> ''])) AS w FROM lines),
+k AS (SELECT w, len(w) AS n, min(struct_pack(doc_id, i)) AS first FROM w WHERE len(w) > 0 GROUP BY w),
+e AS (SELECT first, n, unnest(w) AS x FROM k),
+f AS (SELECT x, count(*) AS c FROM e GROUP BY x),
+o AS (SELECT e.first, e.n, e.x, row_number() OVER (PARTITION BY e.first ORDER BY f.c, e.x) AS at FROM e JOIN f ON e.x = f.x),
+c AS (
+  SELECT DISTINCT b.first AS later, a.first AS earlier FROM o a JOIN o b ON a.x = b.x AND a.first < b.first
+  WHERE a.at <= a.n - (4 * a.n + 4) // 5 + 1 AND b.at <= b.n - (4 * b.n + 4) // 5 + 1
+    AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+g AS (
+  SELECT DISTINCT c.later FROM c JOIN k a ON a.first = c.earlier JOIN k b ON b.first = c.later
+  WHERE 5 * len(list_intersect(a.w, b.w)) >= 4 * (a.n + b.n - len(list_intersect(a.w, b.w)))),
+r AS (
+  SELECT w.doc_id, w.i, w.line, len(w.w) > 0 AS worded,
+    len(w.w) > 0 AND (g.later IS NOT NULL OR struct_pack(w.doc_id, w.i) <> k.first) AS gone
+  FROM w LEFT JOIN k ON w.w = k.w AND len(w.w) > 0 LEFT JOIN g ON g.later = k.first),
+t AS (
+  SELECT doc_id, count(*) FILTER (worded) AS n_lines, count(*) FILTER (gone) AS n_removed,
+    string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone) AS kept
+  FROM r GROUP BY doc_id)
+SELECT {columns}, CASE WHEN d.text IS NULL THEN NULL WHEN t.n_removed > 0 AND t.n_removed = t.n_lines THEN ''
+    ELSE coalesce(t.kept, '') END AS text,
+  CAST(coalesce(t.n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(t.n_removed, 0) AS BIGINT) AS n_removed
+FROM {source} d LEFT JOIN t ON d.doc_id = t.doc_id"""
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.components_of(_table(spark, sf_dir, "documents"), ngram_join.Jaccard(words=4, over=85, under=100))
 
@@ -90,7 +128,8 @@ def component_sql(source: str, words: int, over: int, under: int) -> str:
     return rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                    '[^ 	-]+') AS w FROM {source}),
+                                    '[^ 	-
+]+') AS w FROM {source}),
 s AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
     ELSE list_distinct([array_to_string([{word}], ' ') for i in range(1, len(w) - {words - 1} + 1)]) END AS s FROM w),
@@ -126,6 +165,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_bpe_codec": op5_bpe_codec,
+    "op6_line_dedup": op6_line_dedup,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_pii": op9_pii,
@@ -135,5 +175,6 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": OP1_SQL,
     "op2_topk_search": OP2_SQL,
+    "op6_line_dedup": line_dedup_sql("documents"),
     "op7_ngram_jaccard": component_sql("documents", 4, 85, 100),
 }
