@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from vigil.llm.components import components
 from vigil.llm.storage import stored
@@ -227,9 +227,29 @@ def components_of(docs: DataFrame, rule: Jaccard, *, block: int = 512) -> DataFr
     near copies costs about its size. Only parts that two classes share lead to
     sets being shuffled.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    key = [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2")]
-    texts = rows.select(*key, "text").repartition("h1", "h2").dropDuplicates(["h1", "h2"])
+    rows, _ = _classified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rule, block)
+    return rows.select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame, rule: Jaccard, *, block: int = 512) -> DataFrame:
+    """All columns of ``docs``, one row of each component: the one with the
+    least doc_id (null last), ties by content. Rows without shingles all stay."""
+    rows, texts = _classified(docs, rule, block)
+    first = Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "__h1", "__h2")
+    linked = rows.where("root IS NOT NULL").withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
+    kept = linked.unionByName(rows.where("root IS NULL"))
+    return (kept.join(texts, ["__h1", "__h2"])
+            .withColumn("text", F.when(~F.col("__null"), F.col("__text"))).select(*docs.columns))
+
+
+def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` without text, but with __h1, __h2 (the text's key),
+    __null (it is null), n_shingles, root (of the component; null without
+    shingles) and component_id; and the distinct texts by key."""
+    full = docs.withColumns({"__null": F.col("text").isNull(), "__text": F.coalesce("text", F.lit(""))})
+    full = full.withColumns({"__h1": F.xxhash64("__text"), "__h2": F.xxhash64(F.lit(7), "__text")})
+    distinct = full.select("__h1", "__h2", "__text").repartition("__h1", "__h2").dropDuplicates(["__h1", "__h2"])
+    texts = distinct.toDF("h1", "h2", "text")
 
     def measure(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -330,11 +350,14 @@ def components_of(docs: DataFrame, rule: Jaccard, *, block: int = 512) -> DataFr
         left_over.select("part", "x", "y", F.lit(0).alias("side"), "c", "tie")))
     roots = components(edges.union(second))
 
-    own = rows.select("doc_id", *key).join(light, ["h1", "h2"]).select("doc_id", F.col("n").alias("n_shingles"), "c")
-    least = (own.where("c IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("least"))
-             .join(roots.withColumnRenamed("u", "c"), "c", "left")
-             .select("c", F.coalesce("root", "c").alias("root"), "least"))
-    named = least.select("c", "root").join(least.groupBy("root").agg(F.min("least").alias("component")), "root")
-    return (own.join(named.select("c", "component"), "c", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id")))
+    tie = F.xxhash64("__h1").alias("__h3")   # exchanges of its own: a much-copied text's rows can be split
+    known = light.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.col("n").alias("n_shingles"),
+                         F.col("c").alias("__c")).select("*", tie)
+    own = full.drop("text", "__text").select("*", tie).join(known, ["__h1", "__h2", "__h3"])
+    least = (own.where("__c IS NOT NULL").groupBy("__c").agg(F.min("doc_id").alias("least"))
+             .join(roots.withColumnRenamed("u", "__c"), "__c", "left")
+             .select("__c", F.coalesce("root", "__c").alias("root"), "least"))
+    named = least.select("__c", "root").join(least.groupBy("root").agg(F.min("least").alias("component")), "root")
+    rows = own.join(named, "__c", "left").withColumn(
+        "component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component"))).drop("component")
+    return rows, distinct

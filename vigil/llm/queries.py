@@ -159,6 +159,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_topk_search": op2_topk_search,
@@ -170,6 +175,7 @@ QUERIES = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {
