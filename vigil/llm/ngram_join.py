@@ -228,24 +228,24 @@ def components_of(docs: DataFrame, rule: Jaccard, *, block: int = 512) -> DataFr
     sets being shuffled.
     """
     rows, _ = _classified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rule, block)
-    return rows.select("doc_id", "n_shingles", "component_id")
+    return rows.select("doc_id", F.col("__n").alias("n_shingles"), F.col("__id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, rule: Jaccard, *, block: int = 512) -> DataFrame:
     """All columns of ``docs``, one row of each component: the one with the
     least doc_id (null last), ties by content. Rows without shingles all stay."""
     rows, texts = _classified(docs, rule, block)
-    first = Window.partitionBy("root").orderBy(F.col("doc_id").asc_nulls_last(), "__h1", "__h2")
-    linked = rows.where("root IS NOT NULL").withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
-    kept = linked.unionByName(rows.where("root IS NULL"))
+    first = Window.partitionBy("__root").orderBy(F.col("doc_id").asc_nulls_last(), "__h1", "__h2")
+    linked = rows.where("__root IS NOT NULL").withColumn("__k", F.row_number().over(first)).where("__k = 1").drop("__k")
+    kept = linked.unionByName(rows.where("__root IS NULL"))
     return (kept.join(texts, ["__h1", "__h2"])
             .withColumn("text", F.when(~F.col("__null"), F.col("__text"))).select(*docs.columns))
 
 
 def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` without text, but with __h1, __h2 (the text's key),
-    __null (it is null), n_shingles, root (of the component; null without
-    shingles) and component_id; and the distinct texts by key."""
+    __null (it is null), __n shingles, __root (of the component; null without
+    shingles) and __id (its least doc_id); and the distinct texts by key."""
     full = docs.withColumns({"__null": F.col("text").isNull(), "__text": F.coalesce("text", F.lit(""))})
     full = full.withColumns({"__h1": F.xxhash64("__text"), "__h2": F.xxhash64(F.lit(7), "__text")})
     distinct = full.select("__h1", "__h2", "__text").repartition("__h1", "__h2").dropDuplicates(["__h1", "__h2"])
@@ -351,13 +351,13 @@ def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame,
     roots = components(edges.union(second))
 
     tie = F.xxhash64("__h1").alias("__h3")   # exchanges of its own: a much-copied text's rows can be split
-    known = light.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.col("n").alias("n_shingles"),
+    known = light.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.col("n").alias("__n"),
                          F.col("c").alias("__c")).select("*", tie)
     own = full.drop("text", "__text").select("*", tie).join(known, ["__h1", "__h2", "__h3"])
-    least = (own.where("__c IS NOT NULL").groupBy("__c").agg(F.min("doc_id").alias("least"))
-             .join(roots.withColumnRenamed("u", "__c"), "__c", "left")
-             .select("__c", F.coalesce("root", "__c").alias("root"), "least"))
-    named = least.select("__c", "root").join(least.groupBy("root").agg(F.min("least").alias("component")), "root")
+    least = (own.where("__c IS NOT NULL").groupBy("__c").agg(F.min("doc_id").alias("__least"))
+             .join(roots.select(F.col("u").alias("__c"), F.col("root").alias("__root")), "__c", "left")
+             .select("__c", F.coalesce("__root", "__c").alias("__root"), "__least"))
+    named = least.select("__c", "__root").join(least.groupBy("__root").agg(F.min("__least").alias("__id")), "__root")
     rows = own.join(named, "__c", "left").withColumn(
-        "component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component"))).drop("component")
+        "__id", F.when(F.col("__root").isNull(), F.col("doc_id")).otherwise(F.col("__id")))
     return rows, distinct
