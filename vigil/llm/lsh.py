@@ -90,7 +90,7 @@ def classes_of(vectors: DataFrame, is_query: Column, keep: int) -> tuple[DataFra
     return classes.withColumn("asks", F.coalesce("asks", F.lit(False))), asked
 
 
-def search(vectors: DataFrame, is_query: Column, *, k: int = 5, tables: int = 20, probes: int = 200,
+def search(vectors: DataFrame, is_query: Column, *, k: int = 5, tables: int = 20, probes: int = 400,
            seed: int = 1, block: int = 8192) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (cosine). Repeated rows count
     once; no valid vectors or no queries give no rows.
