@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vigil.llm.storage import stored
+from vigil.llm.storage import stored, stored_by
 
 BUCKETS = 65536
 LINE_BITS = 27
@@ -95,7 +95,9 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
     rows = docs.drop("n_lines", "n_removed").withColumns(
         {"__h1": F.xxhash64("text"), "__h2": F.xxhash64(F.lit(7), "text")})
     some = rows.where("text IS NOT NULL")
-    texts = some.select(*_H, F.col("text").alias("__text")).repartition(*_H).dropDuplicates(_H)
+    # every distinct text once, bucketed by its key: texts are shuffled here and nowhere else
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = stored_by(some.select(*_H, F.col("text").alias("__text")).repartition(buckets, *_H).dropDuplicates(_H), *_H)
     numbers = stored(_numbered(some.groupBy(*_H).agg(F.min("doc_id").alias("__d"))))
     rarity = _rarity(texts)
     parts = F.split("__text", "\n")
@@ -118,7 +120,8 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
                     i.alias("__i"), F.get("__parts", i).alias("__line")))).alias("x"))
                 .select("__t", "x.*").select(position, "__line"))
 
-    posting = _prefixes(fetch(firsts), rarity, num, den).repartition("tok")
+    # what the joins below would each filter out is left out here, so that all read one exchange
+    posting = (_prefixes(fetch(firsts), rarity, num, den).where("tok IS NOT NULL AND pos IS NOT NULL").repartition("tok"))
     entry = F.struct("pos", "n", "at", "b1", "b2")
     ranked = posting.withColumn("r", F.row_number().over(Window.partitionBy("tok").orderBy("pos")))
     lead = (ranked.where(F.col("r") <= leaders).groupBy("tok").agg(F.sort_array(F.collect_list(entry)).alias("lead"))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vigil.llm.components import components
-from vigil.llm.storage import stored
+from vigil.llm.storage import stored, stored_by
 
 BITS = 1024
 
@@ -222,10 +222,9 @@ def components_of(docs: DataFrame, rule: Jaccard, *, block: int = 512) -> DataFr
     repeated or null doc_id is handled by content, and a component's id is the
     least doc_id that is not null. Other columns are ignored; no rows give no rows.
 
-    Buckets of more than ``block`` sets are compared block by block, and after
-    a first round only sets not yet connected are compared, so a large group of
-    near copies costs about its size. Only parts that two classes share lead to
-    sets being shuffled.
+    A set is first compared in its largest bucket, by blocks of ``block`` sets;
+    after that only sets not yet connected are, so a large group of near copies
+    costs about its size. Only sets that share a part are shuffled.
     """
     rows, _ = _classified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rule, block)
     return rows.select("doc_id", F.col("__n").alias("n_shingles"), F.col("__id").alias("component_id"))
@@ -248,7 +247,10 @@ def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame,
     shingles) and __id (its least doc_id); and the distinct texts by key."""
     full = docs.withColumns({"__null": F.col("text").isNull(), "__text": F.coalesce("text", F.lit(""))})
     full = full.withColumns({"__h1": F.xxhash64("__text"), "__h2": F.xxhash64(F.lit(7), "__text")})
-    distinct = full.select("__h1", "__h2", "__text").repartition("__h1", "__h2").dropDuplicates(["__h1", "__h2"])
+    # every distinct text once, bucketed by its key: texts are shuffled here and nowhere else
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = stored_by(full.select("__h1", "__h2", "__text").repartition(buckets, "__h1", "__h2")
+                         .dropDuplicates(["__h1", "__h2"]), "__h1", "__h2")
     texts = distinct.toDF("h1", "h2", "text")
 
     def measure(batches: Iterator) -> Iterator:
@@ -279,14 +281,16 @@ def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame,
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(got).astype(np.int64)), pa.array(c)], ["part", "c"])
 
     light = stored(texts.mapInArrow(measure, "h1 long, h2 long, n long, c long, c2 long"))
-    part = texts.mapInArrow(parts, "part long, c long").repartition("part")
-    low = F.col("c").bitwiseAND(F.lit(0xFFFFFFFF))
-    shared = (part.groupBy("part").agg(F.min("c").alias("a"), F.max("c").alias("b"), F.count(F.lit(1)).alias("n"),
-                                       F.sum(F.shiftright("c", 32)).alias("hi"), F.sum(low).alias("lo"))
-              .where("a <> b"))
-    # buckets with the same members are one bucket
-    shared = shared.groupBy("n", "hi", "lo").agg(F.min("part").alias("part")).select("part", "n")
+    # what the joins below would each filter out is left out here, so that all read one exchange
+    part = texts.mapInArrow(parts, "part long, c long").where("part IS NOT NULL AND c IS NOT NULL").repartition("part")
+    shared = part.groupBy("part").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("part")
     members = stored(part.join(shared, "part").distinct())
+    # buckets with the same members are one bucket
+    low = F.col("c").bitwiseAND(F.lit(0xFFFFFFFF))
+    buckets_of = members.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum(F.shiftright("c", 32)).alias("hi"),
+                                             F.sum(low).alias("lo"))
+    once = buckets_of.groupBy("n", "hi", "lo").agg(F.min("part").alias("part")).select("part", "n")
+    members = stored(members.join(once, "part"))
 
     # the sets of the classes that share a part; c is 64 bits of the set's key
     wanted = (members.select("c").distinct().join(light, "c")
@@ -332,12 +336,16 @@ def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame,
     dealt = members.select("part", "n", "c", blocks.alias("blocks"),
                            F.pmod(F.xxhash64("c", "part"), blocks).cast("int").alias("x"))
     none = F.lit(0)
-    edges = stored(run(dealt.select("part", "x", none.alias("y"), none.alias("side"), "c", F.col("c").alias("tie"))))
+    # first round: every set in its largest bucket only, compared within blocks
+    largest = Window.partitionBy("c").orderBy(F.desc("n"), "part")
+    home = dealt.withColumn("k", F.row_number().over(largest)).where("k = 1")
+    edges = stored(run(home.select("part", "x", none.alias("y"), none.alias("side"), "c", F.col("c").alias("tie"))))
     roots = stored(components(edges))
 
-    # second round, for buckets of several blocks: the sets outside the bucket's
-    # main component meet every block; within the main one there is nothing to find
-    many = dealt.where("blocks > 1").join(roots.withColumnRenamed("u", "c"), "c", "left").select(
+    # second round, for buckets that still hold several components: the sets
+    # outside the bucket's main one meet every block of it; within the main one
+    # there is nothing to find
+    many = dealt.join(roots.withColumnRenamed("u", "c"), "c", "left").select(
         "part", "blocks", "x", "c", F.coalesce("root", "c").alias("tie"))
     sizes = many.groupBy("part", "tie").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("part").agg(F.max(F.struct("n", "tie")).alias("m"), F.sum("n").alias("n")).where("m.n < n")
@@ -346,8 +354,8 @@ def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame,
     left_over = many.where("tie <> main").select("part", "c", "tie", F.pmod(F.xxhash64("c"), "chunks").cast("int").alias("y"),
                                                  F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"))
     every = many.select("part", "c", "tie", "x", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("y"))
-    second = run(every.select("part", "x", "y", F.lit(1).alias("side"), "c", "tie").union(
-        left_over.select("part", "x", "y", F.lit(0).alias("side"), "c", "tie")))
+    second = stored(run(every.select("part", "x", "y", F.lit(1).alias("side"), "c", "tie").union(
+        left_over.select("part", "x", "y", F.lit(0).alias("side"), "c", "tie"))))
     roots = components(edges.union(second))
 
     tie = F.xxhash64("__h1").alias("__h3")   # exchanges of its own: a much-copied text's rows can be split

@@ -2,16 +2,54 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from vigil.session import ensure_checkpoint_dir
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffles_end_here(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of what is written inside are removed when it is
+    written: the table replaces them."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def _fresh(spark: SparkSession) -> tuple[str, str]:
+    name = f"vigil_{uuid.uuid4().hex}"
+    return name, f"{ensure_checkpoint_dir(spark)}/{name}"
+
 
 def stored(df: DataFrame) -> DataFrame:
     """Write once as Parquet under ``spark.checkpoint.dir`` and read back:
     cuts lineage, survives lost executors, and later reads are pruned."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/vigil-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    _, path = _fresh(spark)
+    with _shuffles_end_here(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stored_by(df: DataFrame, *keys: str) -> DataFrame:
+    """``stored``, bucketed and sorted by the keys: later joins and aggregates
+    on them leave these rows where they lie."""
+    spark = df.sparkSession
+    name, path = _fresh(spark)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with _shuffles_end_here(spark):
+        (df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+           .option("path", path).saveAsTable(name))
+    return spark.table(name)
