@@ -22,8 +22,15 @@ from vigil.llm.storage import stored, stored_by
 BUCKETS = 65536
 LINE_BITS = 27
 _H = ["__h1", "__h2"]
-#: blanks between words; a newline ends the line
-_WORDS = "array_remove(array_distinct(split(translate(__line, '\\t\\r\\u000c\\u000b', '    '), ' ')), '')"
+
+
+def _words(line) -> Column:
+    """The words of a line; a newline ends the line, other blanks separate words."""
+    return F.split(F.translate(line, "\t\r\f\x0b", "    "), " ")
+
+
+def _word_set(line) -> Column:
+    return F.array_remove(F.array_distinct(_words(line)), "")
 
 
 def _rarity(texts: DataFrame) -> bytes:
@@ -43,20 +50,26 @@ def _prefixes(lines: DataFrame, rarity: bytes, num: int, den: int) -> DataFrame:
     """tok, at (place in the line's rarity order), pos, n (words of the line),
     b1, b2 (128 parities of its words) for every prefix word of every line."""
     table = F.lit(rarity)
-    hashes = F.transform(F.expr(_WORDS), lambda w: F.xxhash64(w))
-    rank = F.array_sort(F.transform("__hashes", lambda h: F.shiftleft(
+    hashes = F.array_distinct(F.transform(_words("__line"), lambda w: F.xxhash64(w)))
+    hashes = F.filter(hashes, lambda h: h != F.xxhash64(F.lit("")))
+    rank = F.sort_array(F.transform("__hashes", lambda h: F.shiftleft(
         (F.ascii(F.substr(table, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1, F.lit(1)).cast("string")) - 32).cast("long"),
         57).bitwiseOR(F.shiftrightunsigned(h, 7))))
-    bit = lambda seen, h, word: F.when(
-        h.bitwiseAND(F.lit(64)) == F.lit(64 * word),
-        seen.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int")))).otherwise(seen)
-    start = F.lit(0).cast("long")
+    place = lambda h: h.bitwiseAND(F.lit(63)).cast("int")
+    shift = lambda x, by: F.call_function("shiftleft", x, by)
+    start, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    # parities of all words, and of those with the next bit set: together 128 classes
+    every = F.aggregate("__hashes", start, lambda s, h: s.bitwiseXOR(shift(one, place(h))))
+    half = F.aggregate("__hashes", start, lambda s, h: s.bitwiseXOR(
+        shift(F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(1)), place(h))))
+    columns = ["pos", "n", "b1", "b2", "at", "tok"]
+    # what later joins would each filter out is left out here, so that all of
+    # them read one exchange
     return (lines.select("__pos", hashes.alias("__hashes"))
-            .select("__pos", F.size("__hashes").alias("n"), rank.alias("__ranks"),
-                    F.aggregate("__hashes", start, lambda s, h: bit(s, h, 0)).alias("b1"),
-                    F.aggregate("__hashes", start, lambda s, h: bit(s, h, 1)).alias("b2"))
-            .select(F.col("__pos").alias("pos"), "n", "b1", "b2",
-                    F.posexplode(F.slice("__ranks", F.lit(1), F.expr(f"n - ({num} * n + {den - 1}) DIV {den} + 1"))).alias("at", "tok")))
+            .select("__pos", F.size("__hashes").alias("n"), rank.alias("__ranks"), every.alias("__all"), half.alias("b2"))
+            .select(F.col("__pos").alias("pos"), "n", F.col("__all").bitwiseXOR(F.col("b2")).alias("b1"), "b2",
+                    F.posexplode(F.slice("__ranks", F.lit(1), F.expr(f"n - ({num} * n + {den - 1}) DIV {den} + 1"))).alias("at", "tok"))
+            .where(" AND ".join(f"{c} IS NOT NULL" for c in columns)))
 
 
 def _near(a, b, num: int, den: int) -> Column:
@@ -120,8 +133,7 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
                     i.alias("__i"), F.get("__parts", i).alias("__line")))).alias("x"))
                 .select("__t", "x.*").select(position, "__line"))
 
-    # what the joins below would each filter out is left out here, so that all read one exchange
-    posting = (_prefixes(fetch(firsts), rarity, num, den).where("tok IS NOT NULL AND pos IS NOT NULL").repartition("tok"))
+    posting = _prefixes(fetch(firsts), rarity, num, den).repartition("tok")
     entry = F.struct("pos", "n", "at", "b1", "b2")
     ranked = posting.withColumn("r", F.row_number().over(Window.partitionBy("tok").orderBy("pos")))
     lead = (ranked.where(F.col("r") <= leaders).groupBy("tok").agg(F.sort_array(F.collect_list(entry)).alias("lead"))
@@ -140,7 +152,7 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
     def similar(pairs: DataFrame) -> DataFrame:
         """The pairs whose word sets reach the similarity."""
         words = fetch(pairs.select(F.explode(F.array("pos", "earlier")).alias("__pos")).distinct())
-        words = words.select("__pos", F.expr(_WORDS).alias("w"))
+        words = words.select("__pos", _word_set("__line").alias("w"))
         both = (pairs.join(words.select(F.col("__pos").alias("pos"), F.col("w").alias("a")), "pos")
                 .join(words.select(F.col("__pos").alias("earlier"), F.col("w").alias("b")), "earlier"))
         common = F.size(F.array_intersect("a", "b"))
