@@ -36,3 +36,22 @@ def test_build_entities_from_summary(spark):
     assert "Justin Trudeau" in full and "Justin" not in full  # short form removed
     summ = BT.build_entities_for_all(tr, store, use_summary=True, summary_sentences=1).collect()
     assert {r.source_id for r in summ} <= {"a"}
+
+
+def test_topics_do_not_depend_on_what_is_waiting(spark):
+    from vigil.operators import enrich as N
+    tr = spark.createDataFrame([("a", "zebra zebra zebra apple"), ("b", "apple pear"), ("c", "apple plum")], TR)
+    stored = spark.createDataFrame([("x", "b"), ("x", "c")], "topic string, source_id string")
+    full = {r.video_id: r.topic for r in N.topic_list(tr, k=1).collect()}
+    alone = [r.topic for r in BT.identify_topics_for_all(tr, stored, k=1).collect()]
+    assert alone == [full["a"]] == ["zebra"]
+    parts = [N.term_statistics(tr.filter("video_id = 'a'")), N.term_statistics(tr.filter("video_id <> 'a'"))]
+    merged = N.merge_statistics(*parts)
+    assert sorted(map(str, merged.collect())) == sorted(map(str, N.term_statistics(tr).collect()))
+
+
+def test_short_words_reach_the_lexicons(spark):
+    from vigil.operators import enrich as N
+    tr = spark.createDataFrame([("a", "war and tax"), ("b", "JOY"), ("c", "nothing")], TR)
+    lex = spark.createDataFrame([("joy", "joy", 1.0), ("war", "fear", 1.0)], "term string, label string, weight double")
+    assert {r.video_id: r.emotion for r in N.classify_emotion(tr, lex).collect()} == {"a": "fear", "b": "joy", "c": None}

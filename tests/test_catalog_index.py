@@ -114,3 +114,48 @@ def test_search_filter_orders(spark):
     by_title = C.search_filter(lst, "budget", order="title", max_results=2)
     assert [r.video_id for r in by_title.collect()] == ["v4", "v1"]
     assert [r.video_id for r in C.search_filter(lst, channel_id="c2").collect()] == ["v2"]
+
+
+def test_instants_of_any_iso_form(spark):
+    from pyspark.sql import functions as F
+    from vigil.functions.timefn import instant
+    from vigil.operators import catalog as C
+    rows = [("a", "2024-01-01T00:00:07.000Z"), ("b", "2024-01-01T02:00:07+02:00"), ("c", "2024-01-01T00:00:07"),
+            ("d", "2024-01-01"), ("e", "soon"), ("f", None), ("g", "2023-12-31T23:59:59Z")]
+    df = spark.createDataFrame([(i, "t", p, "c") for i, p in rows],
+                               "video_id string, title string, published_at string, channel_id string")
+    got = {r.video_id: r.s for r in df.select("video_id", F.unix_timestamp(instant("published_at")).alias("s")).collect()}
+    assert got == {"a": 1704067207, "b": 1704067207, "c": 1704067207, "d": 1704067200, "e": None, "f": None, "g": 1704067199}
+    found = C.search_filter(df, published_after="2024-01-01T00:00:07Z").collect()
+    assert [r.video_id for r in found] == ["a", "b", "c"]
+    assert [r.video_id for r in C.latest_videos(df, page_size=4).collect()] == ["a", "b", "c", "d"]
+
+
+def test_upsert_keeps_the_newest_row_of_a_path(spark):
+    from vigil.schemas import LIBRARY_INDEX
+    row = lambda path, stamp: (None, "s", stamp, 2, 2, path, None, None, False, None, None, None)
+    df = lambda rows: spark.createDataFrame(rows, LIBRARY_INDEX)
+    up = IX.upsert_index(df([]), df([row("p", "2024-01-01 00:00:00"), row("p", "2024-02-01 00:00:00"), row("o", "x")]))
+    assert sorted((r.path, r.lib_key, r.rec_mod_dtm, r.action) for r in up.collect()) == [
+        ("o", 1, "x", "insert"), ("p", 2, "2024-02-01 00:00:00", "insert")]
+
+
+def test_upsert_batch_replay_changes_nothing(spark, tmp):
+    from vigil.schemas import LIBRARY_INDEX
+    from vigil.sources import files as FS
+    from vigil.streaming.jobs import upsert_batch
+    rows = spark.createDataFrame([(None, "s", "2024", 2, 2, "p", None, None, False, None, None, None)], LIBRARY_INDEX)
+    FS.init_store(spark, tmp)
+    for _ in range(3):
+        upsert_batch(spark, tmp, rows, 7)
+        assert [r.action for r in spark.read.parquet(f"{tmp}/upserts").collect()] == ["insert"]
+        assert len(FS.list_versions(spark, f"{tmp}/library_index")) == 2
+        assert FS.read_index(spark, tmp).count() == 1
+
+
+def test_null_keys_are_not_dropped_by_the_legacy_writer(spark, tmp):
+    import pytest
+    from vigil.sources import files as FS
+    df = spark.createDataFrame([("a", "x"), (None, "y")], "video_id string, text string")
+    with pytest.raises(Exception, match="null video_id"):
+        FS.write_per_document(df, "video_id", f"{tmp}/t", "_t.parquet")

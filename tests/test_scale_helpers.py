@@ -9,31 +9,6 @@ from vigil.operators import entities as E
 from vigil.operators import joins as J
 
 
-def _big_small(spark):
-    # one hot key holding most big rows; a key with two small rows; a missing key
-    big = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i % 5}") for i in range(300)],
-                                "id long, k string")
-    small = spark.createDataFrame([("hot", 1), ("k0", 2), ("k0", 3), ("k3", 4)],
-                                  "k string, v int")
-    return big, small
-
-
-def test_salted_join_equals_plain_join(spark):
-    big, small = _big_small(spark)
-    for how in ("inner", "left"):
-        plain = sorted(tuple(r) for r in big.join(small, "k", how).select("id", "k", "v").collect())
-        salted = J.salted_join(big, small, ["k"], how, buckets=7, salt_from=["id"],
-                               max_broadcast_rows=0)
-        assert sorted(tuple(r) for r in salted.select("id", "k", "v").collect()) == plain
-        bcast = J.salted_join(big, small, ["k"], how, salt_from=["id"], max_broadcast_rows=10)
-        assert sorted(tuple(r) for r in bcast.select("id", "k", "v").collect()) == plain
-
-
-def test_bounded_broadcast_probe(spark):
-    df = spark.range(10)
-    assert J.is_small(df, 10) and not J.is_small(df, 9)
-
-
 def test_spread_is_noop_on_parallel_input(spark):
     many = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism * 2)
     assert J.spread(many, "id") is many
@@ -58,25 +33,42 @@ def test_extract_entities_gazetteer_and_patterns(spark):
                                  "video_id string, text string")
     gaz = spark.createDataFrame([("justin trudeau", "PERSON"), ("mark carney", "PERSON")],
                                 "term string, entity_type string")
-    for mx in (0, 100):  # salted and broadcast gazetteer join
-        out = E.extract_entities(docs, gazetteer=gaz, max_gazetteer_rows=mx)
-        got = sorted((r.entity_type, r.value) for r in out.collect())
-        assert got == sorted([("PERSON", "Justin Trudeau"), ("PERSON", "Mark Carney"),
+    got = sorted((r.pos, r.entity_type, r.value) for r in E.extract_entities(docs, gazetteer=gaz).collect())
+    assert [p for p, _, _ in got] == sorted(p for p, _, _ in got)  # reading order
+    assert [(t, v) for _, t, v in got] == [("PERSON", "Justin Trudeau"), ("PERSON", "Mark Carney"),
                               ("TIME", "12:30"), ("DATE", "2024"), ("MONEY", "$5.5"),
-                              ("PERCENT", "10%"), ("ORDINAL", "3rd"), ("CARDINAL", "7")])
+                                           ("PERCENT", "10%"), ("ORDINAL", "3rd"), ("CARDINAL", "7")]
 
 
-def test_stream_dedup_within_watermark(spark, tmp):
+def test_stream_dedup_over_batches_and_replays(spark, tmp):
     from vigil.streaming import jobs
-    src, out, ck = f"{tmp}/src", f"{tmp}/out", f"{tmp}/ck"
-    import os
-    os.makedirs(src)
-    pd.DataFrame({"video_id": ["v1", "v1", "v2"], "title": ["a", "b", "c"],
-                  "ts": pd.to_datetime(["2024-01-01 00:00", "2024-01-01 00:05",
-                                        "2024-01-01 00:10"])}).to_parquet(f"{src}/1_search.parquet",
-                                                                    coerce_timestamps="us")
-    schema = spark.read.parquet(f"{src}/1_search.parquet").schema
-    jobs.stream_listing_dedup(spark, src, out, ck, schema, "*_search.parquet",
-                              prepare=lambda df: df.withColumn("ts", F.col("ts").cast("timestamp")),
-                              watermark=("ts", "1 hour"))
-    assert sorted(r[0] for r in spark.read.parquet(out).select("video_id").collect()) == ["v1", "v2"]
+    src, out = f"{tmp}/src", f"{tmp}/out"
+    schema = "video_id string, title string"
+    for k, rows in enumerate([[("v1", "b"), ("v1", "a"), ("v2", "c")], [("v2", "z"), ("v3", "d")]]):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
+        jobs.stream_listing_dedup(spark, src, out, f"{tmp}/ck", spark.read.parquet(src).schema, "*.parquet")
+    want = [("v1", "a"), ("v2", "c"), ("v3", "d")]
+    read = lambda: sorted(tuple(r) for r in spark.read.parquet(out).select("video_id", "title").collect())
+    assert read() == want
+    # all batches replayed from a lost checkpoint
+    jobs.stream_listing_dedup(spark, src, out, f"{tmp}/ck2", spark.read.parquet(src).schema, "*.parquet")
+    assert sorted({r[0] for r in read()}) == ["v1", "v2", "v3"]
+
+
+def test_contained_values_stay_linear(spark):
+    """Many long values of one document with a common opening: the substrings
+    follow the values' lengths, not the pairs."""
+    values = [f"An Act to amend the Criminal Code respecting item {i}" for i in range(600)]
+    e = spark.createDataFrame([("d", "LAW", v) for v in values], "source_id string, entity_type string, value string")
+    assert E._contained_keys(e).count() < 10 * sum(map(len, values))
+    kept = {r.value for r in E.cleaned_entities(e).collect()}
+    assert kept == {v for v in values if not any(v != w and v in w for w in values)}
+
+
+def test_long_runs_and_accents(spark):
+    docs = spark.createDataFrame([("d", "The Royal Commission On The Future Of Health Care In Canada met"),
+                                  ("q", "QUÉBEC et Québec")], "video_id string, text string")
+    got = {r.value for r in E.extract_entities(docs, proper_noun_type="ORG").collect()}
+    assert "The Royal Commission On The Future Of Health Care In Canada" in got and "Québec" in got
+    idx = spark.createDataFrame([("q", "GPE", "QUÉBEC")], "source_id string, entity_type string, value string")
+    assert [r.pattern_pos for r in E.match_patterns(idx, ["x", "québec"]).collect()] == [1]

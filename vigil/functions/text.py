@@ -12,8 +12,8 @@ from vigil.schemas import CHUNK_TOKEN_LIMIT, FILLER_TOKENS
 
 # Token rule: a run of letters/digits, or one other non-space character.
 TOKEN_PATTERN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
-# Content words used by the TF-IDF scorers: 4+ letters.
-WORD_PATTERN = r"\p{L}{4,}"
+# A word: a run of letters.
+WORD_PATTERN = r"\p{L}+"
 
 
 def _c(col) -> Column:
@@ -68,9 +68,10 @@ def token_count(col) -> Column:
     return F.size(tokens(col)).cast("long")
 
 
-def words(col) -> Column:
-    """Lower-cased content words (4+ letters), the vocabulary of the scorers."""
-    return F.regexp_extract_all(F.lower(_c(col)), F.lit(WORD_PATTERN), 0)
+def words(col, min_letters: int = 1) -> Column:
+    """Lower-cased words of at least ``min_letters`` letters."""
+    pattern = WORD_PATTERN if min_letters == 1 else r"\p{L}{%d,}" % min_letters
+    return F.regexp_extract_all(F.lower(_c(col)), F.lit(pattern), 0)
 
 
 def chunk_text(col, limit: int = CHUNK_TOKEN_LIMIT) -> Column:

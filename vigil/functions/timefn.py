@@ -29,6 +29,15 @@ def eastern_date(col, tz: str = ANALYSIS_TZ) -> Column:
     return F.to_date(F.convert_timezone(F.current_timezone(), F.lit(tz), local))
 
 
+def instant(col) -> Column:
+    """ISO-8601 text -> instant; text without an offset is UTC; null where it
+    can't be parsed. Independent of the session time zone."""
+    c = F.trim(_c(col).cast("string"))
+    zoned = c.rlike(r"(?i)(z|[+-]\d{2}(:?\d{2})?)$") & c.contains(":")
+    dated = F.when(c.contains(":"), F.concat(c, F.lit("Z"))).otherwise(F.concat(c, F.lit("T00:00:00Z")))
+    return F.when(zoned, c).otherwise(dated).try_cast("timestamp")
+
+
 def week_start(date_col) -> Column:
     """The strictly previous Sunday (a Sunday maps to the Sunday before)."""
     return F.next_day(F.date_sub(_c(date_col), 8), "Sun")
@@ -49,5 +58,7 @@ def trailing_window(df: DataFrame, ts_col: str, as_of, days: int = 60) -> DataFr
 
 
 def format_rec_mod_dtm(col) -> Column:
-    """Record-modification stamp in the index's text format."""
-    return F.date_format(_c(col), "yyyy-MM-dd HH:mm:ss")
+    """Record-modification stamp (UTC) in the index's text format, whatever
+    the session time zone."""
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), _c(col).cast("timestamp_ntz"))
+    return F.date_format(utc, "yyyy-MM-dd HH:mm:ss")

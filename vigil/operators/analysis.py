@@ -11,17 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.timefn import eastern_date, trailing_window, week_start
+from vigil.functions.timefn import eastern_date, instant, trailing_window, week_start
 from vigil.operators.catalog import join_channels
-from vigil.operators.joins import salted_join
 
 INDEX_DROPPED = ["lib_key", "doc_type_id", "source_system_id", "path", "summary_reasoning"]
 TOPIC_KEYS = ["topic", "channel", "primary_emotion", "secondary_emotion", "published_date_et"]
 
 
 def parse_published_at(col):
-    """ISO-8601 instant text (e.g. 2024-01-01T00:00:07Z) -> timestamp (UTC)."""
-    return F.to_timestamp(col, "yyyy-MM-dd'T'HH:mm:ssX")
+    """ISO-8601 instant text, with or without fraction, with any offset
+    (without one: UTC) -> timestamp; null where it isn't one."""
+    return instant(col)
 
 
 def video_analysis(listing: DataFrame, channels: DataFrame, library_index: DataFrame,
@@ -32,21 +32,16 @@ def video_analysis(listing: DataFrame, channels: DataFrame, library_index: DataF
     ``'left'`` keeps unknown channels with null channel columns. The index
     join is inner on video_id = source_id, multiplicity kept."""
     li = library_index.drop(*INDEX_DROPPED).withColumnRenamed("source_id", "video_id")
-    df = (join_channels(listing, channels, how, salt_from=["video_id"])
+    df = (join_channels(listing, channels, how)
           .drop("channel_id", "code").join(li, "video_id", "inner"))
     ts = parse_published_at(F.col("published_at"))
     return df.withColumn("published_at", ts).withColumn("publish_dt_et", eastern_date(ts))
 
 
 def _with_index(index: DataFrame, analysis: DataFrame) -> DataFrame:
-    """One document may own a third of the entity/topic rows: the join is
-    salted on the index row (the mart side is replicated per bucket; AQE
-    may broadcast it instead when it turns out small)."""
-    from vigil.operators.enrich import salt_buckets
-    keys = [c for c in index.columns if c != "source_id"]
-    return salted_join(index, analysis.withColumnRenamed("video_id", "source_id"), ["source_id"],
-                       "inner", buckets=salt_buckets(index.sparkSession), salt_from=keys,
-                       max_broadcast_rows=0)
+    """A plain equi join: no side is replicated. One document may own a third
+    of the entity rows; adaptive execution splits such a partition."""
+    return index.join(analysis.withColumnRenamed("video_id", "source_id"), "source_id")
 
 
 def entity_analysis(entity_index: DataFrame, video: DataFrame) -> DataFrame:
@@ -59,6 +54,19 @@ def topic_analysis(topic_index: DataFrame, video: DataFrame) -> DataFrame:
     return _with_index(topic_index, video)
 
 
+def write_marts(listing: DataFrame, channels: DataFrame, library_index: DataFrame,
+                entity_index: DataFrame, topic_index: DataFrame, folder: str) -> dict[str, str]:
+    """The three marts as Parquet tables under ``folder``, the video mart
+    computed once; name -> path."""
+    spark = listing.sparkSession
+    paths = {name: f"{folder}/{name}" for name in ("video_analysis", "entity_analysis", "topic_analysis")}
+    video_analysis(listing, channels, library_index).write.mode("overwrite").parquet(paths["video_analysis"])
+    video = spark.read.parquet(paths["video_analysis"])
+    entity_analysis(entity_index, video).write.mode("overwrite").parquet(paths["entity_analysis"])
+    topic_analysis(topic_index, video).write.mode("overwrite").parquet(paths["topic_analysis"])
+    return paths
+
+
 def with_time_columns(topic_mart: DataFrame, as_of, days: int = 60) -> DataFrame:
     """Trailing window on published_at, then the Eastern date and the week
     (strictly previous Sunday)."""

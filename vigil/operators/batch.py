@@ -9,27 +9,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators import enrich as N
-from vigil.operators.catalog import channels_list, missing_enrichments, stale_main_topic
+from vigil.operators.catalog import (channels_list, lookup_video_info, missing_enrichments,
+                                     stale_main_topic)
 from vigil.operators.entities import cleaned_entities, extract_entities, unique_entities
 
 
 def identify_topics_for_all(transcripts: DataFrame, topic_store: DataFrame,
-                            k: int = 3) -> DataFrame:
-    """Topic rows (topic, source_id) for transcripts with no topics yet."""
+                            k: int = 3, statistics: DataFrame | None = None) -> DataFrame:
+    """Topic rows (topic, source_id) for transcripts with no topics yet.
+    Term statistics are those of all transcripts (or a maintained table), so
+    a document's topics don't depend on what else is waiting."""
     todo = missing_enrichments(transcripts, topic_store, "video_id", store_key="source_id")
-    return N.topic_list(todo, "video_id", "text", k).select(
+    if statistics is None:
+        statistics = N.term_statistics(transcripts)
+    return N.topic_list(todo, "video_id", "text", k, statistics).select(
         "topic", F.col("video_id").alias("source_id"))
 
 
 def build_entities_for_all(transcripts: DataFrame, entity_store: DataFrame,
                            use_summary: bool = True, summary_sentences: int = 2,
                            proper_noun_type: str | None = "PERSON",
-                           gazetteer: DataFrame | None = None) -> DataFrame:
+                           gazetteer: DataFrame | None = None,
+                           statistics: DataFrame | None = None) -> DataFrame:
     """Cleaned entity rows for transcripts with no entities yet, extracted
     from their summary (default, as the reference does) or the full text."""
     todo = missing_enrichments(transcripts, entity_store, "video_id", store_key="source_id")
     if use_summary:
-        todo = (N.summarize(todo, "video_id", "text", summary_sentences)
+        if statistics is None:
+            statistics = N.term_statistics(transcripts)
+        todo = (N.summarize(todo, "video_id", "text", summary_sentences, statistics)
                  .withColumnRenamed("summary", "text"))
     ents = extract_entities(todo, "video_id", "text", gazetteer=gazetteer,
                             proper_noun_type=proper_noun_type)
@@ -39,22 +47,30 @@ def build_entities_for_all(transcripts: DataFrame, entity_store: DataFrame,
 def classify_transcripts(transcripts: DataFrame, classification_store: DataFrame,
                          listing: DataFrame, channels: DataFrame, emotion_lexicon: DataFrame,
                          secondary_lexicon: DataFrame, sentiment_lexicon: DataFrame,
-                         category: str = "", limit: int | None = None) -> DataFrame:
+                         category: str = "", limit: int | None = None,
+                         statistics: DataFrame | None = None) -> DataFrame:
     """Classification records for listed transcripts of a category's
-    channels ('' = all) that have no classification yet."""
+    channels ('' = all) that have no classification yet, with the video's
+    channel, title and publication time."""
     allowed = listing.join(channels_list(channels, category), "channel_id", "left_semi")
     todo = missing_enrichments(transcripts, classification_store, "video_id",
                                allowed=allowed.select("video_id"))
     kw = {} if limit is None else {"limit": limit}
-    return N.overall_classification(todo, emotion_lexicon, secondary_lexicon, sentiment_lexicon,
-                                    key="video_id", **kw)
+    if statistics is None:
+        statistics = N.term_statistics(transcripts)
+    records = N.overall_classification(todo, emotion_lexicon, secondary_lexicon, sentiment_lexicon,
+                                       key="video_id", statistics=statistics, **kw)
+    return records.join(lookup_video_info(records.select("video_id"), listing, channels), "video_id")
 
 
 def update_new_classifications(classifications: DataFrame, listing: DataFrame,
-                               transcripts: DataFrame) -> DataFrame:
+                               transcripts: DataFrame,
+                               statistics: DataFrame | None = None) -> DataFrame:
     """Classification records of listed videos whose main_topic is missing
     or '', with the main topic filled in from their transcript."""
     stale = stale_main_topic(classifications, listing)
     texts = transcripts.join(stale.select("video_id"), "video_id", "left_semi")
-    topics = N.main_topic(texts, "video_id", "text")
+    if statistics is None:
+        statistics = N.term_statistics(transcripts)
+    topics = N.main_topic(texts, "video_id", "text", statistics)
     return stale.drop("main_topic").join(topics, "video_id", "left")

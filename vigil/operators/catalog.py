@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.text import html_unescape_basic, lower_equals
-from vigil.operators.joins import salted_join, top_k
+from vigil.functions.timefn import instant
+from vigil.operators.joins import top_k
 from vigil.schemas import LISTING_PAGE_SIZE, SEARCH_MAX_RESULTS
 
 VIDEO_KIND = "youtube#video"
@@ -68,7 +69,7 @@ def search_item_fields(items: DataFrame) -> DataFrame:
     )
 
 
-SEARCH_ORDERS = {"date": [("published_at", True), ("video_id", False)],
+SEARCH_ORDERS = {"date": [("_instant", True), ("video_id", False)],
                  "title": [("title", False), ("video_id", False)]}
 
 
@@ -88,9 +89,10 @@ def search_filter(listing: DataFrame, search_for: str = "", channel_id: str = ""
     if channel_id:
         df = df.filter(F.col("channel_id") == F.lit(channel_id))
     if published_after is not None:
-        df = df.filter(F.col("published_at") >= F.lit(published_after))
+        df = df.filter(instant("published_at") >= instant(F.lit(published_after)))
     keys = [F.col(c).desc() if desc else F.col(c) for c, desc in SEARCH_ORDERS[order]]
-    return df.orderBy(*keys).limit(max_results)
+    return (df.withColumn("_instant", instant("published_at")).orderBy(*keys).limit(max_results)
+              .drop("_instant"))
 
 
 def code_filter(listing: DataFrame) -> DataFrame:
@@ -102,7 +104,7 @@ def latest_videos(listing: DataFrame, max_pages: int = 1, per_channel: bool = Tr
                   page_size: int = LISTING_PAGE_SIZE) -> DataFrame:
     """Newest ``page_size * max_pages`` videos (per channel by default)."""
     n = page_size * max_pages
-    order = [F.col("published_at").desc(), F.col("video_id")]
+    order = [instant("published_at").desc(), F.col("video_id")]
     if per_channel:
         return top_k(listing, ["channel_id"], order, n, rank_col="rank")
     return listing.orderBy(*order).limit(n)
@@ -110,11 +112,10 @@ def latest_videos(listing: DataFrame, max_pages: int = 1, per_channel: bool = Tr
 
 # --- video -> channel lookups ---------------------------------------------
 
-def join_channels(rows: DataFrame, channels: DataFrame, how: str = "left",
-                  salt_from: list[str] | None = None) -> DataFrame:
-    """Join the channel dimension on channel_id: broadcast when it is proven
-    small, else salted, since one channel may hold a third of all rows."""
-    return salted_join(rows, channels, ["channel_id"], how, salt_from=salt_from)
+def join_channels(rows: DataFrame, channels: DataFrame, how: str = "left") -> DataFrame:
+    """Join the channel dimension on channel_id. One channel may hold a third
+    of all rows: adaptive execution splits such a partition."""
+    return rows.join(channels, "channel_id", how)
 
 
 def video_channel(listing: DataFrame) -> DataFrame:
@@ -137,7 +138,7 @@ def fetch_channel(videos: DataFrame, listing: DataFrame) -> DataFrame:
 def fetch_channel_info(videos: DataFrame, listing: DataFrame, channels: DataFrame) -> DataFrame:
     """video_id -> channel columns; unmatched channels give nulls."""
     vc = fetch_channel(videos, listing)
-    return join_channels(vc, channels, "left", salt_from=["video_id"]).select(
+    return join_channels(vc, channels, "left").select(
         "video_id", "channel_id", "channel_title", "category", "region")
 
 
@@ -146,8 +147,7 @@ def lookup_video_info(videos: DataFrame, listing: DataFrame, channels: DataFrame
     absent (the reference's defaults)."""
     vc = video_channel(listing)
     ch = channels.select("channel_id", "channel_title", "category")
-    df = join_channels(videos.select("video_id").join(vc, "video_id", "left"), ch, "left",
-                       salt_from=["video_id"])
+    df = join_channels(videos.select("video_id").join(vc, "video_id", "left"), ch, "left")
     s = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     return df.select("video_id", s("channel_id").alias("channel_id"),
                      s("channel_title").alias("channel_title"),
@@ -176,12 +176,21 @@ def missing_enrichments(docs: DataFrame, store: DataFrame, key: str = "video_id"
                         store_key: str | None = None,
                         allowed: DataFrame | None = None) -> DataFrame:
     """Documents without a stored result yet; ``allowed`` (ids) restricts
-    the work, e.g. to the videos of one category's channels."""
+    the work, e.g. to the videos of one category's channels. Only ids go
+    through the anti join; the texts of the few hits are fetched last. A
+    document whose id is null is never in a store and stays."""
     sk = store.select(F.col(store_key or key).alias(key))
-    out = docs.join(sk, key, "left_anti")
+    ids = docs.select(key).join(sk, key, "left_anti")
     if allowed is not None:
-        out = out.join(allowed.select(key), key, "left_semi")
-    return out
+        ids = ids.join(allowed.select(key), key, "left_semi")
+    return _fetch(docs, ids, key)
+
+
+def _fetch(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Whole rows of the given ids; adaptive execution broadcasts the ids
+    when they turn out few, and then no text is shuffled."""
+    hits = ids.select(F.col(key).alias("_id")).distinct()
+    return docs.join(hits, F.col(key).eqNullSafe(F.col("_id")), "left_semi")
 
 
 def stale_main_topic(classifications: DataFrame, listing: DataFrame) -> DataFrame:
@@ -191,8 +200,10 @@ def stale_main_topic(classifications: DataFrame, listing: DataFrame) -> DataFram
 
 
 def orphan_transcripts(transcripts: DataFrame, listing: DataFrame) -> DataFrame:
-    """Stored transcripts whose video is in no listing (reported only)."""
-    return transcripts.join(listing.select("video_id"), "video_id", "left_anti")
+    """Stored transcripts whose video is in no listing (reported; nothing is
+    removed). Ids first, texts last."""
+    ids = transcripts.select("video_id").join(listing.select("video_id"), "video_id", "left_anti")
+    return _fetch(transcripts, ids, "video_id")
 
 
 def append_new_listing(new: DataFrame, old: DataFrame | None) -> DataFrame:
@@ -204,11 +215,6 @@ def append_new_listing(new: DataFrame, old: DataFrame | None) -> DataFrame:
     return fresh.unionByName(old, allowMissingColumns=True).dropDuplicates()
 
 
-def read_skip_ids(skip: DataFrame) -> DataFrame:
-    """Distinct ids of the skip list."""
-    return skip.select("video_id").distinct()
-
-
 # --- transcript assembly -------------------------------------------------
 
 def assemble_text(segments: DataFrame, key: str = "video_id", order: str = "start",

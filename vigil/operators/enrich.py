@@ -17,10 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.text import chunk_text, sentences, words
-from vigil.operators.joins import salted_join, top_k
+from vigil.operators.catalog import missing_enrichments
+from vigil.operators.joins import top_k
 from vigil.schemas import CHUNK_TOKEN_LIMIT, DIM_EMOTION_ROWS
 
 SCORE_DIGITS = 6
+#: least letters of a topic word; lexicons are matched on all words
+TOPIC_MIN_LETTERS = 4
 
 
 def _keys(key) -> list[str]:
@@ -39,138 +42,153 @@ def _keyed(docs: DataFrame, ks: list[str]) -> DataFrame:
     return docs.filter(cond)
 
 
-def term_frequencies(docs: DataFrame, key="video_id", text: str = "text") -> DataFrame:
+def term_frequencies(docs: DataFrame, key="video_id", text: str = "text",
+                     min_letters: int = 1) -> DataFrame:
     """(keys.., term, tf) over the whole text; aggregated map-side first."""
     ks = _keys(key)
-    return (_keyed(docs, ks).select(*ks, F.explode(words(F.col(text))).alias("term"))
+    return (_keyed(docs, ks).select(*ks, F.explode(words(F.col(text), min_letters)).alias("term"))
                 .filter(F.col("term").isNotNull())
                 .groupBy(*ks, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def salt_buckets(spark) -> int:
-    """Salt fan-out for hot keys: grows with the cluster, capped."""
-    return min(64, max(2, spark.sparkContext.defaultParallelism))
+def _statistics(tf: DataFrame, docs: DataFrame, ks: list[str]) -> DataFrame:
+    # df counts rows with tf > 0 (all of them): reading ``tf`` keeps this
+    # branch's term-count aggregate identical to the scored side's, so the
+    # exchange under it is reused and the text is tokenised once
+    df = tf.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"))
+    n = docs.select(*ks).distinct().agg(F.count(F.lit(1)).alias("df"))
+    return n.select(F.lit(None).cast("string").alias("term"), "df").unionByName(df)
+
+
+def term_statistics(docs: DataFrame, key="video_id", text: str = "text",
+                    min_letters: int = TOPIC_MIN_LETTERS) -> DataFrame:
+    """(term, df): in how many documents every term stands; the row with a
+    null term holds the number of documents. A table to be stored."""
+    ks = _keys(key)
+    return _statistics(term_frequencies(docs, ks, text, min_letters), docs, ks)
 
 
-def tfidf_from_tf(tf: DataFrame, n_docs: int, ks: list[str]) -> DataFrame:
+def merge_statistics(stored: DataFrame, added: DataFrame) -> DataFrame:
+    """Statistics of both sets of documents (which share none)."""
+    return stored.unionByName(added).groupBy("term").agg(F.sum("df").cast("long").alias("df"))
+
+
+def tfidf_from_tf(tf: DataFrame, statistics: DataFrame) -> DataFrame:
     """Add df and score = round(tf * ln(N / df), 6) to (keys.., term, tf).
+    Terms that the statistics don't hold get no row: they must cover the
+    documents. The number of documents is the one number collected."""
+    n = statistics.filter(F.col("term").isNull()).agg(F.sum("df")).first()[0] or 0
+    score = F.round(F.col("tf") * F.log(F.lit(float(n)) / F.col("df")), SCORE_DIGITS)
+    return tf.join(statistics.filter(F.col("term").isNotNull()), "term").withColumn("score", score)
 
-    The document-frequency side has one row per term, but a common term
-    occurs in every document, so the join back is salted on the document
-    key: a hot term's rows spread over ``salt_buckets`` tasks (AQE may still
-    turn the join into a broadcast when the vocabulary is small)."""
-    # df counts rows with tf > 0 (all of them): reading ``tf`` keeps this
-    # branch's term-count aggregate identical to the join side's (a plain
-    # row count would be pruned to a distinct), so the exchange under it is
-    # reused and the text is tokenised once
-    dfreq = tf.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"))
-    # replicating the vocabulary ``buckets`` times is small next to the
-    # (document, term) table it joins, at any scale
-    joined = salted_join(tf, dfreq, ["term"], salt_from=ks,
-                         buckets=salt_buckets(tf.sparkSession), max_broadcast_rows=0)
-    score = F.round(F.col("tf") * F.log(F.lit(float(n_docs)) / F.col("df")), SCORE_DIGITS)
-    return joined.withColumn("score", score)
-
-
-def tfidf(docs: DataFrame, key="video_id", text: str = "text") -> DataFrame:
-    """(keys.., term, tf, df, score) over whole texts; N = number of documents."""
+
+def tfidf(docs: DataFrame, key="video_id", text: str = "text",
+          statistics: DataFrame | None = None, min_letters: int = TOPIC_MIN_LETTERS) -> DataFrame:
+    """(keys.., term, tf, df, score) over whole texts. ``statistics`` are
+    those of the corpus; without them ``docs`` is the corpus."""
     ks = _keys(key)
-    n_docs = docs.select(*ks).distinct().count()
-    return tfidf_from_tf(term_frequencies(docs, ks, text), n_docs, ks)
+    tf = term_frequencies(docs, ks, text, min_letters)
+    return tfidf_from_tf(tf, _statistics(tf, docs, ks) if statistics is None else statistics)
 
 
-def topic_list(docs: DataFrame, key="video_id", text: str = "text", k: int = 3) -> DataFrame:
+def topic_list(docs: DataFrame, key="video_id", text: str = "text", k: int = 3,
+               statistics: DataFrame | None = None) -> DataFrame:
     """Top-k TF-IDF terms per document as (keys.., topic, rank); ties by term."""
-    scored = tfidf(docs, key, text)
+    scored = tfidf(docs, key, text, statistics)
     best = top_k(scored, _keys(key), [F.col("score").desc(), F.col("term")], k)
     return best.select(*_keys(key), F.col("term").alias("topic"), "rank")
 
 
-def main_topic(docs: DataFrame, key="video_id", text: str = "text") -> DataFrame:
+def main_topic(docs: DataFrame, key="video_id", text: str = "text",
+               statistics: DataFrame | None = None) -> DataFrame:
     """The top TF-IDF term per document (null for a text without words)."""
     ks = _keys(key)
-    top = topic_list(docs, ks, text, 1).select(*ks, F.col("topic").alias("main_topic"))
+    top = topic_list(docs, ks, text, 1, statistics).select(*ks, F.col("topic").alias("main_topic"))
     return docs.select(*ks).join(top, ks, "left")
 
 
-def _lexicon_scores(tf, ks, lexicon, label_col, max_rows):
+def _lexicon_scores(tf, ks, lexicon, label_col):
     """Summed ``tf * weight`` per document (and label) from a tf table."""
-    hits = salted_join(tf, lexicon, ["term"], "inner", salt_from=ks, max_broadcast_rows=max_rows)
+    hits = tf.join(lexicon, "term")
     grp = ks + ([label_col] if label_col else [])
     return hits.groupBy(*grp).agg(
         F.round(F.sum(F.col("tf") * F.col("weight")), SCORE_DIGITS).alias("score"))
 
 
 def emotion_from_tf(doc_keys: DataFrame, tf: DataFrame, lexicon: DataFrame, ks: list[str],
-                    out: str = "emotion", max_lexicon_rows: int = 1_000_000) -> DataFrame:
-    scores = _lexicon_scores(tf, ks, lexicon, "label", max_lexicon_rows)
+                    out: str = "emotion") -> DataFrame:
+    scores = _lexicon_scores(tf, ks, lexicon, "label")
     best = scores.groupBy(*ks).agg(F.min(F.struct((-F.col("score")).alias("s"),
                                                   F.col("label").alias("l"))).alias("_b"))
     return doc_keys.join(best.select(*ks, F.col("_b.l").alias(out)), ks, "left")
 
 
-def sentiment_from_tf(doc_keys: DataFrame, tf: DataFrame, lexicon: DataFrame, ks: list[str],
-                      max_lexicon_rows: int = 1_000_000) -> DataFrame:
-    scores = _lexicon_scores(tf, ks, lexicon.select("term", "weight"), None, max_lexicon_rows)
+def sentiment_from_tf(doc_keys: DataFrame, tf: DataFrame, lexicon: DataFrame,
+                      ks: list[str]) -> DataFrame:
+    scores = _lexicon_scores(tf, ks, lexicon.select("term", "weight"), None)
     return doc_keys.join(scores.select(*ks, (F.col("score") > 0).alias("sentiment")), ks, "left")
 
 
 def classify_emotion(docs: DataFrame, lexicon: DataFrame, key="video_id", text: str = "text",
-                     out: str = "emotion", max_lexicon_rows: int = 1_000_000) -> DataFrame:
+                     out: str = "emotion") -> DataFrame:
     """Lexicon arg-max: lexicon ``(term, label, weight)``; per document the
     label with the highest summed ``tf * weight`` (ties: smallest label);
     null when no lexicon term occurs."""
     ks = _keys(key)
-    return emotion_from_tf(docs.select(*ks), term_frequencies(docs, ks, text), lexicon, ks, out,
-                           max_lexicon_rows)
+    return emotion_from_tf(docs.select(*ks), term_frequencies(docs, ks, text), lexicon, ks, out)
 
 
-def classify_sentiment(docs: DataFrame, lexicon: DataFrame, key="video_id", text: str = "text",
-                       max_lexicon_rows: int = 1_000_000) -> DataFrame:
+def classify_sentiment(docs: DataFrame, lexicon: DataFrame, key="video_id",
+                       text: str = "text") -> DataFrame:
     """Signed lexicon ``(term, weight)``: sentiment = summed score > 0;
     null when no lexicon term occurs."""
     ks = _keys(key)
-    return sentiment_from_tf(docs.select(*ks), term_frequencies(docs, ks, text), lexicon, ks,
-                             max_lexicon_rows)
+    return sentiment_from_tf(docs.select(*ks), term_frequencies(docs, ks, text), lexicon, ks)
 
 
 def sentence_terms(docs: DataFrame, ks: list[str], text: str):
-    """(sentences, sentence term counts, document term counts) from one
-    tokenisation: words never cross a sentence boundary, so a document's
-    term counts are the sums over its sentences."""
-    sents = (_keyed(docs, ks)
-             .select(*ks, F.posexplode(sentences(F.col(text))).alias("spos", "sentence"))
-             .filter(F.col("spos").isNotNull()))
-    sw = (sents.select(*ks, "spos", F.explode(words(F.col("sentence"))).alias("term"))
-               .filter(F.col("term").isNotNull())
-               .groupBy(*ks, "spos", "term").agg(F.count(F.lit(1)).alias("c")))
-    tf = sw.groupBy(*ks, "term").agg(F.sum("c").alias("tf"))
-    return sents, sw, tf
-
-
-def summary_from(doc_keys: DataFrame, sents: DataFrame, sw: DataFrame, scored: DataFrame,
-                 ks: list[str], n: int) -> DataFrame:
-    """Top-n sentences by mean TF-IDF of their word occurrences, in order."""
+    """(sentence term counts with their positions, document term counts) from
+    one tokenisation: words never cross a sentence boundary, so a document's
+    term counts are the sums over its sentences. ``at`` lists (position,
+    count) of the sentences that hold a term; the sentences themselves are
+    not shuffled."""
+    words_at = (_keyed(docs, ks)
+                .select(*ks, F.posexplode(sentences(F.col(text))).alias("spos", "sentence"))
+                .select(*ks, "spos", F.explode(words(F.col("sentence"))).alias("term"))
+                .groupBy(*ks, "spos", "term").agg(F.count(F.lit(1)).alias("c")))
+    return words_at, words_at.groupBy(*ks, "term").agg(F.sum("c").alias("tf"))
+
+
+def topic_terms(tf: DataFrame, min_letters: int = TOPIC_MIN_LETTERS) -> DataFrame:
+    return tf.filter(F.length("term") >= min_letters)
+
+
+def summary_from(docs: DataFrame, words_at: DataFrame, scored: DataFrame, ks: list[str],
+                 text: str, n: int) -> DataFrame:
+    """Top-n sentences by mean TF-IDF of their topic words, in order. The
+    positions are chosen first; the sentences are cut from the text last."""
     scores = scored.select(*ks, "term", "score")
-    ss = (sw.join(scores, ks + ["term"], "inner").groupBy(*ks, "spos")
-            .agg(F.round(F.sum(F.col("c") * F.col("score")) / F.sum("c"), SCORE_DIGITS)
-                 .alias("sscore")))
-    best = top_k(ss, ks, [F.col("sscore").desc(), F.col("spos")], n).select(*ks, "spos")
-    chosen = sents.join(best, ks + ["spos"], "inner")
-    parts = F.array_sort(F.collect_list(F.struct("spos", "sentence")))
-    summ = chosen.groupBy(*ks).agg(
-        F.array_join(F.transform(parts, lambda x: x["sentence"]), " ").alias("summary"))
-    return doc_keys.join(summ, ks, "left")
-
-
-def summarize(docs: DataFrame, key="video_id", text: str = "text", n: int = 2) -> DataFrame:
-    """Extractive summary: sentences scored by the mean TF-IDF of their word
-    occurrences (rounded), the top ``n`` (ties: earlier first) joined in
-    reading order; the text is tokenised once."""
+    ss = (words_at.join(scores, ks + ["term"], "inner").groupBy(*ks, "spos")
+                  .agg(F.round(F.sum(F.col("c") * F.col("score")) / F.sum("c"), SCORE_DIGITS)
+                       .alias("sscore")))
+    best = top_k(ss, ks, [F.col("sscore").desc(), F.col("spos")], n)
+    chosen = best.groupBy(*ks).agg(F.sort_array(F.collect_list("spos")).alias("_at"))
+    cut = F.array_join(F.transform("_at", lambda i: F.get(F.col("_all"), i)), " ")
+    return (docs.select(*ks, text).join(chosen, ks, "left")
+                .select(*ks, "_at", F.when(F.col("_at").isNotNull(), sentences(F.col(text))).alias("_all"))
+                .select(*ks, F.when(F.col("_at").isNotNull(), cut).alias("summary")))
+
+
+def summarize(docs: DataFrame, key="video_id", text: str = "text", n: int = 2,
+              statistics: DataFrame | None = None) -> DataFrame:
+    """Extractive summary: sentences scored by the mean TF-IDF of their topic
+    words (rounded), the top ``n`` (ties: earlier first) joined in reading
+    order. ``statistics`` as in ``tfidf``."""
     ks = _keys(key)
-    n_docs = docs.select(*ks).distinct().count()
-    sents, sw, tf = sentence_terms(docs, ks, text)
-    return summary_from(docs.select(*ks), sents, sw, tfidf_from_tf(tf, n_docs, ks), ks, n)
+    words_at, tf = sentence_terms(docs, ks, text)
+    tf = topic_terms(tf)
+    scored = tfidf_from_tf(tf, _statistics(tf, docs, ks) if statistics is None else statistics)
+    return summary_from(docs, words_at, scored, ks, text, n)
 
 
 def dim_emotions(spark) -> DataFrame:
@@ -181,7 +199,7 @@ def validate_labels(labels: DataFrame, dim: DataFrame, key: str = "video_id") ->
     """Attach emotion ids: primary_emotion against primary=1 rows, secondary
     against primary=0 rows; ``valid`` is false when a present label is not
     in its closed set (those rows form the reject table)."""
-    d = F.broadcast(dim)
+    d = dim
     p = d.filter("primary = 1").select(F.col("emotion").alias("primary_emotion"),
                                        F.col("emotion_id").alias("primary_emotion_id"))
     s = d.filter("primary = 0").select(F.col("emotion").alias("secondary_emotion"),
@@ -230,24 +248,29 @@ def chunks_of(docs: DataFrame, key: str = "video_id", text: str = "text",
 def overall_classification(docs: DataFrame, emotion_lexicon: DataFrame,
                            secondary_lexicon: DataFrame, sentiment_lexicon: DataFrame,
                            key: str = "video_id", text: str = "text",
-                           limit: int = CHUNK_TOKEN_LIMIT, summary_sentences: int = 2) -> DataFrame:
+                           limit: int = CHUNK_TOKEN_LIMIT, summary_sentences: int = 2,
+                           statistics: DataFrame | None = None) -> DataFrame:
     """Chunk -> score every chunk (summary, sentiment, two emotions, main
     topic) -> merge to one record per document.
 
-    The chunk table feeds five scorers, so it is written once with a
-    reliable checkpoint (lineage cut; survives executor loss), and all
-    scorers share one tokenisation (sentence term counts -> term counts)."""
-    from vigil.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(docs.sparkSession)
-    ch = chunks_of(docs, key, text, limit).checkpoint(eager=True)
+    The chunks feed five scorers, so they are written once as a Parquet table
+    in the shared folder, from which a reader of keys reads no text; all
+    scorers share one tokenisation. ``statistics`` are those of the corpus
+    (by document); without them ``docs`` is the corpus."""
+    from vigil.sources.files import scratch_dir, write_table
+    spark = docs.sparkSession
+    if statistics is None:
+        statistics = term_statistics(docs, key, text)
+    path = scratch_dir(spark, "chunks")
+    write_table(chunks_of(docs, key, text, limit), path)
+    ch = spark.read.parquet(path)
     ks = [key, "chunk_id"]
     keys = ch.select(*ks)
-    n_chunks = ch.count()
-    sents, sw, tf = sentence_terms(ch, ks, text)
-    scored = tfidf_from_tf(tf, n_chunks, ks)
+    words_at, tf = sentence_terms(ch, ks, text)
+    scored = tfidf_from_tf(topic_terms(tf), statistics)
     topic = top_k(scored, ks, [F.col("score").desc(), F.col("term")], 1).select(
         *ks, F.col("term").alias("main_topic"))
-    parts = (summary_from(keys, sents, sw, scored, ks, summary_sentences)
+    parts = (summary_from(ch, words_at, scored, ks, text, summary_sentences)
              .join(sentiment_from_tf(keys, tf, sentiment_lexicon, ks), ks, "left")
              .join(emotion_from_tf(keys, tf, emotion_lexicon, ks, "primary_emotion"), ks, "left")
              .join(emotion_from_tf(keys, tf, secondary_lexicon, ks, "secondary_emotion"), ks, "left")
@@ -262,7 +285,7 @@ def enrich(docs: DataFrame, key: str, scorer: Callable, schema=None,
     ``key``) are scored. ``scorer`` is either a DataFrame -> DataFrame
     function (built-in Catalyst scorers) or, with ``schema``, a
     ``mapInPandas`` function over Arrow batches (a user's own model)."""
-    todo = docs if store is None else docs.join(store.select(key), key, "left_anti")
+    todo = docs if store is None else missing_enrichments(docs, store, key)
     if schema is not None:
         return todo.mapInPandas(scorer, schema)
     return scorer(todo)

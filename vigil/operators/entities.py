@@ -10,15 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.operators.catalog import join_channels, video_channel
-from vigil.operators.joins import salted_join
 from vigil.schemas import ENTITY_TYPES
 
 # FIXED VALUES of the deterministic extractor (our own rules, not a model):
 # a number-like span (optionally with currency prefix, % or ordinal suffix)
-# or a clock time; and a run of 1 to 6 capitalised words separated by single
-# spaces.
+# or a clock time; and a run of capitalised words separated by single spaces,
+# of any length.
 NUMBER_SPAN = r"\d{1,2}:\d{2}|[$€£]?\d+(?:[.,]\d+)*(?:%|st|nd|rd|th)?"
-PROPER_SPAN = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+){0,5}"
+PROPER_SPAN = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
 YEAR = r"^(19|20)\d\d$"
 TIME = r"^\d{1,2}:\d{2}$"
 
@@ -35,36 +34,22 @@ def number_type(v):
 
 def extract_entities(docs: DataFrame, key: str = "video_id", text: str = "text",
                      gazetteer: DataFrame | None = None,
-                     proper_noun_type: str | None = None,
-                     max_gazetteer_rows: int = 1_000_000) -> DataFrame:
+                     proper_noun_type: str | None = None) -> DataFrame:
     """Pattern entities from the whole text, one row per occurrence with its
-    position: number-like spans typed by shape; capitalised runs typed by a
-    gazetteer ``(term, entity_type)`` (case-insensitive, broadcast only when
-    proven small) or by ``proper_noun_type``; untyped runs are dropped."""
-    nums = (docs.select(F.col(key).alias("source_id"),
-                        F.posexplode(F.regexp_extract_all(F.col(text), F.lit(NUMBER_SPAN), 0))
-                         .alias("pos", "value"))
-                .withColumn("pos", F.col("pos").cast("long"))
-                .withColumn("entity_type", number_type(F.col("value"))))
-    out = nums.select("source_id", "entity_type", "value", "pos")
-    if gazetteer is not None or proper_noun_type:
-        runs = docs.select(F.col(key).alias("source_id"),
-                           F.posexplode(F.regexp_extract_all(F.col(text), F.lit(PROPER_SPAN), 0))
-                            .alias("pos", "value"))
-        runs = runs.withColumn("pos", F.col("pos").cast("long") + F.lit(1_000_000_000))
-        if gazetteer is not None:
-            g = gazetteer.select(F.lower("term").alias("_t"), F.col("entity_type").alias("_gt"))
-            runs = (runs.withColumn("_t", F.lower("value"))
-                        .transform(lambda r: salted_join(r, g, ["_t"], "left",
-                                                         salt_from=["source_id", "pos"],
-                                                         max_broadcast_rows=max_gazetteer_rows))
-                        .withColumn("entity_type", F.coalesce(F.col("_gt"), F.lit(proper_noun_type)))
-                        .drop("_t", "_gt"))
-        else:
-            runs = runs.withColumn("entity_type", F.lit(proper_noun_type))
-        out = out.unionByName(runs.filter(F.col("entity_type").isNotNull())
-                                  .select("source_id", "entity_type", "value", "pos"))
-    return out
+    position in reading order: number-like spans typed by shape; capitalised
+    runs typed by a gazetteer ``(term, entity_type)`` (case-insensitive) or by
+    ``proper_noun_type``; untyped runs are dropped."""
+    found = docs.select(F.col(key).alias("source_id"), F.posexplode(
+        F.regexp_extract_all(F.col(text), F.lit(f"{NUMBER_SPAN}|{PROPER_SPAN}"), 0)).alias("pos", "value"))
+    found = found.withColumn("pos", F.col("pos").cast("long"))
+    run = F.col("value").rlike(r"^\p{Lu}")
+    proper = F.lit(proper_noun_type).cast("string")
+    if gazetteer is not None:
+        g = gazetteer.select(F.lower("term").alias("_t"), F.col("entity_type").alias("_gt"))
+        found = found.withColumn("_t", F.when(run, F.lower("value"))).join(g, "_t", "left")
+        proper = F.coalesce(F.col("_gt"), proper)
+    typed = found.withColumn("entity_type", F.when(run, proper).otherwise(number_type(F.col("value"))))
+    return typed.filter(F.col("entity_type").isNotNull()).select("source_id", "entity_type", "value", "pos")
 
 
 def unique_entities(ents: DataFrame) -> DataFrame:
@@ -76,55 +61,24 @@ def unique_entities(ents: DataFrame) -> DataFrame:
     return ents.select(*keys).distinct()
 
 
-GRAM = 32
-
-
-def _contained_keys(e: DataFrame, gram: int = GRAM) -> DataFrame:
-    """(source_id, entity_type, value) for every string that occurs inside a
-    longer value of the same document and type. Linear in value length:
-
-    * short strings (length <= ``gram``): every value of length n emits its
-      substrings of length <= min(gram, n-1) (start and length come from
-      ``sequence`` + ``explode`` so ``substring`` stays in generated code),
-      plus '' (contained in any non-empty value);
-    * long values v (length > ``gram``): v's first ``gram`` characters are
-      equi-joined to the ``gram``-long windows (with position) of longer
-      values, and each candidate is verified with one substring compare.
-    """
+def _contained_keys(e: DataFrame) -> DataFrame:
+    """(source_id, entity_type, _m, _h1, _h2) of the strings that occur inside
+    a longer value of the same document and type, as length and 128 bits of
+    hash. A value emits only substrings of lengths that values of its document
+    and type have, so the rows follow the values' own lengths and not the
+    number of values that look alike; the value itself isn't carried along."""
     n = F.length("value")
-    # Per type, the first characters and the lengths of its values: a
-    # substring can only equal a value if it starts with one of those
-    # characters and has one of those lengths. Both sets are bounded (by the
-    # alphabet and the longest value) and there are at most 18 types, so the
-    # table is broadcast; it prunes most start positions and lengths.
-    shape = (e.groupBy("entity_type")
-              .agg(F.collect_set(F.substring("value", 1, 1)).alias("_f"),
-                   F.collect_set(n).alias("_l")))
-    base = e.select("source_id", "entity_type", "value", n.alias("_n")).filter(F.col("_n") > 1)
-    starts = base.select("*", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i"))
-    all_starts = starts
-    starts = (starts.join(F.broadcast(shape), "entity_type")
-                    .filter(F.array_contains("_f", F.expr("substring(value, _i, 1)"))))
-    top = F.least(F.lit(gram), F.col("_n") - 1, F.col("_n") - F.col("_i") + 1)
-    short = (starts.filter(top >= 1)
-                   .select("source_id", "entity_type", "value", "_i", "_l",
-                           F.explode(F.sequence(F.lit(1), top)).alias("_m"))
-                   .filter(F.array_contains("_l", F.col("_m")))
-                   .select("source_id", "entity_type",
-                           F.expr("substring(value, _i, _m)").alias("value")))
-    empties = e.filter(n > 0).select("source_id", "entity_type", F.lit("").alias("value"))
-    windows = (all_starts.filter((F.col("_n") > gram + 1) & (F.col("_i") <= F.col("_n") - gram))
-                     .select("source_id", "entity_type", F.col("value").alias("_w"),
-                             F.col("_n").alias("_wn"), "_i",
-                             F.expr(f"substring(value, _i, {gram})").alias("_g")))
-    longs = (e.filter(n > gram)
-              .select("source_id", "entity_type", "value", n.alias("_vn"),
-                      F.substring("value", 1, gram).alias("_g")))
-    long_hits = (longs.join(windows, ["source_id", "entity_type", "_g"], "inner")
-                      .filter((F.col("_wn") > F.col("_vn"))
-                              & (F.expr("substring(_w, _i, _vn)") == F.col("value")))
-                      .select("source_id", "entity_type", "value"))
-    return short.unionByName(empties).unionByName(long_hits).distinct()
+    lengths = e.groupBy("source_id", "entity_type").agg(F.collect_set(n).alias("_l"))
+    wide = e.join(lengths, ["source_id", "entity_type"]).select(
+        "source_id", "entity_type", "value", F.explode(F.filter("_l", lambda m: m < n)).alias("_m"))
+    last = F.when(F.col("_m") == 0, 1).otherwise(n - F.col("_m") + 1)
+
+    def piece(i):
+        part = F.substring(F.col("value"), i, F.col("_m"))
+        return F.struct(F.xxhash64(part).alias("_h1"), F.xxhash64(F.lit(7), part).alias("_h2"))
+    return (wide.select("source_id", "entity_type", "_m",
+                        F.explode(F.transform(F.sequence(F.lit(1), last), piece)).alias("_x"))
+                .select("source_id", "entity_type", "_m", "_x.*").distinct())
 
 
 def cleaned_entities(ents: DataFrame) -> DataFrame:
@@ -132,28 +86,20 @@ def cleaned_entities(ents: DataFrame) -> DataFrame:
     value of the same type in the same document is dropped; types outside
     the 18 and null values are dropped.
 
-    Exact and shuffle-friendly: each value emits its strictly shorter
-    substrings (O(len^2) per value, independent of group size), the
-    distinct emitted keys are anti-joined on (source_id, entity_type, value).
-    No pair of values is ever compared, so a document holding a third of all
-    rows costs the same per row as any other, and the join key includes the
-    value, so no task receives a whole document. The distinct values are
-    checkpointed (eager) when the DataFrame is built.
+    Every value emits hashed substrings, which are anti-joined; no pair of
+    values is ever compared, and the join key includes the value's hash, so no
+    task receives a whole document. The distinct values feed three readers and
+    are written once to the shared folder when the DataFrame is built.
     """
-    from vigil.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(ents.sparkSession)
+    from vigil.sources.files import scratch_dir, write_table
+    spark = ents.sparkSession
     keys = ["source_id", "entity_type", "value"]
-    n = int(ents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # an explicit partition count (not coalesced by AQE) keeps the substring
-    # explosion below spread over the cluster
-    e = (ents.filter(F.col("value").isNotNull() & F.col("entity_type").isin(*ENTITY_TYPES))
-             .select(*keys).repartition(n, *keys).distinct())
-    # Four consumers read ``e`` with different filters; Catalyst pushes
-    # each filter below the distinct, so their subtrees differ and no
-    # exchange is reused -- the extraction upstream would run four times.
-    # A reliable checkpoint (small next to the texts it came from) runs it once.
-    e = e.checkpoint(eager=True)
-    return e.join(_contained_keys(e), keys, "left_anti")
+    e = ents.filter(F.col("value").isNotNull() & F.col("entity_type").isin(*ENTITY_TYPES)).select(*keys).distinct()
+    path = scratch_dir(spark, "entity_values")
+    write_table(e, path)
+    e = spark.read.schema(e.schema).parquet(path)
+    own = e.withColumns({"_m": F.length("value"), "_h1": F.xxhash64("value"), "_h2": F.xxhash64(F.lit(7), "value")})
+    return own.join(_contained_keys(e), ["source_id", "entity_type", "_m", "_h1", "_h2"], "left_anti").select(*keys)
 
 
 def entity_type_filter(ents: DataFrame, entity_type: str = "any") -> DataFrame:
@@ -173,8 +119,8 @@ def videos_containing_entity(entity_index: DataFrame, entity_name: str,
 def _matcher(pattern: str, mode: str):
     v = F.lower(F.col("value"))
     if mode == "regex":
-        # (?i) instead of lower-casing the pattern (lower-casing breaks \S etc.)
-        return F.col("value").rlike("(?i)" + pattern)
+        # (?iu) instead of lower-casing the pattern (lower-casing breaks \S etc.)
+        return F.col("value").rlike("(?iu)" + pattern)
     if mode == "substring":
         return v.contains(pattern.lower())
     raise ValueError(f"unknown mode {mode!r}")
@@ -184,12 +130,13 @@ def with_channel_info(rows: DataFrame, listing: DataFrame, channels: DataFrame,
                       key: str = "source_id") -> DataFrame:
     """Attach channel_id ('' when the document is in no listing) and the
     channel columns (null for an unknown channel) to index rows."""
-    vc = video_channel(listing).select(F.col("video_id").alias(key),
-                                       F.col("channel_id").alias("_ch"))
+    wanted = listing.join(rows.select(F.col(key).alias("video_id")).distinct(), "video_id", "left_semi")
+    vc = video_channel(wanted).select(F.col("video_id").alias(key),
+                                      F.col("channel_id").alias("_ch"))
     out = (rows.join(vc, key, "left")
                .withColumn("channel_id", F.coalesce(F.col("_ch").cast("string"), F.lit("")))
                .drop("_ch"))
-    return join_channels(out, channels, "left", salt_from=[key])
+    return join_channels(out, channels, "left")
 
 
 def collect_data_containing_entity(entity_index: DataFrame, library_index: DataFrame,
@@ -203,24 +150,14 @@ def collect_data_containing_entity(entity_index: DataFrame, library_index: DataF
             .withColumn("entity", F.lit(entity.lower())))
 
 
-PATTERNS_PER_PASS = 256
-
-
 def match_patterns(rows: DataFrame, patterns: list[str], mode: str = "regex",
                    keep: list[str] | None = None) -> DataFrame:
     """(keep.., pattern_pos) for every pattern of the list that matches a
-    row's ``value``. Each pattern is a literal (compiled once per task);
-    one pass tests a block of patterns, so no nested-loop join is planned
-    and the scan is not repeated per pattern."""
-    keep = keep or ["value"]
-    out = None
-    for start in range(0, len(patterns), PATTERNS_PER_PASS):
-        block = patterns[start:start + PATTERNS_PER_PASS]
-        hits = F.array(*[F.when(_matcher(p, mode), F.lit(start + i)) for i, p in enumerate(block)])
-        part = rows.select(*keep, F.explode(F.filter(hits, lambda x: x.isNotNull()))
-                                   .alias("pattern_pos"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    row's ``value``. Each pattern is a literal (compiled once per task), all
+    are tested in one pass over the rows, and no nested-loop join is planned."""
+    hits = F.array(*[F.when(_matcher(p, mode), F.lit(i)) for i, p in enumerate(patterns)])
+    return rows.select(*(keep or ["value"]),
+                       F.explode(F.filter(hits, lambda x: x.isNotNull())).alias("pattern_pos"))
 
 
 def collect_multi_entity_data(entity_index: DataFrame, library_index: DataFrame,

@@ -38,36 +38,33 @@ def assign_dense_keys(df: DataFrame, order_col: str, start: int,
 
 
 def upsert_index(current: DataFrame, incoming: DataFrame,
-                 tracked: list[str] = INDEX_TRACKED_COLUMNS,
-                 dense_keys: bool = True) -> DataFrame:
+                 tracked: list[str] = INDEX_TRACKED_COLUMNS) -> DataFrame:
     """Merge incoming index rows into the current index by ``path``.
 
     action = 'insert' (no current row; new lib_key = max key + rank by path),
     'update' (a tracked column differs, null-safe; incoming values, current
     lib_key), or 'keep' (no incoming row, or only untracked columns such as
-    summary differ; current row unchanged). No row is ever deleted."""
+    summary differ; current row unchanged). Of several incoming rows for one
+    path the newest counts (rec_mod_dtm, then the other values). No row is
+    ever deleted. New paths are found and numbered on keys alone."""
+    order = ["rec_mod_dtm", *[c for c in VALUE_COLUMNS if c != "rec_mod_dtm"]]
+    inc = incoming.groupBy("path").agg(F.max(F.struct(*order)).alias("_i"))
     cur = current.select("path", F.col("lib_key").alias("_ck"),
                          F.struct(*VALUE_COLUMNS).alias("_c"))
-    inc = incoming.select("path", F.struct(*VALUE_COLUMNS).alias("_i"))
-    j = cur.join(inc, "path", "full")
     same = None
     for t in tracked:
         e = F.col(f"_c.{t}").eqNullSafe(F.col(f"_i.{t}"))
         same = e if same is None else same & e
-    action = (F.when(F.col("_i").isNull(), "keep").when(F.col("_c").isNull(), "insert")
-               .when(same, "keep").otherwise("update"))
-    j = j.withColumn("action", action)
-    pick = F.when(F.col("action") == "keep", F.col("_c")).otherwise(F.col("_i"))
-    rows = j.select("path", "_ck", "action", pick.alias("_r"))
-    flat = rows.select("_ck", "path", "action", *[F.col(f"_r.{c}").alias(c) for c in VALUE_COLUMNS])
-    old = flat.filter(F.col("action") != "insert").withColumnRenamed("_ck", "lib_key")
-    new = flat.filter(F.col("action") == "insert").drop("_ck")
+    action = F.when(F.col("_i").isNull() | same, "keep").otherwise("update")
+    picked = [F.when(F.col("action") == "keep", F.col(f"_c.{c}")).otherwise(F.col(f"_i.{c}")).alias(c)
+              for c in VALUE_COLUMNS]
+    old = (cur.join(inc, "path", "left").withColumn("action", action)
+              .select(F.col("_ck").alias("lib_key"), "path", "action", *picked))
     max_key = current.agg(F.max("lib_key")).first()[0] or 0
-    if dense_keys:
-        new = assign_dense_keys(new, "path", max_key)
-    else:
-        new = new.withColumn("lib_key", (F.lit(max_key)
-                                         + F.row_number().over(Window.orderBy("path"))).cast("long"))
+    fresh = incoming.select("path").distinct().join(current.select("path"), "path", "left_anti")
+    new = (inc.join(assign_dense_keys(fresh, "path", max_key), "path")
+              .select("lib_key", "path", F.lit("insert").alias("action"),
+                      *[F.col(f"_i.{c}").alias(c) for c in VALUE_COLUMNS]))
     return old.select(*INDEX_COLUMNS, "action").unionByName(new.select(*INDEX_COLUMNS, "action"))
 
 
@@ -91,7 +88,10 @@ def refresh_index(spark: SparkSession, root: str, write: bool = True) -> DataFra
     incoming = (inv.join(clf.withColumnRenamed("video_id", "source_id"), "source_id", "left")
                    .withColumn("sentiment", F.coalesce(F.col("sentiment"), F.lit(False))))
     current = src.read_index(spark, root)
-    up = upsert_index(current, incoming)
+    # the result is written once; the probe, the new version and the caller read it
+    path = src.scratch_dir(spark, "upsert")
+    src.write_table(upsert_index(current, incoming), path)
+    up = spark.read.parquet(path)
     if write and index_changed(up):
         src.write_version(index_rows(up), f"{root}/library_index")
     return up

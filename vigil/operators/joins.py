@@ -1,13 +1,10 @@
 """Join and ranking building blocks shared by the operators.
 
-* ``bounded_broadcast`` broadcasts a side only after a bounded count proves
-  it small; otherwise the planner keeps a shuffle join (AQE may still switch
-  to broadcast from runtime sizes).
-* ``salted_join`` spreads hot keys of a large side over ``buckets`` tasks
-  and replicates the (one-row-per-key) small side ``buckets`` times.
-* ``top_k`` keeps the first k rows per group; Spark plans it with a partial
-  ``WindowGroupLimit`` before the shuffle, so a hot group ships at most
-  k rows per map task.
+Joins are plain equi joins: adaptive execution broadcasts a side that its
+measured bytes allow and splits the partitions of hot keys, whatever the size
+of the input. ``top_k`` keeps the first k rows per group; Spark plans it with a
+partial ``WindowGroupLimit`` before the shuffle, so a hot group ships at most
+k rows per map task. ``spread`` is scan set-up for the stand-in loader only.
 """
 
 from __future__ import annotations
@@ -15,37 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_SALT_BUCKETS = 32
-
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most
-    ``max_rows + 1`` rows to decide."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a side proven to hold <= ``max_rows`` rows."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-                buckets: int = DEFAULT_SALT_BUCKETS, salt_from: list[str] | None = None,
-                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Equi join where ``small`` holds at most one row per key but ``big`` may
-    hold a third of all rows on one key. Broadcast when ``small`` is proven
-    small; else salt: big rows get ``pmod(hash(salt_from), buckets)``, small
-    rows are replicated once per bucket."""
-    if max_broadcast_rows > 0 and is_small(small, max_broadcast_rows):
-        return big.join(F.broadcast(small), on, how)
-    salt_cols = salt_from or [c for c in big.columns if c not in on]
-    # coalesce makes the salt non-nullable: no isnotnull(salt) is inferred and
-    # pushed into this side only, which would stop exchange reuse upstream
-    b = big.withColumn("_salt", F.coalesce(F.pmod(F.hash(*salt_cols), F.lit(buckets)), F.lit(0)))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return b.join(s, on + ["_salt"], how).drop("_salt")
-
 
 def spread(df: DataFrame, key: str | list[str]) -> DataFrame:
     """Hash-distribute rows by ``key`` when a *scan* yields fewer partitions

@@ -769,20 +769,19 @@ def q_compile_topic_index(spark, d):
 
 
 @query("append_new_listing", with_ctes("listing") + """,
-new AS (SELECT * FROM listing WHERE title IN ('view', 'click')
+new AS (SELECT * FROM listing WHERE video_id % 2 = 0
         UNION ALL SELECT video_id, upper(title), published_at, channel_id
-        FROM listing WHERE title = 'view'),
-old AS (SELECT * FROM listing WHERE title IN ('click', 'purchase'))
+        FROM listing WHERE video_id % 4 = 0),
+old AS (SELECT * FROM listing WHERE video_id % 2 = 1 OR video_id % 6 = 0)
 SELECT DISTINCT * FROM (
   SELECT * FROM new WHERE video_id NOT IN (SELECT video_id FROM old)
   UNION ALL SELECT * FROM old)""")
 def q_append_new_listing(spark, d):
-    lst = SI.listing(spark, d)
-    new = (lst.filter(F.col("title").isin("view", "click"))
-              .unionByName(lst.filter(F.col("title") == "view")
-                              .withColumn("title", F.upper("title"))))
-    old = lst.filter(F.col("title").isin("click", "purchase"))
-    return C.append_new_listing(new, old)
+    """Every listing row is new, stored or both; some new ones have two titles."""
+    lst, i = SI.listing(spark, d), F.col("video_id")
+    new = (lst.filter(i % 2 == 0)
+              .unionByName(lst.filter(i % 4 == 0).withColumn("title", F.upper("title"))))
+    return C.append_new_listing(new, lst.filter((i % 2 == 1) | (i % 6 == 0)))
 
 
 @query("union_all", with_ctes("transcripts", "segments") + """
@@ -902,7 +901,7 @@ EMO_SQL_TMPL = """
 WITH lex AS (SELECT * FROM {lex}),
 tf AS (
   SELECT doc_id, w AS term, count(*) AS tf
-  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}{{4,}}')) AS w
+  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS w
         FROM documents)
   GROUP BY ALL),
 scores AS (
@@ -925,7 +924,7 @@ SENT_SQL = f"""
 WITH lex AS (SELECT * FROM {_values_sql(SENTIMENT_LEXICON, ["term", "weight"])}),
 tf AS (
   SELECT doc_id, w AS term, count(*) AS tf
-  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}{{4,}}')) AS w
+  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS w
         FROM documents)
   GROUP BY ALL),
 scores AS (SELECT doc_id, round(sum(tf * weight), 6) AS score FROM tf JOIN lex USING (term)
@@ -1022,11 +1021,14 @@ OVERALL_SQL = f"""
 WITH chunks AS (SELECT doc_id, 0 AS chunk_id, text FROM documents),
 tfc AS (
   SELECT doc_id, w AS term, count(*) AS tf
-  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}{{4,}}')) AS w FROM chunks)
+  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS w FROM chunks)
+  GROUP BY ALL),
+dfreq AS (
+  SELECT w AS term, count(DISTINCT doc_id) AS df
+  FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}{{4,}}')) AS w FROM documents)
   GROUP BY ALL),
-dfreq AS (SELECT term, count(*) AS df FROM tfc GROUP BY term),
 scored AS (
-  SELECT tfc.doc_id, tfc.term, round(tfc.tf * ln((SELECT count(*) FROM chunks) / d.df), 6) AS score
+  SELECT tfc.doc_id, tfc.term, round(tfc.tf * ln((SELECT count(*) FROM documents) / d.df), 6) AS score
   FROM tfc JOIN dfreq d USING (term)),
 topic1 AS (SELECT doc_id, term AS main_topic FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS r FROM scored)
@@ -1085,7 +1087,9 @@ def q_stream_transcripts(spark, d):
     return jobs.run_stream_transcripts(spark, d)
 
 
-@query("stream_listing_dedup", with_ctes("listing") + "SELECT * FROM listing")
+@query("stream_listing_dedup", with_ctes("listing") + """
+SELECT video_id, CASE WHEN video_id % 5 = 0 THEN upper(title) ELSE title END AS title,
+       published_at, channel_id FROM listing""")
 def q_stream_listing_dedup(spark, d):
     from vigil.streaming import jobs
     return jobs.run_stream_listing_dedup(spark, d)
@@ -1113,17 +1117,15 @@ def _processed(spark, d, col="source_id"):
     return T(spark, d, "labels").filter("quality = 1").select(F.col("doc_id").alias(col))
 
 
-@query("identify_topics_for_all", "WITH " + TOPIC_LIST_CTES.replace(
-    "FROM documents)", f"FROM documents WHERE doc_id NOT IN ({PROCESSED_SQL}))").replace(
-    "(SELECT count(*) FROM documents)",
-    f"(SELECT count(*) FROM documents WHERE doc_id NOT IN ({PROCESSED_SQL}))") + f"""
-SELECT term AS topic, doc_id AS source_id FROM ranked WHERE rank <= {TOPICS_K}""")
+@query("identify_topics_for_all", "WITH " + TOPIC_LIST_CTES + f"""
+SELECT term AS topic, doc_id AS source_id FROM ranked
+WHERE rank <= {TOPICS_K} AND doc_id NOT IN ({PROCESSED_SQL})""")
 def q_identify_topics_for_all(spark, d):
     return BT.identify_topics_for_all(SI.transcripts(spark, d), _processed(spark, d), TOPICS_K)
 
 
 _TODO_DOCS = f"(SELECT * FROM documents WHERE doc_id NOT IN ({PROCESSED_SQL}))"
-_SUMMARY_SQL = ORACLE["summarize"].replace("FROM documents", f"FROM {_TODO_DOCS} documents")
+_SUMMARY_SQL = ORACLE["summarize"]
 _SUMMARY_CTE = _SUMMARY_SQL.strip()[len("WITH "):].rsplit("SELECT d.doc_id, m.summary", 1)[0]
 _SUMMARY_CTE = _SUMMARY_CTE.rstrip().rstrip(",")
 
@@ -1146,9 +1148,15 @@ _CLASSIFY_TODO = f"""(SELECT * FROM documents
 
 
 @query("classify_transcripts", OVERALL_SQL.replace(
-    "chunks AS (SELECT doc_id, 0 AS chunk_id, text FROM documents)",
-    f"chunks AS (SELECT doc_id AS video_id, doc_id, 0 AS chunk_id, text FROM {_CLASSIFY_TODO})")
-    .replace("SELECT c.doc_id, m.summary", "SELECT c.video_id, m.summary"))
+    "WITH chunks AS (SELECT doc_id, 0 AS chunk_id, text FROM documents)",
+    with_ctes("listing", "channels") + f""",
+info AS (SELECT l.video_id, l.channel_id, coalesce(h.channel_title, '') AS channel_title,
+           coalesce(h.category, '') AS channel_category, l.published_at, l.title
+         FROM listing l LEFT JOIN channels h USING (channel_id)),
+chunks AS (SELECT doc_id AS video_id, doc_id, 0 AS chunk_id, text FROM {_CLASSIFY_TODO})""")
+    .replace("SELECT c.doc_id, m.summary", "SELECT c.video_id, i.channel_id, i.channel_title, "
+             "i.channel_category, i.published_at, i.title, m.summary")
+    .replace("LEFT JOIN topic1 t USING (doc_id)", "LEFT JOIN topic1 t USING (doc_id) JOIN info i ON i.video_id = c.video_id"))
 def q_classify_transcripts(spark, d):
     return BT.classify_transcripts(
         SI.transcripts(spark, d), SI.classifications(spark, d), SI.listing(spark, d),
@@ -1161,11 +1169,7 @@ _STALE = "(SELECT * FROM classifications WHERE video_id IN (SELECT video_id FROM
 
 
 @query("update_new_classifications", with_ctes("classifications", "listing") + ", "
-       + TOPIC_LIST_CTES.replace(
-           "FROM documents)", f"FROM documents WHERE doc_id IN (SELECT video_id FROM {_STALE} s))")
-       .replace("(SELECT count(*) FROM documents)",
-                f"(SELECT count(*) FROM documents WHERE doc_id IN (SELECT video_id FROM {_STALE} s))")
-       + f"""
+       + TOPIC_LIST_CTES + f"""
 SELECT s.video_id, s.summary, s.summary_reasoning, s.sentiment, s.primary_emotion,
        s.secondary_emotion, r.term AS main_topic
 FROM {_STALE} s LEFT JOIN (SELECT * FROM ranked WHERE rank = 1) r ON r.doc_id = s.video_id""")

@@ -153,23 +153,19 @@ SQL = {
 
 # Extractor patterns in RE2 form (same text as the Spark patterns).
 _NUM = r"\d{1,2}:\d{2}|[$€£]?\d+(?:[.,]\d+)*(?:%|st|nd|rd|th)?"
-_PROPER = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+){0,5}"
+_PROPER = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
 SQL["raw_entities"] = f"""raw_entities AS (
   SELECT doc_id AS source_id,
-         CASE WHEN regexp_matches(v, '^\\d{{1,2}}:\\d{{2}}$') THEN 'TIME'
+         CASE WHEN regexp_matches(v, '^\\p{{Lu}}') THEN 'PERSON'
+              WHEN regexp_matches(v, '^\\d{{1,2}}:\\d{{2}}$') THEN 'TIME'
               WHEN regexp_matches(v, '^[$€£]') THEN 'MONEY'
               WHEN ends_with(v, '%') THEN 'PERCENT'
               WHEN regexp_matches(v, '(st|nd|rd|th)$') THEN 'ORDINAL'
               WHEN regexp_matches(v, '^(19|20)\\d\\d$') THEN 'DATE'
               ELSE 'CARDINAL' END AS entity_type,
          v AS value, p - 1 AS pos
-  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_NUM}')) AS v,
-               generate_subscripts(regexp_extract_all(text, '{_NUM}'), 1) AS p
-        FROM documents)
-  UNION ALL
-  SELECT doc_id AS source_id, 'PERSON' AS entity_type, v AS value, p - 1 + 1000000000 AS pos
-  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_PROPER}')) AS v,
-               generate_subscripts(regexp_extract_all(text, '{_PROPER}'), 1) AS p
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{_NUM}|{_PROPER}')) AS v,
+               generate_subscripts(regexp_extract_all(text, '{_NUM}|{_PROPER}'), 1) AS p
         FROM documents))"""
 SQL["unique_entities"] = """unique_entities AS (
   SELECT source_id, entity_type, value, min(pos) AS pos

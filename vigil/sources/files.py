@@ -178,11 +178,13 @@ def jvm_path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def write_version(df: DataFrame, root: str) -> str:
+def write_version(df: DataFrame, root: str, tag: str = "") -> str:
     """Write a table that is also an input as a new version folder; readers
     take the newest complete one. Overwriting a path that the same plan
-    reads would delete the input before it is read."""
-    target = f"{root}/v={int(time.time() * 1000):015d}"
+    reads would delete the input before it is read. A version's number is
+    above every one before it, whatever the driver's clock says."""
+    last = max([int(v[2:17]) for v in list_versions(df.sparkSession, root)], default=0)
+    target = f"{root}/v={max(int(time.time() * 1000), last + 1):015d}{'-' + tag if tag else ''}"
     write_table(df, target, mode="errorifexists")
     return target
 
@@ -229,13 +231,17 @@ def write_per_document(df: DataFrame, key: str, folder: str, suffix: str) -> int
     """Write the legacy layout: one gzip Parquet file ``<key><suffix>`` per
     key value, without the key column. Rows are hash-partitioned and sorted
     by key; each task streams its keys in order into one open writer at a
-    time, so no document's rows are gathered in memory. Returns rows written."""
+    time, so no document's rows are gathered in memory. A file gets its name
+    when it is complete, so a retried task leaves no half file. A null key is
+    an error. Workers need this package (``--py-files``). Returns rows written."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     cols = [c for c in df.columns if c != key]
     arrow_schema = to_arrow_schema(df.select(*cols).schema)
 
     def writer(batches):
+        import uuid
+
         import pandas as pd
         import pyarrow as pa
         import pyarrow.parquet as pq
@@ -245,20 +251,25 @@ def write_per_document(df: DataFrame, key: str, folder: str, suffix: str) -> int
         for pdf in batches:
             if pdf.empty:
                 continue
+            if pdf[key].isna().any():
+                raise ValueError(f"null {key}: such rows have no file to go to")
             for k, g in pdf.groupby(key, sort=False):
                 k = str(k)
                 if k != cur:
                     if w is not None:
                         w.close()
+                        filesystem.move(f"{root}/{tmp}", f"{root}/{cur}{suffix}")
                         yield pd.DataFrame({"key": [cur], "rows": [n]})
                     cur, n = k, 0
-                    w = pq.ParquetWriter(f"{root}/{k}{suffix}", arrow_schema,
+                    tmp = f"_{uuid.uuid4().hex}.tmp"
+                    w = pq.ParquetWriter(f"{root}/{tmp}", arrow_schema,
                                          filesystem=filesystem, compression="gzip")
                 w.write_table(pa.Table.from_pandas(g[cols], schema=arrow_schema,
                                                    preserve_index=False))
                 n += len(g)
         if w is not None:
             w.close()
+            filesystem.move(f"{root}/{tmp}", f"{root}/{cur}{suffix}")
             yield pd.DataFrame({"key": [cur], "rows": [n]})
 
     out = (df.repartition(key).sortWithinPartitions(key)
@@ -297,7 +308,8 @@ def compact_legacy_store(spark: SparkSession, root: str, out_root: str,
             written[name] = write_version(read().repartition(n, key), f"{out_root}/{name}")
     if path_exists(spark, f"{root}/channels"):
         target = f"{out_root}/channel_search/v={int(time.time() * 1000):015d}"
-        (read_channel_search(spark, f"{root}/channels").repartition("channel_id").write
+        # a channel may own a third of the listing: its rows are spread, by video
+        (read_channel_search(spark, f"{root}/channels").repartition(n, F.xxhash64("video_id")).write
             .mode("errorifexists").option("compression", "gzip").partitionBy("channel_id")
             .parquet(target))
         written["channel_search"] = target

@@ -69,19 +69,38 @@ def stream_transcripts(spark: SparkSession, source_dir: str, out_dir: str, check
 
 def stream_listing_dedup(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
                          schema: T.StructType, glob: str,
-                         prepare: Callable[[DataFrame], DataFrame] | None = None,
-                         watermark: tuple[str, str] | None = None) -> None:
-    """Append listing rows whose video_id was not seen in any batch."""
+                         prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Append listing rows whose video_id is not stored yet; of a batch's rows
+    with one id the first by its other columns. Seen ids are those of the
+    stored listing, so no state grows in memory. A batch has a folder of its
+    own, and a replayed batch looks at the others only."""
     src = _source(spark, source_dir, schema, glob)
     if prepare is not None:
         src = prepare(src)
-    if watermark is not None:
-        col, delay = watermark
-        out = src.withWatermark(col, delay).dropDuplicatesWithinWatermark(["video_id"])
-    else:
-        out = src.dropDuplicates(["video_id"])
-    _run(out.writeStream.format("parquet").outputMode("append")
-            .option("path", out_dir).option("checkpointLocation", checkpoint))
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        rest = [c for c in df.columns if c != "video_id"]
+        new = (df.groupBy("video_id").agg(F.min(F.struct(*rest)).alias("_r"))
+                 .select("video_id", *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns))
+        if FS.path_exists(spark, out_dir):
+            stored = spark.read.parquet(out_dir).filter(F.col("batch") != batch_id)
+            new = new.join(stored.select("video_id"), "video_id", "left_anti").select(*df.columns)
+        FS.write_table(new, f"{out_dir}/batch={batch_id}")
+
+    _run(src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint))
+
+
+def upsert_batch(spark: SparkSession, store_root: str, incoming: DataFrame, batch_id: int) -> None:
+    """One batch of ``stream_index_upsert``. The actions are decided once and
+    stored; a replayed batch reads them again, and writes the index version
+    that carries its id only if that is missing."""
+    record, tag = f"{store_root}/upserts/batch={batch_id}", f"batch{batch_id}"
+    if not FS.path_exists(spark, f"{record}/_SUCCESS"):
+        FS.write_table(upsert_index(FS.read_index(spark, store_root), incoming), record)
+    up = spark.read.parquet(record)
+    done = [v for v in FS.list_versions(spark, f"{store_root}/library_index") if v.endswith(f"-{tag}")]
+    if not done and index_changed(up):
+        FS.write_version(index_rows(up), f"{store_root}/library_index", tag)
 
 
 def stream_index_upsert(spark: SparkSession, source_dir: str, store_root: str, checkpoint: str,
@@ -89,18 +108,10 @@ def stream_index_upsert(spark: SparkSession, source_dir: str, store_root: str, c
                         to_incoming: Callable[[DataFrame], DataFrame]) -> None:
     """Upsert each batch of incoming index rows into the newest index
     version; write a new version when anything changed and keep the batch's
-    actions under ``upserts/batch=<id>``."""
+    actions under ``upserts/batch=<id>``. Replaying a batch changes nothing."""
     src = _source(spark, source_dir, schema, glob)
-
-    def batch(df: DataFrame, batch_id: int) -> None:
-        current = FS.read_index(spark, store_root)
-        up = upsert_index(current, to_incoming(df)).persist()
-        FS.write_table(up, f"{store_root}/upserts/batch={batch_id}")
-        if index_changed(up):
-            FS.write_version(index_rows(up), f"{store_root}/library_index")
-        up.unpersist()
-
-    _run(src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint))
+    _run(src.writeStream.foreachBatch(lambda df, i: upsert_batch(spark, store_root, to_incoming(df), i))
+            .option("checkpointLocation", checkpoint))
 
 
 # --- runs over the driver's tables (used by the query registry) -------------
@@ -120,16 +131,16 @@ def run_stream_transcripts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def run_stream_listing_dedup(spark: SparkSession, d: str) -> DataFrame:
-    from vigil.plans.standins import ISO_FMT
-    out, ck = FS.scratch_dir(spark, "stream_listing"), FS.scratch_dir(spark, "stream_listing_ck")
-
-    def prepare(e):
-        return e.select(F.col("event_id").alias("video_id"), F.col("event_type").alias("title"),
-                        F.date_format("ts", ISO_FMT).alias("published_at"),
-                        F.col("user_id").cast("string").alias("channel_id"))
-    stream_listing_dedup(spark, d, out, ck, _table_schema(spark, d, "events"),
-                         glob="events.parquet", prepare=prepare)
-    return spark.read.parquet(out)
+    """The listing arrives in two batches that share a third of their ids."""
+    from vigil.plans.standins import listing
+    src, out, ck = (FS.scratch_dir(spark, f"stream_listing_{x}") for x in ("in", "out", "ck"))
+    rows = listing(spark, d)
+    for k in (0, 1):
+        part = rows.filter(F.col("video_id") % 3 != k)
+        part = part.unionByName(part.filter("video_id % 5 = 0").withColumn("title", F.upper("title")))
+        FS.write_table(part, src, mode="append")
+        stream_listing_dedup(spark, src, out, ck, part.schema, glob="*.parquet")
+    return spark.read.parquet(out).drop("batch")
 
 
 def run_stream_index_upsert(spark: SparkSession, d: str) -> DataFrame:
