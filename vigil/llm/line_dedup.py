@@ -26,7 +26,9 @@ _H = ["__h1", "__h2"]
 
 def _words(line) -> Column:
     """The words of a line; a newline ends the line, other blanks separate words."""
-    return F.split(F.translate(line, "\t\r\f\x0b", "    "), " ")
+    line = F.col(line)
+    rare = [F.contains(line, F.lit(c)) for c in "\t\r\f\x0b"]
+    return F.split(F.when(rare[0] | rare[1] | rare[2] | rare[3], F.translate(line, "\t\r\f\x0b", "    ")).otherwise(line), " ")
 
 
 def _word_set(line) -> Column:
@@ -37,7 +39,8 @@ def _rarity(texts: DataFrame) -> bytes:
     """One character per bucket of word hashes: how often its words occur in
     all texts, on a logarithmic scale. At most ``BUCKETS`` numbers, whatever
     the corpus; words that share a bucket are ordered as if equally rare."""
-    words = texts.select(F.explode(F.split(F.translate("__text", "\n\t\r\f\x0b", "     "), " ")).alias("w")).where("w <> ''")
+    words = (texts.select(F.explode(F.split("__text", "\n")).alias("__line"))
+             .select(F.explode(_words("__line")).alias("w")).where("w <> ''"))
     counts = (words.groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} AS int)").alias("bucket"))
               .agg(F.count(F.lit(1)).alias("n")).collect())
     table = bytearray(b" " * BUCKETS)
@@ -134,20 +137,35 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
                 .select("__t", "x.*").select(position, "__line"))
 
     posting = _prefixes(fetch(firsts), rarity, num, den).repartition("tok")
-    entry = F.struct("pos", "n", "at", "b1", "b2")
+    columns = ["pos", "n", "at", "b1", "b2"]
+    entry = F.struct(*columns)
     ranked = posting.withColumn("r", F.row_number().over(Window.partitionBy("tok").orderBy("pos")))
     lead = (ranked.where(F.col("r") <= leaders).groupBy("tok").agg(F.sort_array(F.collect_list(entry)).alias("lead"))
             .where(F.size("lead") > 1))
-    met = posting.join(lead, "tok").withColumn("close", F.filter("lead", lambda x: (x["pos"] < F.col("pos")) & _near(
-        x, {c: F.col(c) for c in ("n", "at", "b1", "b2")}, num, den)))
-    star = met.where(F.size("close") > 0).select("pos", F.explode(F.col("close.pos")).alias("earlier")).distinct()
+    own = {c: F.col(c) for c in columns[1:]}
+    met = posting.join(lead.hint("shuffle_hash"), "tok").withColumn("close", F.filter(
+        "lead", lambda x: (x["pos"] < F.col("pos")) & _near(x, own, num, den)))
+    near = met.where(F.size("close") > 0)
     alone = met.where((F.size("close") == 0) & (F.col("pos") > F.get("lead", F.size("lead") - 1)["pos"]))
 
-    def meet(some: DataFrame) -> DataFrame:
+    def meet(some: DataFrame, every: DataFrame) -> DataFrame:
         """Pairs of ``some`` entries with all earlier entries of their postings."""
-        a, b = some.select("tok", entry.alias("a")), posting.select("tok", entry.alias("b"))
+        a = some.select("tok", entry.alias("a"))
+        b = every.select("tok", entry.alias("b")).hint("shuffle_hash")
         return (a.join(b, "tok").where((F.col("b.pos") < F.col("a.pos")) & _near(F.col("a"), F.col("b"), num, den))
-                .select(F.col("a.pos").alias("pos"), F.col("b.pos").alias("earlier")).distinct())
+                .select(F.col("a.pos").alias("pos"), F.col("b.pos").alias("earlier")))
+
+    # One pass over the postings writes three kinds of rows: pairs with a
+    # leader, pairs found in whole postings, and the entries of the postings
+    # in which some line came near a leader. Those may be needed again.
+    kind = lambda df, k: df.withColumn("kind", F.lit(k))
+    active = posting.join(near.select("tok").distinct().hint("shuffle_hash"), "tok", "left_semi")
+    seen = stored(
+        kind(near.select("pos", F.explode(F.col("close.pos")).alias("earlier")).distinct(), "lead")
+        .unionByName(kind(meet(alone, posting).distinct(), "whole"), allowMissingColumns=True)
+        .unionByName(kind(near.select("tok", *columns), "near"), allowMissingColumns=True)
+        .unionByName(kind(active.select("tok", *columns), "posting"), allowMissingColumns=True))
+    pairs = seen.where("kind IN ('lead', 'whole')").select("pos", "earlier", "kind")
 
     def similar(pairs: DataFrame) -> DataFrame:
         """The pairs whose word sets reach the similarity."""
@@ -158,12 +176,12 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
         common = F.size(F.array_intersect("a", "b"))
         return both.where(common * den >= (F.size("a") + F.size("b") - common) * num).select("pos").distinct()
 
-    pairs = stored(star.withColumn("star", F.lit(True)).unionByName(meet(alone).withColumn("star", F.lit(False))))
     found = stored(similar(pairs.select("pos", "earlier").distinct()))
-    # near a leader by the filters, yet similar to none so far: these lines meet their whole postings
-    doubtful = pairs.where("star").select("pos").distinct().join(found, "pos", "left_anti")
-    again = _prefixes(fetch(doubtful.select(F.col("pos").alias("__pos"))), rarity, num, den)
-    rest = meet(again).join(pairs.select("pos", "earlier"), ["pos", "earlier"], "left_anti")
+    # near a leader by the filters, yet similar to none so far: there these lines meet the whole posting
+    doubtful = pairs.where("kind = 'lead'").select("pos").distinct().join(found, "pos", "left_anti")
+    again = seen.where("kind = 'near'").join(doubtful, "pos", "left_semi")
+    rest = meet(again, seen.where("kind = 'posting'")).distinct().join(
+        pairs.select("pos", "earlier"), ["pos", "earlier"], "left_anti")
     found = found.union(similar(stored(rest)))
 
     gone = (lines.join(firsts.where("c > 1").select("k1", "k2", F.col("__pos").alias("first")), ["k1", "k2"])
