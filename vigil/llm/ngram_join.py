@@ -6,12 +6,13 @@ documents has changes one group, so the number of differing groups never
 exceeds the symmetric difference, which the Jaccard threshold bounds for a
 band of set sizes. With m larger than that bound, two linked documents must
 agree in a group (pigeonhole), which is an equi-join. What meets is compared
-by Hamming distance of 1024-bit parity sketches, then by the sets themselves.
+by the Hamming distance of one-bit parity sketches, which bounds the symmetric
+difference in the same way, then by the sets themselves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from vigil.llm.components import components
 from vigil.llm.storage import stored, stored_by
 
-BITS = 1024
+LEAST_BITS = 1024
 
 
 @dataclass(frozen=True)
@@ -158,42 +159,49 @@ def sketch_parts(own, rule: Jaccard, bands: list[int]):
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def bit_sketch(own):
-    """1024 parities of the set's hashes, as +1 and -1."""
+def bit_sketch(own) -> bytes:
+    """One parity bit for each of 2^k classes of the set's hashes, 2^k at least
+    twice the set's size."""
     import numpy as np
-    return 1.0 - 2.0 * (np.bincount((own >> np.uint64(20)) % np.uint64(BITS), minlength=BITS) & 1)
+    bits = max(LEAST_BITS, 1 << (2 * len(own) - 1).bit_length())
+    parity = np.bincount((own >> np.uint64(8)) & np.uint64(bits - 1), minlength=bits) & 1
+    return np.packbits(parity.astype(np.uint8)).tobytes()
 
 
-def linked_pairs(sets: list, other: list | None, rule: Jaccard, tie: list | None = None,
-                 tie_other: list | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the links among ``sets`` (or between ``sets`` and
-    ``other``), as pairs of places. Pairs already tied to one another are left
-    out (tie: component labels known so far)."""
+def _sketch_rows(sketches: list[bytes]):
+    """As rows of 64-bit words, folded to the shortest of them."""
     import numpy as np
-    both = sets if other is None else [*sets, *other]
-    n = len(both)
-    label = np.arange(n)
-    if tie is not None:
-        known = [*tie, *([] if other is None else tie_other)]
-        first: dict = {}
-        label = np.array([first.setdefault(t, i) for i, t in enumerate(known)])
-    size = np.array([len(s) for s in both])
-    bits = np.array([bit_sketch(s) for s in both], dtype=np.float32)
+    width = min(map(len, sketches)) // 8
+    out = np.empty((len(sketches), width), dtype=np.uint64)
+    for i, b in enumerate(sketches):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(b, np.uint64).reshape(-1, width), axis=0)
+    return out
+
+
+def near_pairs(size, sketches: list[bytes], ties: list, split: int, rule: Jaccard, forest: bool) -> list[tuple[int, int]]:
+    """Pairs of places whose sizes and sketches allow a link, among all rows or,
+    if ``split``, between the first ``split`` rows and the others. Rows of one
+    tie are never paired; with ``forest`` only pairs that connect ties anew are
+    given."""
+    import numpy as np
+    first: dict = {}
+    label = np.array([first.setdefault(t, i) for i, t in enumerate(ties)])
+    words = _sketch_rows(sketches)
+    n = len(label)
     out = []
-    for i in range(len(sets)):
-        js = np.arange(i + 1, n) if other is None else np.arange(len(sets), n)
+    for i in range(split or n):
+        js = np.arange(split or i + 1, n)
         js = js[label[js] != label[i]]
         if not len(js):
             continue
         small, large = np.minimum(size[js], size[i]), np.maximum(size[js], size[i])
         most = (rule.under - rule.over) * (size[js] + size[i]) // (rule.under + rule.over)
-        differ = (BITS - bits[js] @ bits[i]) / 2
-        js = js[(rule.over * large <= rule.under * small) & (differ <= most)]
-        for j in js.tolist():
-            if label[i] == label[j]:
-                continue
-            common = len(np.intersect1d(both[i], both[j], assume_unique=True))
-            if rule.under * common >= rule.over * (size[i] + size[j] - common):
+        js, most = (x[rule.over * large <= rule.under * small] for x in (js, most))
+        differ = np.bitwise_count(words[js] ^ words[i]).sum(axis=1, dtype=np.int64)
+        for j in js[differ <= most].tolist():
+            if not forest:
+                out.append((i, j))
+            elif label[i] != label[j]:
                 out.append((i, j))
                 label[label == label[j]] = label[i]
     return out
@@ -222,9 +230,11 @@ def components_of(docs: DataFrame, rule: Jaccard, *, block: int = 512) -> DataFr
     repeated or null doc_id is handled by content, and a component's id is the
     least doc_id that is not null. Other columns are ignored; no rows give no rows.
 
-    A set is first compared in its largest bucket, by blocks of ``block`` sets;
-    after that only sets not yet connected are, so a large group of near copies
-    costs about its size. Only sets that share a part are shuffled.
+    Sets are compared by their sketches, first in their largest bucket only, by
+    blocks of ``block``, where a spanning forest of the near pairs is verified;
+    after that all near pairs of sets not yet connected are, in all buckets. So
+    a large group of near copies costs about its size. Only the sets of pairs
+    that come near are shuffled.
     """
     rows, _ = _classified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rule, block)
     return rows.select("doc_id", F.col("__n").alias("n_shingles"), F.col("__id").alias("component_id"))
@@ -292,45 +302,76 @@ def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame,
     once = buckets_of.groupBy("n", "hi", "lo").agg(F.min("part").alias("part")).select("part", "n")
     members = stored(members.join(once, "part"))
 
-    # the sets of the classes that share a part; c is 64 bits of the set's key
-    wanted = (members.select("c").distinct().join(light, "c")
-              .groupBy("c", "c2").agg(F.min(F.struct("h1", "h2")).alias("h")).select("c", "h.*"))
-
-    def collect_sets(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                piece = batch.slice(at, 64)
-                sets = shingle_sets(piece.column(1).to_pylist(), rule.words)
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["c", "elements"])
-
-    sets = stored(texts.join(wanted, ["h1", "h2"]).select("c", "text").mapInArrow(collect_sets, "c long, elements binary"))
-
-    def compare(batches: Iterator) -> Iterator:
-        """Rows (part, x, y, side, c, tie, elements): side 0 and 1 are compared
+    def of_classes(classes: DataFrame, work: Callable, out: str) -> DataFrame:
+        """``work`` on (c, text) of one text per class; c is 64 bits of the
+        set's key, so a class is told from another by c2 as well."""
+        wanted = (classes.select("c").distinct().join(light, "c")
+                  .groupBy("c", "c2").agg(F.min(F.struct("h1", "h2")).alias("h")).select("c", "h.*"))
+        return stored(texts.join(wanted, ["h1", "h2"]).select("c", "text").mapInArrow(work, out))
+
+    def per_set(make: Callable, name: str) -> Callable:
+        def work(batches: Iterator) -> Iterator:
+            import pyarrow as pa
+            for batch in batches:
+                for at in range(0, batch.num_rows, 64):
+                    piece = batch.slice(at, 64)
+                    sets = shingle_sets(piece.column(1).to_pylist(), rule.words)
+                    yield pa.RecordBatch.from_arrays(
+                        [piece.column(0), pa.array([len(x) for x in sets], pa.int64()),
+                         pa.array([make(x) for x in sets], pa.binary())], ["c", "size", name])
+        return work
+
+    sketches = of_classes(members, per_set(bit_sketch, "sketch"), "c long, size long, sketch binary")
+
+    def compare(forest: bool) -> Callable:
+        """Rows (part, x, y, side, c, tie, size, sketch): side 0 and 1 are compared
         with one another, or side 0 within itself where there is no side 1."""
+        def work(batches: Iterator) -> Iterator:
+            import numpy as np
+            import pyarrow as pa
+            out: list[tuple[int, int]] = []
+
+            def send():
+                return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["u", "v"])
+            for _, rows in _group_stream(batches, 3):
+                rows.sort(key=lambda r: r[:2])
+                split = sum(r[0] == 0 for r in rows)
+                if not split:
+                    continue
+                size = np.array([r[3] for r in rows])
+                got = near_pairs(size, [r[4] for r in rows], [r[2] for r in rows], split if split < len(rows) else 0, rule, forest)
+                out += [(min(rows[i][1], rows[j][1]), max(rows[i][1], rows[j][1])) for i, j in got]
+                if len(out) > 10_000:
+                    yield send()
+                    out = []
+            yield send()
+        return work
+
+    def run(rows: DataFrame, forest: bool) -> DataFrame:
+        """rows: part, x, y, side, c, tie. The pairs that come near, each once."""
+        return stored(rows.join(sketches, "c").select("part", "x", "y", "side", "c", "tie", "size", "sketch")
+                      .repartition("part", "x", "y").sortWithinPartitions("part", "x", "y")
+                      .mapInArrow(compare(forest), "u long, v long").distinct())
+
+    def check(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        out: list[tuple[int, int]] = []
-        for _, rows in _group_stream(batches, 3):
-            sides = [[r for r in rows if r[0] == s] for s in (0, 1)]
-            own = [[np.frombuffer(r[3], np.uint64) for r in side] for side in sides]
-            if not own[0]:
-                continue
-            ids = [r[1] for side in sides for r in side]
-            tie = [[r[2] for r in side] for side in sides]
-            out += [(ids[i], ids[j]) for i, j in linked_pairs(own[0], own[1] or None, rule, tie[0], tie[1])]
-            if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["u", "v"])
-                out = []
-        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["u", "v"])
-
-    def run(pairs: DataFrame) -> DataFrame:
-        """pairs: part, x, y, side, c, tie."""
-        return (pairs.join(sets, "c").select("part", "x", "y", "side", "c", "tie", "elements")
-                .repartition("part", "x", "y").sortWithinPartitions("part", "x", "y", "c")
-                .mapInArrow(compare, "u long, v long"))
+        for batch in batches:
+            u, v, a, b = (c.to_pylist() for c in batch.columns)
+            keep = []
+            for i, (x, y) in enumerate(zip(a, b, strict=True)):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if rule.under * common >= rule.over * (len(x) + len(y) - common):
+                    keep.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array([c[i] for i in keep], pa.int64()) for c in (u, v)], ["u", "v"])
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The pairs whose sets are linked."""
+        sets = of_classes(pairs.select(F.explode(F.array("u", "v")).alias("c")),
+                          per_set(lambda x: x.tobytes(), "elements"), "c long, size long, elements binary")
+        a, b = (sets.select(F.col("c").alias(c), F.col("elements").alias(e)) for c, e in (("u", "a"), ("v", "b")))
+        return stored(pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(check, "u long, v long"))
 
     blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
     dealt = members.select("part", "n", "c", blocks.alias("blocks"),
@@ -339,7 +380,7 @@ def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame,
     # first round: every set in its largest bucket only, compared within blocks
     largest = Window.partitionBy("c").orderBy(F.desc("n"), "part")
     home = dealt.withColumn("k", F.row_number().over(largest)).where("k = 1")
-    edges = stored(run(home.select("part", "x", none.alias("y"), none.alias("side"), "c", F.col("c").alias("tie"))))
+    edges = linked(run(home.select("part", "x", none.alias("y"), none.alias("side"), "c", F.col("c").alias("tie")), True))
     roots = stored(components(edges))
 
     # second round, for buckets that still hold several components: the sets
@@ -354,8 +395,8 @@ def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame,
     left_over = many.where("tie <> main").select("part", "c", "tie", F.pmod(F.xxhash64("c"), "chunks").cast("int").alias("y"),
                                                  F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"))
     every = many.select("part", "c", "tie", "x", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("y"))
-    second = stored(run(every.select("part", "x", "y", F.lit(1).alias("side"), "c", "tie").union(
-        left_over.select("part", "x", "y", F.lit(0).alias("side"), "c", "tie"))))
+    second = linked(run(every.select("part", "x", "y", F.lit(1).alias("side"), "c", "tie").union(
+        left_over.select("part", "x", "y", F.lit(0).alias("side"), "c", "tie")), False))
     roots = components(edges.union(second))
 
     tie = F.xxhash64("__h1").alias("__h3")   # exchanges of its own: a much-copied text's rows can be split
