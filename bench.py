@@ -20,7 +20,8 @@ HEADLINE = [
     "emotions_over_time", "lookup_video_info", "collect_multi_entity_data",
     "missing_transcripts", "append_new_listing", "upsert_index", "assemble_text",
     "clean_text", "chunk_text", "cleaned_entities", "topic_list", "classify_emotion",
-    "summarize", "latest_videos",
+    "summarize", "latest_videos", "extract_entities", "overall_classification",
+    "classify_transcripts", "build_entities_for_all",
 ]
 
 

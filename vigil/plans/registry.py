@@ -160,9 +160,24 @@ def q_read_index(spark, d):
     return FS.read_index(spark, root)
 
 
-@query("file_inventory")
+@query("file_inventory", with_ctes("listing") + "SELECT DISTINCT channel_id AS source_id FROM listing")
 def q_file_inventory(spark, d):
-    return FS.file_inventory(spark, d, ".parquet")
+    """One listing file per channel, written from the events; sizes and times
+    of the files differ by machine, so the key is what is compared."""
+    folder = FS.scratch_dir(spark, "inventory")
+    FS.write_per_document(SI.listing(spark, d), "channel_id", folder, S.SUFFIX_SEARCH)
+    return FS.file_inventory(spark, folder, S.SUFFIX_SEARCH).select("source_id")
+
+
+@query("init_store", "SELECT CAST(doc_id AS VARCHAR) AS video_id, CAST(0 AS BIGINT) AS index_rows "
+       "FROM labels WHERE toxic = 1")
+def q_init_store(spark, d):
+    """An empty store, then the skip list appended to it; the index is empty."""
+    root = FS.scratch_dir(spark, "init")
+    FS.init_store(spark, root)
+    FS.append_skip_list(spark, SI.skip_list(spark, d), root)
+    empty = FS.read_index(spark, root).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    return FS.read_skip_list(spark, f"{root}/transcript_skip").withColumn("index_rows", F.lit(empty).cast("long"))
 
 
 def _search_items(spark, d) -> DataFrame:
@@ -708,12 +723,27 @@ def q_upsert_index(spark, d):
     return IX.upsert_index(current, incoming)
 
 
-@query("refresh_index")
+REFRESH_SQL = with_ctes("listing", "segments", "classifications") + f""",
+inv AS (
+  SELECT DISTINCT 'channels/' || channel_id || '{S.SUFFIX_SEARCH}' AS path, channel_id AS source_id,
+         {S.DOC_TYPES["youtube channel search"]} AS doc_type_id FROM listing
+  UNION ALL
+  SELECT DISTINCT 'transcripts/' || CAST(video_id AS VARCHAR) || '{S.SUFFIX_TRANSCRIPT}',
+         CAST(video_id AS VARCHAR), {S.DOC_TYPES["transcript"]} FROM segments)
+SELECT row_number() OVER (ORDER BY i.path) AS lib_key, i.source_id, i.doc_type_id,
+       {S.SOURCE_SYSTEMS["youtube"]} AS source_system_id, i.path, c.summary, c.summary_reasoning,
+       coalesce(c.sentiment, false) AS sentiment, c.primary_emotion, c.secondary_emotion,
+       nullif(c.main_topic, '') AS main_topic, 'insert' AS action
+FROM inv i LEFT JOIN classifications c ON CAST(c.video_id AS VARCHAR) = i.source_id"""
+
+
+@query("refresh_index", REFRESH_SQL)
 def q_refresh_index(spark, d):
     """A store laid out as the reference keeps it (one listing file per
     channel, one transcript and classification file per video), derived
     from the driver's tables, then scanned and upserted into the index.
-    rec_mod_dtm is the files' modification time, so no oracle here."""
+    rec_mod_dtm (the files' modification time) and the store's own folder are
+    left out, since they differ by run."""
     root = FS.scratch_dir(spark, "store")
     FS.init_store(spark, root)
     lst = SI.listing(spark, d).withColumn("video_id", F.col("video_id").cast("string"))
@@ -724,7 +754,8 @@ def q_refresh_index(spark, d):
     FS.write_per_document(seg, "video_id", f"{root}/transcripts", S.SUFFIX_TRANSCRIPT)
     clf = SI.classifications(spark, d).withColumn("video_id", F.col("video_id").cast("string"))
     FS.write_per_document(clf, "video_id", f"{root}/classifications", S.SUFFIX_CLASSIFICATION)
-    return IX.refresh_index(spark, root)
+    path = F.regexp_extract("path", "/((?:channels|transcripts)/[^/]*)$", 1)
+    return IX.refresh_index(spark, root).drop("rec_mod_dtm").withColumn("path", path)
 
 
 @query("compile_entity_index", ENTITY_FILE_SQL)
@@ -1014,7 +1045,12 @@ def q_validate_labels(spark, d):
         F.when(toxic, "rage").when(good, "joy").otherwise("sadness").alias("primary_emotion"),
         F.when(toxic, "anger").when(good, "optimism").otherwise("surprise")
          .alias("secondary_emotion"))
-    return N.validate_labels(labels, N.dim_emotions(spark))
+    # the dimension comes from a CSV file that opens with a byte order mark
+    folder = FS.scratch_dir(spark, "dim_emotions")
+    rows = N.dim_emotions(spark).select(F.concat_ws(",", "emotion", "primary", "emotion_id").alias("value"))
+    head = spark.createDataFrame([("\ufeffemotion,primary,emotion_id",)], "value string")
+    head.unionByName(rows).coalesce(1).write.text(folder)
+    return N.validate_labels(labels, FS.read_dim_emotions(spark, folder))
 
 
 OVERALL_SQL = f"""
