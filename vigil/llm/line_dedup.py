@@ -65,14 +65,13 @@ def _prefixes(lines: DataFrame, rarity: bytes, num: int, den: int) -> DataFrame:
     every = F.aggregate("__hashes", start, lambda s, h: s.bitwiseXOR(shift(one, place(h))))
     half = F.aggregate("__hashes", start, lambda s, h: s.bitwiseXOR(
         shift(F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(1)), place(h))))
-    columns = ["pos", "n", "b1", "b2", "at", "tok"]
-    # what later joins would each filter out is left out here, so that all of
-    # them read one exchange
-    return (lines.select("__pos", hashes.alias("__hashes"))
+    rows = (lines.select("__pos", hashes.alias("__hashes"))
             .select("__pos", F.size("__hashes").alias("n"), rank.alias("__ranks"), every.alias("__all"), half.alias("b2"))
             .select(F.col("__pos").alias("pos"), "n", F.col("__all").bitwiseXOR(F.col("b2")).alias("b1"), "b2",
-                    F.posexplode(F.slice("__ranks", F.lit(1), F.expr(f"n - ({num} * n + {den - 1}) DIV {den} + 1"))).alias("at", "tok"))
-            .where(" AND ".join(f"{c} IS NOT NULL" for c in columns)))
+                    F.posexplode(F.slice("__ranks", F.lit(1), F.expr(f"n - ({num} * n + {den - 1}) DIV {den} + 1"))).alias("at", "tok")))
+    # Nothing here is ever null. Saying so keeps the joins from filtering on it,
+    # each in its own way, below the exchange that all of them are to share.
+    return rows.select(*[F.coalesce(c, F.lit(0).cast(t)).alias(c) for c, t in rows.dtypes])
 
 
 def _near(a, b, num: int, den: int) -> Column:
@@ -159,7 +158,7 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
     # leader, pairs found in whole postings, and the entries of the postings
     # in which some line came near a leader. Those may be needed again.
     kind = lambda df, k: df.withColumn("kind", F.lit(k))
-    active = posting.join(near.select("tok").distinct().hint("shuffle_hash"), "tok", "left_semi")
+    active = posting.join(near.select("tok").distinct().hint("shuffle_hash"), "tok")   # a semi join would slip below the exchange
     seen = stored(
         kind(near.select("pos", F.explode(F.col("close.pos")).alias("earlier")).distinct(), "lead")
         .unionByName(kind(meet(alone, posting).distinct(), "whole"), allowMissingColumns=True)
