@@ -72,3 +72,13 @@ def test_long_runs_and_accents(spark):
     assert "The Royal Commission On The Future Of Health Care In Canada" in got and "Québec" in got
     idx = spark.createDataFrame([("q", "GPE", "QUÉBEC")], "source_id string, entity_type string, value string")
     assert [r.pattern_pos for r in E.match_patterns(idx, ["x", "québec"]).collect()] == [1]
+
+
+def test_gazetteer_word_runs_in_any_case(spark):
+    docs = spark.createDataFrame([("d", "Prime Minister Justin Trudeau spoke, justin trudeau left"), ("n", None)],
+                                 "video_id string, text string")
+    gaz = spark.createDataFrame([("justin trudeau", "PERSON"), ("Prime Minister", "NORP"), ("left", "LAW")],
+                                "term string, entity_type string")
+    got = sorted((r.pos, r.entity_type, r.value) for r in E.gazetteer_entities(docs, gaz).collect())
+    assert got == [(0, "NORP", "Prime Minister"), (2, "PERSON", "Justin Trudeau"),
+                   (5, "PERSON", "justin trudeau"), (7, "LAW", "left")]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from vigil.operators import enrich as N
 from vigil.operators.catalog import (channels_list, lookup_video_info, missing_enrichments,
                                      stale_main_topic)
+from vigil.sources.files import path_exists, write_table
 from vigil.operators.entities import cleaned_entities, extract_entities, unique_entities
 
 
@@ -74,3 +75,13 @@ def update_new_classifications(classifications: DataFrame, listing: DataFrame,
         statistics = N.term_statistics(transcripts)
     topics = N.main_topic(texts, "video_id", "text", statistics)
     return stale.drop("main_topic").join(topics, "video_id", "left")
+
+
+def append_results(rows: DataFrame, folder: str, key: str) -> DataFrame:
+    """Append the rows whose key isn't stored yet, and return the store. A
+    driver run twice adds nothing the second time."""
+    spark = rows.sparkSession
+    if path_exists(spark, folder):
+        rows = rows.join(spark.read.parquet(folder).select(key).distinct(), key, "left_anti").select(*rows.columns)
+    write_table(rows, folder, mode="append")
+    return spark.read.parquet(folder)

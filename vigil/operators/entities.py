@@ -18,6 +18,7 @@ from vigil.schemas import ENTITY_TYPES
 # of any length.
 NUMBER_SPAN = r"\d{1,2}:\d{2}|[$€£]?\d+(?:[.,]\d+)*(?:%|st|nd|rd|th)?"
 PROPER_SPAN = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
+WORD = r"[\p{L}\p{N}]+"
 YEAR = r"^(19|20)\d\d$"
 TIME = r"^\d{1,2}:\d{2}$"
 
@@ -52,6 +53,28 @@ def extract_entities(docs: DataFrame, key: str = "video_id", text: str = "text",
     return typed.filter(F.col("entity_type").isNotNull()).select("source_id", "entity_type", "value", "pos")
 
 
+def gazetteer_entities(docs: DataFrame, gazetteer: DataFrame, key: str = "video_id",
+                       text: str = "text") -> DataFrame:
+    """Every run of words that spells a term of ``gazetteer`` (term,
+    entity_type), in any case, with its word position: (source_id,
+    entity_type, value, pos). Terms are words separated by single spaces;
+    only the lengths that terms have are formed, so a word yields one row per
+    length. Overlapping terms are all found; a null text gives none."""
+    g = gazetteer.select(F.lower("term").alias("_t"), "entity_type").distinct()
+    lengths = [r["n"] for r in g.select(F.size(F.split("_t", " ")).alias("n")).distinct().collect()]
+    all_words = F.regexp_extract_all(F.col(text), F.lit(WORD), 0)
+
+    def run(i, n):
+        return F.when(i + n <= F.size("_w"), F.array_join(F.slice("_w", i + 1, F.lit(n)), " "))
+    grams = F.transform("_w", lambda w, i: F.array(*[run(i, n) for n in sorted(lengths)]))
+    found = (docs.select(F.col(key).alias("source_id"), all_words.alias("_w")).filter(F.size("_w") > 0)
+                 .select("source_id", F.posexplode(grams).alias("pos", "_g"))
+                 .select("source_id", F.col("pos").cast("long").alias("pos"), F.explode("_g").alias("value"))
+                 .filter(F.col("value").isNotNull()))
+    return (found.withColumn("_t", F.lower("value")).join(g, "_t")
+                 .select("source_id", "entity_type", "value", "pos"))
+
+
 def unique_entities(ents: DataFrame) -> DataFrame:
     """Distinct (source_id, entity_type, value); with a ``pos`` column the
     first occurrence position is kept (first seen first)."""

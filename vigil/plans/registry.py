@@ -1019,6 +1019,21 @@ def q_extract_entities(spark, d):
                               proper_noun_type="PERSON")
 
 
+GAZETTEER = [("and", "ORG"), ("of the", "GPE"), ("The", "LAW"), ("de la", "GPE"), ("the of and", "FAC")]
+
+
+@query("gazetteer_entities", f"""
+WITH gaz AS (SELECT DISTINCT lower(term) AS t, entity_type FROM {_values_sql(GAZETTEER, ["term", "entity_type"])}),
+w AS (SELECT doc_id, regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(len(w))) AS pos FROM w),
+g AS (SELECT doc_id, pos, array_to_string(w[pos + 1:pos + n], ' ') AS value
+      FROM p, (VALUES (1), (2), (3)) AS l(n) WHERE pos + n <= len(w))
+SELECT g.doc_id AS source_id, gaz.entity_type, g.value, g.pos FROM g JOIN gaz ON lower(g.value) = gaz.t""")
+def q_gazetteer_entities(spark, d):
+    gaz = spark.createDataFrame(GAZETTEER, "term string, entity_type string")
+    return E.gazetteer_entities(T(spark, d, "documents"), gaz, "doc_id")
+
+
 _DIM_SQL = _values_sql(S.DIM_EMOTION_ROWS, ["emotion", "prim", "emotion_id"])
 
 
@@ -1160,6 +1175,16 @@ def q_identify_topics_for_all(spark, d):
     return BT.identify_topics_for_all(SI.transcripts(spark, d), _processed(spark, d), TOPICS_K)
 
 
+@query("store_topics", ORACLE["identify_topics_for_all"])
+def q_store_topics(spark, d):
+    """The topics driver run twice against its own store."""
+    folder = FS.scratch_dir(spark, "topic_store")
+    for _ in range(2):
+        topics = BT.identify_topics_for_all(SI.transcripts(spark, d), _processed(spark, d), TOPICS_K)
+        stored = BT.append_results(topics, folder, "source_id")
+    return stored
+
+
 _TODO_DOCS = f"(SELECT * FROM documents WHERE doc_id NOT IN ({PROCESSED_SQL}))"
 _SUMMARY_SQL = ORACLE["summarize"]
 _SUMMARY_CTE = _SUMMARY_SQL.strip()[len("WITH "):].rsplit("SELECT d.doc_id, m.summary", 1)[0]
