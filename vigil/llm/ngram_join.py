@@ -178,11 +178,11 @@ def _sketch_rows(sketches: list[bytes]):
     return out
 
 
-def near_pairs(size, sketches: list[bytes], ties: list, split: int, rule: Jaccard, forest: bool) -> list[tuple[int, int]]:
-    """Pairs of places whose sizes and sketches allow a link, among all rows or,
-    if ``split``, between the first ``split`` rows and the others. Rows of one
-    tie are never paired; with ``forest`` only pairs that connect ties anew are
-    given."""
+def near_pairs(size, sketches: list[bytes], ties: list, split: int, rule: Jaccard, sets: list | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of places whose sizes and sketches allow a
+    link and, with ``sets``, whose sets are linked: among all rows or, if
+    ``split``, between the first ``split`` rows and the others. Rows of one tie
+    count as connected already."""
     import numpy as np
     first: dict = {}
     label = np.array([first.setdefault(t, i) for i, t in enumerate(ties)])
@@ -199,14 +199,37 @@ def near_pairs(size, sketches: list[bytes], ties: list, split: int, rule: Jaccar
         js, most = (x[rule.over * large <= rule.under * small] for x in (js, most))
         differ = np.bitwise_count(words[js] ^ words[i]).sum(axis=1, dtype=np.int64)
         for j in js[differ <= most].tolist():
-            if not forest:
-                out.append((i, j))
-            elif label[i] != label[j]:
+            if label[i] != label[j] and (sets is None or is_link(sets[i], sets[j], rule)):
                 out.append((i, j))
                 label[label == label[j]] = label[i]
     return out
 
 
+def with_near_partner(size, sketches: list[bytes], ties: list, split: int, rule: Jaccard) -> list[int]:
+    """Places that have a near partner (as above) of another tie."""
+    import numpy as np
+    first: dict = {}
+    label = np.array([first.setdefault(t, i) for i, t in enumerate(ties)])
+    words = _sketch_rows(sketches)
+    has = np.zeros(len(label), dtype=bool)
+    for i in range(split or len(label)):
+        js = np.arange(split or i + 1, len(label))
+        js = js[label[js] != label[i]]
+        small, large = np.minimum(size[js], size[i]), np.maximum(size[js], size[i])
+        most = (rule.under - rule.over) * (size[js] + size[i]) // (rule.under + rule.over)
+        js, most = (x[rule.over * large <= rule.under * small] for x in (js, most))
+        js = js[np.bitwise_count(words[js] ^ words[i]).sum(axis=1, dtype=np.int64) <= most]
+        has[js] = True
+        has[i] |= len(js) > 0
+    return np.flatnonzero(has).tolist()
+
+
+def is_link(a, b, rule: Jaccard) -> bool:
+    import numpy as np
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return rule.under * common >= rule.over * (len(a) + len(b) - common)
+
+
 def _group_stream(batches: Iterator, keys: int) -> Iterator:
     """Rows of consecutive batches, sorted by their first ``keys`` columns, as
     (key, rows); a group may reach over batches."""
@@ -230,11 +253,11 @@ def components_of(docs: DataFrame, rule: Jaccard, *, block: int = 512) -> DataFr
     repeated or null doc_id is handled by content, and a component's id is the
     least doc_id that is not null. Other columns are ignored; no rows give no rows.
 
-    Sets are compared by their sketches, first in their largest bucket only, by
-    blocks of ``block``, where a spanning forest of the near pairs is verified;
-    after that all near pairs of sets not yet connected are, in all buckets. So
-    a large group of near copies costs about its size. Only the sets of pairs
-    that come near are shuffled.
+    Sets are compared by their sketches in blocks of ``block``: first in their
+    largest bucket only, then, if not connected, in all. Each time a spanning
+    forest of the near pairs is verified. Sets that then still come near an
+    unconnected one are compared as they are. No group's pairs are ever listed,
+    and only sets that come near one another are shuffled.
     """
     rows, _ = _classified(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), rule, block)
     return rows.select("doc_id", F.col("__n").alias("n_shingles"), F.col("__id").alias("component_id"))
@@ -323,35 +346,54 @@ def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame,
 
     sketches = of_classes(members, per_set(bit_sketch, "sketch"), "c long, size long, sketch binary")
 
-    def compare(forest: bool) -> Callable:
-        """Rows (part, x, y, side, c, tie, size, sketch): side 0 and 1 are compared
-        with one another, or side 0 within itself where there is no side 1."""
-        def work(batches: Iterator) -> Iterator:
-            import numpy as np
-            import pyarrow as pa
-            out: list[tuple[int, int]] = []
-
-            def send():
-                return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["u", "v"])
-            for _, rows in _group_stream(batches, 3):
-                rows.sort(key=lambda r: r[:2])
-                split = sum(r[0] == 0 for r in rows)
-                if not split:
-                    continue
-                size = np.array([r[3] for r in rows])
-                got = near_pairs(size, [r[4] for r in rows], [r[2] for r in rows], split if split < len(rows) else 0, rule, forest)
-                out += [(min(rows[i][1], rows[j][1]), max(rows[i][1], rows[j][1])) for i, j in got]
-                if len(out) > 10_000:
-                    yield send()
-                    out = []
-            yield send()
-        return work
+    def groups(batches: Iterator) -> Iterator:
+        """Rows (part, x, y, side, c, tie, size, data) by group: side 0 and 1 are
+        compared with one another, or side 0 within itself where there is no
+        side 1. Gives key, rows, and where side 1 begins."""
+        for key, rows in _group_stream(batches, 3):
+            rows.sort(key=lambda r: r[:2])
+            split = sum(r[0] == 0 for r in rows)
+            if split:
+                yield key, rows, split if split < len(rows) else 0
+
+    def edges_of(pairs: Iterator) -> Iterator:
+        import pyarrow as pa
+        out: list[tuple[int, int]] = []
+        for rows, got in pairs:
+            out += [(min(rows[i][1], rows[j][1]), max(rows[i][1], rows[j][1])) for i, j in got]
+            if len(out) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["u", "v"])
+                out = []
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+    def near(batches: Iterator) -> Iterator:
+        import numpy as np
+        yield from edges_of((rows, near_pairs(np.array([r[3] for r in rows]), [r[4] for r in rows], [r[2] for r in rows], split, rule))
+                            for _, rows, split in groups(batches))
 
-    def run(rows: DataFrame, forest: bool) -> DataFrame:
-        """rows: part, x, y, side, c, tie. The pairs that come near, each once."""
-        return stored(rows.join(sketches, "c").select("part", "x", "y", "side", "c", "tie", "size", "sketch")
-                      .repartition("part", "x", "y").sortWithinPartitions("part", "x", "y")
-                      .mapInArrow(compare(forest), "u long, v long").distinct())
+    def exact(batches: Iterator) -> Iterator:
+        import numpy as np
+
+        def pairs():
+            for _, rows, split in groups(batches):
+                sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+                yield rows, near_pairs(np.array([r[3] for r in rows]), [bit_sketch(x) for x in sets], [r[2] for r in rows], split, rule, sets)
+        yield from edges_of(pairs())
+
+    def mark(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        for key, rows, split in groups(batches):
+            own = [rows[i] for i in with_near_partner(np.array([r[3] for r in rows]), [r[4] for r in rows], [r[2] for r in rows], split, rule)]
+            cols = [*([k] * len(own) for k in key), *([r[k] for r in own] for k in (0, 1, 2))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()), strict=True)],
+                ["part", "x", "y", "side", "c", "tie"])
+
+    def run(rows: DataFrame, data: DataFrame, work: Callable, out: str) -> DataFrame:
+        """``work`` on the groups of rows (part, x, y, side, c, tie), with the data of their sets."""
+        return stored(rows.join(data.toDF("c", "size", "data"), "c").select("part", "x", "y", "side", "c", "tie", "size", "data")
+                      .repartition("part", "x", "y").sortWithinPartitions("part", "x", "y").mapInArrow(work, out).distinct())
 
     def check(batches: Iterator) -> Iterator:
         import numpy as np
@@ -360,16 +402,16 @@ def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame,
             u, v, a, b = (c.to_pylist() for c in batch.columns)
             keep = []
             for i, (x, y) in enumerate(zip(a, b, strict=True)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if rule.under * common >= rule.over * (len(x) + len(y) - common):
+                if is_link(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), rule):
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([pa.array([c[i] for i in keep], pa.int64()) for c in (u, v)], ["u", "v"])
 
+    def sets_of(classes: DataFrame) -> DataFrame:
+        return of_classes(classes, per_set(lambda x: x.tobytes(), "elements"), "c long, size long, elements binary")
+
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs whose sets are linked."""
-        sets = of_classes(pairs.select(F.explode(F.array("u", "v")).alias("c")),
-                          per_set(lambda x: x.tobytes(), "elements"), "c long, size long, elements binary")
+        sets = sets_of(pairs.select(F.explode(F.array("u", "v")).alias("c")))
         a, b = (sets.select(F.col("c").alias(c), F.col("elements").alias(e)) for c, e in (("u", "a"), ("v", "b")))
         return stored(pairs.join(a, "u").join(b, "v").select("u", "v", "a", "b").mapInArrow(check, "u long, v long"))
 
@@ -380,24 +422,31 @@ def _classified(docs: DataFrame, rule: Jaccard, block: int) -> tuple[DataFrame,
     # first round: every set in its largest bucket only, compared within blocks
     largest = Window.partitionBy("c").orderBy(F.desc("n"), "part")
     home = dealt.withColumn("k", F.row_number().over(largest)).where("k = 1")
-    edges = linked(run(home.select("part", "x", none.alias("y"), none.alias("side"), "c", F.col("c").alias("tie")), True))
-    roots = stored(components(edges))
-
-    # second round, for buckets that still hold several components: the sets
-    # outside the bucket's main one meet every block of it; within the main one
-    # there is nothing to find
-    many = dealt.join(roots.withColumnRenamed("u", "c"), "c", "left").select(
-        "part", "blocks", "x", "c", F.coalesce("root", "c").alias("tie"))
-    sizes = many.groupBy("part", "tie").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("part").agg(F.max(F.struct("n", "tie")).alias("m"), F.sum("n").alias("n")).where("m.n < n")
-    many = many.join(main.select("part", F.col("m.tie").alias("main"),
-                                 F.ceil((F.col("n") - F.col("m.n")) / F.lit(block)).cast("int").alias("chunks")), "part")
-    left_over = many.where("tie <> main").select("part", "c", "tie", F.pmod(F.xxhash64("c"), "chunks").cast("int").alias("y"),
-                                                 F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"))
-    every = many.select("part", "c", "tie", "x", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("y"))
-    second = linked(run(every.select("part", "x", "y", F.lit(1).alias("side"), "c", "tie").union(
-        left_over.select("part", "x", "y", F.lit(0).alias("side"), "c", "tie")), False))
-    roots = components(edges.union(second))
+    edges = linked(run(home.select("part", "x", none.alias("y"), none.alias("side"), "c", F.col("c").alias("tie")),
+                       sketches, near, "u long, v long"))
+
+    def unconnected(roots: DataFrame) -> DataFrame:
+        """For buckets that still hold several components: the sets outside the
+        bucket's main one meet every block of it; within the main one there is
+        nothing to find."""
+        many = dealt.join(roots.withColumnRenamed("u", "c"), "c", "left").select(
+            "part", "blocks", "x", "c", F.coalesce("root", "c").alias("tie"))
+        sizes = many.groupBy("part", "tie").agg(F.count(F.lit(1)).alias("n"))
+        main = sizes.groupBy("part").agg(F.max(F.struct("n", "tie")).alias("m"), F.sum("n").alias("n")).where("m.n < n")
+        many = many.join(main.select("part", F.col("m.tie").alias("main"),
+                                     F.ceil((F.col("n") - F.col("m.n")) / F.lit(block)).cast("int").alias("chunks")), "part")
+        left_over = many.where("tie <> main").select(
+            "part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("x"),
+            F.pmod(F.xxhash64("c"), "chunks").cast("int").alias("y"), F.lit(0).alias("side"), "c", "tie")
+        return left_over.union(many.select(
+            "part", "x", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("y"), F.lit(1).alias("side"), "c", "tie"))
+
+    # second round: a forest again, now in all buckets
+    edges = stored(edges.union(linked(run(unconnected(stored(components(edges))), sketches, near, "u long, v long"))))
+    # last round: what still comes near something unconnected is compared by its set
+    rest = run(unconnected(stored(components(edges))), sketches, mark,
+               "part long, x int, y int, side int, c long, tie long")
+    roots = components(edges.union(run(rest, sets_of(rest.select("c")), exact, "u long, v long")))
 
     tie = F.xxhash64("__h1").alias("__h3")   # exchanges of its own: a much-copied text's rows can be split
     known = light.select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2"), F.col("n").alias("__n"),
