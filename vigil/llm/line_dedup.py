@@ -158,13 +158,14 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
     # leader, pairs found in whole postings, and the entries of the postings
     # in which some line came near a leader. Those may be needed again.
     kind = lambda df, k: df.withColumn("kind", F.lit(k))
+    nothing = F.lit(None).cast("long")
+    led = near.select("tok", *columns, F.explode(F.concat(
+        F.transform("close", lambda x: x["pos"]), F.array(nothing))).alias("earlier"))   # and the entry itself
+    led = led.withColumn("kind", F.when(F.col("earlier").isNull(), "near").otherwise("lead"))
     active = posting.join(near.select("tok").distinct().hint("shuffle_hash"), "tok")   # a semi join would slip below the exchange
-    seen = stored(
-        kind(near.select("pos", F.explode(F.col("close.pos")).alias("earlier")).distinct(), "lead")
-        .unionByName(kind(meet(alone, posting).distinct(), "whole"), allowMissingColumns=True)
-        .unionByName(kind(near.select("tok", *columns), "near"), allowMissingColumns=True)
-        .unionByName(kind(active.select("tok", *columns), "posting"), allowMissingColumns=True))
-    pairs = seen.where("kind IN ('lead', 'whole')").select("pos", "earlier", "kind")
+    seen = stored(led.unionByName(kind(meet(alone, posting).distinct(), "whole"), allowMissingColumns=True)
+                  .unionByName(kind(active.select("tok", *columns), "posting"), allowMissingColumns=True))
+    pairs = seen.where("kind IN ('lead', 'whole')").select("pos", "earlier", "kind").distinct()
 
     def similar(pairs: DataFrame) -> DataFrame:
         """The pairs whose word sets reach the similarity."""
