@@ -40,6 +40,24 @@ def test_formats_are_kept_and_valid():
     datetime.date.fromisoformat(pseudonym("2024-02-29")[0])
 
 
+def test_phones_end_where_the_next_number_begins():
+    ip, card = "190.137.223.204", "4041 8949 7460 8795"
+    for one in ["+1 (826) 555-4081", "+1 826 555 4081", "+1-826-555-4081", "+44 20 7946 0958", "+33 1 42 68 53 00", "+49 30 9018 2012", "843-555-7672"]:
+        alone = pseudonym(one)[0]
+        assert alone != one
+        for other in [ip, card, "2024-02-29", "(843) 555-7672", "843-555-7672", "+1 (843) 555-7672", one]:
+            if one.startswith("+49") and other == card:  # no fixed length, groups of four: only the reader can tell
+                continue
+            for a, b in [(one, other), (other, one)]:
+                out, spans = pseudonym(f"Call {a} {b} now")
+                assert len(spans) == 2 and out == f"Call {pseudonym(a)[0]} {pseudonym(b)[0]} now", (a, b, out)
+        if not one.startswith("+49"):
+            assert pseudonym(f"{one} 2024 15 1234")[0] == f"{alone} 2024 15 1234"
+    long = "+49 30 9018 2012 2024 1234"
+    assert pseudonym(long)[0] != long and pseudonym(long)[0].endswith(" 1234")
+    assert pseudonym(f"+1 (826) 555-4081 {ip} 555 12")[0].split()[3] == pseudonym(ip)[0]
+
+
 def test_what_is_not_valid_stays():
     for text in ["4041894974608796", "version 4.0.", "2.0", "300.1.1.1", "1.2.3.4.5", "000-12-3456", "2023-02-30", "page 12 of 20",
                  "no digits", "", "a@b", "0000000000000000", "12345678901234567890123"]:

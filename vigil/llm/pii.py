@@ -192,12 +192,20 @@ def hex_token(key: bytes, text: str) -> str | None:
     return _chars(key, b"hex", text, (_HEX,))
 
 
+#: international numbers of a plan with one length (3-3-4 after +1; country codes
+#: by national digits): they end there, whatever number follows
+_FIXED = {8: "45|47|65|852", 9: "27|31|33|34|41|48|61|351|380|420|421", 10: "7|30|44|52|90|91"}
+_FIXED_PHONE = r"(?<![\w.])\+(?:%s)(?!\d)" % "|".join([
+    r"1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}",
+    *(r"(?:%s)(?:[ .-]?\(0\))?(?:[ .-]?\(?\d\)?){%d}" % (codes, n) for n, codes in _FIXED.items())])
+
 #: kind, pattern, check and pseudonym; the first that matches and passes its check wins
 KINDS: list[tuple[str, str, Callable[[bytes, str], str | None]]] = [
     ("email", r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}\b", email),
     ("secret", r"\b(?:password|passwd|pwd|secret|token|api_?key)\s*[=:]\s*[A-Za-z0-9+/_-]{8,}", secret),
     ("access_key", r"\bAKIA[A-Z0-9]{16}\b", access_key),
     ("hex_token", r"(?<![\w-])[0-9a-f]{40}(?![\w-])", hex_token),
+    ("phone", _FIXED_PHONE, phone),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b", iban),
     ("ipv4", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", ipv4),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", ssn),
@@ -214,6 +222,16 @@ def _patterns(kinds: tuple[str, ...] | None):
     return [(name, re.compile(pattern), make) for name, pattern, make in own]
 
 
+def _gaps(a: int, b: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What of a to b is left between the taken spans."""
+    for start, end in sorted(taken):
+        if a < start:
+            yield a, start
+        a = end
+    if a < b:
+        yield a, b
+
+
 class Pseudonymiser:
     def __init__(self, key: bytes, kinds: tuple[str, ...] | None = None):
         self.key, self.patterns = key, _patterns(kinds)
@@ -222,6 +240,22 @@ class Pseudonymiser:
     def _make(self, kind: int, value: str) -> str | None:
         return self.patterns[kind][2](self.key, value)
 
+    def _values(self, kind: int, text: str, a: int, b: int) -> Iterator[tuple[int, int, str]]:
+        """Values of the kind in text[a:b]. A match that fails its check is tried
+        again without its last group: it may have run over a blank into the next number."""
+        pattern = self.patterns[kind][1]
+        while m := pattern.search(text, a, b):
+            a = m.start() + 1
+            while m:
+                whole = m.end() < b or b == len(text) or not text[b - 1:b + 1].isalnum()
+                new = self._value(kind, m[0]) if whole else None
+                if new is not None:
+                    a = m.end()
+                    yield m.start(), a, new
+                    break
+                cut = text.rfind(" ", m.start(), m.end())
+                m = pattern.match(text, m.start(), cut) if cut > 0 else None
+
     def spans(self, text: str) -> list[tuple[int, int, str, str]]:
         """Start, end (code points of the input), kind and pseudonym."""
         if not _QUICK.search(text):
@@ -231,14 +265,11 @@ class Pseudonymiser:
             if not _QUICK.search(line[0]):
                 continue
             taken: list[tuple[int, int]] = []
-            for k, (name, pattern, _) in enumerate(self.patterns):
-                for m in pattern.finditer(text, line.start(), line.end()):
-                    if any(m.start() < b and a < m.end() for a, b in taken):
-                        continue
-                    new = self._value(k, m[0])
-                    if new is not None:
-                        taken.append(m.span())
-                        found.append((m.start(), m.end(), name, new))
+            for k, (name, _, _) in enumerate(self.patterns):
+                for a, b in _gaps(line.start(), line.end(), taken):
+                    for start, end, new in self._values(k, text, a, b):
+                        taken.append((start, end))
+                        found.append((start, end, name, new))
         return sorted(found)
 
     def replace(self, text: str, spans: list[tuple[int, int, str, str]]) -> str:
