@@ -179,17 +179,23 @@ def access_key(key: bytes, text: str) -> str:
 
 
 def secret(key: bytes, text: str) -> str | None:
-    """``name=value``: the value is permuted within its character classes."""
-    head, sep, value = re.match(r"(\w+)(\s*[=:]\s*)(.*)", text).groups()
+    """``name=value``: a value of another kind gets the pseudonym that it has
+    without a name; any other is permuted within its character classes."""
+    head, value, tail = re.fullmatch(r"""([\w-]+["']?\s*[=:]\s*["']?)(.*?)(["']?)""", text).groups()
+    for name, pattern, make in KINDS:
+        if name != "secret" and re.fullmatch(pattern, value) and (new := make(key, value)) is not None:
+            return head + new + tail
     hexes = all(c in _HEX for c in value)
     new = _chars(key, b"secret", value, (_HEX,) if hexes else _CLASSES)
-    return head + sep + new
+    return head + new + tail if new != value else None
 
 
 def hex_token(key: bytes, text: str) -> str | None:
+    """Lower or upper case; one value has one pseudonym, in the case it is in."""
     if text.isdigit() or text.isalpha():
         return None
-    return _chars(key, b"hex", text, (_HEX,))
+    new = _chars(key, b"hex", text.lower(), (_HEX,))
+    return new if text == text.lower() else new.upper()
 
 
 #: international numbers of a plan with one length (3-3-4 after +1; country codes
@@ -199,12 +205,15 @@ _FIXED_PHONE = r"(?<![\w.])\+(?:%s)(?!\d)" % "|".join([
     r"1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}",
     *(r"(?:%s)(?:[ .-]?\(0\))?(?:[ .-]?\(?\d\)?){%d}" % (codes, n) for n, codes in _FIXED.items())])
 
+#: names of secrets in any case, also as the last part of a name and in quotes, with = or :
+_NAME = r"""(?<![^\W_])(?i:password|passwd|pwd|secret|token|api[_-]?key)["']?\s*[=:]"""
+
 #: kind, pattern, check and pseudonym; the first that matches and passes its check wins
 KINDS: list[tuple[str, str, Callable[[bytes, str], str | None]]] = [
     ("email", r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24}\b", email),
-    ("secret", r"\b(?:password|passwd|pwd|secret|token|api_?key)\s*[=:]\s*[A-Za-z0-9+/_-]{8,}", secret),
+    ("secret", _NAME + r"""\s*(?:"[^"\s]{8,}"|'[^'\s]{8,}'|["']?[A-Za-z0-9+/_-]{8,})""", secret),
     ("access_key", r"\bAKIA[A-Z0-9]{16}\b", access_key),
-    ("hex_token", r"(?<![\w-])[0-9a-f]{40}(?![\w-])", hex_token),
+    ("hex_token", r"(?<![\w-])(?:[0-9a-f]{40}|[0-9A-F]{40})(?![\w-])", hex_token),
     ("phone", _FIXED_PHONE, phone),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b", iban),
     ("ipv4", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", ipv4),
@@ -214,7 +223,7 @@ KINDS: list[tuple[str, str, Callable[[bytes, str], str | None]]] = [
     ("phone", r"(?<![\w.])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
               r"|(?<![\w.])\(\d{3}\) ?\d{3}[.-]\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])", phone),
 ]
-_QUICK = re.compile(r"[0-9@]|(?:password|passwd|pwd|secret|token|api_?key)\s*[=:]")
+_QUICK = re.compile(r"[0-9@]|" + _NAME)
 
 
 def _patterns(kinds: tuple[str, ...] | None):
