@@ -144,6 +144,19 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(langid.word_scores(pieces, ["ab" * 3000], prob)).all()
 
 
+def test_long_pieces_of_the_vocabulary_count():
+    pieces = langid.pieces_of(langid.default_vocabulary_path())
+    longest = max(pieces.names, key=len)
+    assert pieces.longest == len(longest) > 8 and {"▁important", "▁multiple"} <= set(pieces.names)
+    prob = np.append(np.full((pieces.size, 1), 1.0 / pieces.size), [[0.0]], axis=0)
+    names = set(pieces.names)
+    for word in ["▁important", longest, longest + "é", "▁x" + longest.strip("▁")]:
+        sums = [1.0]  # of the segmentations of word[:j]
+        for j in range(1, len(word) + 1):
+            sums.append(sum(sums[i] / pieces.size for i in range(j) if word[i:j] in names or j - i == 1))
+        assert np.isclose(langid.word_scores(pieces, [word], prob)[0, 0], math.log(sums[-1])), word
+
+
 def test_language_of_odd_rows(spark, docs_of):
     rng = random.Random(2)
     words = {"en": "the of and thing with".split(), "fr": "le de et chose avec élan".split()}

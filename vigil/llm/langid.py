@@ -29,19 +29,19 @@ def default_vocabulary_path() -> str:
 
 class Pieces:
     """Pieces of the vocabulary that consist of letters (and the word start),
-    lower-cased, up to ``longest`` characters; id ``len`` is any other single
+    lower-cased, whatever their length; id ``len`` is any other single
     character, so that every word can be segmented."""
 
-    def __init__(self, path: str, longest: int = 8):
+    def __init__(self, path: str):
         import numpy as np
         from sentencepiece import SentencePieceProcessor
         sp = SentencePieceProcessor(model_file=path)
         names = {sp.id_to_piece(i).lower() for i in range(sp.vocab_size())}
-        self.names = sorted(p for p in names if len(p) <= longest and p.lstrip(SPACE).isalpha() and SPACE not in p[1:])
+        self.names = sorted(p for p in names if p.lstrip(SPACE).isalpha() and SPACE not in p[1:])
         self.size = len(self.names) + 1
-        self.longest = longest
+        self.longest = max(map(len, self.names), default=1)
         self.tables = []
-        for n in range(1, longest + 1):
+        for n in range(1, self.longest + 1):
             own = [(p, i) for i, p in enumerate(self.names) if len(p) == n]
             codes = np.array([[ord(c) for c in p] for p, _ in own], dtype=np.uint64).reshape(len(own), n)
             keys = self._keys(codes, n)[:, 0] if own else np.zeros(0, np.uint64)
@@ -52,13 +52,18 @@ class Pieces:
     def _keys(codes, n: int):
         """64-bit keys of all substrings of length n of each row of codes."""
         import numpy as np
-        m = codes.shape[1] - n + 1
-        key = np.zeros((codes.shape[0], m), dtype=np.uint64)
+        key = np.zeros((codes.shape[0], codes.shape[1] + 1), dtype=np.uint64)
         for k in range(n):
-            key = (key ^ codes[:, k:k + m]) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(29)
+            key = Pieces._longer(key, codes, k)
         return key
 
+    @staticmethod
+    def _longer(key, codes, k: int):
+        """Keys of the substrings of length k + 1 from those of length k."""
+        import numpy as np
+        key = (key[:, :-1] ^ codes[:, k:]) * np.uint64(0x9E3779B97F4A7C15)
+        return key ^ (key >> np.uint64(29))
+
     def lookup(self, words: list[str]) -> list:
         """For words of one length n: per piece length, ids [word, start], -1
         where no piece; single characters always have one."""
@@ -66,9 +71,10 @@ class Pieces:
         n = len(words[0])
         codes = np.array([[ord(c) for c in w] for w in words], dtype=np.uint64)
         out = []
+        want = self._keys(codes, 0)
         for size in range(1, min(self.longest, n) + 1):
             keys, ids = self.tables[size - 1]
-            want = self._keys(codes, size)
+            want = self._longer(want, codes, size - 1)
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
                 found = np.where(keys[at] == want, ids[at], -1)
@@ -79,22 +85,20 @@ class Pieces:
 
 
 def _forward(found: list, prob):
-    """Forward sums over all segmentations. prob: [pieces + 1, models], the
-    last row 0. Returns scaled alphas [word, place, model] and log scales."""
+    """Logs of the forward sums over all segmentations, [word, place, model].
+    prob: [pieces + 1, models], the last row 0."""
     import numpy as np
     m, n = found[0].shape
-    k = prob.shape[1]
-    alpha = np.zeros((m, n + 1, k))
-    alpha[:, 0] = 1.0
-    log_scale = np.zeros((m, n + 1, k))       # log of what alpha was divided by
+    logs = np.zeros((m, n + 1, prob.shape[1]))
     for j in range(1, n + 1):
-        total = np.zeros((m, k))
-        for size in range(1, min(len(found), j) + 1):
-            total += alpha[:, j - size] * prob[found[size - 1][:, j - size]] * np.exp(
-                log_scale[:, j - size] - log_scale[:, j - 1])
-        alpha[:, j] = 1.0
-        log_scale[:, j] = log_scale[:, j - 1] + np.log(total)
-    return alpha, log_scale
+        total = prob[found[0][:, j - 1]]
+        for size in range(2, min(len(found), j) + 1):
+            ids = found[size - 1][:, j - size]
+            at = np.flatnonzero(ids >= 0)  # few words have a long piece here
+            if len(at):
+                total[at] += prob[ids[at]] * np.exp(logs[at, j - size] - logs[at, j - 1])
+        logs[:, j] = logs[:, j - 1] + np.log(total)
+    return logs
 
 
 def _by_length(words: list[str], most: int = 200_000) -> Iterator[list[int]]:
@@ -116,7 +120,7 @@ def word_scores(pieces: Pieces, words: list[str], prob):
     out = np.zeros((len(words), prob.shape[1]))
     for own in _by_length(words):
         found = pieces.lookup([words[i] for i in own])
-        out[own] = _forward(found, prob)[1][:, -1]
+        out[own] = _forward(found, prob)[:, -1]
     return out
 
 
@@ -130,19 +134,23 @@ def expected_pieces(pieces: Pieces, words: list[str], counts, prob):
         batch = [words[i] for i in own]
         found = pieces.lookup(batch)
         n = len(batch[0])
-        ahead = _forward(found, prob)[1]
+        ahead = _forward(found, prob)
         # the backward sums are the forward sums of the reversed lattice
         back = [f[:, ::-1] for f in found]
-        behind = _forward(back, prob)[1][:, ::-1]
+        behind = _forward(back, prob)[:, ::-1]
         whole = ahead[:, -1]
         weight = counts[own]
         for size, ids in enumerate(found, 1):
             for start in range(n - size + 1):
-                p = prob[ids[:, start]]
+                at = np.flatnonzero(ids[:, start] >= 0)
+                if not len(at):
+                    continue
+                own_ids = ids[at, start]
+                p = prob[own_ids]
                 with np.errstate(divide="ignore"):
-                    share = np.exp(ahead[:, start] + np.log(p) + behind[:, start + size] - whole)
+                    share = np.exp(ahead[at, start] + np.log(p) + behind[at, start + size] - whole[at])
                 for model in range(models):
-                    np.add.at(out[model], ids[:, start], weight[:, model] * share[:, model if share.shape[1] > 1 else 0])
+                    np.add.at(out[model], own_ids, weight[at, model] * share[:, model if share.shape[1] > 1 else 0])
     return out[:, :pieces.size]
 
 
@@ -160,13 +168,13 @@ def words_of(text: str | None) -> Counter:
     return counts
 
 
-_PIECES: dict[tuple[str, int], Pieces] = {}
+_PIECES: dict[str, Pieces] = {}
 
 
-def pieces_of(path: str, longest: int = 8) -> Pieces:
-    if (path, longest) not in _PIECES:
-        _PIECES[path, longest] = Pieces(path, longest)
-    return _PIECES[path, longest]
+def pieces_of(path: str) -> Pieces:
+    if path not in _PIECES:
+        _PIECES[path] = Pieces(path)
+    return _PIECES[path]
 
 
 def fit(train: DataFrame, *, vocabulary: str | None = None, rounds: int = 1, smoothing: float = 0.1,
