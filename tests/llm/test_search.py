@@ -83,3 +83,10 @@ def test_hadamard_keeps_lengths():
     x = np.random.default_rng(4).standard_normal((5, 32))
     assert np.allclose(np.linalg.norm(lsh.hadamard(x), axis=1), np.linalg.norm(x, axis=1))
     assert np.allclose(lsh.hadamard(lsh.hadamard(x)), x)
+
+
+def test_one_id_on_several_vectors_takes_one_place():
+    ids = np.array([1, 2, 2, 2, 3, 4, 4, 5])
+    p = np.array([[9, 0], [9, 0], [8, 0], [7, 1], [6, 0], [5, 0], [9, 1], [1, 0]])
+    for block in (1, 3, 100):
+        assert maxscore.top_k(ids, p, 1, p[0], 3, block) == [(81, 2), (81, 4), (54, 3)]

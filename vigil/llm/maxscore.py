@@ -75,7 +75,8 @@ def top_k(ids, postings, query_id: int, query, k: int, block: int = 2048) -> lis
         keep = ids[rows] != query_id
         best_score = np.concatenate([best_score, part[keep]])
         best_id = np.concatenate([best_id, ids[rows[keep]]])
-        first = np.lexsort((best_id, -best_score))[:k]
+        first = np.lexsort((best_id, -best_score))
+        first = first[np.sort(np.unique(best_id[first], return_index=True)[1])[:k]]  # an id counts with its best score
         best_score, best_id = best_score[first], best_id[first]
         least = best_score[-1] if len(best_score) == k else None
     return [(int(s), int(i)) for s, i in zip(best_score, best_id, strict=True)]
