@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import chat, chunk_codec, langid, line_dedup, lsh, maxscore, ngram_join, packing, pii, quality
+from vigil.llm import (chat, chunk_codec, langid, line_dedup, lsh, maxscore, ngram_join, packing, pii, quality,
+                       token_files)
 
 
 #: for the registered queries on invented data only; a caller passes a key of its own
@@ -159,6 +160,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -175,6 +180,7 @@ QUERIES = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
+    "op12_token_files": op12_token_files,
     "pipeline": pipeline,
 }
 

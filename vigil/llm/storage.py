@@ -33,6 +33,11 @@ def _fresh(spark: SparkSession) -> tuple[str, str]:
     return name, f"{ensure_checkpoint_dir(spark)}/{name}"
 
 
+def fresh_path(spark: SparkSession) -> str:
+    """A new folder of the shared folder, not made yet."""
+    return _fresh(spark)[1]
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write once as Parquet under ``spark.checkpoint.dir`` and read back:
     cuts lineage, survives lost executors, and later reads are pruned."""
