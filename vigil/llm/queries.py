@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vigil.llm import (chat, chunk_codec, langid, line_dedup, lsh, maxscore, ngram_join, packing, pii, quality,
-                       token_files)
+from vigil.llm import (chat, chunk_codec, langid, line_dedup, lsh, maxscore, ngram_join, packing, phrases, pii,
+                       prefix_trie, quality, token_files)
 
 
 #: for the registered queries on invented data only; a caller passes a key of its own
@@ -160,10 +160,98 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS p FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, words, unnest([array_to_string(w[i:i + words - 1], ' ') for i in range(1, len(w) - words + 2)]) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS words) WHERE len(w) >= words),
+f AS (SELECT lang, words, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+c AS (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1),
+cuts AS (
+  SELECT *, array_to_string(w[1:k], ' ') AS first, array_to_string(w[k + 1:], ' ') AS rest
+  FROM c, (SELECT unnest([1, 2, 3]) AS k) WHERE k < words),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.f AS l, y.f AS r,
+    CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.first JOIN f y ON y.lang = c.lang AND y.phrase = c.rest),
+lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+wider AS (
+  SELECT lang, sub, max(a) AS a FROM (
+    SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS sub
+    FROM c, (SELECT unnest([2, 3]) AS m), (SELECT unnest([1, 2, 3]) AS i) WHERE m < words AND i + m - 1 <= words)
+  GROUP BY lang, sub),
+kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN wider v ON v.lang = s.lang AND v.sub = s.phrase
+  WHERE v.a IS NULL OR 100 * CAST(v.a AS HUGEINT) < 80 * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+# crc32 by its table of 256 entries, which the query builds from the polynomial
+OP13_SQL = r"""
+WITH crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS t
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i)),
+t AS (
+  SELECT conv_id, sha256(octet_length(encode(role)) || ':' || role || text) AS item, length(text) AS n,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(octet_length(encode(role)) || ':' || role || text)) AS pos
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+      [CAST(unicode(x) AS BIGINT) for x in string_split(CAST(conv_id AS VARCHAR), '')]),
+    lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1]))) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t), crc),
+r AS (
+  SELECT c.conv_id, t.pos AS place, t.item, t.n FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, t.pos + 5, t.item, t.n FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+p AS (
+  SELECT conv_id, row_number() OVER w AS depth, n, array_to_string(list(item) OVER w, ' ') AS node,
+    count(*) OVER (PARTITION BY conv_id) AS len
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL SELECT c.conv_id, 0, 0, '', (SELECT count(*) FROM r WHERE r.conv_id = c.conv_id) FROM c),
+v AS (
+  SELECT depth, node, any_value(n) AS n, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len = depth), '')) AS ends_sha256
+  FROM p GROUP BY depth, node),
+links AS (
+  SELECT DISTINCT a.depth, a.node, b.depth AS below_depth, b.node AS below
+  FROM p a JOIN p b ON a.conv_id = b.conv_id AND a.depth <= b.depth),
+inner_nodes AS (SELECT depth, node, count(*) AS n_children FROM links WHERE below_depth = depth + 1 GROUP BY depth, node),
+parents AS (
+  SELECT l.below_depth AS depth, l.below AS node, v.conv_id AS parent_conv_id
+  FROM links l JOIN v ON v.depth = l.depth AND v.node = l.node WHERE l.below_depth = l.depth + 1),
+sums AS (
+  SELECT l.depth, l.node, count(*) FILTER (i.node IS NULL) AS n_leaves, sum((u.n_convs - 1) * u.n) AS saved_tokens
+  FROM links l JOIN v u ON u.depth = l.below_depth AND u.node = l.below
+  LEFT JOIN inner_nodes i ON i.depth = u.depth AND i.node = u.node GROUP BY l.depth, l.node)
+SELECT v.conv_id, v.depth, parents.parent_conv_id, v.n_convs, coalesce(i.n_children, 0) AS n_children, s.n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM v JOIN sums s ON s.depth = v.depth AND s.node = v.node
+LEFT JOIN inner_nodes i ON i.depth = v.depth AND i.node = v.node
+LEFT JOIN parents ON parents.depth = v.depth AND parents.node = v.node
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -180,7 +268,9 @@ QUERIES = {
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_token_files": op12_token_files,
+    "op13_prefix_trie": op13_prefix_trie,
     "pipeline": pipeline,
 }
 
@@ -189,4 +279,6 @@ ORACLE: dict[str, str] = {
     "op2_topk_search": OP2_SQL,
     "op6_line_dedup": line_dedup_sql("documents"),
     "op7_ngram_jaccard": component_sql("documents", 4, 85, 100),
+    "op11_phrase_collocations": OP11_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
