@@ -1,8 +1,9 @@
-"""Join/partitioning helpers: the salted (non-broadcast) paths give the same
-rows as a plain join, spread is a no-op on already parallel input, the
-gazetteer path of the extractor, watermark de-duplication."""
+"""Partitioning helpers (spread is a no-op on already parallel input, partial
+top-k), growth of the short-form removal, the extractor's gazetteer path,
+de-duplication over batches and replays."""
+
+import random
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from vigil.operators import entities as E
@@ -56,15 +57,30 @@ def test_stream_dedup_over_batches_and_replays(spark, tmp):
 
 
 def test_contained_values_stay_linear(spark):
-    """Many long values of one document with a common opening: the substrings
-    follow the values' lengths, not the pairs."""
-    values = [f"An Act to amend the Criminal Code respecting item {i}" for i in range(600)]
+    """Many values of one document with a common opening, of many lengths: the
+    cut-out strings follow the values' letters, not the pairs."""
+    values = [f"An Act to amend the {'Criminal ' * (i % 9)}Code respecting item {i}" for i in range(600)]
     e = spark.createDataFrame([("d", "LAW", v) for v in values], "source_id string, entity_type string, value string")
-    assert E._contained_keys(e).count() < 10 * sum(map(len, values))
+    assert E._contained_short(e.filter("length(value) <= 64")).count() < sum(map(len, values))
+    assert E._contained_long(e).count() < sum(map(len, values))
     kept = {r.value for r in E.cleaned_entities(e).collect()}
     assert kept == {v for v in values if not any(v != w and v in w for w in values)}
 
 
+def test_contained_in_a_very_long_value(spark):
+    """100,000 letters with a period, a unique middle and values of all sizes inside."""
+    rnd = random.Random(2)
+    big = "ab" * 20_000 + "".join(rnd.choice("xyzé ") for _ in range(60_000))
+    inside = [big[i:i + n] for i, n in ((0, 1), (0, 64), (0, 65), (39_990, 40), (40_100, 63), (41_000, 64), (41_000, 65),
+                                        (45_000, 5_000), (99_000, 1_000), (1_020, 9), (99_999, 1))]
+    outside = ["ab" * 30 + "c", big[41_000:41_070] + "Q", big[50_000:56_000] + "Q", "zzzzzzzzzzzzzzzz"]
+    outside = [v for v in outside if v not in big]
+    rows = [("d", "LAW", v) for v in {big, *inside, *outside}] + [("other", "LAW", inside[7]), ("d", "ORG", inside[7])]
+    df = spark.createDataFrame(rows, "source_id string, entity_type string, value string")
+    got = {tuple(r) for r in E.cleaned_entities(df).collect()}
+    assert got == {("d", "LAW", big), ("other", "LAW", inside[7]), ("d", "ORG", inside[7])} | {("d", "LAW", v) for v in outside}
+
+
 def test_long_runs_and_accents(spark):
     docs = spark.createDataFrame([("d", "The Royal Commission On The Future Of Health Care In Canada met"),
                                   ("q", "QUÉBEC et Québec")], "video_id string, text string")

@@ -84,24 +84,60 @@ def unique_entities(ents: DataFrame) -> DataFrame:
     return ents.select(*keys).distinct()
 
 
-def _contained_keys(e: DataFrame) -> DataFrame:
-    """(source_id, entity_type, _m, _h1, _h2) of the strings that occur inside
-    a longer value of the same document and type, as length and 128 bits of
-    hash. A value emits only substrings of lengths that values of its document
-    and type have, so the rows follow the values' own lengths and not the
-    number of values that look alike; the value itself isn't carried along."""
-    n = F.length("value")
-    lengths = e.groupBy("source_id", "entity_type").agg(F.collect_set(n).alias("_l"))
-    wide = e.join(lengths, ["source_id", "entity_type"]).select(
-        "source_id", "entity_type", "value", F.explode(F.filter("_l", lambda m: m < n)).alias("_m"))
-    last = F.when(F.col("_m") == 0, 1).otherwise(n - F.col("_m") + 1)
+#: letters of the opening by which a position and a shorter value meet, letters
+#: that a position carries along, and letters of a block of a long value
+OPENING, TAIL, BLOCK = 3, 64, 1024
+_DOC = ["source_id", "entity_type"]
+
 
-    def piece(i):
-        part = F.substring(F.col("value"), i, F.col("_m"))
-        return F.struct(F.xxhash64(part).alias("_h1"), F.xxhash64(F.lit(7), part).alias("_h2"))
-    return (wide.select("source_id", "entity_type", "_m",
-                        F.explode(F.transform(F.sequence(F.lit(1), last), piece)).alias("_x"))
-                .select("source_id", "entity_type", "_m", "_x.*").distinct())
+def _positions(e: DataFrame) -> DataFrame:
+    """(source_id, entity_type, .., _at, _tail): every position of every value
+    with the ``TAIL`` letters from there on (at the first position without the
+    value's last letter, so that no value holds itself). Long values are cut
+    into blocks first, since finding a letter costs its distance from the start."""
+    n = F.length("value")
+    others = [c for c in e.columns if c != "value"]
+    parts = (e.filter(n > 0).select(*others, "value", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / BLOCK).cast("int"))).alias("_b"))
+             .select(*others, "_b", n.alias("_n"), F.substring("value", F.col("_b") * BLOCK + 1, F.lit(BLOCK + TAIL - 1)).alias("_part")))
+    at = F.explode(F.sequence(F.lit(1), F.least(F.lit(BLOCK), F.col("_n") - F.col("_b") * BLOCK)))
+    spots = parts.select(*others, "_b", "_n", "_part", at.alias("_i"))
+    letters = F.when((F.col("_b") == 0) & (F.col("_i") == 1), F.least(F.lit(TAIL), F.col("_n") - 1)).otherwise(TAIL)
+    return spots.select(*others, (F.col("_b") * BLOCK + F.col("_i")).alias("_at"),
+                        F.substring("_part", F.col("_i"), letters).alias("_tail"))
+
+
+def _contained_short(e: DataFrame) -> DataFrame:
+    """(source_id, entity_type, value) of the strings of at most ``TAIL`` letters
+    that stand inside a longer value of the same document and type: positions
+    meet the openings of shorter values, and only where one stands there, its
+    lengths are cut out. Values with the same opening and length are one
+    opening, so the rows follow the letters and not the pairs of values."""
+    n = F.length("value")
+    small = e.filter(n <= TAIL)
+    openings = small.select(*_DOC, F.substring("value", 1, OPENING).alias("_g"), n.alias("_m")).distinct()
+    widths = small.groupBy(*_DOC).agg(F.collect_set(F.least(n, F.lit(OPENING))).alias("_qs"))
+    spots = _positions(e.join(widths, _DOC)).select(*_DOC, "_at", "_tail", F.explode("_qs").alias("_q"))
+    grams = (spots.filter((F.length("_tail") >= F.col("_q")) & ((F.col("_q") > 0) | (F.col("_at") == 1)))
+             .select(*_DOC, F.substring("_tail", F.lit(1), F.col("_q")).alias("_g"), "_tail"))
+    return (grams.join(openings, [*_DOC, "_g"]).filter(F.col("_m") <= F.length("_tail"))
+            .select(*_DOC, F.substring("_tail", F.lit(1), F.col("_m")).alias("value")).distinct())
+
+
+def _contained_long(e: DataFrame) -> DataFrame:
+    """(source_id, entity_type, _m, _h1, _h2) of the strings of more than
+    ``TAIL`` letters that stand inside a longer value of the same document and
+    type, as length and 128 bits of hash. The values meet by their first
+    ``TAIL`` letters; a value's text is fetched where they do."""
+    key = [F.xxhash64("value").alias("_h1"), F.xxhash64(F.lit(7), "value").alias("_h2")]
+    big = e.filter(F.length("value") > TAIL).select(*_DOC, "value", *key)
+    openings = big.select(*_DOC, F.xxhash64(F.substring("value", 1, TAIL)).alias("_g"), F.length("value").alias("_m")).distinct()
+    spots = (_positions(big).filter(F.length("_tail") == TAIL)
+             .select(*_DOC, "_h1", "_h2", "_at", F.xxhash64("_tail").alias("_g")))
+    hits = spots.join(openings, [*_DOC, "_g"]).select(*_DOC, "_h1", "_h2", "_at", "_m").distinct()
+    piece = F.substring("value", F.col("_at"), F.col("_m"))
+    inside = (F.col("_m") < F.length("value")) & (F.col("_at") + F.col("_m") - 1 <= F.length("value"))
+    return (big.join(hits, [*_DOC, "_h1", "_h2"]).filter(inside)
+            .select(*_DOC, "_m", F.xxhash64(piece).alias("_h1"), F.xxhash64(F.lit(7), piece).alias("_h2")).distinct())
 
 
 def cleaned_entities(ents: DataFrame) -> DataFrame:
@@ -109,20 +145,24 @@ def cleaned_entities(ents: DataFrame) -> DataFrame:
     value of the same type in the same document is dropped; types outside
     the 18 and null values are dropped.
 
-    Every value emits hashed substrings, which are anti-joined; no pair of
-    values is ever compared, and the join key includes the value's hash, so no
-    task receives a whole document. The distinct values feed three readers and
-    are written once to the shared folder when the DataFrame is built.
+    A position of a longer value meets a shorter one only where its opening
+    stands, by an equi join on document, type and opening, so no pair of values
+    is compared and no task receives a whole document. The distinct values
+    feed several readers and are written once to the shared folder when the
+    DataFrame is built.
     """
-    from vigil.sources.files import scratch_dir, write_table
+    from vigil.sources.files import scratch_dir, write_scratch
     spark = ents.sparkSession
-    keys = ["source_id", "entity_type", "value"]
+    keys = [*_DOC, "value"]
     e = ents.filter(F.col("value").isNotNull() & F.col("entity_type").isin(*ENTITY_TYPES)).select(*keys).distinct()
     path = scratch_dir(spark, "entity_values")
-    write_table(e, path)
+    write_scratch(e, path)
     e = spark.read.schema(e.schema).parquet(path)
-    own = e.withColumns({"_m": F.length("value"), "_h1": F.xxhash64("value"), "_h2": F.xxhash64(F.lit(7), "value")})
-    return own.join(_contained_keys(e), ["source_id", "entity_type", "_m", "_h1", "_h2"], "left_anti").select(*keys)
+    short = e.filter(F.length("value") <= TAIL).join(_contained_short(e), keys, "left_anti")
+    own = e.filter(F.length("value") > TAIL).withColumns(
+        {"_m": F.length("value"), "_h1": F.xxhash64("value"), "_h2": F.xxhash64(F.lit(7), "value")})
+    long = own.join(_contained_long(e), [*_DOC, "_m", "_h1", "_h2"], "left_anti")
+    return short.select(*keys).unionByName(long.select(*keys))
 
 
 def entity_type_filter(ents: DataFrame, entity_type: str = "any") -> DataFrame:
@@ -189,15 +229,22 @@ def collect_multi_entity_data(entity_index: DataFrame, library_index: DataFrame,
     """``collect_data_containing_entity`` for a list in one job: one row per
     (list position, document); a repeated entity repeats its rows; an empty
     list gives an empty result."""
-    spark = entity_index.sparkSession
-    pats = spark.createDataFrame([(i, e.lower()) for i, e in enumerate(entities_list)],
-                                 "pattern_pos int, entity string")
     if not entities_list:
         vals = entity_index.select("value", "source_id").limit(0)
         hits = vals.select("source_id", F.lit(None).cast("int").alias("pattern_pos"))
     else:
         hits = match_patterns(entity_index.select("value", "source_id"), entities_list, mode,
                               keep=["source_id"]).distinct()
+    return collect_hits(hits, library_index, listing, channels, entities_list)
+
+
+def collect_hits(hits: DataFrame, library_index: DataFrame, listing: DataFrame, channels: DataFrame,
+                 entities_list: list[str]) -> DataFrame:
+    """Index rows of (pattern_pos, source_id) hits with their channel columns
+    and the list's entity."""
+    spark = hits.sparkSession
+    pats = spark.createDataFrame([(i, e.lower()) for i, e in enumerate(entities_list)],
+                                 "pattern_pos int, entity string")
     rows = library_index.join(hits, "source_id", "inner")
     # the pattern list is the caller's in-memory list: its size is known
     return (with_channel_info(rows, listing, channels)

@@ -75,6 +75,9 @@ LIBRARY_INDEX = _st(
     ("lib_key", L), ("source_id", S), ("rec_mod_dtm", S), ("doc_type_id", I),
     ("source_system_id", I), ("path", S), ("summary", S), ("summary_reasoning", S),
     ("sentiment", B), ("primary_emotion", S), ("secondary_emotion", S), ("main_topic", S))
+STORED_CLASSIFICATION = _st(("source_id", S), *[(f.name, f.dataType) for f in CLASSIFICATION.fields])
+INVENTORY = _st(("path", S), ("source_id", S), ("modified", T.TimestampType()), ("length", L),
+                ("doc_type_id", I), ("source_system_id", I))
 ENTITY_INDEX = _st(("entity_type", S), ("value", S), ("source_id", S))
 TOPIC_INDEX = _st(("topic", S), ("source_id", S))
 

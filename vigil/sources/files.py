@@ -45,10 +45,19 @@ def read_dim_emotions(spark: SparkSession, path: str) -> DataFrame:
 # --- legacy per-document Parquet ----------------------------------------------
 
 def read_keyed(spark: SparkSession, folder: str, suffix: str, schema: T.StructType,
-               key: str) -> DataFrame:
-    """All ``*<suffix>`` files of ``folder`` with ``key`` from the file name."""
+               key: str, modified_since=None, paths: DataFrame | None = None) -> DataFrame:
+    """All ``*<suffix>`` files of ``folder`` with ``key`` from the file name;
+    with ``modified_since`` (microseconds since 1970) and ``paths`` those among
+    ``paths``, none of which is older: older files are left out by their
+    metadata, unopened."""
     df = (spark.read.schema(schema).option("pathGlobFilter", f"*{suffix}")
                .option("recursiveFileLookup", False).parquet(folder))
+    if modified_since is not None:
+        df = df.filter(F.col("_metadata.file_modification_time") >= F.timestamp_micros(F.lit(modified_since)))
+    if paths is not None:
+        df = (df.withColumns({"_path": F.col("_metadata.file_path"), "_name": F.col("_metadata.file_name")})
+                .join(paths.select(F.col("path").alias("_path")), "_path", "left_semi"))
+        return df.withColumn(key, strip_suffix(F.col("_name"), suffix)).drop("_path", "_name")
     return df.withColumn(key, strip_suffix(F.col("_metadata.file_name"), suffix))
 
 
@@ -75,9 +84,11 @@ def normalize_missing(df: DataFrame, columns: list[str]) -> DataFrame:
     return df
 
 
-def read_classifications(spark: SparkSession, folder: str) -> DataFrame:
-    """Per-document classification records; missing columns read as null."""
-    df = read_keyed(spark, folder, S.SUFFIX_CLASSIFICATION, S.CLASSIFICATION, "video_id")
+def read_classifications(spark: SparkSession, folder: str, modified_since=None,
+                         paths: DataFrame | None = None) -> DataFrame:
+    """Per-document classification records; missing columns read as null.
+    ``modified_since`` and ``paths`` as in ``read_keyed``."""
+    df = read_keyed(spark, folder, S.SUFFIX_CLASSIFICATION, S.CLASSIFICATION, "video_id", modified_since, paths)
     text_cols = [c for c in S.CLASSIFICATION_COLUMNS if c != "sentiment"]
     return normalize_missing(df, text_cols).select("video_id", *S.CLASSIFICATION_COLUMNS)
 
@@ -130,6 +141,24 @@ def document_inventory(spark: SparkSession, root: str) -> DataFrame:
     return out.drop("length")
 
 
+def store_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """(path, source_id, modified, length, doc_type_id, source_system_id) of
+    the listing, transcript and classification files of a store, from file
+    metadata alone; classification files have no document type."""
+    out = spark.createDataFrame([], S.INVENTORY)
+    for sub, suffix, kind in [("channels", S.SUFFIX_SEARCH, "youtube channel search"),
+                              ("transcripts", S.SUFFIX_TRANSCRIPT, "transcript"), ("classifications", S.SUFFIX_CLASSIFICATION, None)]:
+        if path_exists(spark, f"{root}/{sub}"):
+            seen = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(f"{root}/{sub}")
+                    .select(F.col("_metadata.file_path").alias("path"), "modificationTime", "length"))
+            name = F.element_at(F.split(F.col("path"), "/"), -1)
+            out = out.unionByName(seen.select(
+                "path", strip_suffix(name, suffix).alias("source_id"), F.col("modificationTime").alias("modified"), "length",
+                F.lit(S.DOC_TYPES[kind] if kind else None).cast("int").alias("doc_type_id"),
+                F.lit(S.SOURCE_SYSTEMS["youtube"]).alias("source_system_id")))
+    return out
+
+
 # --- search pages (nested JSON) ---------------------------------------------
 
 def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -154,6 +183,11 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "gzip").parquet(path)
 
 
+def write_scratch(df: DataFrame, path: str) -> None:
+    """An intermediate table: read again at once, so a light codec."""
+    df.write.option("compression", "lz4").parquet(path)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -165,6 +199,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder; False if it isn't there."""
+    p, fs = _fs(spark, path)
+    return bool(fs.delete(p, True))
+
+
 def list_versions(spark: SparkSession, root: str) -> list[str]:
     p, fs = _fs(spark, root)
     if not fs.exists(p):
