@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -62,14 +64,37 @@ def _corpus(seed, n=60):
     return rows
 
 
+def _by_chunks(chunks, langs=None, freqs=None, bitmap=b"\xff" * 64):
+    """{(lang, phrase): count} by the numpy counter, all orders."""
+    words = phrases.Words(pa.array([c for c, _ in chunks], pa.binary()), langs or ["en"] * len(chunks))
+    lasts, freqs = np.array([x for _, x in chunks], bool), np.array(freqs or [1] * len(chunks))
+    got = Counter()
+    for orders in ((1,), (2,), (3, 4)):
+        for text, starts, ends, f in phrases.phrase_counts(words, lasts, freqs, orders, bitmap):
+            found = phrases._slices(words.data, starts, ends).to_pylist()
+            for t, p, n in zip(text.tolist(), found, f.tolist(), strict=True):
+                got[(langs[t] if langs else "en"), p] += n
+    return got
+
+
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.sampled_from(["A", "bcd", "e", ".", "\n", "\t", " ", "é", "xyzzy", "longerword"]), max_size=250), st.integers(0, 3))
-def test_each_occurrence_belongs_to_one_chunk(parts, bits):
+@given(st.lists(st.sampled_from(["A", "bcd", "e", ".", "\n", "\t", " ", "é", "xyzzy", "longerword"]), max_size=250),
+       st.integers(0, 3), st.sampled_from([9, 4096]))
+def test_each_occurrence_belongs_to_one_chunk(parts, bits, longest):
     text = " ".join(parts)
-    chunks = phrases.parse(phrases.normal(text.encode()), bits=bits, least=5)
-    anything = phrases._Frequent(b"\xff" * 64, "en")
-    got = Counter(g.decode() for chunk, last in chunks for n in range(4) for g in phrases.count_chunk(chunk, last, [anything] * n))
-    assert got == _counts([text])
+    chunks = phrases.parse(phrases.normal(text.encode()), bits=bits, least=5, longest=longest)
+    assert {p: n for (_, p), n in _by_chunks(chunks).items()} == _counts([text]) if chunks else not _counts([text])
+
+
+def test_languages_weights_and_long_words():
+    texts = [("a b a b", "en", 3), ("a b", "de", 5), ("x" * 70_000 + " a b " + "x" * 70_000, "en", 1), ("x" * 70_001 + " a", "en", 2)]
+    chunks = [(t.encode(), True) for t, _, _ in texts]
+    got = _by_chunks(chunks, [x for _, x, _ in texts], [f for _, _, f in texts])
+    want = Counter()
+    for t, lang, f in texts:
+        for p, n in _counts([t]).items():
+            want[lang, p] += n * f
+    assert got == want
 
 
 def test_shared_passages_share_chunks():
