@@ -1,9 +1,10 @@
 """Physical-plan properties that matter at scale: pushdown, pruning,
 partial top-k, no nested-loop joins."""
 
-from conftest import SF_SMALL
 from vigil.plans.registry import QUERIES
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -34,3 +35,47 @@ def test_topk_partial_before_shuffle(spark):
 def test_entity_search_has_no_nested_loop(spark):
     p = plan(QUERIES["collect_multi_entity_data"](spark, SF_SMALL))
     assert "NestedLoop" not in p and "Cartesian" not in p
+
+
+def test_index_marts_join_without_exchange(spark, tmp):
+    from vigil.operators import analysis as A
+    from vigil.plans import standins as SI
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        marts = A.write_marts(SI.listing(spark, SF_SMALL), SI.channels(spark, SF_SMALL), SI.library_index(spark, SF_SMALL),
+                              SI.entity_index(spark, SF_SMALL), SI.topic_index(spark, SF_SMALL), tmp, buckets=8)
+        assert sorted(marts) == ["entity_analysis", "topic_analysis", "video_analysis"]
+        again = A.topic_analysis(marts["topic_analysis"].select("topic", "source_id"), marts["video_analysis"])
+        both = marts["entity_analysis"].select("source_id", "value").join(marts["topic_analysis"].select("source_id", "topic"), "source_id")
+        counts = marts["entity_analysis"].groupBy("source_id").count()
+        for df in (again, both, counts):
+            assert "Exchange" not in plan(df), plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_listing_append_reads_the_pages_partitions_only(spark, tmp):
+    from vigil.operators import catalog as C
+    rows = spark.range(4000).selectExpr("id AS video_id", "'t' AS title")
+    C.append_to_listing(rows, f"{tmp}/l", buckets=16)
+    import glob
+    import os
+    stamp = lambda: {f: os.path.getmtime(f) for f in glob.glob(f"{tmp}/l/bucket=*/*.parquet")}
+    before = stamp()
+    out = C.append_to_listing(spark.createDataFrame([(7, "u"), (9001, "n"), (9001, "m"), (9001, "n")], "video_id long, title string"),
+                              f"{tmp}/l", buckets=16)
+    after = stamp()
+    assert len({f.split("bucket=")[1].split("/")[0] for f in set(before) ^ set(after)}) == 1
+    assert out.count() == 4002 and {r.title for r in out.filter("video_id = 9001").collect()} == {"m", "n"}
+    assert out.filter("video_id = 7").first().title == "t"
+    again = stamp()
+    C.append_to_listing(spark.createDataFrame([(9001, "late")], "video_id long, title string"), f"{tmp}/l", buckets=16)
+    assert stamp() == again
+
+
+def test_gazetteer_ships_hits_only(spark):
+    from vigil.operators import entities as E
+    docs = spark.createDataFrame([("d", "a b c " * 50)], "video_id string, text string")
+    gaz = spark.createDataFrame([("b c", "ORG")], "term string, entity_type string")
+    p = plan(E.gazetteer_entities(docs, gaz))
+    assert "Generate" not in p and "MapInArrow" in p

@@ -55,16 +55,19 @@ def topic_analysis(topic_index: DataFrame, video: DataFrame) -> DataFrame:
 
 
 def write_marts(listing: DataFrame, channels: DataFrame, library_index: DataFrame,
-                entity_index: DataFrame, topic_index: DataFrame, folder: str) -> dict[str, str]:
-    """The three marts as Parquet tables under ``folder``, the video mart
-    computed once; name -> path."""
-    spark = listing.sparkSession
-    paths = {name: f"{folder}/{name}" for name in ("video_analysis", "entity_analysis", "topic_analysis")}
-    video_analysis(listing, channels, library_index).write.mode("overwrite").parquet(paths["video_analysis"])
-    video = spark.read.parquet(paths["video_analysis"])
-    entity_analysis(entity_index, video).write.mode("overwrite").parquet(paths["entity_analysis"])
-    topic_analysis(topic_index, video).write.mode("overwrite").parquet(paths["topic_analysis"])
-    return paths
+                entity_index: DataFrame, topic_index: DataFrame, folder: str,
+                buckets: int = 64) -> dict[str, DataFrame]:
+    """The three marts as tables under ``folder``, all bucketed by the document
+    (video_id / source_id); name -> table. The two indexes and the video mart
+    are dealt by the document once, and the entity and topic marts then join
+    bucket with bucket, without moving a row; so do later joins of the marts."""
+    from vigil.sources import files as FS
+    video = FS.write_bucketed(video_analysis(listing, channels, library_index), f"{folder}/video_analysis", "video_id", buckets)
+    marts = {"video_analysis": video}
+    for name, index, join in (("entity_analysis", entity_index, entity_analysis), ("topic_analysis", topic_index, topic_analysis)):
+        dealt = FS.write_bucketed(index, f"{folder}/{name}_index", "source_id", buckets)
+        marts[name] = FS.write_bucketed(join(dealt, video), f"{folder}/{name}", "source_id", buckets, as_it_lies=True)
+    return marts
 
 
 def with_time_columns(topic_mart: DataFrame, as_of, days: int = 60) -> DataFrame:

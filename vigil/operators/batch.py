@@ -5,7 +5,7 @@ document), scores them with the built-in scorers and returns the new rows
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vigil.operators import enrich as N
@@ -80,8 +80,38 @@ def update_new_classifications(classifications: DataFrame, listing: DataFrame,
 def append_results(rows: DataFrame, folder: str, key: str) -> DataFrame:
     """Append the rows whose key isn't stored yet, and return the store. A
     driver run twice adds nothing the second time."""
+    return append_counted(rows, folder, key)[0]
+
+
+def append_counted(rows: DataFrame, folder: str, key: str) -> tuple[DataFrame, int]:
+    """``append_results`` and how many rows went in; the number is observed by
+    the job that writes them, so nothing is read or computed for it."""
     spark = rows.sparkSession
     if path_exists(spark, folder):
         rows = rows.join(spark.read.parquet(folder).select(key).distinct(), key, "left_anti").select(*rows.columns)
-    write_table(rows, folder, mode="append")
-    return spark.read.parquet(folder)
+    written = Observation()
+    write_table(rows.observe(written, F.count(F.lit(1)).alias("rows")), folder, mode="append")
+    return spark.read.parquet(folder), written.get["rows"]
+
+
+def identify_new_topics(transcripts: DataFrame, topic_store: DataFrame, statistics, batch: str,
+                        k: int = 3) -> DataFrame:
+    """``identify_topics_for_all`` with stored statistics (``statistics_table``):
+    the waiting transcripts are added to them under the batch's name and are
+    the only texts that are tokenised. Repeating a batch adds nothing."""
+    todo = missing_enrichments(transcripts, topic_store, "video_id", store_key="source_id")
+    N.add_statistics(statistics, todo, batch)
+    return N.topic_list(todo, "video_id", "text", k, N.stored_statistics(statistics)).select(
+        "topic", F.col("video_id").alias("source_id"))
+
+
+def write_back_topics(table, listing: DataFrame, transcripts: DataFrame, batch: str,
+                      statistics: DataFrame | None = None) -> bool:
+    """Fill the missing main topics of a stored classification table (a keyed
+    table by source_id): only the filled rows are written. False if the batch
+    was written before."""
+    if batch in table.batches():
+        return False
+    rows = table.read().withColumnRenamed("source_id", "video_id")
+    filled = update_new_classifications(rows, listing, transcripts, statistics).filter(F.col("main_topic").isNotNull())
+    return table.change(filled.withColumnRenamed("video_id", "source_id"), batch=batch)

@@ -12,7 +12,7 @@ is handled by one shuffle join instead of a file probe per document.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.functions.text import html_unescape_basic, lower_equals
@@ -206,6 +206,24 @@ def orphan_transcripts(transcripts: DataFrame, listing: DataFrame) -> DataFrame:
     return _fetch(transcripts, ids, "video_id")
 
 
+def remove_orphans(spark: SparkSession, folder: str, listing: DataFrame, apply: bool = False) -> DataFrame:
+    """(video_id, path, removed) of the transcript files of a legacy folder
+    whose video is in no listing; ``apply`` deletes them. Files are found by
+    their names; none is opened. The names are decided before the first
+    deletion and reach the driver a partition at a time."""
+    from vigil.schemas import SUFFIX_TRANSCRIPT
+    from vigil.sources import files as FS
+    known = listing.select(F.col("video_id").cast("string").alias("source_id"))
+    found = FS.file_inventory(spark, folder, SUFFIX_TRANSCRIPT).join(known, "source_id", "left_anti")
+    path = FS.scratch_dir(spark, "orphans")
+    FS.write_scratch(found.select(F.col("source_id").alias("video_id"), "path"), path)
+    orphans = spark.read.parquet(path)
+    if apply:
+        for r in orphans.toLocalIterator():
+            FS.remove(spark, r["path"])
+    return orphans.withColumn("removed", F.lit(apply))
+
+
 def append_new_listing(new: DataFrame, old: DataFrame | None) -> DataFrame:
     """New page rows not already stored, plus the stored rows, full-row
     distinct. A repeat inside the new batch with another title survives."""
@@ -215,6 +233,65 @@ def append_new_listing(new: DataFrame, old: DataFrame | None) -> DataFrame:
     return fresh.unionByName(old, allowMissingColumns=True).dropDuplicates()
 
 
+def append_to_listing(new: DataFrame, root: str, buckets: int = 64) -> DataFrame:
+    """``append_new_listing`` onto a stored listing, partitioned by a hash of
+    video_id; returns the stored listing. A page reads and replaces only the
+    partitions in which it has new ids, so the whole table is never compared
+    row by row. The merged partitions are written aside first; the same page
+    again finds no new id and changes nothing."""
+    from vigil.sources import files as FS
+    spark = new.sparkSession
+    bucket = F.pmod(F.xxhash64("video_id"), F.lit(buckets)).cast("int")
+    page = new.withColumn("bucket", bucket)
+    stage = FS.scratch_dir(spark, "listing_page")
+    old = None
+    if FS.path_exists(spark, root):
+        seen = sorted(r.bucket for r in page.select("bucket").distinct().collect())         # at most ``buckets``
+        old = spark.read.parquet(root).filter(F.col("bucket").isin(seen))
+        page = page.join(old.select("bucket", "video_id"), ["bucket", "video_id"], "left_anti")
+    FS.write_scratch(page.select(*new.columns, "bucket"), f"{stage}-page")
+    page = spark.read.parquet(f"{stage}-page")
+    if old is not None:
+        fresh = sorted(r.bucket for r in page.select("bucket").distinct().collect())
+        if not fresh:
+            return spark.read.parquet(root).drop("bucket")
+        old = spark.read.parquet(root).filter(F.col("bucket").isin(fresh))
+    merged = page.dropDuplicates() if old is None else page.unionByName(old, allowMissingColumns=True).dropDuplicates()
+    FS.write_scratch(merged, stage)
+    (spark.read.parquet(stage).hint("rebalance", "bucket").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").option("compression", "gzip").partitionBy("bucket").parquet(root))
+    return spark.read.parquet(root).drop("bucket")
+
+
+def record_status(root: str, skip: DataFrame, transcripts: DataFrame, buckets: int = 64) -> DataFrame:
+    """Write the fetch status back to a stored listing (``append_to_listing``):
+    rows with a transcript keep their place with ``code`` true, skipped ones
+    and ones without a transcript leave. Only partitions in which a status
+    changes are replaced. Returns the stored listing."""
+    from vigil.sources import files as FS
+    spark = skip.sparkSession
+    stored = spark.read.parquet(root)
+    code = F.col("code").cast("boolean") if "code" in stored.columns else F.lit(None).cast("boolean")
+    stored = stored.withColumn("code", code)
+    done = videos_with_transcripts(stored.select("video_id", "bucket").distinct(), skip, transcripts).select(
+        "bucket", "video_id", F.lit(True).alias("_ok"))
+    status = stored.join(done, ["bucket", "video_id"], "left")
+    changed = status.filter(F.col("_ok").isNull() | ~F.coalesce(F.col("code"), F.lit(False)))
+    touched = sorted(r.bucket for r in changed.select("bucket").distinct().collect())
+    if touched:
+        stage = FS.scratch_dir(spark, "listing_status")
+        kept = status.filter(F.col("bucket").isin(touched) & F.col("_ok")).withColumn("code", F.lit(True)).drop("_ok")
+        FS.write_scratch(kept, stage)
+        rows = spark.read.parquet(stage)
+        (rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .option("compression", "gzip").partitionBy("bucket").parquet(root))
+        left = {r.bucket for r in rows.select("bucket").distinct().collect()}
+        for b in touched:                       # a partition without rows is not overwritten
+            if b not in left:
+                FS.remove(spark, f"{root}/bucket={b}")
+    return spark.read.schema(stored.schema).parquet(root).drop("bucket")
+
+
 # --- transcript assembly -------------------------------------------------
 
 def assemble_text(segments: DataFrame, key: str = "video_id", order: str = "start",

@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.functions.text import chunk_text, sentences, words
 from vigil.operators.catalog import missing_enrichments
@@ -73,6 +74,39 @@ def merge_statistics(stored: DataFrame, added: DataFrame) -> DataFrame:
     return stored.unionByName(added).groupBy("term").agg(F.sum("df").cast("long").alias("df"))
 
 
+def statistics_table(spark, root: str, buckets: int = 64):
+    """Stored document frequencies (term, df) as a keyed table, whose note is
+    the number of documents and whose batches are the ledger of what it holds."""
+    from vigil.schemas import TERM_STATISTICS
+    from vigil.sources.keyed import KeyedTable
+    return KeyedTable(spark, f"{root}/term_statistics", TERM_STATISTICS, "term", buckets)
+
+
+def add_statistics(table, docs: DataFrame, batch: str, key="video_id", text: str = "text",
+                   min_letters: int = TOPIC_MIN_LETTERS) -> bool:
+    """Add the documents of a batch to stored statistics: only their texts are
+    tokenised, and only rows of terms that they hold are written. A batch that
+    the ledger names adds nothing (False). Batches share no document."""
+    from vigil.sources.files import scratch_dir, write_scratch
+    if batch in table.batches():
+        return False
+    spark = table.spark
+    path = scratch_dir(spark, "batch_statistics")
+    write_scratch(term_statistics(docs, key, text, min_letters), path)
+    added = spark.read.parquet(path)
+    n = added.filter(F.col("term").isNull()).agg(F.sum("df")).first()[0] or 0
+    terms = added.filter(F.col("term").isNotNull())
+    before = table.read().withColumnRenamed("df", "_before")
+    new = terms.join(before, "term", "left").select("term", (F.col("df") + F.coalesce("_before", F.lit(0))).alias("df"))
+    return table.change(new, batch=batch, note=table.note() + n)
+
+
+def stored_statistics(table) -> DataFrame:
+    """``term_statistics`` of all batches added so far."""
+    n = table.spark.createDataFrame([(None, table.note())], table.schema)
+    return n.unionByName(table.read())
+
+
 def tfidf_from_tf(tf: DataFrame, statistics: DataFrame) -> DataFrame:
     """Add df and score = round(tf * ln(N / df), 6) to (keys.., term, tf).
     Terms that the statistics don't hold get no row: they must cover the
@@ -289,3 +323,81 @@ def enrich(docs: DataFrame, key: str, scorer: Callable, schema=None,
     if schema is not None:
         return todo.mapInPandas(scorer, schema)
     return scorer(todo)
+
+
+def enrich_checked(docs: DataFrame, key: str, scorer: Callable, columns: dict[str, str],
+                   labels: dict[str, list[str]] | None = None, text: str = "text",
+                   store: DataFrame | None = None, batch: int = 64) -> DataFrame:
+    """A user's model under a checked contract: key, the declared ``columns``
+    (name -> Spark type) and ``error`` for every document without a stored
+    result.
+
+    ``scorer`` gets a list of texts and returns as many dicts. If a call
+    fails, its texts are tried one by one, so an exception costs one row and
+    not the job. A row has an ``error`` (and nulls) if the scorer failed on it,
+    if a column is missing or not declared, or if a value isn't one of its
+    column's ``labels``; null is always allowed. Keep rows without an error
+    (``split_errors``); the others stay unstored and are tried again next time."""
+    todo = docs if store is None else missing_enrichments(docs, store, key)
+    declared, closed = list(columns), {c: frozenset(v) for c, v in (labels or {}).items()}
+    schema = T.StructType([todo.schema[key], *T.StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in columns.items())).fields,
+                           T.StructField("error", T.StringType())])
+
+    def checked(result) -> tuple[dict, str | None]:
+        if not isinstance(result, dict) or set(result) != set(declared):
+            got = sorted(result) if isinstance(result, dict) else type(result).__name__
+            return {}, f"columns {got}, declared {sorted(declared)}"
+        for c, allowed in closed.items():
+            if result[c] is not None and result[c] not in allowed:
+                return {}, f"{c} {result[c]!r} is not one of its labels"
+        return result, None
+
+    def one(text: str) -> tuple[dict, str | None]:
+        try:
+            return checked(scorer([text])[0])
+        except Exception as ex:  # noqa: BLE001 - a model may raise anything; the row says what
+            return {}, f"{type(ex).__name__}: {ex}"
+
+    def some(texts: list[str]) -> list[tuple[dict, str | None]]:
+        try:
+            results = list(scorer(texts))
+            if len(results) == len(texts):
+                return [checked(r) for r in results]
+        except Exception:  # noqa: BLE001 - tried again one by one
+            pass
+        return [one(t) for t in texts]
+
+    def score(batches):
+        import pyarrow as pa
+        fields = to_arrow_schema(schema)
+        for rows in batches:
+            for at in range(0, rows.num_rows, batch):
+                part = rows.slice(at, batch)
+                results = some(part.column(1).to_pylist())
+                cols = [part.column(0)]
+                for c in declared:
+                    values = []
+                    for i, (row, _) in enumerate(results):
+                        try:
+                            values.append(pa.scalar(row.get(c), fields.field(c).type).as_py())
+                        except (pa.ArrowInvalid, pa.ArrowTypeError) as ex:
+                            values.append(None)
+                            results[i] = ({}, f"{c}: {ex}")
+                    cols.append(pa.array(values, fields.field(c).type))
+                # a value of another type clears its whole row
+                bad = pa.array([e is not None for _, e in results])
+                cols = [cols[0], *(pa.compute.if_else(bad, pa.scalar(None, x.type), x) for x in cols[1:]),
+                        pa.array([e for _, e in results], pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, schema=fields)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    return todo.select(key, F.coalesce(text, F.lit("")).alias(text)).mapInArrow(score, schema)
+
+
+def split_errors(scored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows to store, failed rows) of ``enrich_checked``, scored once."""
+    from vigil.sources.files import scratch_dir, write_scratch
+    path = scratch_dir(scored.sparkSession, "scored")
+    write_scratch(scored, path)
+    rows = scored.sparkSession.read.parquet(path)
+    return rows.filter(F.col("error").isNull()).drop("error"), rows.filter(F.col("error").isNotNull())

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.operators.catalog import join_channels, video_channel
 from vigil.schemas import ENTITY_TYPES
@@ -53,26 +54,116 @@ def extract_entities(docs: DataFrame, key: str = "video_id", text: str = "text",
     return typed.filter(F.col("entity_type").isNotNull()).select("source_id", "entity_type", "value", "pos")
 
 
+#: terms up to which a gazetteer's automaton is sent to the tasks
+AUTOMATON_TERMS = 1_000_000
+
+
 def gazetteer_entities(docs: DataFrame, gazetteer: DataFrame, key: str = "video_id",
-                       text: str = "text") -> DataFrame:
+                       text: str = "text", longest: bool = False,
+                       automaton_terms: int = AUTOMATON_TERMS) -> DataFrame:
     """Every run of words that spells a term of ``gazetteer`` (term,
     entity_type), in any case, with its word position: (source_id,
-    entity_type, value, pos). Terms are words separated by single spaces;
-    only the lengths that terms have are formed, so a word yields one row per
-    length. Overlapping terms are all found; a null text gives none."""
-    g = gazetteer.select(F.lower("term").alias("_t"), "entity_type").distinct()
+    entity_type, value, pos). Terms are words separated by single spaces.
+    Overlapping terms are all found; with ``longest``, from left to right the
+    longest term at each place and none inside it. A null text gives none.
+
+    The terms become one automaton (a trie with failure links) that reads a
+    text once, whatever their number and lengths, and only hits leave the
+    task. It is sent to the tasks if the gazetteer has at most
+    ``automaton_terms`` terms; beyond that, word runs are joined with it."""
+    g = gazetteer.filter(F.col("term").isNotNull()).select(F.lower("term").alias("_t"), "entity_type").distinct()
+    terms = [r["_t"] for r in g.select("_t").distinct().limit(automaton_terms + 1).collect()]
+    if len(terms) > automaton_terms:
+        found = _term_runs(docs, g, key, text)
+    else:
+        found = _automaton_hits(docs, terms, key, text)
+    if longest:
+        found = _leftmost_longest(found)
+    return found.withColumn("_t", F.lower("value")).join(g, "_t").select("source_id", "entity_type", "value", "pos")
+
+
+def _words(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(key).alias("source_id"), F.regexp_extract_all(F.col(text), F.lit(WORD), 0).alias("_w")).filter(F.size("_w") > 0)
+
+
+def _term_runs(docs: DataFrame, g: DataFrame, key: str, text: str) -> DataFrame:
+    """(source_id, value, pos) by joining the word runs of the lengths that
+    terms have: a word yields one row per length."""
     lengths = [r["n"] for r in g.select(F.size(F.split("_t", " ")).alias("n")).distinct().collect()]
-    all_words = F.regexp_extract_all(F.col(text), F.lit(WORD), 0)
 
     def run(i, n):
         return F.when(i + n <= F.size("_w"), F.array_join(F.slice("_w", i + 1, F.lit(n)), " "))
     grams = F.transform("_w", lambda w, i: F.array(*[run(i, n) for n in sorted(lengths)]))
-    found = (docs.select(F.col(key).alias("source_id"), all_words.alias("_w")).filter(F.size("_w") > 0)
-                 .select("source_id", F.posexplode(grams).alias("pos", "_g"))
-                 .select("source_id", F.col("pos").cast("long").alias("pos"), F.explode("_g").alias("value"))
-                 .filter(F.col("value").isNotNull()))
-    return (found.withColumn("_t", F.lower("value")).join(g, "_t")
-                 .select("source_id", "entity_type", "value", "pos"))
+    found = (_words(docs, key, text).select("source_id", F.posexplode(grams).alias("pos", "_g"))
+             .select("source_id", F.col("pos").cast("long").alias("pos"), F.explode("_g").alias("value"))
+             .filter(F.col("value").isNotNull()))
+    return found.join(g.select("_t").distinct(), F.lower("value") == F.col("_t"), "left_semi").select("source_id", "value", "pos")
+
+
+def _automaton_hits(docs: DataFrame, terms: list[str], key: str, text: str) -> DataFrame:
+    """(source_id, value, pos) by one pass over each text's words."""
+    spark = docs.sparkSession
+    known = spark.sparkContext.broadcast(terms)
+    texts = _words(docs, key, text).withColumn("_low", F.lower(F.array_join("_w", " ")))
+    schema = T.StructType([T.StructField("source_id", texts.schema["source_id"].dataType),
+                           T.StructField("value", T.StringType()), T.StructField("pos", T.LongType())])
+
+    def find(batches):
+        import bisect
+        import re
+
+        import ahocorasick
+        import pyarrow as pa
+        machine = ahocorasick.Automaton()
+        for t in known.value:
+            machine.add_word(f" {t} ", t.count(" ") + 1)
+        if known.value:
+            machine.make_automaton()
+        for batch in batches:
+            rows, values, places = [], [], []
+            ids, words, lows = batch.columns
+            for i, (ws, low) in enumerate(zip(words.to_pylist(), lows.to_pylist(), strict=True)):
+                line, starts = f" {low} ", None
+                for end, n in machine.iter(line) if known.value else ():
+                    if starts is None:
+                        starts = [m.start() for m in re.finditer(" ", line)]
+                    last = bisect.bisect_left(starts, end)       # words before the hit's closing space
+                    rows.append(i)
+                    values.append(" ".join(ws[last - n:last]))
+                    places.append(last - n)
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), pa.array(values, pa.string()),
+                                              pa.array(places, pa.int64())], ["source_id", "value", "pos"])
+
+    return texts.select("source_id", "_w", "_low").mapInArrow(find, schema)
+
+
+def _leftmost_longest(found: DataFrame) -> DataFrame:
+    """Of overlapping hits the one that begins first, of those the longest;
+    what remains overlaps none of the chosen. Only places are gathered by
+    document, at most one for each of its words."""
+    n = F.size(F.split("value", " "))
+    at = found.groupBy("source_id", "pos").agg(F.max(n).cast("long").alias("_n"))
+    spans = at.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("pos", "_n"))).alias("_s"))
+
+    def choose(batches):
+        import pyarrow as pa
+        for batch in batches:
+            rows, cols = [], ([], [])
+            for i, places in enumerate(batch.column(1).to_pylist()):
+                end = 0
+                for x in places:
+                    if x["pos"] >= end:
+                        end = x["pos"] + x["_n"]
+                        rows.append(i)
+                        cols[0].append(x["pos"])
+                        cols[1].append(x["_n"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), *(pa.array(c, pa.int64()) for c in cols)],
+                                             ["source_id", "pos", "_n"])
+    schema = T.StructType([found.schema["source_id"], T.StructField("pos", T.LongType()), T.StructField("_n", T.LongType())])
+    kept = spans.mapInArrow(choose, schema).alias("k")
+    hit = found.withColumn("_n", n).alias("h")
+    same = F.expr("h.source_id <=> k.source_id AND h.pos = k.pos AND h._n = k._n")
+    return hit.join(kept, same, "left_semi").select("source_id", "value", "pos")
 
 
 def unique_entities(ents: DataFrame) -> DataFrame:

@@ -1237,3 +1237,7 @@ FROM {_STALE} s LEFT JOIN (SELECT * FROM ranked WHERE rank = 1) r ON r.doc_id =
 def q_update_new_classifications(spark, d):
     return BT.update_new_classifications(SI.classifications(spark, d), SI.listing(spark, d),
                                          SI.transcripts(spark, d))
+
+
+# the stored and incremental forms register themselves
+from vigil.plans import registry_store  # noqa: E402,F401

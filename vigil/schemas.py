@@ -78,6 +78,7 @@ LIBRARY_INDEX = _st(
 STORED_CLASSIFICATION = _st(("source_id", S), *[(f.name, f.dataType) for f in CLASSIFICATION.fields])
 INVENTORY = _st(("path", S), ("source_id", S), ("modified", T.TimestampType()), ("length", L),
                 ("doc_type_id", I), ("source_system_id", I))
+TERM_STATISTICS = _st(("term", S), ("df", L))
 ENTITY_INDEX = _st(("entity_type", S), ("value", S), ("source_id", S))
 TOPIC_INDEX = _st(("topic", S), ("source_id", S))
 

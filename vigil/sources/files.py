@@ -10,6 +10,7 @@ read. After import, tables should be compacted (many documents per file).
 
 from __future__ import annotations
 
+import hashlib
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -164,16 +165,29 @@ def store_inventory(spark: SparkSession, root: str) -> DataFrame:
 def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed search responses (JSON lines) -> one row per item; pages with
     no items keep one row of nulls (explode_outer); nextPageToken optional."""
-    pages = spark.read.schema(S.SEARCH_PAGE).json(path)
+    return _page_items(spark.read.schema(S.SEARCH_PAGE).json(path))
+
+
+def _page_items(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("kind").alias("page_kind"), F.col("etag").alias("page_etag"),
                         "regionCode", "nextPageToken",
                         F.explode_outer("items").alias("item")).select(
         "page_kind", "page_etag", "regionCode", "nextPageToken", "item.*")
 
 
-def parse_search_json(col) -> F.Column:
-    """A JSON search response held in a string column -> struct."""
-    return F.from_json(col, S.SEARCH_PAGE)
+def read_search_pages_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(items, rejects): ``read_search_pages`` of the lines that hold a search
+    response, and (file, line) of those that don't parse or are no object of
+    the declared types, as text. Empty lines are neither."""
+    schema = T.StructType([*S.SEARCH_PAGE.fields, T.StructField("_line", T.StringType())])
+    parsed = (spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").json(path)
+              .withColumn("_file", F.col("_metadata.file_name")))
+    # parsed once with all columns: a reader of fewer columns would look at fewer fields of a line
+    table = scratch_dir(spark, "search_pages")
+    write_scratch(parsed, table)
+    pages = spark.read.parquet(table)
+    return (_page_items(pages.filter(F.col("_line").isNull())),
+            pages.filter(F.col("_line").isNotNull()).select(F.col("_file").alias("file"), F.col("_line").alias("line")))
 
 
 # --- writers ----------------------------------------------------------------
@@ -183,6 +197,31 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("compression", "gzip").parquet(path)
 
 
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, as_it_lies: bool = False) -> DataFrame:
+    """Write a table bucketed by ``key`` under ``path`` and read it: joins and
+    aggregates on the key leave its rows where they lie. Its catalog entry is
+    named after the path, so that writing the path again replaces it
+    (``drop_bucketed`` takes the entry out). A hot key's rows are written by
+    several tasks, into several files of its bucket. ``as_it_lies``: the rows
+    are in such buckets already (a join of two such tables), nothing is moved."""
+    spark = df.sparkSession
+    name = _bucketed_name(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    remove(spark, path)
+    ((df if as_it_lies else df.hint("rebalance", key)).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+       .option("path", path).saveAsTable(name))
+    return spark.table(name)
+
+
+def _bucketed_name(path: str) -> str:
+    return f"vigil_{hashlib.sha256(path.encode()).hexdigest()[:20]}"
+
+
+def drop_bucketed(spark: SparkSession, path: str) -> None:
+    """Take a bucketed table's entry out of the catalog; its files stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {_bucketed_name(path)}")
+
+
 def write_scratch(df: DataFrame, path: str) -> None:
     """An intermediate table: read again at once, so a light codec."""
     df.write.option("compression", "lz4").parquet(path)

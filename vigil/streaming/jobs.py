@@ -4,11 +4,11 @@ polling loops.
 * ``stream_transcripts``: new transcript files -> assembled documents. A
   file is one document and the file source never splits a file across
   micro-batches, so assembling inside ``foreachBatch`` is exact.
-* ``stream_listing_dedup``: listing rows de-duplicated by video_id across
-  batches (state in the checkpoint). With a watermark,
-  ``dropDuplicatesWithinWatermark`` bounds the state, but drops rows older
-  than the watermark, which the batch ``append_new_listing`` never does, so
-  the unbounded form is the default.
+* ``stream_listing_dedup``: listing rows de-duplicated by video_id against the
+  stored listing, however old. ``stream_listing_dedup_within`` keeps the seen
+  ids as state, bounded by a watermark: it never reads the listing, but drops
+  rows older than the watermark, which the batch ``append_new_listing`` never
+  does, so it is a choice of the caller's.
 * ``stream_index_upsert``: each batch of incoming index rows is upserted
   into the newest index version and a new version is written.
 
@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigil.functions.timefn import instant
 from vigil.operators.catalog import assemble_text
-from vigil.operators.index import index_changed, index_rows, upsert_index
+from vigil.operators.index import index_changed, index_rows, index_table, upsert_delta, upsert_index
 from vigil.schemas import LIBRARY_INDEX, SUFFIX_TRANSCRIPT
 from vigil.sources import files as FS
 
@@ -90,6 +91,37 @@ def stream_listing_dedup(spark: SparkSession, source_dir: str, out_dir: str, che
     _run(src.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint))
 
 
+def stream_listing_dedup_within(spark: SparkSession, source_dir: str, out_dir: str, checkpoint: str,
+                                schema: T.StructType, glob: str, delay: str = "1 day",
+                                event_time: str = "published_at",
+                                prepare: Callable[[DataFrame], DataFrame] | None = None,
+                                max_files: int | None = None) -> None:
+    """Append each listing row whose video_id was not seen within ``delay`` of
+    event time. The seen ids are the operator's state (kept in the
+    checkpoint, over restarts) and are forgotten once the watermark has passed
+    them; rows older than the watermark, or without an event time, are
+    dropped as late. The file sink commits each batch once."""
+    src = _source(spark, source_dir, schema, glob, max_files)
+    if prepare is not None:
+        src = prepare(src)
+    timed = src.withColumn("_event_time", instant(event_time)).withWatermark("_event_time", delay)
+    once = timed.filter(F.col("_event_time").isNotNull()).dropDuplicatesWithinWatermark(["video_id"]).drop("_event_time")
+    _run(once.writeStream.format("parquet").option("path", out_dir).option("checkpointLocation", checkpoint)
+         .outputMode("append"))
+
+
+def stream_index_delta(spark: SparkSession, source_dir: str, store_root: str, checkpoint: str,
+                       schema: T.StructType, glob: str, to_incoming: Callable[[DataFrame], DataFrame],
+                       buckets: int = 64, max_files: int | None = None) -> None:
+    """``stream_index_upsert`` onto the keyed index: a batch reads the buckets
+    of its paths and writes the rows that it changes. Replaying it changes
+    nothing."""
+    src = _source(spark, source_dir, schema, glob, max_files)
+    table = index_table(spark, store_root, buckets)
+    _run(src.writeStream.foreachBatch(lambda df, i: upsert_delta(table, to_incoming(df), f"stream-{i}") and None)
+            .option("checkpointLocation", checkpoint))
+
+
 def upsert_batch(spark: SparkSession, store_root: str, incoming: DataFrame, batch_id: int) -> None:
     """One batch of ``stream_index_upsert``. The actions are decided once and
     stored; a replayed batch reads them again, and writes the index version
@@ -163,3 +195,29 @@ def run_stream_index_upsert(spark: SparkSession, d: str) -> DataFrame:
     stream_index_upsert(spark, d, root, ck, _table_schema(spark, d, "documents"),
                         glob="documents.parquet", to_incoming=to_incoming)
     return spark.read.parquet(f"{root}/upserts").drop("batch")
+
+
+def run_stream_listing_dedup_within(spark: SparkSession, d: str) -> DataFrame:
+    """The listing arrives in two runs that share a third of their rows; the
+    delay covers the whole month, so nothing is late."""
+    from vigil.plans.standins import listing
+    src, out, ck = (FS.scratch_dir(spark, f"stream_within_{x}") for x in ("in", "out", "ck"))
+    rows = listing(spark, d)
+    for k in (0, 1):
+        part = rows.filter(F.col("video_id") % 3 != k)
+        FS.write_table(part, src, mode="append")
+        stream_listing_dedup_within(spark, src, out, ck, part.schema, glob="*.parquet", delay="40 days")
+    return spark.read.parquet(out)
+
+
+def run_stream_index_delta(spark: SparkSession, d: str) -> DataFrame:
+    """As ``run_stream_index_upsert``, onto the keyed index; the index as it then reads."""
+    from vigil.operators.index import load_index
+    from vigil.plans.registry import _upsert_inputs
+    root, src, ck = (FS.scratch_dir(spark, f"stream_delta_{x}") for x in ("store", "in", "ck"))
+    current, incoming = _upsert_inputs(spark, d)
+    load_index(index_table(spark, root), current)
+    incoming = FS.conform(incoming, LIBRARY_INDEX).drop("lib_key")
+    FS.write_table(incoming, src)
+    stream_index_delta(spark, src, root, ck, incoming.schema, "*.parquet", lambda df: df)
+    return index_table(spark, root).read()
