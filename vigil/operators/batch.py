@@ -22,7 +22,7 @@ def identify_topics_for_all(transcripts: DataFrame, topic_store: DataFrame,
     a document's topics don't depend on what else is waiting."""
     todo = missing_enrichments(transcripts, topic_store, "video_id", store_key="source_id")
     if statistics is None:
-        statistics = N.term_statistics(transcripts)
+        statistics = N.corpus_statistics(transcripts)
     return N.topic_list(todo, "video_id", "text", k, statistics).select(
         "topic", F.col("video_id").alias("source_id"))
 
@@ -37,7 +37,7 @@ def build_entities_for_all(transcripts: DataFrame, entity_store: DataFrame,
     todo = missing_enrichments(transcripts, entity_store, "video_id", store_key="source_id")
     if use_summary:
         if statistics is None:
-            statistics = N.term_statistics(transcripts)
+            statistics = N.corpus_statistics(transcripts)
         todo = (N.summarize(todo, "video_id", "text", summary_sentences, statistics)
                  .withColumnRenamed("summary", "text"))
     ents = extract_entities(todo, "video_id", "text", gazetteer=gazetteer,
@@ -58,7 +58,7 @@ def classify_transcripts(transcripts: DataFrame, classification_store: DataFrame
                                allowed=allowed.select("video_id"))
     kw = {} if limit is None else {"limit": limit}
     if statistics is None:
-        statistics = N.term_statistics(transcripts)
+        statistics = N.corpus_statistics(transcripts)
     records = N.overall_classification(todo, emotion_lexicon, secondary_lexicon, sentiment_lexicon,
                                        key="video_id", statistics=statistics, **kw)
     return records.join(lookup_video_info(records.select("video_id"), listing, channels), "video_id")
@@ -72,7 +72,7 @@ def update_new_classifications(classifications: DataFrame, listing: DataFrame,
     stale = stale_main_topic(classifications, listing)
     texts = transcripts.join(stale.select("video_id"), "video_id", "left_semi")
     if statistics is None:
-        statistics = N.term_statistics(transcripts)
+        statistics = N.corpus_statistics(transcripts)
     topics = N.main_topic(texts, "video_id", "text", statistics)
     return stale.drop("main_topic").join(topics, "video_id", "left")
 

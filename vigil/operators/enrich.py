@@ -69,6 +69,15 @@ def term_statistics(docs: DataFrame, key="video_id", text: str = "text",
     return _statistics(term_frequencies(docs, ks, text, min_letters), docs, ks)
 
 
+def corpus_statistics(docs: DataFrame, key="video_id", text: str = "text") -> DataFrame:
+    """``term_statistics`` as a table: its readers (the number of documents,
+    the frequencies) don't tokenise the corpus again."""
+    from vigil.sources.files import scratch_dir, write_scratch
+    path = scratch_dir(docs.sparkSession, "corpus_statistics")
+    write_scratch(term_statistics(docs, key, text), path)
+    return docs.sparkSession.read.parquet(path)
+
+
 def merge_statistics(stored: DataFrame, added: DataFrame) -> DataFrame:
     """Statistics of both sets of documents (which share none)."""
     return stored.unionByName(added).groupBy("term").agg(F.sum("df").cast("long").alias("df"))
@@ -180,31 +189,33 @@ def classify_sentiment(docs: DataFrame, lexicon: DataFrame, key="video_id",
     return sentiment_from_tf(docs.select(*ks), term_frequencies(docs, ks, text), lexicon, ks)
 
 
-def sentence_terms(docs: DataFrame, ks: list[str], text: str):
-    """(sentence term counts with their positions, document term counts) from
-    one tokenisation: words never cross a sentence boundary, so a document's
-    term counts are the sums over its sentences. ``at`` lists (position,
-    count) of the sentences that hold a term; the sentences themselves are
-    not shuffled."""
-    words_at = (_keyed(docs, ks)
-                .select(*ks, F.posexplode(sentences(F.col(text))).alias("spos", "sentence"))
-                .select(*ks, "spos", F.explode(words(F.col("sentence"))).alias("term"))
-                .groupBy(*ks, "spos", "term").agg(F.count(F.lit(1)).alias("c")))
-    return words_at, words_at.groupBy(*ks, "term").agg(F.sum("c").alias("tf"))
-
-
-def topic_terms(tf: DataFrame, min_letters: int = TOPIC_MIN_LETTERS) -> DataFrame:
-    return tf.filter(F.length("term") >= min_letters)
+def term_places(docs: DataFrame, ks: list[str], text: str) -> DataFrame:
+    """(keys.., term, tf, at) with ``at`` the (spos, c) of the sentences that hold
+    the term, from one tokenisation: words never cross a sentence boundary.
+    Texts are dealt by key once, and all counting happens where they lie."""
+    at = (_keyed(docs, ks).select(*ks, text).repartition(*ks)
+          .select(*ks, F.posexplode(sentences(F.col(text))).alias("spos", "sentence"))
+          .select(*ks, "spos", F.explode(words(F.col("sentence"))).alias("term"))
+          .groupBy(*ks, "spos", "term").agg(F.count(F.lit(1)).alias("c")))
+    return at.groupBy(*ks, "term").agg(F.sum("c").alias("tf"), F.collect_list(F.struct("spos", "c")).alias("at"))
 
 
-def summary_from(docs: DataFrame, words_at: DataFrame, scored: DataFrame, ks: list[str],
-                 text: str, n: int) -> DataFrame:
-    """Top-n sentences by mean TF-IDF of their topic words, in order. The
-    positions are chosen first; the sentences are cut from the text last."""
-    scores = scored.select(*ks, "term", "score")
-    ss = (words_at.join(scores, ks + ["term"], "inner").groupBy(*ks, "spos")
-                  .agg(F.round(F.sum(F.col("c") * F.col("score")) / F.sum("c"), SCORE_DIGITS)
-                       .alias("sscore")))
+def scored_places(places: DataFrame, statistics: DataFrame, min_letters: int = TOPIC_MIN_LETTERS) -> DataFrame:
+    """``term_places`` with the TF-IDF score of topic words that the statistics
+    hold (null for others); score as in ``tfidf_from_tf``."""
+    n = statistics.filter(F.col("term").isNull()).agg(F.sum("df")).first()[0] or 0
+    known = statistics.filter(F.col("term").isNotNull() & (F.length("term") >= min_letters))
+    return places.join(known, "term", "left").withColumn(
+        "score", F.round(F.col("tf") * F.log(F.lit(float(n)) / F.col("df")), SCORE_DIGITS)).drop("df")
+
+
+def summary_from(docs: DataFrame, scored: DataFrame, ks: list[str], text: str, n: int) -> DataFrame:
+    """Top-n sentences by mean TF-IDF of their topic words, in order, from
+    ``scored_places``. The positions are chosen first; the sentences are cut
+    from the text last."""
+    ss = (scored.filter(F.col("score").isNotNull()).select(*ks, "score", F.explode("at").alias("x"))
+                .groupBy(*ks, F.col("x.spos").alias("spos"))
+                .agg(F.round(F.sum(F.col("x.c") * F.col("score")) / F.sum("x.c"), SCORE_DIGITS).alias("sscore")))
     best = top_k(ss, ks, [F.col("sscore").desc(), F.col("spos")], n)
     chosen = best.groupBy(*ks).agg(F.sort_array(F.collect_list("spos")).alias("_at"))
     cut = F.array_join(F.transform("_at", lambda i: F.get(F.col("_all"), i)), " ")
@@ -219,10 +230,10 @@ def summarize(docs: DataFrame, key="video_id", text: str = "text", n: int = 2,
     words (rounded), the top ``n`` (ties: earlier first) joined in reading
     order. ``statistics`` as in ``tfidf``."""
     ks = _keys(key)
-    words_at, tf = sentence_terms(docs, ks, text)
-    tf = topic_terms(tf)
-    scored = tfidf_from_tf(tf, _statistics(tf, docs, ks) if statistics is None else statistics)
-    return summary_from(docs, words_at, scored, ks, text, n)
+    if statistics is None:
+        statistics = corpus_statistics(docs, ks, text)
+    places = term_places(docs, ks, text)
+    return summary_from(docs, scored_places(places, statistics), ks, text, n)
 
 
 def dim_emotions(spark) -> DataFrame:
@@ -287,32 +298,53 @@ def overall_classification(docs: DataFrame, emotion_lexicon: DataFrame,
     """Chunk -> score every chunk (summary, sentiment, two emotions, main
     topic) -> merge to one record per document.
 
-    The chunks feed five scorers, so they are written once as a Parquet table
-    in the shared folder, from which a reader of keys reads no text; all
-    scorers share one tokenisation. ``statistics`` are those of the corpus
-    (by document); without them ``docs`` is the corpus."""
-    from vigil.sources.files import scratch_dir, write_table
+    The chunks are written once as a Parquet table in the shared folder and
+    tokenised once; a chunk's terms, with their places, scores and lexicon
+    entries, are then dealt by chunk once, and the scorers are aggregates over
+    those rows where they lie. ``statistics`` are those of the corpus (by
+    document); without them ``docs`` is the corpus."""
+    from vigil.sources.files import scratch_dir, write_scratch
     spark = docs.sparkSession
     if statistics is None:
-        statistics = term_statistics(docs, key, text)
+        statistics = corpus_statistics(docs, key, text)
     path = scratch_dir(spark, "chunks")
-    write_table(chunks_of(docs, key, text, limit), path)
+    write_scratch(chunks_of(docs, key, text, limit), path)
     ch = spark.read.parquet(path)
     ks = [key, "chunk_id"]
-    keys = ch.select(*ks)
-    words_at, tf = sentence_terms(ch, ks, text)
-    scored = tfidf_from_tf(topic_terms(tf), statistics)
-    topic = top_k(scored, ks, [F.col("score").desc(), F.col("term")], 1).select(
-        *ks, F.col("term").alias("main_topic"))
-    parts = (summary_from(ch, words_at, scored, ks, text, summary_sentences)
-             .join(sentiment_from_tf(keys, tf, sentiment_lexicon, ks), ks, "left")
-             .join(emotion_from_tf(keys, tf, emotion_lexicon, ks, "primary_emotion"), ks, "left")
-             .join(emotion_from_tf(keys, tf, secondary_lexicon, ks, "secondary_emotion"), ks, "left")
-             .join(topic, ks, "left")
+    # one row per chunk and term with everything that the scorers need, dealt by chunk
+    marks = _lexicon_marks({"primary": emotion_lexicon, "secondary": secondary_lexicon,
+                            "sentiment": sentiment_lexicon.withColumn("label", F.lit("sentiment"))})
+    scored = scored_places(term_places(ch, ks, text), statistics).join(marks, "term", "left")
+    path = scratch_dir(spark, "scored_terms")
+    write_scratch(scored.filter(F.col("score").isNotNull() | F.col("marks").isNotNull()).repartition(*ks), path)
+    scored = spark.read.parquet(path)
+
+    best = F.min(F.when(F.col("score").isNotNull(), F.struct((-F.col("score")).alias("s"), F.col("term").alias("t"))))
+    topic = scored.groupBy(*ks).agg(best.alias("_t")).select(*ks, F.col("_t.t").alias("main_topic"))
+    sums = (scored.filter(F.col("marks").isNotNull()).select(*ks, "tf", F.explode("marks").alias("m"))
+            .groupBy(*ks, "m.lexicon", "m.label").agg(F.round(F.sum(F.col("tf") * F.col("m.weight")), SCORE_DIGITS).alias("score")))
+
+    def strongest(lexicon):
+        return F.min(F.when(F.col("lexicon") == lexicon, F.struct((-F.col("score")).alias("s"), F.col("label").alias("l"))))
+    labels = (sums.groupBy(*ks).agg(strongest("primary").alias("_p"), strongest("secondary").alias("_q"), strongest("sentiment").alias("_s"))
+              .select(*ks, F.col("_p.l").alias("primary_emotion"), F.col("_q.l").alias("secondary_emotion"),
+                      (F.col("_s.s") < 0).alias("sentiment")))
+    parts = (summary_from(ch, scored, ks, text, summary_sentences)
+             .join(labels, ks, "left").join(topic, ks, "left")
              .withColumn("summary_reasoning", F.lit(None).cast("string")))
     return merge_chunk_labels(parts, key, "chunk_id")
 
 
+def _lexicon_marks(lexicons: dict[str, DataFrame]) -> DataFrame:
+    """(term, marks): the (lexicon, label, weight) entries of every term; as
+    many rows as the lexicons have terms."""
+    rows = None
+    for name, lexicon in lexicons.items():
+        part = lexicon.select("term", F.struct(F.lit(name).alias("lexicon"), "label", "weight").alias("m"))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows.groupBy("term").agg(F.collect_list("m").alias("marks"))
+
+
 def enrich(docs: DataFrame, key: str, scorer: Callable, schema=None,
            store: DataFrame | None = None) -> DataFrame:
     """Get-or-compute: documents with no stored result (``left_anti`` on
