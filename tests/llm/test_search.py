@@ -79,6 +79,39 @@ def test_few_vectors_and_copies_only(spark):
     assert got == [(0, 1, 3), (0, 2, 50), (50, 1, 0), (50, 2, 3)]
 
 
+def test_few_distinct_vectors_give_every_place(spark):
+    """Eight unlike vectors, each a query: five rows each, exact ones."""
+    x = np.random.default_rng(11).standard_normal((9, 64)).astype(np.float32).astype(float)
+    rows = [(50 * i, [float(v) for v in x[i]], 0.0, 0) for i in range(8)] + [(7, [float(v) for v in x[8]], 0.0, 0), (9, [1e-20] * 64, 0.0, 0)]
+    got = lsh.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 50 == 0).collect()
+    v = np.vstack([x, np.ones(64)])
+    ids = np.array([50 * i for i in range(8)] + [7, 9])
+    u = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+    hits = 0
+    for q in range(8):
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == 50 * q)
+        assert [r for r, _, _ in own] == [1, 2, 3, 4, 5] and 50 * q not in [i for _, i, _ in own]
+        s = dict(zip(ids.tolist(), u @ u[q]))
+        assert all(abs(score - s[i]) < 1e-12 for _, i, score in own)
+        hits += len({i for _, i, _ in own} & {int(ids[j]) for j in [j for j in np.argsort(-(u @ u[q])) if j != q][:5]})
+    assert len(got) == 40 and hits >= 36
+
+
+def test_exact_pass_alone_in_blocks(spark):
+    """With one probe nearly every query lacks candidates."""
+    x = np.random.default_rng(5).standard_normal((90, 24)).astype(np.float32)
+    df = table(spark, x)
+    classes, _ = lsh.classes_of(df, F.col("vec_id") % 3 == 0, 6)
+    nothing = spark.createDataFrame([], "q1 long, q2 long, v1 long, v2 long, score double, first long")
+    got = lsh._completed(nothing, classes, 5, rows=20, asking=7).join(
+        classes.select(F.col("v1").alias("q1"), F.col("v2").alias("q2"), F.col("ids")[0].alias("q")), ["q1", "q2"]).collect()
+    u = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(axis=1, keepdims=True))
+    for q in range(0, 90, 3):
+        own = sorted(((-r["score"], r["first"]) for r in got if r["q"] == q))
+        order = np.lexsort((np.arange(90), -(u @ u[q]).round(12)))[:6]
+        assert {i for _, i in own} == set(order.tolist())
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(4).standard_normal((5, 32))
     assert np.allclose(np.linalg.norm(lsh.hadamard(x), axis=1), np.linalg.norm(x, axis=1))

@@ -90,6 +90,48 @@ def classes_of(vectors: DataFrame, is_query: Column, keep: int) -> tuple[DataFra
     return classes.withColumn("asks", F.coalesce("asks", F.lit(False))), asked
 
 
+def _completed(found: DataFrame, classes: DataFrame, k: int, rows: int = 16384, asking: int = 1024) -> DataFrame:
+    """``found`` with an exact search for the queries whose buckets hold too
+    few ids: that set of queries, in blocks, against the blocks of all classes."""
+    ids = classes.select(*KEY, F.size("ids").alias("ids"))
+    enough = (found.join(ids, KEY).groupBy("q1", "q2").agg(F.sum("ids").alias("n")).where(F.col("n") > k)
+              .select(F.col("q1").alias("v1"), F.col("q2").alias("v2")))
+    lacking = stored(classes.where("asks").join(enough, KEY, "left_anti").select(*KEY, "x"))
+    queries = lacking.count()
+    if not queries:
+        return found
+    shards, blocks = -(-classes.count() // rows), -(-queries // asking)
+    deal = lambda seed, n: F.pmod(F.xxhash64(F.lit(seed), *KEY), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = lacking.select(*KEY, "x", deal(1, blocks).alias("block"), every(shards).alias("shard"))
+    right = classes.select(*KEY, "x", F.col("ids")[0].alias("first"), deal(2, shards).alias("shard"), every(blocks).alias("block"))
+
+    def meet(left, right):
+        import numpy as np
+        import pandas as pd
+        out = []
+        if len(left) and len(right):
+            width = max(map(len, [*left["x"], *right["x"]]))
+            q, x = (np.array([np.pad(np.asarray(v, float), (0, width - len(v))) for v in side["x"]]) for side in (left, right))
+            for a in (q, x):                    # squares must stay finite
+                scale = np.abs(a).max(axis=1, keepdims=True)
+                a[:] = np.where((scale > 1e100) | (scale < 1e-100), a / scale, a)
+            first, key, asks = right["first"].to_numpy(), right[KEY].to_numpy(), left[KEY].to_numpy()
+            for i in range(len(q)):
+                score = cosines(np.broadcast_to(q[i], x.shape), x)
+                for j in np.lexsort((first, -score))[:k + 1]:
+                    out.append((*asks[i], *key[j], score[j], first[j]))
+        return pd.DataFrame(out, columns=["q1", "q2", "v1", "v2", "score", "first"]).astype(
+            {"q1": "int64", "q2": "int64", "v1": "int64", "v2": "int64", "score": "float64", "first": "int64"})
+
+    exact = (left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block"))
+             .applyInPandas(meet, "q1 long, q2 long, v1 long, v2 long, score double, first long"))
+    best = Window.partitionBy("q1", "q2").orderBy(F.desc("score"), "first")
+    exact = exact.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
+    done = found.join(lacking.select(F.col("v1").alias("q1"), F.col("v2").alias("q2")), ["q1", "q2"], "left_anti")
+    return done.unionByName(exact)
+
+
 def search(vectors: DataFrame, is_query: Column, *, k: int = 5, tables: int = 20, probes: int = 400,
            seed: int = 1, block: int = 8192) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (cosine). Repeated rows count
@@ -97,7 +139,9 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 5, tables: int = 20
 
     A bucket's rows are split into blocks by their hash, and so are the
     queries that probe it, by measured counts; every block of queries meets
-    every block of rows, so no task grows with a hot bucket.
+    every block of rows, so no task grows with a hot bucket. Queries whose
+    buckets hold fewer than ``k`` other ids are searched for exactly, so each
+    has ``k`` rows wherever there are ``k`` candidates.
     """
     classes, asked = classes_of(vectors, is_query, k + 1)
     classes = stored(classes.repartition(*KEY))
@@ -194,7 +238,8 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 5, tables: int = 20
              .applyInPandas(meet, "q1 long, q2 long, v1 long, v2 long, score double, first long")
              .dropDuplicates(["q1", "q2", "v1", "v2"]))
     best = Window.partitionBy("q1", "q2").orderBy(F.desc("score"), "first")
-    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
+    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
+    found = _completed(stored(found), classes, k)
     near = (found.join(classes.select(*KEY, "ids"), KEY)
             .select("q1", "q2", "score", F.explode("ids").alias("vec_id")))
     best = Window.partitionBy("q1", "q2").orderBy(F.desc("score"), "vec_id")
