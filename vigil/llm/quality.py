@@ -14,6 +14,8 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vigil.llm.storage import stored
+
 #: what is measured on one line; neighbours add the same again
 LINE_FEATURES = 17
 _SYMBOLS = "*&%$#@~^=+<>{}[]\\/_"
@@ -118,20 +120,27 @@ def train(features: list, labels: list[int], rounds: int = 150, rate: float = 0.
     flat = np.vstack(x)
     mean, scale = flat.mean(axis=0), flat.std(axis=0) + 1e-6
     flat = (flat - mean) / scale
-    ends = np.cumsum([len(e) for e in x])[:-1]
+    sizes = np.array([len(e) for e in x])
+    starts = np.cumsum(sizes) - sizes
     y = np.asarray(labels, dtype=float)
-    share = np.array([1.0 / len(e) for e in x])
-    doc = np.repeat(np.arange(len(x)), [len(e) for e in x])
+    doc = np.repeat(np.arange(len(x)), sizes)
+    share = 1.0 / sizes
+    # documents of like lengths are padded to one another, so a long one costs its own length
+    like = [np.flatnonzero((sizes > 1 << k >> 1) & (sizes <= 1 << k)) for k in range(int(sizes.max()).bit_length() + 1)]
+    like = [g for g in like if len(g)]
     w = np.zeros(flat.shape[1] + 5)
     m, v = np.zeros_like(w), np.zeros_like(w)
-    sizes = np.array([len(e) for e in x])
     same = np.zeros((len(x), 2, 2))
     same[np.arange(len(x)), y.astype(int), y.astype(int)] = sizes - 1
+    p, pairs = np.zeros(len(flat)), np.zeros((len(x), 2, 2))
     for r in range(1, rounds + 1):
         trans = w[-4:].reshape(2, 2)
         e = flat @ w[:-5] + w[-5]
-        good, pairs, _ = marginals(np.split(e, ends), trans)
-        p = good[doc, np.concatenate([np.arange(n) for n in sizes])]
+        for g in like:
+            good, own, _ = marginals([e[starts[i]:starts[i] + sizes[i]] for i in g], trans)
+            pairs[g] = own
+            for i, one in zip(g, good, strict=True):
+                p[starts[i]:starts[i] + sizes[i]] = one[:sizes[i]]
         off = (y[doc] - p) * share[doc]
         g = np.concatenate([flat.T @ off, [off.sum()],
                             ((same - pairs) * share[:, None, None]).sum(axis=0).ravel()]) / len(x) - l2 * w
@@ -145,12 +154,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, most_documents: int = 3000, most_lines: int = 60) -> Model | None:
-    """Fit on a bounded sample of the labelled documents that aren't held out:
-    the ``most_documents`` with the smallest hash of doc_id, at most the first
-    ``most_lines`` lines of each. None if there is no such document. A doc_id
-    labelled twice counts with its smaller label; one standing on several rows
-    counts once."""
+def fit(docs: DataFrame, labels: DataFrame, *, most_documents: int = 3000, most_lines: int = 200_000) -> Model | None:
+    """Fit on whole texts of a bounded sample of the labelled documents that
+    aren't held out: the ``most_documents`` with the smallest hash of doc_id,
+    leaving out those that would bring the sample above ``most_lines`` lines.
+    None if there is no such document. A doc_id labelled twice counts with its
+    smaller label; one standing on several rows counts once."""
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out())
              .groupBy("doc_id").agg(F.min("quality").alias("quality"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_documents))
@@ -158,16 +167,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, most_documents: int = 3000, most_
     def measure(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for batch in batches:
-            rows = [[x for f in line_features(lines_of(t, most_lines)) for x in f] for t in batch.column(2).to_pylist()]
+            rows = [[x for f in line_features(lines_of(t)) for x in f] for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.float64()))],
                                              ["doc_id", "quality", "features"])
 
     rows = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("doc_id", "quality", "text")
             .mapInArrow(measure, "doc_id long, quality int, features array<double>")
-            .groupBy("doc_id").agg(F.min(F.struct("quality", "features")).alias("x"))
-            .orderBy("doc_id").select("x.*").collect())
-    if not rows:
+            .groupBy("doc_id").agg(F.min(F.struct("quality", "features")).alias("x")).select("doc_id", "x.*"))
+    rows = stored(rows)
+    used, chosen = 0, []
+    for r in rows.select("doc_id", F.size("features").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect():
+        if used + r["n"] // LINE_FEATURES <= most_lines:
+            used += r["n"] // LINE_FEATURES
+            chosen.append(r["doc_id"])
+    if not chosen:
         return None
+    rows = rows.where(F.col("doc_id").isin(chosen)).orderBy("doc_id").select("quality", "features").collect()
     import numpy as np
     return train([np.reshape(r["features"], (-1, LINE_FEATURES)) for r in rows], [r["quality"] for r in rows])
 
