@@ -30,8 +30,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines similar to an earlier line go; so do documents that lose them all."""
-    kept = line_dedup.dedup_lines(docs).where("n_lines = 0 OR n_removed < n_lines")
+    """Lines similar to an earlier line go; so do documents that lose four fifths
+    of them or more: near copies, whose few other lines would resemble nothing."""
+    kept = line_dedup.dedup_lines(docs).where("n_lines = 0 OR 5 * n_removed < 4 * n_lines")
     return _columns(kept, docs)
 
 
@@ -41,8 +42,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal values become pseudonyms of the same format."""
-    return _columns(pii.pseudonymise(docs, key=PII_KEY).drop("pii"), docs)
+    """Personal values become pseudonyms of the same format, by the key that
+    the session's ``spark.vigil.pii.key`` holds (invented data need none)."""
+    key = spark.conf.get("spark.vigil.pii.key", None)
+    return _columns(pii.pseudonymise(docs, key=key.encode() if key else PII_KEY).drop("pii"), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
