@@ -28,7 +28,7 @@ def test_pipeline_equals_a_plain_version(spark, table):
     scored = quality.score(docs, quality.fit(docs, labels)).collect()
     rows = sorted((r["doc_id"], r["text"]) for r in scored if r["predicted"])
     lines = similar_lines(rows)
-    rows = [(d, t) for d, t, n, gone in lines if not n or gone < n]
+    rows = [(d, t) for d, t, n, gone in lines if not n or 5 * gone < 4 * n]
     rows = [(d, t) for (d, t), (_, n, c) in zip(rows, brute(rows, corpus_pipeline.NEAR_DUPLICATES)) if not n or c == d]
     own = pii.Pseudonymiser(corpus_pipeline.PII_KEY)
     rows = [(d, own.replace(t, own.spans(t))) for d, t in rows]
@@ -58,6 +58,21 @@ def test_stages_keep_the_columns_and_stand_odd_tables(spark, docs_of):
                 out.collect()
 
 
+def test_documents_without_new_lines_go_and_the_key_is_the_sessions(spark, docs_of):
+    lines = [f"line {i} has its own words w{i} v{i} u{i}" for i in range(10)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join([*lines[:8], "something new here", "and this too"])),
+            (3, "\n".join([*lines[:7], "one more", "two more", "three more"])), (4, None), (5, "")]
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.dedup_lines(spark, docs_of(rows), SF).collect()}
+    assert set(kept) == {1, 3, 4, 5} and kept[3] == "one more\ntwo more\nthree more"
+    mail = docs_of([(1, "write to someone@example.org now")])
+    plain = corpus_pipeline.pseudonyms(spark, mail, SF).first()["text"]
+    spark.conf.set("spark.vigil.pii.key", "another key")
+    try:
+        assert corpus_pipeline.pseudonyms(spark, mail, SF).first()["text"] not in (plain, "write to someone@example.org now")
+    finally:
+        spark.conf.unset("spark.vigil.pii.key")
+
+
 def test_packing_query(spark, table):
     got = QUERIES["op3_best_fit_packing"](spark, SF).collect()
     enc = bpe.encoder(bpe.default_tokenizer_path())
