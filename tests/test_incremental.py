@@ -164,3 +164,9 @@ def test_gazetteer_by_automaton_and_by_join(spark, longest):
             spans = sorted(spans)
             assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
     assert E.gazetteer_entities(docs, gaz.limit(0), longest=longest).count() == 0
+
+
+def test_legacy_folder_is_resolved_as_spark_does(spark, tmp):
+    assert FS.qualified(spark, f"{tmp}/x") == FS.qualified(spark, f"file:{tmp}/x") == f"file:{tmp}/x"
+    before = FS.write_version(spark.range(1), f"{tmp}/v")
+    assert FS.next_version(spark, f"{tmp}/v") > before.rsplit("/", 1)[1]

@@ -61,7 +61,8 @@ def classify_transcripts(transcripts: DataFrame, classification_store: DataFrame
         statistics = N.corpus_statistics(transcripts)
     records = N.overall_classification(todo, emotion_lexicon, secondary_lexicon, sentiment_lexicon,
                                        key="video_id", statistics=statistics, **kw)
-    return records.join(lookup_video_info(records.select("video_id"), listing, channels), "video_id")
+    # ids of the waiting texts, not of the records: the classification stands in the plan once
+    return records.join(lookup_video_info(todo.select("video_id").distinct(), listing, channels), "video_id")
 
 
 def update_new_classifications(classifications: DataFrame, listing: DataFrame,

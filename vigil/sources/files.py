@@ -257,13 +257,17 @@ def jvm_path(spark: SparkSession, path: str):
     return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
+def next_version(spark: SparkSession, root: str) -> str:
+    """Folder name above every version before it, whatever the driver's clock says."""
+    last = max([int(v[2:17]) for v in list_versions(spark, root)], default=0)
+    return f"v={max(int(time.time() * 1000), last + 1):015d}"
+
+
 def write_version(df: DataFrame, root: str, tag: str = "") -> str:
     """Write a table that is also an input as a new version folder; readers
     take the newest complete one. Overwriting a path that the same plan
-    reads would delete the input before it is read. A version's number is
-    above every one before it, whatever the driver's clock says."""
-    last = max([int(v[2:17]) for v in list_versions(df.sparkSession, root)], default=0)
-    target = f"{root}/v={max(int(time.time() * 1000), last + 1):015d}{'-' + tag if tag else ''}"
+    reads would delete the input before it is read."""
+    target = f"{root}/{next_version(df.sparkSession, root)}{'-' + tag if tag else ''}"
     write_table(df, target, mode="errorifexists")
     return target
 
@@ -296,14 +300,19 @@ def append_skip_list(spark: SparkSession, ids: DataFrame, root: str) -> None:
 
 # --- legacy per-document writer -------------------------------------------------
 
-def _arrow_fs(folder: str):
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and authority that Spark gives it: one without
+    a scheme belongs to the cluster's default file system, not to a machine."""
+    p, fs = _fs(spark, path)
+    return str(fs.makeQualified(p).toString())
+
+
+def _arrow_fs(uri: str):
+    """File system and path of a qualified folder, inside a task."""
     from pyarrow import fs as pafs
-    if folder.startswith("file:"):
-        path = "/" + folder[len("file:"):].lstrip("/")
-        return pafs.LocalFileSystem(), path
-    if folder.startswith("/"):
-        return pafs.LocalFileSystem(), folder
-    return pafs.FileSystem.from_uri(folder)
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
+    return pafs.FileSystem.from_uri(uri)
 
 
 def write_per_document(df: DataFrame, key: str, folder: str, suffix: str) -> int:
@@ -312,9 +321,12 @@ def write_per_document(df: DataFrame, key: str, folder: str, suffix: str) -> int
     by key; each task streams its keys in order into one open writer at a
     time, so no document's rows are gathered in memory. A file gets its name
     when it is complete, so a retried task leaves no half file. A null key is
-    an error. Workers need this package (``--py-files``). Returns rows written."""
+    an error. The folder is resolved as Spark resolves it, so tasks write where
+    Spark reads. Workers need this package (``--py-files``). Returns rows written."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    folder = qualified(df.sparkSession, folder)
+
     cols = [c for c in df.columns if c != key]
     arrow_schema = to_arrow_schema(df.select(*cols).schema)
 
@@ -386,7 +398,7 @@ def compact_legacy_store(spark: SparkSession, root: str, out_root: str,
         if path_exists(spark, f"{root}/{name}"):
             written[name] = write_version(read().repartition(n, key), f"{out_root}/{name}")
     if path_exists(spark, f"{root}/channels"):
-        target = f"{out_root}/channel_search/v={int(time.time() * 1000):015d}"
+        target = f"{out_root}/channel_search/{next_version(spark, f'{out_root}/channel_search')}"
         # a channel may own a third of the listing: its rows are spread, by video
         (read_channel_search(spark, f"{root}/channels").repartition(n, F.xxhash64("video_id")).write
             .mode("errorifexists").option("compression", "gzip").partitionBy("channel_id")
