@@ -37,3 +37,11 @@ def test_machine_and_odd_rows(spark):
     assert [x["text"] for x in got[4]["read"]] == ["a", "a", "b"]
     assert [x["role"] for x in got[6]["read"]] == ["tool: x", ""]
     assert chat.format_chat(spark.createDataFrame([], TURNS)).count() == 0
+
+
+def test_end_mark_with_pattern_letters(spark):
+    t = chat.ChatTemplate(begin="#[", colon="]: ", end="<.|*>\n")
+    rows = [(1, 0, "user", "a.|* ab\n"), (1, 1, "assistant", "<.|*>\n]: x")]
+    out = chat.format_chat(spark.createDataFrame([(*r, "", 1) for r in rows], TURNS), t)
+    read = out.select(chat.read_turns(F.col("formatted"), t).alias("r")).first()["r"]
+    assert [(x["role"], x["text"]) for x in read] == [(r, x) for _, _, r, x in rows]

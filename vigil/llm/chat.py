@@ -87,7 +87,8 @@ def format_chat(turns: DataFrame, template: ChatTemplate | None = None) -> DataF
 def read_turns(formatted: Column, template: ChatTemplate | None = None) -> Column:
     """Array of (role, text) read back from a formatted string."""
     t = template or ChatTemplate()
-    parts = F.split(formatted, t.end.replace("\n", "\\n"))
+    literal = "".join("\\" + c if c in "\\.[]{}()<>*+-=!?^$|&#" else c for c in t.end)     # no pattern, whatever the template
+    parts = F.split(formatted, literal)
     parts = F.slice(parts, 1, F.size(parts) - 1)
 
     def turn(part: Column) -> Column:

@@ -19,8 +19,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = "\\### Assistant: </turn> ok"
-    own = spark.createDataFrame([(-7, 0, "user", both), (-7, 1, "assistant", both)],
-                                "conv_id long, turn long, role string, text string")
+    own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(both).alias("text"))
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digests(chat.format_chat(turns.unionByName(own)))
 
