@@ -7,19 +7,23 @@ enough words to share (positional filter), and be of similar size (length
 filter). What passes is verified on the words themselves. A line goes if an
 earlier line of the corpus is similar to it.
 
-Postings are not paired with themselves at once: every line first meets the
-earliest lines of each posting (its leaders). Only lines that no leader comes
+Postings are written once, bucketed by word, and not paired with themselves at
+once: every line first meets the earliest lines of each posting (its leaders),
+which a window over the posting hands to it. Only lines that no leader comes
 near to, or whose leaders fail verification, meet the whole posting. A group
 of near copies therefore costs about its size.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vigil.llm.storage import stored, stored_by
+from vigil.llm.storage import release, stored, stored_by
 
-BUCKETS = 65536
+BUCKETS = 1 << 18
+PAGE = 512
 LINE_BITS = 27
 _H = ["__h1", "__h2"]
 
@@ -37,41 +41,36 @@ def _word_set(line) -> Column:
 
 def _rarity(texts: DataFrame) -> bytes:
     """One character per bucket of word hashes: how often its words occur in
-    all texts, on a logarithmic scale. At most ``BUCKETS`` numbers, whatever
-    the corpus; words that share a bucket are ordered as if equally rare."""
+    all texts, on a logarithmic scale with two steps to the power of two. At
+    most ``BUCKETS`` characters, whatever the corpus, put together in pages of
+    ``PAGE``; words that share a bucket are ordered as if equally rare."""
     words = (texts.select(F.explode(F.split("__text", "\n")).alias("__line"))
              .select(F.explode(_words("__line")).alias("w")).where("w <> ''"))
-    counts = (words.groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} AS int)").alias("bucket"))
-              .agg(F.count(F.lit(1)).alias("n")).collect())
-    table = bytearray(b" " * BUCKETS)
-    for r in counts:
-        table[r["bucket"]] = 32 + min(63, int(r["n"]).bit_length() * 2 + (int(r["n"]) >> max(0, int(r["n"]).bit_length() - 2)) % 2)
-    return bytes(table)
+    counts = words.groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} AS int)").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    level = F.expr("char(32 + least(63, cast(floor(2 * log2(n)) AS int)))")
+    pages = (counts.groupBy(F.expr(f"bucket DIV {PAGE}").cast("int").alias("page"))
+             .agg(F.map_from_entries(F.collect_list(F.struct(F.col("bucket") % PAGE, level))).alias("m"))
+             .select("page", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(PAGE - 1)),
+                                                      lambda i: F.coalesce(F.element_at("m", i), F.lit(" "))), "").alias("s")))
+    known = {r["page"]: r["s"] for r in stored(pages).collect()}             # at most BUCKETS / PAGE rows
+    return "".join(known.get(i, " " * PAGE) for i in range(BUCKETS // PAGE)).encode()
 
 
 def _prefixes(lines: DataFrame, rarity: bytes, num: int, den: int) -> DataFrame:
-    """tok, at (place in the line's rarity order), pos, n (words of the line),
-    b1, b2 (128 parities of its words) for every prefix word of every line."""
+    """tok (31 bits of the word's hash), pos, n (words of the line), at (place
+    in the line's rarity order), b (64 parities of its words) for every prefix
+    word of every line. Words that share a tok only cost a comparison."""
     table = F.lit(rarity)
-    hashes = F.array_distinct(F.transform(_words("__line"), lambda w: F.xxhash64(w)))
-    hashes = F.filter(hashes, lambda h: h != F.xxhash64(F.lit("")))
-    rank = F.sort_array(F.transform("__hashes", lambda h: F.shiftleft(
-        (F.ascii(F.substr(table, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1, F.lit(1)).cast("string")) - 32).cast("long"),
-        57).bitwiseOR(F.shiftrightunsigned(h, 7))))
-    place = lambda h: h.bitwiseAND(F.lit(63)).cast("int")
-    shift = lambda x, by: F.call_function("shiftleft", x, by)
-    start, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    # parities of all words, and of those with the next bit set: together 128 classes
-    every = F.aggregate("__hashes", start, lambda s, h: s.bitwiseXOR(shift(one, place(h))))
-    half = F.aggregate("__hashes", start, lambda s, h: s.bitwiseXOR(
-        shift(F.shiftrightunsigned(h, 6).bitwiseAND(F.lit(1)), place(h))))
-    rows = (lines.select("__pos", hashes.alias("__hashes"))
-            .select("__pos", F.size("__hashes").alias("n"), rank.alias("__ranks"), every.alias("__all"), half.alias("b2"))
-            .select(F.col("__pos").alias("pos"), "n", F.col("__all").bitwiseXOR(F.col("b2")).alias("b1"), "b2",
-                    F.posexplode(F.slice("__ranks", F.lit(1), F.expr(f"n - ({num} * n + {den - 1}) DIV {den} + 1"))).alias("at", "tok")))
-    # Nothing here is ever null. Saying so keeps the joins from filtering on it,
-    # each in its own way, below the exchange that all of them are to share.
-    return rows.select(*[F.coalesce(c, F.lit(0).cast(t)).alias(c) for c, t in rows.dtypes])
+    hashes = F.array_distinct(F.array_remove(F.transform(_words("__line"), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
+    level = lambda h: F.ascii(F.substr(table, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1, F.lit(1)).cast("string"))
+    rank = F.sort_array(F.transform("__hashes", lambda h: F.shiftleft(level(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
+    parity = F.aggregate("__hashes", F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))))
+    return (lines.select("__pos", hashes.alias("__hashes"))
+            .select("__pos", F.size("__hashes").alias("n"), rank.alias("__ranks"), parity.alias("b"))
+            .select(F.col("__pos").alias("pos"), "n", "b",
+                    F.posexplode(F.slice("__ranks", F.lit(1), F.expr(f"n - ({num} * n + {den - 1}) DIV {den} + 1"))).alias("at", "rank"))
+            .select(F.expr("cast(rank & 2147483647L AS int)").alias("tok"), "pos", "n", "at", "b"))
 
 
 def _near(a, b, num: int, den: int) -> Column:
@@ -79,8 +78,8 @@ def _near(a, b, num: int, den: int) -> Column:
     total = a["n"] + b["n"]
     need = F.floor((total * num + (num + den - 1)) / F.lit(num + den))   # least overlap of similar lines
     return ((F.least(a["n"], b["n"]) * den >= F.greatest(a["n"], b["n"]) * num)
-            & (F.lit(1) + F.least(a["n"] - a["at"], b["n"] - b["at"]) - 1 >= need)
-            & (F.bit_count(a["b1"].bitwiseXOR(b["b1"])) + F.bit_count(a["b2"].bitwiseXOR(b["b2"])) <= total - need * 2))
+            & (F.least(a["n"] - a["at"], b["n"] - b["at"]) >= need)
+            & (F.bit_count(a["b"].bitwiseXOR(b["b"])) <= total - need * 2))
 
 
 def _numbered(texts: DataFrame) -> DataFrame:
@@ -135,44 +134,44 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
                     i.alias("__i"), F.get("__parts", i).alias("__line")))).alias("x"))
                 .select("__t", "x.*").select(position, "__line"))
 
-    posting = _prefixes(fetch(firsts), rarity, num, den).repartition("tok")
-    columns = ["pos", "n", "at", "b1", "b2"]
+    posting = stored_by(_prefixes(fetch(firsts), rarity, num, den), "tok", order=("pos",))
+    columns = ["pos", "n", "at", "b"]
     entry = F.struct(*columns)
-    ranked = posting.withColumn("r", F.row_number().over(Window.partitionBy("tok").orderBy("pos")))
-    lead = (ranked.where(F.col("r") <= leaders).groupBy("tok").agg(F.sort_array(F.collect_list(entry)).alias("lead"))
-            .where(F.size("lead") > 1))
-    own = {c: F.col(c) for c in columns[1:]}
-    met = posting.join(lead.hint("shuffle_hash"), "tok").withColumn("close", F.filter(
-        "lead", lambda x: (x["pos"] < F.col("pos")) & _near(x, own, num, den)))
-    near = met.where(F.size("close") > 0)
-    alone = met.where((F.size("close") == 0) & (F.col("pos") > F.get("lead", F.size("lead") - 1)["pos"]))
+    whole = Window.partitionBy("tok").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    lead = [f"lead{k}" for k in range(1, leaders + 1)]
+    met = (posting.withColumns({c: F.nth_value(entry, k + 1).over(whole) for k, c in enumerate(lead)})
+           .where(F.col(lead[min(1, leaders - 1)]).isNotNull()))                 # no posting of one line
+    own = {c: F.col(c) for c in columns}
+    close = {c: F.coalesce((F.col(f"{c}.pos") < F.col("pos")) & _near(F.col(c), own, num, den), F.lit(False)) for c in lead}
+    led = met.withColumns({f"near_{c}": x for c, x in close.items()})
+    some_near = reduce(Column.__or__, [F.col(f"near_{c}") for c in lead])
+    near = led.where(some_near)
+    alone = led.where(~some_near & (F.col("pos") > F.col(f"{lead[-1]}.pos")))
 
     def meet(some: DataFrame, every: DataFrame) -> DataFrame:
         """Pairs of ``some`` entries with all earlier entries of their postings."""
         a = some.select("tok", entry.alias("a"))
-        b = every.select("tok", entry.alias("b")).hint("shuffle_hash")
+        b = every.select("tok", entry.alias("b"))
         return (a.join(b, "tok").where((F.col("b.pos") < F.col("a.pos")) & _near(F.col("a"), F.col("b"), num, den))
                 .select(F.col("a.pos").alias("pos"), F.col("b.pos").alias("earlier")))
 
-    # One pass over the postings writes three kinds of rows: pairs with a
-    # leader, pairs found in whole postings, and the entries of the postings
-    # in which some line came near a leader. Those may be needed again.
+    # Two kinds of rows are kept: pairs, with a leader or found in whole
+    # postings, and the entries that came near a leader, which may be needed again.
     kind = lambda df, k: df.withColumn("kind", F.lit(k))
     nothing = F.lit(None).cast("long")
-    led = near.select("tok", *columns, F.explode(F.concat(
-        F.transform("close", lambda x: x["pos"]), F.array(nothing))).alias("earlier"))   # and the entry itself
-    led = led.withColumn("kind", F.when(F.col("earlier").isNull(), "near").otherwise("lead"))
-    active = posting.join(near.select("tok").distinct().hint("shuffle_hash"), "tok")   # a semi join would slip below the exchange
-    seen = stored(led.unionByName(kind(meet(alone, posting).distinct(), "whole"), allowMissingColumns=True)
-                  .unionByName(kind(active.select("tok", *columns), "posting"), allowMissingColumns=True))
+    some = near.select("tok", *columns, F.posexplode(F.array(*[
+        F.when(F.col(f"near_{c}"), F.col(f"{c}.pos")) for c in lead], nothing)).alias("k", "earlier"))
+    led = (some.where((F.col("k") == leaders) | F.col("earlier").isNotNull()).drop("k")
+           .withColumn("kind", F.when(F.col("earlier").isNull(), "near").otherwise("lead")))
+    seen = stored(led.unionByName(kind(meet(alone, posting), "whole"), allowMissingColumns=True), in_order=True)
     pairs = seen.where("kind IN ('lead', 'whole')").select("pos", "earlier", "kind").distinct()
 
     def similar(pairs: DataFrame) -> DataFrame:
         """The pairs whose word sets reach the similarity."""
-        words = fetch(pairs.select(F.explode(F.array("pos", "earlier")).alias("__pos")).distinct())
-        words = words.select("__pos", _word_set("__line").alias("w"))
-        both = (pairs.join(words.select(F.col("__pos").alias("pos"), F.col("w").alias("a")), "pos")
-                .join(words.select(F.col("__pos").alias("earlier"), F.col("w").alias("b")), "earlier"))
+        found = fetch(pairs.select(F.explode(F.array("pos", "earlier")).alias("__pos")).distinct())   # lines are smaller than their words
+        both = (pairs.join(found.select(F.col("__pos").alias("pos"), F.col("__line").alias("x")), "pos")
+                .join(found.select(F.col("__pos").alias("earlier"), F.col("__line").alias("y")), "earlier")
+                .select("pos", _word_set("x").alias("a"), _word_set("y").alias("b")))
         common = F.size(F.array_intersect("a", "b"))
         return both.where(common * den >= (F.size("a") + F.size("b") - common) * num).select("pos").distinct()
 
@@ -180,31 +179,36 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
     # near a leader by the filters, yet similar to none so far: there these lines meet the whole posting
     doubtful = pairs.where("kind = 'lead'").select("pos").distinct().join(found, "pos", "left_anti")
     again = seen.where("kind = 'near'").join(doubtful, "pos", "left_semi")
-    rest = meet(again, seen.where("kind = 'posting'")).distinct().join(
+    rest = meet(again, posting).distinct().join(
         pairs.select("pos", "earlier"), ["pos", "earlier"], "left_anti")
     found = found.union(similar(stored(rest)))
 
+    text_of = F.shiftright("__pos", LINE_BITS).alias("__t")
     gone = (lines.join(firsts.where("c > 1").select("k1", "k2", F.col("__pos").alias("first")), ["k1", "k2"])
             .where("__pos > first").select("__pos").union(found.select(F.col("pos").alias("__pos"))).distinct()
-            .select(F.shiftright("__pos", LINE_BITS).alias("__t"),
-                    F.col("__pos").bitwiseAND(F.lit((1 << LINE_BITS) - 1)).cast("int").alias("__i"))
-            .groupBy("__t").agg(F.collect_list("__i").alias("__gone")).join(numbers, "__t").select(*_H, "__gone"))
-
-    blank = lambda x: ~x.rlike("[^ \\t\\r\\f\\x0B]")
-    kept = (texts.join(numbers, _H).join(gone, _H, "left").select(*_H, "__d", parts.alias("__parts"), "__gone")
-            .select(*_H, "__d", "__parts", F.size(F.filter("__parts", lambda x: ~blank(x))).cast("long").alias("n_lines"),
-                    F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
-                    F.when(F.col("__gone").isNull(), F.col("__parts")).otherwise(F.transform(
-                        F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), "__gone"),
-                        lambda i: F.get("__parts", i))).alias("__kept"))
-            .select(*_H, "__d", "n_lines", "n_removed",
-                    F.when((F.col("n_removed") > 0) & (F.col("n_removed") == F.col("n_lines")), F.lit(""))
-                    .otherwise(F.array_join("__kept", "\n")).alias("__text")))
-    first = F.col("doc_id").eqNullSafe(F.col("__d"))
-    tie = F.xxhash64("__h1").alias("__h3")       # exchanges of its own: a much-copied text's rows can be split
-    return (rows.drop("text").select("*", tie).join(kept.select("*", tie).withColumnRenamed("n_lines", "__n"), [*_H, "__h3"], "left")
-            .withColumn("text", F.when(first, F.col("__text")).when(F.col("__n").isNull(), F.lit(None).cast("string"))
-                        .when(F.col("__n") == 0, F.col("__text")).otherwise(F.lit("")))
-            .withColumn("n_lines", F.coalesce("__n", F.lit(0).cast("long")))
-            .withColumn("n_removed", F.when(first, F.coalesce("n_removed", F.lit(0).cast("long"))).otherwise(F.col("n_lines")))
-            .select(*docs.drop("n_lines", "n_removed").columns, "n_lines", "n_removed"))
+            .select(text_of, F.col("__pos").bitwiseAND(F.lit((1 << LINE_BITS) - 1)).cast("int").alias("__i"))
+            .groupBy("__t").agg(F.collect_list("__i").alias("__gone")))
+    counts = lines.groupBy(text_of).agg(F.count(F.lit(1)).alias("n_lines"))
+    info = stored(numbers.join(counts, "__t", "left").join(gone, "__t", "left").select(
+        *_H, "__d", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"),
+        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"), "__gone"))
+    release(posting)
+
+    # Texts stay where they lie: the rows, without texts, come to them, and only
+    # a text's first row does. All rows meet the counts; a much-copied text's
+    # rows can be split there, as the exchanges are that join's own.
+    kept = (texts.join(info.where("n_lines > 0").select(*_H, "n_lines", "n_removed", "__gone"), _H)
+            .select(*_H, "n_lines", "n_removed", "__gone", parts.alias("__parts"))
+            .select(*_H, F.when(F.col("n_removed") == F.col("n_lines"), F.lit("")).otherwise(F.array_join(
+                F.when(F.col("__gone").isNull(), F.col("__parts")).otherwise(F.transform(
+                    F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), "__gone"),
+                    lambda i: F.get("__parts", i))), "\n")).alias("text")))
+    tie = F.xxhash64("__h1").alias("__h3")
+    wordless = F.when(~F.col("text").rlike("[^ \\t\\r\\f\\x0B\\n]"), F.col("text")).alias("__own")
+    known = (rows.select(*[c for c in rows.columns if c != "text"], tie, wordless)
+             .join(info.select(*_H, tie, "__d", "n_lines", "n_removed"), [*_H, "__h3"], "left"))
+    first = (F.coalesce("n_lines", F.lit(0)) > 0) & F.col("doc_id").eqNullSafe(F.col("__d"))
+    columns = [*docs.drop("n_lines", "n_removed").columns, "n_lines", "n_removed"]
+    others = (known.where(~first).withColumn("text", F.when(F.col("n_lines") > 0, F.lit("")).otherwise(F.col("__own")))
+              .withColumn("n_lines", F.coalesce("n_lines", F.lit(0).cast("long"))).withColumn("n_removed", F.col("n_lines")))
+    return known.where(first).join(kept, _H).select(*columns).unionByName(others.select(*columns))
