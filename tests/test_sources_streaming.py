@@ -13,6 +13,8 @@ from vigil.operators import index as IX
 from vigil.sources import files as FS
 from vigil.streaming import jobs
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def _pq(path, df, **kw):
     os.makedirs(os.path.dirname(path), exist_ok=True)
@@ -169,3 +171,19 @@ def test_compact_legacy_store(spark, tmp):
     assert dict(tuple(r) for r in C.assemble_text(seg).collect()) == {"a": "x y", "b": "z"}
     lst = spark.read.parquet(out["channel_search"])
     assert sorted((r.video_id, r.channel_id) for r in lst.collect()) == [("a", "c1"), ("b", "c1")]
+
+
+def _in_parts(spark, tmp, *names):
+    """The small tables, each of ``names`` as a folder of part files."""
+    for f in os.listdir(SF_SMALL):
+        if f.removesuffix(".parquet") in names:
+            spark.read.parquet(f"{SF_SMALL}/{f}").repartition(3).write.parquet(f"{tmp}/{f}")
+        else:
+            os.symlink(f"{SF_SMALL}/{f}", f"{tmp}/{f}")
+    return tmp
+
+
+def test_stream_index_upsert_reads_a_table_of_part_files(spark, tmp):
+    read = lambda d: sorted(map(str, jobs.run_stream_index_upsert(spark, d).collect()))
+    whole = read(SF_SMALL)
+    assert len(whole) > 0 and read(_in_parts(spark, tmp, "documents", "labels")) == whole

@@ -238,6 +238,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, path)
+    return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isDirectory())
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Delete a file or folder; False if it isn't there."""
     p, fs = _fs(spark, path)

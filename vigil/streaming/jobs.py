@@ -152,6 +152,13 @@ def _table_schema(spark, d: str, name: str) -> T.StructType:
     return spark.read.parquet(f"{d}/{name}.parquet").schema
 
 
+def _table_files(spark, d: str, name: str) -> tuple[str, str]:
+    """(folder, pattern of file names) of a table, which is one Parquet file or
+    a folder of them."""
+    path = f"{d}/{name}.parquet"
+    return (path, "*") if FS.is_folder(spark, path) else (d, f"{name}.parquet")
+
+
 def run_stream_transcripts(spark: SparkSession, d: str) -> DataFrame:
     out, ck = FS.scratch_dir(spark, "stream_docs"), FS.scratch_dir(spark, "stream_docs_ck")
 
@@ -192,8 +199,9 @@ def run_stream_index_upsert(spark: SparkSession, d: str) -> DataFrame:
                               .otherwise(F.col("rec_mod_dtm")))
                   .withColumn("summary", F.lit("v2")).drop("toxic"))
         return FS.conform(inc, LIBRARY_INDEX).drop("lib_key")
-    stream_index_upsert(spark, d, root, ck, _table_schema(spark, d, "documents"),
-                        glob="documents.parquet", to_incoming=to_incoming)
+    source, glob = _table_files(spark, d, "documents")
+    stream_index_upsert(spark, source, root, ck, _table_schema(spark, d, "documents"),
+                        glob=glob, to_incoming=to_incoming)
     return spark.read.parquet(f"{root}/upserts").drop("batch")
 
 
