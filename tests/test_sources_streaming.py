@@ -187,3 +187,9 @@ def test_stream_index_upsert_reads_a_table_of_part_files(spark, tmp):
     read = lambda d: sorted(map(str, jobs.run_stream_index_upsert(spark, d).collect()))
     whole = read(SF_SMALL)
     assert len(whole) > 0 and read(_in_parts(spark, tmp, "documents", "labels")) == whole
+
+
+def test_stream_transcripts_reads_a_table_of_part_files(spark, tmp):
+    read = lambda d: sorted(map(str, jobs.run_stream_transcripts(spark, d).collect()))
+    whole = read(SF_SMALL)
+    assert len(whole) > 0 and read(_in_parts(spark, tmp, "conversations")) == whole

@@ -164,8 +164,9 @@ def run_stream_transcripts(spark: SparkSession, d: str) -> DataFrame:
 
     def prepare(df):
         return df.select(F.col("conv_id").alias("video_id"), F.col("turn").alias("start"), "text")
-    stream_transcripts(spark, d, out, ck, _table_schema(spark, d, "conversations"),
-                       glob="conversations.parquet", key="video_id", prepare=prepare)
+    source, glob = _table_files(spark, d, "conversations")
+    stream_transcripts(spark, source, out, ck, _table_schema(spark, d, "conversations"),
+                       glob=glob, key="video_id", prepare=prepare)
     return spark.read.parquet(out).drop("batch")
 
 
