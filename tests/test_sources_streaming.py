@@ -193,3 +193,23 @@ def test_stream_transcripts_reads_a_table_of_part_files(spark, tmp):
     read = lambda d: sorted(map(str, jobs.run_stream_transcripts(spark, d).collect()))
     whole = read(SF_SMALL)
     assert len(whole) > 0 and read(_in_parts(spark, tmp, "conversations")) == whole
+
+
+def test_per_document_files_are_written_by_many_tasks(spark, tmp):
+    """Small rows are few bytes and many files: they aren't merged into one task."""
+    rows = spark.range(2000).selectExpr("cast(id % 500 as string) AS video_id", "id AS n", "timestamp_micros(id) AS at")
+    spark.sparkContext.setJobGroup("per-document", "")
+    assert FS.write_per_document(rows, "video_id", f"{tmp}/many", "_x.parquet") == 2000
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("per-document") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setJobGroup("", "")
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages[1:] if tracker.getStageInfo(s)]
+    assert max(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    back = FS.read_keyed(spark, f"{tmp}/many", "_x.parquet", rows.drop("video_id").schema, "video_id")
+    assert sorted(map(str, back.select(*rows.columns).collect())) == sorted(map(str, rows.collect()))
+
+
+def test_a_hot_key_over_many_batches_is_one_file(spark, tmp):
+    rows = spark.range(25000).selectExpr("CASE WHEN id < 24000 THEN 7L ELSE id END AS k", "id AS n")
+    assert FS.write_per_document(rows, "k", f"{tmp}/hot", "_x.parquet") == 25000
+    assert pq.read_table(f"{tmp}/hot/7_x.parquet").num_rows == 24000 and len(os.listdir(f"{tmp}/hot")) == 1001

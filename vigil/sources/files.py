@@ -324,13 +324,16 @@ def write_per_document(df: DataFrame, key: str, folder: str, suffix: str) -> int
     """Write the legacy layout: one gzip Parquet file ``<key><suffix>`` per
     key value, without the key column. Rows are hash-partitioned and sorted
     by key; each task streams its keys in order into one open writer at a
-    time, so no document's rows are gathered in memory. A file gets its name
+    time, so no document's rows are gathered in memory. A file costs the same
+    however few bytes it holds, so the number of tasks is fixed: adaptive
+    execution would merge small rows into a single task. A file gets its name
     when it is complete, so a retried task leaves no half file. A null key is
     an error. The folder is resolved as Spark resolves it, so tasks write where
     Spark reads. Workers need this package (``--py-files``). Returns rows written."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    folder = qualified(df.sparkSession, folder)
+    spark = df.sparkSession
+    folder = qualified(spark, folder)
 
     cols = [c for c in df.columns if c != key]
     arrow_schema = to_arrow_schema(df.select(*cols).schema)
@@ -338,38 +341,44 @@ def write_per_document(df: DataFrame, key: str, folder: str, suffix: str) -> int
     def writer(batches):
         import uuid
 
-        import pandas as pd
+        import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         import pyarrow.parquet as pq
         filesystem, root = _arrow_fs(folder)
         filesystem.create_dir(root, recursive=True)
         cur, w, n = None, None, 0
-        for pdf in batches:
-            if pdf.empty:
+
+        def done():
+            w.close()
+            filesystem.move(f"{root}/{tmp}", f"{root}/{cur}{suffix}")
+            return pa.RecordBatch.from_pydict({"key": [cur], "rows": [n]}, pa.schema({"key": pa.string(), "rows": pa.int64()}))
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            if pdf[key].isna().any():
+            keys = batch.column(batch.schema.names.index(key))
+            if keys.null_count:
                 raise ValueError(f"null {key}: such rows have no file to go to")
-            for k, g in pdf.groupby(key, sort=False):
-                k = str(k)
+            changes = np.flatnonzero(pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1)).to_numpy(zero_copy_only=False)) + 1
+            starts = [0, *changes.tolist()]
+            rows = pa.Table.from_batches([batch]).select(cols).cast(arrow_schema)
+            for at, end in zip(starts, [*starts[1:], len(keys)]):
+                k = str(keys[at].as_py())
                 if k != cur:
                     if w is not None:
-                        w.close()
-                        filesystem.move(f"{root}/{tmp}", f"{root}/{cur}{suffix}")
-                        yield pd.DataFrame({"key": [cur], "rows": [n]})
+                        yield done()
                     cur, n = k, 0
                     tmp = f"_{uuid.uuid4().hex}.tmp"
                     w = pq.ParquetWriter(f"{root}/{tmp}", arrow_schema,
                                          filesystem=filesystem, compression="gzip")
-                w.write_table(pa.Table.from_pandas(g[cols], schema=arrow_schema,
-                                                   preserve_index=False))
-                n += len(g)
+                w.write_table(rows.slice(at, end - at))
+                n += end - at
         if w is not None:
-            w.close()
-            filesystem.move(f"{root}/{tmp}", f"{root}/{cur}{suffix}")
-            yield pd.DataFrame({"key": [cur], "rows": [n]})
+            yield done()
 
-    out = (df.repartition(key).sortWithinPartitions(key)
-             .mapInPandas(writer, "key string, rows long"))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    out = (df.repartition(tasks, key).sortWithinPartitions(key)
+             .mapInArrow(writer, "key string, rows long"))
     return out.agg(F.sum("rows")).first()[0] or 0
 
 
