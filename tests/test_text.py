@@ -98,3 +98,36 @@ def test_eastern_date_dst(spark):
     ts = F.to_timestamp("s", "yyyy-MM-dd'T'HH:mm:ssX")
     got = [r[0] for r in df.select(TM.eastern_date(ts)).collect()]
     assert got == [dt.date(2024, 3, 10), dt.date(2024, 11, 3), dt.date(2024, 6, 30)]
+
+
+def _plain_places(docs):
+    import re
+    out = {}
+    for k, text in docs:
+        spos = -1
+        for raw in re.findall(r"[^.!?\n]+[.!?]*", text or ""):
+            if raw.strip(" "):
+                spos += 1
+                for w in re.findall(r"[a-z]+", raw.lower()):
+                    out.setdefault((k, w), []).append(spos)
+    return {kw: sorted(at) for kw, at in out.items()}
+
+
+def test_words_are_counted_where_the_text_lies(spark):
+    """Places and frequencies equal a plain count, and no row of a word is
+    shuffled or sorted for them; a key with several texts still counts once."""
+    from vigil.operators import enrich as N
+    rows = [(1, "One two. Two two!  ...\nthree one"), (2, None), (3, ""), (4, "12 34."), (5, "two. one? two")]
+    for data in (rows, [*rows, (1, "two one. four"), (5, None)]):
+        docs = spark.createDataFrame(data, "video_id long, text string").repartition(3)
+        places, tf = N.term_places(docs, ["video_id"], "text"), N.term_frequencies(docs)
+        want = _plain_places(data)
+        assert {(r.video_id, r.term): sorted(r["at"]) for r in places.collect()} == want
+        assert sorted((r.video_id, r.term, r.tf) for r in places.collect()) == sorted((*k, len(v)) for k, v in want.items())
+        assert sorted(map(tuple, tf.collect())) == sorted((*k, len(v)) for k, v in want.items())
+    once = spark.createDataFrame(rows, "video_id long, text string")
+    for counted in (N.term_places(once, ["video_id"], "text"), N.term_frequencies(once)):
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Aggregate" not in plan
+    assert {r.term: r.df for r in N.term_statistics(spark.createDataFrame([(1, "aaaa"), (1, "aaaa bbbb")], "video_id long, text string"))
+            .collect()} == {None: 1, "aaaa": 1, "bbbb": 1}

@@ -43,20 +43,71 @@ def _keyed(docs: DataFrame, ks: list[str]) -> DataFrame:
     return docs.filter(cond)
 
 
+def _texts(docs: DataFrame, ks: list[str], text: str) -> DataFrame:
+    """(keys.., texts): a row per key with all its texts. Texts are left where
+    they lie if no key repeats (a look at the keys alone); otherwise those of
+    a key are brought together."""
+    docs = _keyed(docs, ks).select(*ks, F.col(text).alias("_t"))
+    if docs.groupBy(*ks).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        return docs.select(*ks, F.array("_t").alias("texts"))
+    return docs.groupBy(*ks).agg(F.collect_list("_t").alias("texts"))
+
+
+def _count_words(places: bool):
+    """Rows (keys.., [[[word, ..] per sentence] per text]) -> (keys.., term, tf
+    and, with ``places``, at: the sentence number of every occurrence). Counted
+    batch by batch in numpy: nothing is sorted or kept beyond a batch."""
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def inner(lists):   # the parent of every element, and the elements
+            return lists.value_parent_indices().to_numpy(), lists.flatten()
+        for batch in batches:
+            row, texts = inner(batch.column(batch.num_columns - 1))
+            if not len(texts):
+                continue
+            first, sentences = inner(texts)
+            if not len(sentences):
+                continue
+            sentence, words = inner(sentences)
+            if not len(words):
+                continue
+            spos = np.arange(len(sentences)) - np.searchsorted(first, first)
+            row = row[first][sentence]
+            coded = words.dictionary_encode()
+            code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            group = row.astype(np.int64) * len(coded.dictionary) + code
+            order = np.argsort(group, kind="stable")
+            starts = np.flatnonzero(np.diff(group[order], prepend=-1))
+            head = order[starts]
+            ends = np.append(starts[1:], len(order))
+            out = [c.take(pa.array(row[head])) for c in batch.columns[:-1]]
+            out += [coded.dictionary.take(pa.array(code[head])), pa.array(ends - starts, pa.int64())]
+            names = [*batch.schema.names[:-1], "term", "tf"]
+            if places:
+                out.append(pa.ListArray.from_arrays(pa.array(np.append(starts, len(order)), pa.int32()),
+                                                    pa.array(spos[sentence][order], pa.int32())))
+                names.append("at")
+            yield pa.RecordBatch.from_arrays(out, names)
+    return count
+
+
+def _counted(rows: DataFrame, ks: list[str], places: bool) -> DataFrame:
+    kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in ks)
+    return rows.mapInArrow(_count_words(places), f"{kinds}, term string, tf long" + (", at array<int>" if places else ""))
+
+
 def term_frequencies(docs: DataFrame, key="video_id", text: str = "text",
                      min_letters: int = 1) -> DataFrame:
-    """(keys.., term, tf) over the whole text; aggregated map-side first."""
+    """(keys.., term, tf) over the whole text, counted where the text lies."""
     ks = _keys(key)
-    return (_keyed(docs, ks).select(*ks, F.explode(words(F.col(text), min_letters)).alias("term"))
-                .filter(F.col("term").isNotNull())
-                .groupBy(*ks, "term").agg(F.count(F.lit(1)).alias("tf")))
+    found = F.transform("texts", lambda t: F.array(F.coalesce(words(t, min_letters), F.array().cast("array<string>"))))
+    return _counted(_texts(docs, ks, text).select(*ks, found.alias("w")), ks, False)
 
 
 def _statistics(tf: DataFrame, docs: DataFrame, ks: list[str]) -> DataFrame:
-    # df counts rows with tf > 0 (all of them): reading ``tf`` keeps this
-    # branch's term-count aggregate identical to the scored side's, so the
-    # exchange under it is reused and the text is tokenised once
-    df = tf.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, F.lit(1))).alias("df"))
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = docs.select(*ks).distinct().agg(F.count(F.lit(1)).alias("df"))
     return n.select(F.lit(None).cast("string").alias("term"), "df").unionByName(df)
 
@@ -190,14 +241,12 @@ def classify_sentiment(docs: DataFrame, lexicon: DataFrame, key="video_id",
 
 
 def term_places(docs: DataFrame, ks: list[str], text: str) -> DataFrame:
-    """(keys.., term, tf, at) with ``at`` the (spos, c) of the sentences that hold
-    the term, from one tokenisation: words never cross a sentence boundary.
-    Texts are dealt by key once, and all counting happens where they lie."""
-    at = (_keyed(docs, ks).select(*ks, text).repartition(*ks)
-          .select(*ks, F.posexplode(sentences(F.col(text))).alias("spos", "sentence"))
-          .select(*ks, "spos", F.explode(words(F.col("sentence"))).alias("term"))
-          .groupBy(*ks, "spos", "term").agg(F.count(F.lit(1)).alias("c")))
-    return at.groupBy(*ks, "term").agg(F.sum("c").alias("tf"), F.collect_list(F.struct("spos", "c")).alias("at"))
+    """(keys.., term, tf, at) with ``at`` the sentence number of every occurrence,
+    from one tokenisation: words never cross a sentence boundary. Counted
+    where the text lies."""
+    found = F.transform("texts", lambda t: F.transform(
+        F.coalesce(sentences(t), F.array().cast("array<string>")), lambda x: words(x)))
+    return _counted(_texts(docs, ks, text).select(*ks, found.alias("w")), ks, True)
 
 
 def scored_places(places: DataFrame, statistics: DataFrame, min_letters: int = TOPIC_MIN_LETTERS) -> DataFrame:
@@ -213,9 +262,8 @@ def summary_from(docs: DataFrame, scored: DataFrame, ks: list[str], text: str, n
     """Top-n sentences by mean TF-IDF of their topic words, in order, from
     ``scored_places``. The positions are chosen first; the sentences are cut
     from the text last."""
-    ss = (scored.filter(F.col("score").isNotNull()).select(*ks, "score", F.explode("at").alias("x"))
-                .groupBy(*ks, F.col("x.spos").alias("spos"))
-                .agg(F.round(F.sum(F.col("x.c") * F.col("score")) / F.sum("x.c"), SCORE_DIGITS).alias("sscore")))
+    ss = (scored.filter(F.col("score").isNotNull()).select(*ks, "score", F.explode("at").alias("spos"))
+                .groupBy(*ks, "spos").agg(F.round(F.avg("score"), SCORE_DIGITS).alias("sscore")))
     best = top_k(ss, ks, [F.col("sscore").desc(), F.col("spos")], n)
     chosen = best.groupBy(*ks).agg(F.sort_array(F.collect_list("spos")).alias("_at"))
     cut = F.array_join(F.transform("_at", lambda i: F.get(F.col("_all"), i)), " ")
