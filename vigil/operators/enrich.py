@@ -77,7 +77,8 @@ def _count_words(places: bool):
             row = row[first][sentence]
             coded = words.dictionary_encode()
             code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            group = row.astype(np.int64) * len(coded.dictionary) + code
+            # term by term: the rows of a term lie together, and shuffle as few bytes
+            group = code * batch.num_rows + row
             order = np.argsort(group, kind="stable")
             starts = np.flatnonzero(np.diff(group[order], prepend=-1))
             head = order[starts]
@@ -251,10 +252,12 @@ def term_places(docs: DataFrame, ks: list[str], text: str) -> DataFrame:
 
 def scored_places(places: DataFrame, statistics: DataFrame, min_letters: int = TOPIC_MIN_LETTERS) -> DataFrame:
     """``term_places`` with the TF-IDF score of topic words that the statistics
-    hold (null for others); score as in ``tfidf_from_tf``."""
+    hold (null for others); score as in ``tfidf_from_tf``. Shorter words have
+    no score and need no places, so theirs aren't shuffled."""
     n = statistics.filter(F.col("term").isNull()).agg(F.sum("df")).first()[0] or 0
     known = statistics.filter(F.col("term").isNotNull() & (F.length("term") >= min_letters))
-    return places.join(known, "term", "left").withColumn(
+    at = F.when(F.length("term") >= min_letters, F.col("at"))
+    return places.withColumn("at", at).join(known, "term", "left").withColumn(
         "score", F.round(F.col("tf") * F.log(F.lit(float(n)) / F.col("df")), SCORE_DIGITS)).drop("df")
 
 
@@ -356,7 +359,7 @@ def overall_classification(docs: DataFrame, emotion_lexicon: DataFrame,
     if statistics is None:
         statistics = corpus_statistics(docs, key, text)
     path = scratch_dir(spark, "chunks")
-    write_scratch(chunks_of(docs, key, text, limit), path)
+    write_scratch(chunks_of(docs, key, text, limit), path, "zstd")
     ch = spark.read.parquet(path)
     ks = [key, "chunk_id"]
     # one row per chunk and term with everything that the scorers need, dealt by chunk
@@ -364,7 +367,7 @@ def overall_classification(docs: DataFrame, emotion_lexicon: DataFrame,
                             "sentiment": sentiment_lexicon.withColumn("label", F.lit("sentiment"))})
     scored = scored_places(term_places(ch, ks, text), statistics).join(marks, "term", "left")
     path = scratch_dir(spark, "scored_terms")
-    write_scratch(scored.filter(F.col("score").isNotNull() | F.col("marks").isNotNull()).repartition(*ks), path)
+    write_scratch(scored.filter(F.col("score").isNotNull() | F.col("marks").isNotNull()).repartition(*ks), path, "zstd")
     scored = spark.read.parquet(path)
 
     best = F.min(F.when(F.col("score").isNotNull(), F.struct((-F.col("score")).alias("s"), F.col("term").alias("t"))))

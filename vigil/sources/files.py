@@ -222,9 +222,9 @@ def drop_bucketed(spark: SparkSession, path: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {_bucketed_name(path)}")
 
 
-def write_scratch(df: DataFrame, path: str) -> None:
+def write_scratch(df: DataFrame, path: str, codec: str = "lz4") -> None:
     """An intermediate table: read again at once, so a light codec."""
-    df.write.option("compression", "lz4").parquet(path)
+    df.write.option("compression", codec).parquet(path)
 
 
 def _fs(spark: SparkSession, path: str):
