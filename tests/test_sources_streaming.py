@@ -7,6 +7,7 @@ import os
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
 from vigil.operators import catalog as C
 from vigil.operators import index as IX
@@ -213,3 +214,26 @@ def test_a_hot_key_over_many_batches_is_one_file(spark, tmp):
     rows = spark.range(25000).selectExpr("CASE WHEN id < 24000 THEN 7L ELSE id END AS k", "id AS n")
     assert FS.write_per_document(rows, "k", f"{tmp}/hot", "_x.parquet") == 25000
     assert pq.read_table(f"{tmp}/hot/7_x.parquet").num_rows == 24000 and len(os.listdir(f"{tmp}/hot")) == 1001
+
+
+def test_per_document_files_are_read_by_a_fixed_number_of_tasks(spark, tmp):
+    """Small files aren't dealt 32 to a task, and come back by name: other column
+    orders, missing, stray, all-null and dictionary columns, empty files."""
+    f, n = f"{tmp}/entities", 700
+    for i in range(n):
+        _pq(f"{f}/v{i}_entities.parquet", pd.DataFrame({"value": [f"x{i}", "y"], "entity_type": ["A", None], "other": [i, i]}))
+    _pq(f"{f}/empty_entities.parquet", pd.DataFrame({"entity_type": [], "value": []}))
+    _pq(f"{f}/null_entities.parquet", pd.DataFrame({"ENTITY_TYPE": [None], "__index_level_0__": [3]}))
+    _pq(f"{f}/cat_entities.parquet", pd.DataFrame({"entity_type": pd.Series(["B"], dtype="category"), "value": ["z"]}))
+    rows = FS.read_entities(spark, f)
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    assert rows.rdd.getNumPartitions() <= tasks
+    want = [("A", f"x{i}", f"v{i}") for i in range(n)] + [(None, "y", f"v{i}") for i in range(n)]
+    want += [(None, None, "null"), ("B", "z", "cat")]
+    assert sorted(map(str, map(tuple, rows.collect()))) == sorted(map(str, want))
+
+
+def test_a_document_file_of_another_type_is_an_error(spark, tmp):
+    _pq(f"{tmp}/entities/v1_entities.parquet", pd.DataFrame({"entity_type": ["A"], "value": [1.5]}))
+    with pytest.raises(Exception, match="value"):
+        FS.read_entities(spark, f"{tmp}/entities").collect()

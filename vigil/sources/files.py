@@ -62,11 +62,78 @@ def read_keyed(spark: SparkSession, folder: str, suffix: str, schema: T.StructTy
     return df.withColumn(key, strip_suffix(F.col("_metadata.file_name"), suffix))
 
 
+def read_documents(spark: SparkSession, folder: str, suffix: str, schema: T.StructType,
+                   key: str | None = None, modified_since=None, paths: DataFrame | None = None) -> DataFrame:
+    """``read_keyed`` for files of one document each (``key`` None: the files
+    carry it). To open a file costs Spark's Parquet reader many times what its
+    few rows do, and it gives a task 32 files at most. So the bytes are read as
+    they lie, by a fixed number of tasks, and decoded by Arrow in batches of
+    files. A file is one value there (2 GB at most); listings, which hold a
+    whole channel, are read by ``read_keyed``."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    df = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", False).load(folder)
+    if modified_since is not None:
+        df = df.filter(F.col("modificationTime") >= F.timestamp_micros(F.lit(modified_since)))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    df = df.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_name"), "content").coalesce(tasks)
+    names = T.StructType([T.StructField(c, T.StringType()) for c in ("_path", "_name")])
+    out = T.StructType(names.fields + schema.fields)
+    want = to_arrow_schema(schema)
+    declared = to_arrow_schema(out)
+
+    def decode(batches, most=20_000):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        def column(table, field, path):
+            at = [i for i, c in enumerate(table.schema.names) if c.lower() == field.name.lower()]
+            if not at:
+                return pa.chunked_array([pa.nulls(table.num_rows, field.type)])
+            found = table.column(at[0])
+            if pa.types.is_dictionary(found.type):
+                found = found.cast(found.type.value_type)
+            is_text = [pa.types.is_string(t) or pa.types.is_large_string(t) or pa.types.is_binary(t) for t in (found.type, field.type)]
+            if is_text[0] != is_text[1] and not pa.types.is_null(found.type):
+                raise ValueError(f"{path}: {field.name} is {found.type}, not {field.type}")
+            return found.cast(field.type)
+
+        def rows_of(own, tables):
+            at = np.repeat(np.arange(len(tables)), [t.num_rows for t in tables])
+            whole = pa.concat_tables(tables).combine_chunks()
+            files = [pa.array(x, pa.string()).take(pa.array(at)) for x in zip(*own)]
+            return pa.Table.from_arrays([*files, *whole.columns], schema=declared).to_batches(most)
+        own, tables, rows = [], [], 0
+        for batch in batches:
+            for path, name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                table = pq.ParquetFile(pa.BufferReader(content.as_buffer())).read(use_threads=False)
+                if not table.num_rows:
+                    continue
+                if not table.schema.equals(want):
+                    table = pa.Table.from_arrays([column(table, f, path) for f in want], schema=want)
+                own.append((path, name))
+                tables.append(table)
+                rows += table.num_rows
+                if rows >= most:
+                    yield from rows_of(own, tables)
+                    own, tables, rows = [], [], 0
+        if tables:
+            yield from rows_of(own, tables)
+
+    df = df.mapInArrow(decode, out)
+    if paths is not None:
+        df = df.join(paths.select(F.col("path").alias("_path")), "_path", "left_semi")
+    if key is not None:
+        df = df.withColumn(key, strip_suffix(F.col("_name"), suffix))
+    return df.drop("_path", "_name")
+
+
 def read_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     """Caption segments (video_id, start, duration, text); legacy files name
     the text column ``transcript``."""
     schema = T.StructType(S.TRANSCRIPT_SEGMENT.fields + [T.StructField("transcript", T.StringType())])
-    df = read_keyed(spark, folder, S.SUFFIX_TRANSCRIPT, schema, "video_id")
+    df = read_documents(spark, folder, S.SUFFIX_TRANSCRIPT, schema, "video_id")
     return df.select("video_id", "start", "duration",
                      F.coalesce(F.col("text"), F.col("transcript")).alias("text"))
 
@@ -89,20 +156,19 @@ def read_classifications(spark: SparkSession, folder: str, modified_since=None,
                          paths: DataFrame | None = None) -> DataFrame:
     """Per-document classification records; missing columns read as null.
     ``modified_since`` and ``paths`` as in ``read_keyed``."""
-    df = read_keyed(spark, folder, S.SUFFIX_CLASSIFICATION, S.CLASSIFICATION, "video_id", modified_since, paths)
+    df = read_documents(spark, folder, S.SUFFIX_CLASSIFICATION, S.CLASSIFICATION, "video_id", modified_since, paths)
     text_cols = [c for c in S.CLASSIFICATION_COLUMNS if c != "sentiment"]
     return normalize_missing(df, text_cols).select("video_id", *S.CLASSIFICATION_COLUMNS)
 
 
 def read_entities(spark: SparkSession, folder: str) -> DataFrame:
     """Per-document entity rows; the stray pandas index column is not read."""
-    return read_keyed(spark, folder, S.SUFFIX_ENTITIES, S.ENTITIES, "source_id").select(
+    return read_documents(spark, folder, S.SUFFIX_ENTITIES, S.ENTITIES, "source_id").select(
         "entity_type", "value", "source_id")
 
 
 def read_topics(spark: SparkSession, folder: str) -> DataFrame:
-    return (spark.read.schema(S.TOPICS).option("pathGlobFilter", f"*{S.SUFFIX_TOPICS}")
-                 .parquet(folder).select("topic", "source_id"))
+    return read_documents(spark, folder, S.SUFFIX_TOPICS, S.TOPICS).select("topic", "source_id")
 
 
 def read_skip_list(spark: SparkSession, path: str) -> DataFrame:
