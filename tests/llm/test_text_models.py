@@ -208,3 +208,22 @@ def test_quality(spark, docs_of):
     assert {r["predicted"] for r in got if r["doc_id"] in (None, 903)} == {1}
     none = quality.classify(docs, labels.limit(0)).collect()
     assert {r["score"] for r in none} == {0.5} and quality.classify(docs.limit(0), labels).count() == 0
+
+
+def test_few_substrings_are_searched_for_and_all_pieces_are_found(monkeypatch):
+    import numpy as np
+    from vigil.llm import langid as L
+    pieces = L.pieces_of(L.default_vocabulary_path())
+    ids = {p: i for i, p in enumerate(pieces.names)}
+    words = [L.SPACE + w for w in ("information", "zxqwvzxqwvj", "überzeugend", "𝔘𝔫𝔦𝔠𝔬𝔡𝔢𝔰𝔱𝔢")]
+    searched, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda keys, x, *a: searched.append(np.size(x)) or search(keys, x, *a))
+    total = 0
+    for word in words:
+        n = len(word)
+        for size, found in enumerate(pieces.lookup([word]), 1):
+            for start in range(n - size + 1):
+                own = ids.get(word[start:start + size], pieces.size - 1 if size == 1 else -1)
+                assert found[0, start] == own
+                total += 1
+    assert 0 < sum(searched) < total / 2

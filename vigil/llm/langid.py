@@ -14,12 +14,14 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 SPACE = "▁"
 _LETTERS = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
+MARK_BITS = 18
 
 
 def default_vocabulary_path() -> str:
@@ -43,11 +45,27 @@ class Pieces:
         self.tables = []
         for n in range(1, self.longest + 1):
             own = [(p, i) for i, p in enumerate(self.names) if len(p) == n]
-            codes = np.array([[ord(c) for c in p] for p, _ in own], dtype=np.uint64).reshape(len(own), n)
+            codes = self._codes([p for p, _ in own], n)
             keys = self._keys(codes, n)[:, 0] if own else np.zeros(0, np.uint64)
             order = np.argsort(keys)
             self.tables.append((keys[order], np.array([i for _, i in own], dtype=np.int64)[order]))
 
+    @cached_property
+    def marks(self) -> list:
+        """By length: which top bits of a key any piece has."""
+        import numpy as np
+        out = [np.zeros(1 << MARK_BITS, dtype=bool) for _ in self.tables]
+        for marks, (keys, _) in zip(out, self.tables, strict=True):
+            marks[keys >> np.uint64(64 - MARK_BITS)] = True
+        return out
+
+    @staticmethod
+    def _codes(words: list[str], n: int):
+        """Code points of words of one length n."""
+        import numpy as np
+        text = "".join(words).encode("utf-32-le", "surrogatepass")
+        return np.frombuffer(text, dtype="<u4").astype(np.uint64).reshape(len(words), n)
+
     @staticmethod
     def _keys(codes, n: int):
         """64-bit keys of all substrings of length n of each row of codes."""
@@ -69,17 +87,18 @@ class Pieces:
         where no piece; single characters always have one."""
         import numpy as np
         n = len(words[0])
-        codes = np.array([[ord(c) for c in w] for w in words], dtype=np.uint64)
+        codes = self._codes(words, n)
         out = []
         want = self._keys(codes, 0)
         for size in range(1, min(self.longest, n) + 1):
             keys, ids = self.tables[size - 1]
             want = self._longer(want, codes, size - 1)
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-                found = np.where(keys[at] == want, ids[at], -1)
-            else:
-                found = np.full(want.shape, -1)
+            found = np.full(want.shape, -1)
+            if len(keys):  # few substrings are pieces: most end at the marks
+                at = np.nonzero(self.marks[size - 1][want >> np.uint64(64 - MARK_BITS)])
+                own = want[at]
+                near = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                found[at] = np.where(keys[near] == own, ids[near], -1)
             out.append(np.where(found < 0, self.size - 1, found) if size == 1 else found)
         return out
 
@@ -154,17 +173,20 @@ def expected_pieces(pieces: Pieces, words: list[str], counts, prob):
     return out[:, :pieces.size]
 
 
-def words_of(text: str | None) -> Counter:
+def words_of(text: str | None) -> dict[str, int]:
     """Lower-cased runs of letters of the whole text, with the word start."""
-    counts: Counter = Counter()
+    counts: dict[str, int] = {}
+    get = counts.get
     if text:
         for raw, n in Counter(text.lower().split()).items():
             if raw.isalpha():
-                counts[SPACE + raw] += n
+                w = SPACE + raw
+                counts[w] = get(w, 0) + n
             else:
                 for run in _LETTERS.findall(raw):
                     for w in (run,) if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split():
-                        counts[SPACE + w] += n
+                        w = SPACE + w
+                        counts[w] = get(w, 0) + n
     return counts
 
 
@@ -210,7 +232,11 @@ def fit(train: DataFrame, *, vocabulary: str | None = None, rounds: int = 1, smo
                 nonlocal size
                 names = sorted(set().union(*words.values()))
                 if names:
-                    counts = np.array([[words[x][w] if x in words else 0 for x in langs] for w in names], dtype=float)
+                    place = {w: i for i, w in enumerate(names)}
+                    counts = np.zeros((len(names), len(langs)))
+                    for x, own_words in words.items():
+                        at = np.fromiter(map(place.__getitem__, own_words), dtype=np.int64, count=len(own_words))
+                        counts[at, index[x]] = np.fromiter(own_words.values(), dtype=float, count=len(own_words))
                     np.add(total, expected_pieces(own, names, counts, prob), out=total)
                 words.clear()
                 size = 0
@@ -280,7 +306,7 @@ def predict(docs: DataFrame, model, *, keep: list[str], most_words: int = 150_00
                         preds.append(UNDETERMINED)
                         scores.append(0.0)
                         continue
-                    rows_at = np.fromiter((where[w] for w in c), dtype=np.int64, count=len(c))
+                    rows_at = np.fromiter(map(where.__getitem__, c), dtype=np.int64, count=len(c))
                     log_p = np.fromiter(c.values(), dtype=float, count=len(c)) @ local[rows_at] + start
                     best = int(log_p.argmax())
                     preds.append(langs[best])
