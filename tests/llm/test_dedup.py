@@ -144,3 +144,10 @@ def test_repeated_rows_are_one_document(spark, docs_of):
     rows = [(1, "a b c\nd e f"), (1, "a b c\nd e f"), (2, "a b c\nnew line here")]
     got = sorted(tuple(r) for r in line_dedup.dedup_lines(docs_of(rows)).select("doc_id", "text", "n_removed").collect())
     assert got == [(1, "a b c\nd e f", 0), (1, "a b c\nd e f", 0), (2, "new line here", 1)]
+
+
+def test_no_plan_of_the_line_dedup_holds_the_rarity_table(spark):
+    texts = spark.createDataFrame([("a b c\nd e f",), ("a x c",)], "__text string")
+    lines = spark.createDataFrame([(1, "a b c"), (2, "d e f"), (3, "a x c")], "__pos long, __line string")
+    prefixes = line_dedup._prefixes(lines, line_dedup._rarity(texts), 4, 5)
+    assert prefixes.count() == 3 and len(prefixes._jdf.queryExecution().toString()) < 100_000

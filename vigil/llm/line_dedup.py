@@ -39,8 +39,8 @@ def _word_set(line) -> Column:
     return F.array_remove(F.array_distinct(_words(line)), "")
 
 
-def _rarity(texts: DataFrame) -> bytes:
-    """One character per bucket of word hashes: how often its words occur in
+def _rarity(texts: DataFrame) -> DataFrame:
+    """One row, of one character per bucket of word hashes: how often its words occur in
     all texts, on a logarithmic scale with two steps to the power of two. At
     most ``BUCKETS`` characters, whatever the corpus, put together in pages of
     ``PAGE``; words that share a bucket are ordered as if equally rare."""
@@ -48,25 +48,27 @@ def _rarity(texts: DataFrame) -> bytes:
              .select(F.explode(_words("__line")).alias("w")).where("w <> ''"))
     counts = words.groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} AS int)").alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     level = F.expr("char(32 + least(63, cast(floor(2 * log2(n)) AS int)))")
-    pages = (counts.groupBy(F.expr(f"bucket DIV {PAGE}").cast("int").alias("page"))
-             .agg(F.map_from_entries(F.collect_list(F.struct(F.col("bucket") % PAGE, level))).alias("m"))
-             .select("page", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(PAGE - 1)),
-                                                      lambda i: F.coalesce(F.element_at("m", i), F.lit(" "))), "").alias("s")))
-    known = {r["page"]: r["s"] for r in stored(pages).collect()}             # at most BUCKETS / PAGE rows
-    return "".join(known.get(i, " " * PAGE) for i in range(BUCKETS // PAGE)).encode()
+    pages = stored(counts.groupBy(F.expr(f"bucket DIV {PAGE}").cast("long").alias("page"))
+                   .agg(F.map_from_entries(F.collect_list(F.struct(F.col("bucket") % PAGE, level))).alias("m"))
+                   .select("page", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(PAGE - 1)),
+                                                            lambda i: F.coalesce(F.element_at("m", i), F.lit(" "))), "").alias("s")))
+    every = texts.sparkSession.range(BUCKETS // PAGE).withColumnRenamed("id", "page").join(pages, "page", "left")
+    in_order = F.array_sort(F.collect_list(F.struct("page", F.coalesce("s", F.lit(" " * PAGE)).alias("s"))))   # BUCKETS / PAGE rows
+    return every.agg(F.array_join(in_order["s"], "").cast("binary").alias("levels"))
 
 
-def _prefixes(lines: DataFrame, rarity: bytes, num: int, den: int) -> DataFrame:
+def _prefixes(lines: DataFrame, rarity: DataFrame, num: int, den: int) -> DataFrame:
     """tok (31 bits of the word's hash), pos, n (words of the line), at (place
     in the line's rarity order), b (64 parities of its words) for every prefix
     word of every line. Words that share a tok only cost a comparison."""
-    table = F.lit(rarity)
     hashes = F.array_distinct(F.array_remove(F.transform(_words("__line"), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
-    level = lambda h: F.ascii(F.substr(table, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1, F.lit(1)).cast("string"))
+    level = lambda h: F.ascii(F.substr(F.col("__levels"), h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1, F.lit(1)).cast("string"))
     rank = F.sort_array(F.transform("__hashes", lambda h: F.shiftleft(level(h).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8))))
     parity = F.aggregate("__hashes", F.lit(0).cast("long"), lambda s, h: s.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), h.bitwiseAND(F.lit(63)).cast("int"))))
-    return (lines.select("__pos", hashes.alias("__hashes"))
+    # A subquery's value stands in no plan's description, as a literal of that size would, many times. The optimizer
+    # puts it where it is used; explode keeps the hashes below it, or every row would carry the value.
+    return (lines.select("__pos", F.explode(F.array(hashes)).alias("__hashes")).withColumn("__levels", rarity.scalar())
             .select("__pos", F.size("__hashes").alias("n"), rank.alias("__ranks"), parity.alias("b"))
             .select(F.col("__pos").alias("pos"), "n", "b",
                     F.posexplode(F.slice("__ranks", F.lit(1), F.expr(f"n - ({num} * n + {den - 1}) DIV {den} + 1"))).alias("at", "rank"))
