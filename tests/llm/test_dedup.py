@@ -151,3 +151,22 @@ def test_no_plan_of_the_line_dedup_holds_the_rarity_table(spark):
     lines = spark.createDataFrame([(1, "a b c"), (2, "d e f"), (3, "a x c")], "__pos long, __line string")
     prefixes = line_dedup._prefixes(lines, line_dedup._rarity(texts), 4, 5)
     assert prefixes.count() == 3 and len(prefixes._jdf.queryExecution().toString()) < 100_000
+
+
+def test_long_lines_with_little_in_common_are_sifted_out_before_their_words_move(spark, monkeypatch):
+    import random
+    r = random.Random(3)
+    lines = [" ".join(r.sample([f"w{i}" for i in range(420)], 200)) for _ in range(60)]
+    lines.append(lines[0] + " more")
+    tables = []
+    kept = line_dedup.stored
+
+    def stored(df, **options):
+        tables.append(kept(df, **options))
+        return tables[-1]
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    gone = line_dedup.dedup_lines(docs).where("n_removed > 0").select("doc_id").collect()
+    assert [x.doc_id for x in gone] == [60]
+    sifted = next(t for t in tables if t.columns == ["pos", "earlier"])
+    assert [tuple(x) for x in sifted.collect()] == [(60 << line_dedup.LINE_BITS, 0)]

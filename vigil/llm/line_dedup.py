@@ -4,8 +4,9 @@ An exact set-similarity join over the lines' word sets: words are ordered by
 rarity, two lines with Jaccard similarity of 0.8 or more must share a word
 among the first fifth of their words (prefix filter), at places that leave
 enough words to share (positional filter), and be of similar size (length
-filter). What passes is verified on the words themselves. A line goes if an
-earlier line of the corpus is similar to it.
+filter). What passes is sifted by more parities of the words, and what is left
+verified on the words themselves. A line goes if an earlier line of the corpus
+is similar to it.
 
 Postings are written once, bucketed by word, and not paired with themselves at
 once: every line first meets the earliest lines of each posting (its leaders),
@@ -25,6 +26,7 @@ from vigil.llm.storage import release, stored, stored_by
 BUCKETS = 1 << 18
 PAGE = 512
 LINE_BITS = 27
+SIGNS = 8
 _H = ["__h1", "__h2"]
 
 
@@ -113,7 +115,7 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
     some = rows.where("text IS NOT NULL")
     # every distinct text once, bucketed by its key: texts are shuffled here and nowhere else
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = stored_by(some.select(*_H, F.col("text").alias("__text")).repartition(buckets, *_H).dropDuplicates(_H), *_H)
+    texts = stored_by(some.select(*_H, F.col("text").alias("__text")).repartition(buckets, *_H).dropDuplicates(_H), *_H, compression="zstd")
     numbers = stored(_numbered(some.groupBy(*_H).agg(F.min("doc_id").alias("__d"))))
     rarity = _rarity(texts)
     parts = F.split("__text", "\n")
@@ -136,7 +138,7 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
                     i.alias("__i"), F.get("__parts", i).alias("__line")))).alias("x"))
                 .select("__t", "x.*").select(position, "__line"))
 
-    posting = stored_by(_prefixes(fetch(firsts), rarity, num, den), "tok", order=("pos",))
+    posting = stored_by(_prefixes(fetch(firsts), rarity, num, den), "tok", order=("pos",), compression="zstd")
     columns = ["pos", "n", "at", "b"]
     entry = F.struct(*columns)
     whole = Window.partitionBy("tok").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -168,8 +170,26 @@ def dedup_lines(docs: DataFrame, *, similarity: tuple[int, int] = (4, 5), leader
     seen = stored(led.unionByName(kind(meet(alone, posting), "whole"), allowMissingColumns=True), in_order=True)
     pairs = seen.where("kind IN ('lead', 'whole')").select("pos", "earlier", "kind").distinct()
 
+    def alike(pairs: DataFrame) -> DataFrame:
+        """The pairs that ``SIGNS`` times 64 parities of their words leave over: with the 64 of the postings, pairs of long
+        lines that have little in common come this far, more than their share as the corpus grows. Only parities move."""
+        word = (fetch(pairs.select(F.explode(F.array("pos", "earlier")).alias("__pos")).distinct())
+                .select("__pos", F.explode(_word_set("__line")).alias("w")).select("__pos", F.xxhash64("w").alias("h")))
+        place = F.shiftright("h", 6).bitwiseAND(F.lit(SIGNS - 1))
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
+        signs = word.groupBy("__pos").agg(F.count(F.lit(1)).alias("n"), *[
+            F.bit_xor(F.when(place == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"s{k}") for k in range(SIGNS)])
+        own = ["n", *[f"s{k}" for k in range(SIGNS)]]
+        side = lambda key, name: signs.select(F.col("__pos").alias(key), F.struct(*own).alias(name))
+        total = F.col("a.n") + F.col("b.n")
+        need = F.floor((total * num + (num + den - 1)) / F.lit(num + den))
+        differ = reduce(Column.__add__, [F.bit_count(F.col(f"a.s{k}").bitwiseXOR(F.col(f"b.s{k}"))) for k in range(SIGNS)])
+        return (pairs.join(side("pos", "a"), "pos").join(side("earlier", "b"), "earlier")
+                .where(differ <= total - need * 2).select("pos", "earlier"))
+
     def similar(pairs: DataFrame) -> DataFrame:
         """The pairs whose word sets reach the similarity."""
+        pairs = stored(alike(pairs))
         found = fetch(pairs.select(F.explode(F.array("pos", "earlier")).alias("__pos")).distinct())   # lines are smaller than their words
         both = (pairs.join(found.select(F.col("__pos").alias("pos"), F.col("__line").alias("x")), "pos")
                 .join(found.select(F.col("__pos").alias("earlier"), F.col("__line").alias("y")), "earlier")

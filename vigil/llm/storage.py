@@ -52,15 +52,16 @@ def stored(df: DataFrame, *, in_order: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stored_by(df: DataFrame, *keys: str, order: tuple[str, ...] = ()) -> DataFrame:
+def stored_by(df: DataFrame, *keys: str, order: tuple[str, ...] = (), compression: str | None = None) -> DataFrame:
     """``stored``, bucketed by the keys and sorted by them and ``order``: later
     joins and aggregates on the keys leave these rows where they lie."""
     spark = df.sparkSession
     name, path = _fresh(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     with _set(spark, _CLEANUP, "true"):
+        options = {"path": path} | ({"compression": compression} if compression else {})
         (df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys, *order)
-           .option("path", path).saveAsTable(name))
+           .options(**options).saveAsTable(name))
     return spark.table(name)
 
 
