@@ -60,6 +60,21 @@ def test_cleaned_long_values(spark):
     assert got == greedy_clean(rows)
 
 
+def test_spans_of_any_length(spark):
+    """A run of 20,000 words or parts of a number is one span, as in a plain
+    search; the stack doesn't grow with it. Short forms of it still go."""
+    import re
+    words, parts = " ".join(["Abc", "Éfg"] * 10_000), "1.2," * 10_000 + "3rd"
+    texts = [f"x {words} of 7 {parts} y {words} z Éfg Abc.", f"Ab 1,2,.3 12:30:45 $5.0% {parts}. A Bc  De"]
+    df = spark.createDataFrame(list(enumerate(texts)), "video_id long, text string")
+    got = [(r["source_id"], r["value"]) for r in E.extract_entities(df, proper_noun_type="PERSON").orderBy("source_id", "pos").collect()]
+    number = r"\d{1,2}:\d{2}|[$€£]?\d+(?:[.,]\d+)*(?:%|st|nd|rd|th)?"
+    proper = r"[A-ZÉ][a-zé]+(?: [A-ZÉ][a-zé]+)*"
+    assert got == [(i, v) for i, t in enumerate(texts) for v in re.findall(f"{number}|{proper}", t)]
+    kept = E.cleaned_entities(E.unique_entities(E.extract_entities(df, proper_noun_type="PERSON"))).filter("source_id = 0")
+    assert {(r["entity_type"], r["value"]) for r in kept.collect()} == {("PERSON", words), ("CARDINAL", "7"), ("ORDINAL", parts)}
+
+
 def _idx(spark):
     rows = [("ORG", "Ottawa Police", "a"), ("GPE", "Ottawa", "b"), ("PERSON", "ottawa", "c"),
             ("GPE", None, "d")]

@@ -16,9 +16,11 @@ from vigil.schemas import ENTITY_TYPES
 # FIXED VALUES of the deterministic extractor (our own rules, not a model):
 # a number-like span (optionally with currency prefix, % or ordinal suffix)
 # or a clock time; and a run of capitalised words separated by single spaces,
-# of any length.
-NUMBER_SPAN = r"\d{1,2}:\d{2}|[$€£]?\d+(?:[.,]\d+)*(?:%|st|nd|rd|th)?"
-PROPER_SPAN = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
+# of any length. The repeated groups are possessive (*+): what follows them
+# can always match, so they find the same spans, and Java loops over them;
+# a plain * recurses once a repetition and overflows the stack on long runs.
+NUMBER_SPAN = r"\d{1,2}:\d{2}|[$€£]?\d+(?:[.,]\d+)*+(?:%|st|nd|rd|th)?"
+PROPER_SPAN = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*+"
 WORD = r"[\p{L}\p{N}]+"
 YEAR = r"^(19|20)\d\d$"
 TIME = r"^\d{1,2}:\d{2}$"
