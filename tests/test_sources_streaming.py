@@ -237,3 +237,35 @@ def test_a_document_file_of_another_type_is_an_error(spark, tmp):
     _pq(f"{tmp}/entities/v1_entities.parquet", pd.DataFrame({"entity_type": ["A"], "value": [1.5]}))
     with pytest.raises(Exception, match="value"):
         FS.read_entities(spark, f"{tmp}/entities").collect()
+
+
+def test_files_of_documents_are_listed_by_a_task(spark, tmp):
+    """The listing equals Spark's own, for names of any letters, without the
+    hidden, empty and nested ones, but the driver doesn't hold the files."""
+    f = f"{tmp}/a store é"
+    names = ["a b", "é", "p%20q", "a+b&c=d,e;f:g@h!~'()*$", "[z]{y}", "\xa0n", "#h?q", "_hidden", ".dot", "_k=v", 'q"<>^`|', "a\\b", "-d", "\u2028l", "\x07c"]
+    for i, n in enumerate([*names, *(f"v{i}" for i in range(60))]):
+        _pq(f"{f}/classifications/{n}_classification.parquet", pd.DataFrame({"main_topic": [str(i)]}))
+    open(f"{f}/classifications/zero_classification.parquet", "w").close()
+    _pq(f"{f}/classifications/sub/in_classification.parquet", pd.DataFrame({"main_topic": ["x"]}))
+    _pq(f"{f}/classifications/other.parquet", pd.DataFrame({"main_topic": ["x"]}))
+    want = (spark.read.format("binaryFile").option("pathGlobFilter", "*_classification.parquet").load(f"{f}/classifications")
+            .selectExpr("path", "_metadata.file_path", "_metadata.file_name", "modificationTime", "length"))
+    got = FS.list_files(spark, f"{f}/classifications", "_classification.parquet")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and len(want.inputFiles()) > 70
+    rows, stored = FS.read_classifications(spark, f"{f}/classifications"), FS.store_inventory(spark, f)
+    assert rows.count() == stored.count() == 73 and len(rows.inputFiles()) + len(stored.inputFiles()) < 5
+    assert {r.video_id for r in rows.filter("main_topic IN ('0', '14', '2')").collect()} == {"a%20b", "%07c", "p%2520q"}
+    os.makedirs(f"{f}/transcripts")
+    assert FS.document_inventory(spark, f).count() == 0 and FS.read_transcripts(spark, f"{f}/transcripts").count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        FS.read_entities(spark, f"{f}/entities")
+
+
+def test_a_listing_is_that_of_its_moment(spark, tmp):
+    """Files that come later are the next listing's, in every use of the first."""
+    f = f"{tmp}/entities"
+    _pq(f"{f}/v1_entities.parquet", pd.DataFrame({"entity_type": ["A"], "value": ["x"]}))
+    rows = FS.read_entities(spark, f)
+    _pq(f"{f}/v2_entities.parquet", pd.DataFrame({"entity_type": ["A"], "value": ["y"]}))
+    assert rows.count() == rows.count() == 1 and FS.read_entities(spark, f).count() == 2

@@ -214,7 +214,7 @@ def remove_orphans(spark: SparkSession, folder: str, listing: DataFrame, apply:
     from vigil.schemas import SUFFIX_TRANSCRIPT
     from vigil.sources import files as FS
     known = listing.select(F.col("video_id").cast("string").alias("source_id"))
-    found = FS.file_inventory(spark, folder, SUFFIX_TRANSCRIPT).join(known, "source_id", "left_anti")
+    found = FS.document_files(spark, folder, SUFFIX_TRANSCRIPT).join(known, "source_id", "left_anti")
     path = FS.scratch_dir(spark, "orphans")
     FS.write_scratch(found.select(F.col("source_id").alias("video_id"), "path"), path)
     orphans = spark.read.parquet(path)

@@ -62,21 +62,121 @@ def read_keyed(spark: SparkSession, folder: str, suffix: str, schema: T.StructTy
     return df.withColumn(key, strip_suffix(F.col("_metadata.file_name"), suffix))
 
 
+#: characters that a URI's path holds as they are (beyond letters outside ASCII)
+_IN_URI = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-!.~'()*:@&=+$,;")
+
+
+def _uri_name(name: str) -> str:
+    """A file name as ``_metadata.file_name`` spells it (Java's URI quoting)."""
+    if _IN_URI.issuperset(name):
+        return name
+    import unicodedata
+    from urllib.parse import quote
+
+    def plain(c):
+        return c in _IN_URI or (c >= "\xa0" and unicodedata.category(c) not in ("Zs", "Zl", "Zp"))
+    return "".join(c if plain(c) else quote(c, safe="") for c in name)
+
+
+def _folder_files(uri: str, suffix: str):
+    """(name, milliseconds of its last change, length) of a folder's files
+    ``*<suffix>``, one after another, as Spark's reader would take them: no
+    hidden and no empty ones, none of folders below."""
+    from pyarrow import fs as pafs
+    filesystem, root = _arrow_fs(uri)
+
+    def found():
+        if isinstance(filesystem, pafs.LocalFileSystem):
+            import os
+            with os.scandir(root) as entries:
+                for e in entries:
+                    try:
+                        at = e.stat() if e.is_file() and e.name.endswith(suffix) else None
+                    except FileNotFoundError:       # gone since its name was read
+                        continue
+                    yield e.name, e.is_file(), at and at.st_mtime_ns, at and at.st_size
+        else:
+            for e in filesystem.get_file_info(pafs.FileSelector(root)):
+                yield e.base_name, e.is_file, e.mtime_ns, e.size
+    for name, is_file, changed, length in found():
+        if name.startswith(".") or (name.startswith("_") and "=" not in name):
+            continue
+        if not is_file and "=" in name:
+            raise ValueError(f"{uri}/{name}: files of documents lie in one folder, not in partitions")
+        if is_file and name.endswith(suffix) and length:
+            yield name, changed // 1_000_000, length
+
+
+_FILES = "path string, uri string, name string, modificationTime timestamp, length long"
+
+
+def _spark_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
+    return (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", False).load(folder)
+            .select("path", F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_name").alias("name"),
+                    "modificationTime", "length", "content"))
+
+
+def _arrow_lists(spark: SparkSession, folder: str) -> bool:
+    import pyarrow as pa
+    try:
+        return is_folder(spark, folder) and _arrow_fs(qualified(spark, folder)) is not None
+    except (OSError, pa.ArrowInvalid):      # a scheme that Arrow doesn't know here
+        return False
+
+
+def list_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
+    """(path, uri, name, modificationTime, length) of the files ``*<suffix>`` of
+    a folder as they are now; uri and name are spelt as in ``_metadata``, path
+    as in a ``binaryFile`` scan. Spark's readers hold every file of a folder on
+    the driver. Here a task streams the folder's entries (a listing is one
+    stream in any file system) into a table, and the driver sees that table
+    only. A file system that Arrow doesn't know, and a path that is no folder,
+    are listed by Spark."""
+    if not _arrow_lists(spark, folder):
+        return _spark_files(spark, folder, suffix).drop("content")
+    root = qualified(spark, folder).rstrip("/")
+    base = str(jvm_path(spark, root).toUri().toString()).rstrip("/")
+
+    def entries(batches, most=20_000):
+        import pyarrow as pa
+        fields = ["path", "uri", "name", "changed", "length"]
+        for _ in batches:
+            rows = []
+            for name, changed, length in _folder_files(root, suffix):
+                spelt = _uri_name(name)
+                rows.append((f"{root}/{name}", f"{base}/{spelt}", spelt, changed, length))
+                if len(rows) == most:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], fields)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], fields)
+    found = spark.range(0, 1, 1, 1).mapInArrow(entries, "path string, uri string, name string, changed long, length long")
+    table = scratch_dir(spark, "files")
+    write_scratch(found.select("path", "uri", "name", F.timestamp_millis("changed").alias("modificationTime"), "length"), table)
+    return spark.read.schema(_FILES).parquet(table)
+
+
 def read_documents(spark: SparkSession, folder: str, suffix: str, schema: T.StructType,
                    key: str | None = None, modified_since=None, paths: DataFrame | None = None) -> DataFrame:
     """``read_keyed`` for files of one document each (``key`` None: the files
     carry it). To open a file costs Spark's Parquet reader many times what its
-    few rows do, and it gives a task 32 files at most. So the bytes are read as
-    they lie, by a fixed number of tasks, and decoded by Arrow in batches of
-    files. A file is one value there (2 GB at most); listings, which hold a
-    whole channel, are read by ``read_keyed``."""
+    few rows do, it gives a task 32 files at most, and it holds every file on
+    the driver. So the folder is listed by ``list_files``, and the bytes are
+    read as they lie, by a fixed number of tasks, and decoded by Arrow in
+    batches of files. A file is one value there (2 GB at most); listings,
+    which hold a whole channel, are read by ``read_keyed``."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    df = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", False).load(folder)
-    if modified_since is not None:
-        df = df.filter(F.col("modificationTime") >= F.timestamp_micros(F.lit(modified_since)))
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    df = df.select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_name").alias("_name"), "content").coalesce(tasks)
+    root = qualified(spark, folder).rstrip("/")
+    named = _arrow_lists(spark, folder)
+    files = list_files(spark, folder, suffix) if named else _spark_files(spark, folder, suffix)
+    if modified_since is not None:
+        files = files.filter(F.col("modificationTime") >= F.timestamp_micros(F.lit(modified_since)))
+    if paths is not None:
+        files = files.join(paths.select(F.col("path").alias("uri")), "uri", "left_semi")
+    df = files.select(F.col("uri").alias("_path"), F.col("name").alias("_name"), F.col("path" if named else "content").alias("_file"))
+    df = df.repartition(tasks, "_path") if named else df.coalesce(tasks)
     names = T.StructType([T.StructField(c, T.StringType()) for c in ("_path", "_name")])
     out = T.StructType(names.fields + schema.fields)
     want = to_arrow_schema(schema)
@@ -105,9 +205,16 @@ def read_documents(spark: SparkSession, folder: str, suffix: str, schema: T.Stru
             files = [pa.array(x, pa.string()).take(pa.array(at)) for x in zip(*own)]
             return pa.Table.from_arrays([*files, *whole.columns], schema=declared).to_batches(most)
         own, tables, rows = [], [], 0
+        filesystem, at = _arrow_fs(root) if named else (None, None)
+
+        def content(file):
+            if not named:
+                return file.as_buffer()
+            with filesystem.open_input_file(at + file.as_py()[len(root):]) as f:
+                return f.read_buffer()
         for batch in batches:
-            for path, name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                table = pq.ParquetFile(pa.BufferReader(content.as_buffer())).read(use_threads=False)
+            for path, name, file in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                table = pq.ParquetFile(pa.BufferReader(content(file))).read(use_threads=False)
                 if not table.num_rows:
                     continue
                 if not table.schema.equals(want):
@@ -122,8 +229,6 @@ def read_documents(spark: SparkSession, folder: str, suffix: str, schema: T.Stru
             yield from rows_of(own, tables)
 
     df = df.mapInArrow(decode, out)
-    if paths is not None:
-        df = df.join(paths.select(F.col("path").alias("_path")), "_path", "left_semi")
     if key is not None:
         df = df.withColumn(key, strip_suffix(F.col("_name"), suffix))
     return df.drop("_path", "_name")
@@ -184,16 +289,26 @@ def file_inventory(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     file metadata is read (the content column is pruned)."""
     df = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
                .load(folder).select("path", "modificationTime", "length"))
+    return _inventory(df, suffix)
+
+
+def _inventory(files: DataFrame, suffix: str) -> DataFrame:
     name = F.element_at(F.split(F.col("path"), "/"), -1)
-    return df.select("path", strip_suffix(name, suffix).alias("source_id"),
-                     format_rec_mod_dtm(F.col("modificationTime")).alias("rec_mod_dtm"),
-                     "length")
+    return files.select("path", strip_suffix(name, suffix).alias("source_id"),
+                        format_rec_mod_dtm(F.col("modificationTime")).alias("rec_mod_dtm"),
+                        "length")
+
+
+def document_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
+    """``file_inventory`` of a folder with a file for every document: listed by
+    a task (``list_files``), not on the driver."""
+    return _inventory(list_files(spark, folder, suffix), suffix)
 
 
 def document_inventory(spark: SparkSession, root: str) -> DataFrame:
     """Index candidates: listing files (type 3) and transcripts (type 2)."""
     def part(sub, suffix, doc_type):
-        return (file_inventory(spark, f"{root}/{sub}", suffix)
+        return (document_files(spark, f"{root}/{sub}", suffix)
                 .withColumn("doc_type_id", F.lit(S.DOC_TYPES[doc_type]))
                 .withColumn("source_system_id", F.lit(S.SOURCE_SYSTEMS["youtube"])))
     out = None
@@ -216,8 +331,7 @@ def store_inventory(spark: SparkSession, root: str) -> DataFrame:
     for sub, suffix, kind in [("channels", S.SUFFIX_SEARCH, "youtube channel search"),
                               ("transcripts", S.SUFFIX_TRANSCRIPT, "transcript"), ("classifications", S.SUFFIX_CLASSIFICATION, None)]:
         if path_exists(spark, f"{root}/{sub}"):
-            seen = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(f"{root}/{sub}")
-                    .select(F.col("_metadata.file_path").alias("path"), "modificationTime", "length"))
+            seen = list_files(spark, f"{root}/{sub}", suffix).select(F.col("uri").alias("path"), "modificationTime", "length")
             name = F.element_at(F.split(F.col("path"), "/"), -1)
             out = out.unionByName(seen.select(
                 "path", strip_suffix(name, suffix).alias("source_id"), F.col("modificationTime").alias("modified"), "length",
