@@ -269,3 +269,20 @@ def test_a_listing_is_that_of_its_moment(spark, tmp):
     rows = FS.read_entities(spark, f)
     _pq(f"{f}/v2_entities.parquet", pd.DataFrame({"entity_type": ["A"], "value": ["y"]}))
     assert rows.count() == rows.count() == 1 and FS.read_entities(spark, f).count() == 2
+
+
+def test_files_are_not_sent_to_every_task(spark, tmp):
+    """File tables are merged, however small their compressed files look."""
+    from vigil import schemas as S
+    _pq(f"{tmp}/classifications/v1_classification.parquet", pd.DataFrame({"main_topic": ["a"]}))
+    _pq(f"{tmp}/classifications/v2_classification.parquet", pd.DataFrame({"main_topic": ["b"]}))
+    seen = FS.store_inventory(spark, tmp)
+    FS.write_table(seen.filter("source_id = 'v1'"), f"{tmp}/known")
+    known = spark.read.schema(S.INVENTORY).parquet(f"{tmp}/known")
+    changed, gone = IX.inventory_changes(seen, known)
+    rows = FS.read_classifications(spark, f"{tmp}/classifications", modified_since=0, paths=changed.select("path"))
+    for df in (changed, gone, rows):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert [r.source_id for r in changed.collect()] == ["v2"] and gone.count() == 0
+    assert [(r.video_id, r.main_topic) for r in rows.collect()] == [("v2", "b")]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vigil.schemas import CLASSIFICATION_COLUMNS, INDEX_TRACKED_COLUMNS, INVENTORY, LIBRARY_INDEX, STORED_CLASSIFICATION
 from vigil.session import ensure_checkpoint_dir
+from vigil.sources.files import merged
 from vigil.sources.keyed import KeyedTable
 
 INDEX_COLUMNS = [f.name for f in LIBRARY_INDEX.fields]
@@ -60,12 +61,12 @@ def upsert_index(current: DataFrame, incoming: DataFrame,
     action = F.when(F.col("_i").isNull() | same, "keep").otherwise("update")
     picked = [F.when(F.col("action") == "keep", F.col(f"_c.{c}")).otherwise(F.col(f"_i.{c}")).alias(c)
               for c in VALUE_COLUMNS]
-    old = (cur.join(inc, "path", "left").withColumn("action", action)
+    old = (cur.join(merged(inc), "path", "left").withColumn("action", action)
               .select(F.col("_ck").alias("lib_key"), "path", "action", *picked))
     if max_key is None:
         max_key = current.agg(F.max("lib_key")).first()[0] or 0
-    fresh = incoming.select("path").distinct().join(current.select("path"), "path", "left_anti")
-    new = (inc.join(assign_dense_keys(fresh, "path", max_key), "path")
+    fresh = incoming.select("path").distinct().join(merged(current.select("path")), "path", "left_anti")
+    new = (inc.join(merged(assign_dense_keys(fresh, "path", max_key)), "path")
               .select("lib_key", "path", F.lit("insert").alias("action"),
                       *[F.col(f"_i.{c}").alias(c) for c in VALUE_COLUMNS]))
     return old.select(*INDEX_COLUMNS, "action").unionByName(new.select(*INDEX_COLUMNS, "action"))
@@ -88,7 +89,7 @@ def refresh_index(spark: SparkSession, root: str, write: bool = True) -> DataFra
 
     inv = src.document_inventory(spark, root)
     clf = src.read_classifications(spark, f"{root}/classifications")
-    incoming = (inv.join(clf.withColumnRenamed("video_id", "source_id"), "source_id", "left")
+    incoming = (inv.join(merged(clf.withColumnRenamed("video_id", "source_id")), "source_id", "left")
                    .withColumn("sentiment", F.coalesce(F.col("sentiment"), F.lit(False))))
     current = src.read_index(spark, root)
     # the result is written once; the probe, the new version and the caller read it
@@ -150,7 +151,8 @@ def inventory_changes(current: DataFrame, known: DataFrame) -> tuple[DataFrame,
     """(new or changed files, files that are gone) against the last snapshot;
     a file is unchanged if path, modification time and length are."""
     same = ["path", "modified", "length"]
-    return current.join(known.select(*same), same, "left_anti"), known.join(current.select("path"), "path", "left_anti")
+    return (current.join(merged(known.select(*same)), same, "left_anti"),
+            known.join(merged(current.select("path")), "path", "left_anti"))
 
 
 def refresh_incremental(spark: SparkSession, root: str, buckets: int = 64) -> DataFrame:
@@ -183,21 +185,22 @@ def refresh_incremental(spark: SparkSession, root: str, buckets: int = 64) -> Da
     lost = gone.filter(is_label).select("source_id").distinct()
     if oldest is not None:
         rows = src.read_classifications(spark, f"{root}/classifications", modified_since=oldest, paths=changed.select("path"))
-        labels.change(rows.withColumnRenamed("video_id", "source_id"), batch=batch, gone=lost.join(rows.select(
-            F.col("video_id").alias("source_id")), "source_id", "left_anti"))
+        labels.change(rows.withColumnRenamed("video_id", "source_id"), batch=batch, gone=lost.join(merged(rows.select(
+            F.col("video_id").alias("source_id"))), "source_id", "left_anti"))
     elif not lost.isEmpty():
         labels.change(spark.createDataFrame([], STORED_CLASSIFICATION), batch=batch, gone=lost)
 
     relabelled = changed.unionByName(gone).filter(is_label).select("source_id").distinct()
-    listed = inventory.read().join(gone.select("path"), "path", "left_anti").join(changed.select("path"), "path", "left_anti")
+    listed = (inventory.read().join(merged(gone.select("path")), "path", "left_anti")
+              .join(merged(changed.select("path")), "path", "left_anti"))
     docs = changed.filter(~is_label)
     if oldest is not None or not lost.isEmpty():
-        docs = docs.unionByName(listed.filter(~is_label).join(relabelled, "source_id", "left_semi"))
+        docs = docs.unionByName(listed.filter(~is_label).join(merged(relabelled), "source_id", "left_semi"))
     up = None
     if not docs.isEmpty():
         stored = labels.read(labels.buckets_of(docs)).select("source_id", *CLASSIFICATION_COLUMNS)
         incoming = (docs.withColumn("rec_mod_dtm", src.format_rec_mod_dtm(F.col("modified"))).drop("modified", "length")
-                    .join(stored, "source_id", "left").withColumn("sentiment", F.coalesce(F.col("sentiment"), F.lit(False))))
+                    .join(merged(stored), "source_id", "left").withColumn("sentiment", F.coalesce(F.col("sentiment"), F.lit(False))))
         up = upsert_delta(index, src.conform(incoming, LIBRARY_INDEX).drop("lib_key"), batch)
     if changed.isEmpty() and gone.isEmpty():
         src.remove(spark, record)       # the next refresh has this one's number

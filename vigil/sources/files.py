@@ -57,7 +57,7 @@ def read_keyed(spark: SparkSession, folder: str, suffix: str, schema: T.StructTy
         df = df.filter(F.col("_metadata.file_modification_time") >= F.timestamp_micros(F.lit(modified_since)))
     if paths is not None:
         df = (df.withColumns({"_path": F.col("_metadata.file_path"), "_name": F.col("_metadata.file_name")})
-                .join(paths.select(F.col("path").alias("_path")), "_path", "left_semi"))
+                .join(merged(paths.select(F.col("path").alias("_path"))), "_path", "left_semi"))
         return df.withColumn(key, strip_suffix(F.col("_name"), suffix)).drop("_path", "_name")
     return df.withColumn(key, strip_suffix(F.col("_metadata.file_name"), suffix))
 
@@ -156,6 +156,14 @@ def list_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     return spark.read.schema(_FILES).parquet(table)
 
 
+def merged(rows: DataFrame) -> DataFrame:
+    """Rows of files, or of the index, as the other side of a join. They grow
+    with the store, and a long path takes hundreds of bytes in memory but about
+    ten in a compressed file, by whose size Spark would choose to send
+    them to every task through the driver. So such joins are merged."""
+    return rows.hint("merge")
+
+
 def read_documents(spark: SparkSession, folder: str, suffix: str, schema: T.StructType,
                    key: str | None = None, modified_since=None, paths: DataFrame | None = None) -> DataFrame:
     """``read_keyed`` for files of one document each (``key`` None: the files
@@ -174,7 +182,7 @@ def read_documents(spark: SparkSession, folder: str, suffix: str, schema: T.Stru
     if modified_since is not None:
         files = files.filter(F.col("modificationTime") >= F.timestamp_micros(F.lit(modified_since)))
     if paths is not None:
-        files = files.join(paths.select(F.col("path").alias("uri")), "uri", "left_semi")
+        files = files.join(merged(paths.select(F.col("path").alias("uri"))), "uri", "left_semi")
     df = files.select(F.col("uri").alias("_path"), F.col("name").alias("_name"), F.col("path" if named else "content").alias("_file"))
     df = df.repartition(tasks, "_path") if named else df.coalesce(tasks)
     names = T.StructType([T.StructField(c, T.StringType()) for c in ("_path", "_name")])
